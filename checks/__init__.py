@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-CATALOGS = ("catalog_counts", "catalog_sources", "catalog_regions")
+CATALOGS = ("catalog_counts", "catalog_sources", "catalog_regions", "catalog_scoring", "catalog_fastq")
 
 
 def load_all() -> None:

@@ -7,11 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hopscan.config import GENE_STOP_DISTANCE, KEY
-from hopscan.functions.statistics import half_even, safe_ratio
+from hopscan.functions.statistics import gini_from_sums, half_even, safe_ratio
 from hopscan.operators.annotation import in_gene_filter
-from hopscan.operators.ordered import exact_quantile, gini, join_keys, previous_value
+from hopscan.operators.ordered import (
+    cumulative_counts, exact_quantile, join_keys, previous_value,
+)
 from hopscan.operators.sites import count_where, replicate_sum
 from hopscan.operators.summaries import total
+from hopscan.session import checkpointed
 
 ID = "Systematic_ID"
 ATTRIBUTES = (
@@ -90,6 +93,42 @@ def gap_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def _value_stats(long: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Moments, range, median and Gini of (id, stat, v) rows, one column set per stat.
+
+    Everything comes from one table of distinct values with their ranks.
+    """
+    ranked = cumulative_counts(long, [ID, "stat"], "v")
+    n, v, below = F.col("n"), F.col("v"), F.col("below")
+    h = (F.col("total") - 1) * F.lit(0.5)
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((below <= position) & (position < below + n), v))
+
+    per = ranked.groupBy(ID, "stat").agg(
+        F.sum("n").cast("bigint").alias("count"), F.min("v").alias("min"), F.max("v").alias("max"),
+        F.sum(v * n).alias("sum"), F.sum(v * v * n).alias("squares"),
+        F.sum(v * (n * below + n * (n + 1) / 2)).alias("ranked"),
+        ((at(F.floor(h)) + at(F.ceil(h))) / 2).alias("median"),
+    )
+    size, mean = F.col("count"), F.col("sum") / F.col("count")
+    spread = F.sqrt(F.greatest(F.col("squares") / size - mean * mean, F.lit(0.0)))
+    per = per.withColumns({
+        "mean": mean,
+        "sd": F.when(F.col("min") == F.col("max"), F.lit(0.0)).otherwise(spread),
+        "gini": gini_from_sums(size.cast("double"), F.col("sum"), F.col("ranked")),
+    })
+    names = ("count", "min", "max", "sum", "mean", "median", "sd", "gini")
+    return per.groupBy(ID).agg(
+        *[F.max(F.when(F.col("stat") == s, F.col(c))).alias(f"_{s}_{c}") for s in labels for c in names]
+    )
+
+
+def _long(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    cells = [F.struct(F.lit(s).alias("stat"), F.col(c).cast("double").alias("v")) for s, c in columns.items()]
+    return rows.select(ID, F.inline(F.array(*cells)))
+
+
 def gene_gaps(rows: DataFrame, rounded: bool = True, lists: bool = False) -> DataFrame:
     """Gap statistics per gene; genes without a gap get zeros and no Gini coefficient.
 
@@ -98,33 +137,20 @@ def gene_gaps(rows: DataFrame, rounded: bool = True, lists: bool = False) -> Dat
     """
     r = _rounder(rounded)
     gaps = gap_rows(rows)
-    base = gaps.groupBy(ID).agg(
-        F.count(F.lit(1)).alias("num_gaps"),
-        F.max("gap").alias("largest_gap"),
-        F.max("gap_fraction").alias("largest_gap_fraction"),
-        F.min("gap").alias("smallest_gap"),
-        F.min("gap_fraction").alias("smallest_gap_fraction"),
-        r(F.avg("gap"), 2).alias("mean_gap_length"),
-        r(F.avg("gap_fraction"), 2).alias("mean_gap_length_fraction"),
-        r(F.stddev_pop("gap"), 2).alias("gap_length_sd"),
-        r(F.stddev_pop("gap_fraction"), 2).alias("gap_length_sd_fraction"),
-    )
-    med = exact_quantile(gaps, [ID], "gap", {"_m": 0.5}).select(
-        ID, r(F.col("_m"), 2).alias("median_gap_length")
-    )
-    med_f = exact_quantile(gaps, [ID], "gap_fraction", {"_m": 0.5}).select(
-        ID, r(F.col("_m"), 2).alias("median_gap_length_fraction")
-    )
-    gin = gini(gaps, [ID], "gap_fraction", "_g").select(
-        ID, r(F.col("_g"), 3).alias("gini_coefficient_of_location")
-    )
-    genes = rows.select(ID).distinct()
-    out = genes
-    for part in (base, med, med_f, gin):
-        out = out.join(part, ID, "left")
-    keep_null = {ID, "gini_coefficient_of_location"}
-    out = out.select(
-        *[F.col(c) if c in keep_null else F.coalesce(F.col(c), F.lit(0)).alias(c) for c in out.columns]
+    stats = _value_stats(_long(gaps, {"gap": "gap", "share": "gap_fraction"}), ("gap", "share"))
+    g = {c: F.col(f"_gap_{c}") for c in ("count", "min", "max", "mean", "median", "sd")}
+    f = {c: F.col(f"_share_{c}") for c in ("min", "max", "mean", "median", "sd", "gini")}
+    columns = {
+        "num_gaps": g["count"],
+        "largest_gap": g["max"].cast("bigint"), "largest_gap_fraction": f["max"],
+        "smallest_gap": g["min"].cast("bigint"), "smallest_gap_fraction": f["min"],
+        "mean_gap_length": r(g["mean"], 2), "mean_gap_length_fraction": r(f["mean"], 2),
+        "median_gap_length": r(g["median"], 2), "median_gap_length_fraction": r(f["median"], 2),
+        "gap_length_sd": r(g["sd"], 2), "gap_length_sd_fraction": r(f["sd"], 2),
+    }
+    out = rows.select(ID).distinct().join(stats, ID, "left").select(
+        ID, *[F.coalesce(c, F.lit(0)).alias(n) for n, c in columns.items()],
+        r(f["gini"], 3).alias("gini_coefficient_of_location"),
     )
     if lists:
         items = F.array_sort(F.collect_list(F.struct("Coordinate", "gap", "gap_fraction")))
@@ -141,19 +167,15 @@ def gene_gaps(rows: DataFrame, rounded: bool = True, lists: bool = False) -> Dat
 def gene_reads(rows: DataFrame, rounded: bool = True) -> DataFrame:
     """Depth per gene at both timepoints and how unevenly it is spread."""
     r = _rounder(rounded)
-    i, f = F.col("total_reads_initial"), F.col("total_reads_final")
-    base = rows.groupBy(ID).agg(
-        total("reads_initial").alias("total_reads_initial"),
-        total("reads_final").alias("total_reads_final"),
-        r(F.avg("reads_initial"), 2).alias("mean_reads_per_insertion_initial"),
-        r(F.avg("reads_final"), 2).alias("mean_reads_per_insertion_final"),
-    ).withColumn("total_reads_log2fc", r(F.log2((f + 1) / (i + 1)), 3))
-    for when in ("initial", "final"):
-        g = gini(rows, [ID], f"reads_{when}", "_g").select(
-            ID, r(F.col("_g"), 3).alias(f"gini_coefficient_of_depth_{when}")
-        )
-        base = base.join(g, ID)
-    return base
+    whens = ("initial", "final")
+    s = _value_stats(_long(rows, {w: f"reads_{w}" for w in whens}), whens)
+    i, f = (F.col(f"_{w}_sum").cast("bigint") for w in whens)
+    return s.select(
+        ID, i.alias("total_reads_initial"), f.alias("total_reads_final"),
+        *[r(F.col(f"_{w}_mean"), 2).alias(f"mean_reads_per_insertion_{w}") for w in whens],
+        r(F.log2((f + 1) / (i + 1)), 3).alias("total_reads_log2fc"),
+        *[r(F.col(f"_{w}_gini"), 3).alias(f"gini_coefficient_of_depth_{w}") for w in whens],
+    )
 
 
 def gene_strand(rows: DataFrame, rounded: bool = True) -> DataFrame:
@@ -184,7 +206,8 @@ def gene_density_report(
     lists: bool = False,
 ) -> DataFrame:
     """One row per gene: attributes, density, gaps, depth and strand statistics."""
-    rows = in_gene_insertions(counts, ann, initial, final, min_stop, key)
+    # One row per in-gene insertion, read by every part below.
+    rows = checkpointed(in_gene_insertions(counts, ann, initial, final, min_stop, key))
     attributes = rows.select(ID, *ATTRIBUTES).distinct().groupBy(ID).agg(
         F.min(F.struct(*ATTRIBUTES)).alias("_a")
     ).select(ID, "_a.*").select(
