@@ -28,8 +28,8 @@ def _(s: Inputs) -> DataFrame:
 
 
 def _end(anchor: str) -> str:
-    hits = f"[n for n in range(15, {len(anchor) + 1}) if length(s1)>=n and levenshtein(substr(s1,1,n), right('{anchor}',n)) <= cast(floor(0.1*n) as bigint)]"
-    return f"case when strpos(s1,'{anchor}')>0 then strpos(s1,'{anchor}')-1+{len(anchor)} else coalesce(list_max({hits}),0) end"
+    hits = f"[(n-2*levenshtein(substr(s1,1,n), right('{anchor}',n)))*1000+n for n in range(15, {len(anchor) + 1}) if length(s1)>=n and levenshtein(substr(s1,1,n), right('{anchor}',n)) <= cast(floor(0.1*n) as bigint)]"
+    return f"case when strpos(s1,'{anchor}')>0 then strpos(s1,'{anchor}')-1+{len(anchor)} else coalesce(list_max({hits}),0) % 1000 end"
 
 
 _JUNCTION = f"""t as (select *, rtrim(qual1,'#') as q1, substr(seq1,1,length(rtrim(qual1,'#'))) as s1, rtrim(qual2,'$') as q2, substr(seq2,1,length(rtrim(qual2,'$'))) as s2 from v_fastq),

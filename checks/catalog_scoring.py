@@ -427,7 +427,7 @@ def _(s: Inputs) -> DataFrame:
 def _(s: Inputs) -> DataFrame:
     root = s.scratch
     s.reads.repartition(4).write.parquet(f"{root}/pairs")
-    table = "running_sites_" + root.rstrip("/").rsplit("-", 1)[-1].replace("_", "")
+    table = "running_sites_" + root.rsplit("/", 1)[-1]
     query = incremental_site_count(
         s.spark, f"{root}/pairs", s.reads.schema, f"{root}/checkpoint", table,
         spec=CONFIG.pair_filter, files_per_trigger=2,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks.views import BOUNDARY, CUTOFF, GENERATIONS, TIMEPOINTS, Source, with_views
 from hopscan.config import SITE, RunConfig
 from hopscan.operators import annotation as an, reads as rd, scoring as sc, sites as st
+from hopscan.session import shared_folder
 from hopscan.sources.alignments import parse_alignments
 from hopscan.sources.genome import gff_from_lines
 
@@ -114,13 +115,8 @@ class Inputs(Source):
 
     @cached_property
     def scratch(self) -> str:
-        """A new folder for files this query derives: shared storage, temporary only locally."""
-        base = self.spark.conf.get("spark.checkpoint.dir", None)
-        if base is None:
-            if not self.spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        return f"{base.rstrip('/')}/derived-{self.spark.sparkContext.applicationId}-{id(self)}"
+        """A new folder on shared storage for files this query derives."""
+        return f"{shared_folder(self.spark)}/derived/{uuid.uuid4().hex}"
 
 
 def spark_query(item: Check) -> Callable[[SparkSession, str], DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 
@@ -9,46 +11,55 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgtNn", "TGCAtgcaNn"))
 
 
+def trimmed_lengths(quals: list[str], cutoff: int, offset: int) -> np.ndarray:
+    """Bases kept of each quality string; see ``quality_trimmed_length``."""
+    raw = np.array([q.encode() for q in quals], dtype=bytes)
+    width = max(raw.dtype.itemsize, 1)
+    scores = raw.view(np.uint8).reshape(len(raw), width).astype(np.int32) - offset
+    size = np.char.str_len(raw)
+    # Column j holds the j-th base from the 3' end.
+    back = np.maximum(size[:, None] - 1 - np.arange(width), 0)
+    gain = np.where(np.arange(width) < size[:, None], cutoff - np.take_along_axis(scores, back, 1), -cutoff - 99)
+    run = np.cumsum(gain, axis=1)
+    run = np.where(np.logical_or.accumulate(run < 0, axis=1), -1, run)
+    best = run.argmax(axis=1)
+    return np.where(run.max(axis=1) > 0, size - 1 - best, size)
+
+
 def quality_trimmed_length(qual: Column, cutoff: int = 15, offset: int = 33) -> Column:
     """Bases kept after 3' quality trimming by running sums.
 
     Walk from the 3' end adding (cutoff - quality); stop once the sum turns negative; cut
-    where the sum was largest. Equal to the usual BWA-style trimming rule.
+    where the sum was largest. The walk has no Spark function that stops early, so it runs on
+    Arrow batches with a matrix of qualities.
     """
-    n = F.length(qual)
-    start = F.struct(
-        F.lit(0).alias("s"), F.lit(0).alias("best"), n.alias("cut"), F.lit(False).alias("done")
-    )
-
-    def step(acc: Column, i: Column) -> Column:
-        pos = n - i
-        s = acc["s"] + F.lit(cutoff) - (F.ascii(F.substr(qual, pos + 1, F.lit(1))) - F.lit(offset))
-        done = acc["done"] | (s < 0)
-        better = ~done & (s > acc["best"])
-        return F.struct(
-            s.alias("s"),
-            F.when(better, s).otherwise(acc["best"]).alias("best"),
-            F.when(better, pos).otherwise(acc["cut"]).alias("cut"),
-            done.alias("done"),
-        )
-
-    walk = F.aggregate(F.sequence(F.lit(1), n), start, step, lambda acc: acc["cut"])
-    return F.when(n > 0, walk).otherwise(F.lit(0))
+
+    @F.pandas_udf("int")
+    def kept(q: pd.Series) -> pd.Series:
+        out = np.zeros(len(q), dtype=np.int32)
+        texts = q.fillna("").to_numpy()
+        for lo in range(0, len(texts), 2000):
+            out[lo: lo + 2000] = trimmed_lengths(list(texts[lo: lo + 2000]), cutoff, offset)
+        return pd.Series(out)
+
+    return kept(qual)
 
 
 def anchor_overlap(seq: Column, anchor: str, min_overlap: int, error_rate: float) -> Column:
     """Matched bases of a 5' ``anchor``; 0 if too few.
 
     The anchor may be cut off by the read start, so its suffixes are compared with the read's
-    first bases, the longest one wins, and ``error_rate`` edits per base are allowed.
+    first bases, with ``error_rate`` edits per base allowed. A base more counts one, an edit
+    costs two; the best total wins, then the longer match.
     """
-    found = F.lit(0)
+    ranked = [F.lit(0)]
     for size in range(min_overlap, len(anchor) + 1):
         tail = anchor[len(anchor) - size:]
         head = F.substring(seq, 1, size)
         edits = F.levenshtein(head, F.lit(tail), int(error_rate * size))
-        found = F.when((F.length(head) == size) & (edits >= 0), F.lit(size)).otherwise(found)
-    return found
+        usable = (F.length(head) == size) & (edits >= 0)
+        ranked.append(F.when(usable, (size - 2 * edits) * 1000 + size).otherwise(0))
+    return F.pmod(F.greatest(*ranked), F.lit(1000))
 
 
 def anchor_end(seq: Column, anchor: str, min_overlap: int, error_rate: float) -> Column:

@@ -3,23 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only a local session without that setting, as in tests, falls back to a temporary folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage on shared storage so that a lost executor costs one stage.
+    """Store a table in the shared folder and read it back.
 
-    Uses the folder named by ``spark.checkpoint.dir``. Only a local session without that
-    setting, as in tests, falls back to a temporary folder.
+    Cuts the lineage, so a lost executor costs one stage of what follows, and gives the planner
+    the real size of the table, so that small ones get broadcast.
     """
-    spark: SparkSession = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,17 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 
-def tag_map(fields: Column) -> Column:
-    """Optional fields ``TAG:TYPE:VALUE`` as a map; the first of a repeated tag wins."""
-    tags = F.filter(F.slice(fields, 12, F.greatest(F.size(fields) - 11, F.lit(0))),
-                    lambda f: f.rlike("^[A-Za-z][A-Za-z0-9]:[A-Za-z]:"))
-    names = F.transform(tags, lambda f: F.substring(f, 1, 2))
-    values = F.transform(tags, lambda f: F.substr(f, F.lit(6), F.length(f)))
-    first = F.filter(
-        F.arrays_zip(names.alias("k"), values.alias("v"), F.transform(names, lambda n, i: i).alias("i")),
-        lambda e: F.array_position(names, e["k"]) == e["i"] + 1,
-    )
-    return F.map_from_entries(F.transform(first, lambda e: F.struct(e["k"], e["v"])))
+def tag_map(optional: Column) -> Column:
+    """Tab-separated optional fields ``TAG:TYPE:VALUE`` as a map from tag to value."""
+    untyped = F.regexp_replace(optional, r"(^|\t)([A-Za-z][A-Za-z0-9]):[A-Za-z]:", "$1$2:")
+    return F.str_to_map(untyped, F.lit("\t"), F.lit(":"))
 
 
 def parse_alignments(lines: DataFrame, line: str = "line", order: str = "ord") -> DataFrame:
@@ -26,14 +19,16 @@ def parse_alignments(lines: DataFrame, line: str = "line", order: str = "ord") -
     """
     f = F.col("_f")
     keep = [c for c in lines.columns if c not in (line, order)]
-    split = lines.filter(~F.startswith(F.col(line), F.lit("@"))).withColumn("_f", F.split(line, "\t"))
+    split = lines.filter(~F.startswith(F.col(line), F.lit("@"))).withColumn(
+        "_f", F.split(line, "\t", 12)  # eleven fixed fields, then all optional ones
+    )
     return split.select(
         *keep,
         f[0].alias("qname"), f[1].try_cast("int").alias("flag"), f[2].alias("rname"),
         f[3].try_cast("bigint").alias("pos"), f[4].try_cast("int").alias("mapq"),
         f[5].alias("cigar"), f[6].alias("rnext"), f[7].try_cast("bigint").alias("pnext"),
         f[8].try_cast("bigint").alias("tlen"), f[9].alias("seq"), f[10].alias("qual"),
-        tag_map(f).alias("tags"), F.col(order),
+        tag_map(F.get(f, F.lit(11))).alias("tags"), F.col(order),
     )
 
 

@@ -91,7 +91,7 @@ def log_totals(parsed: DataFrame) -> DataFrame:
 
 def scan_filter_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Log files (small, one row each) to figures per sample and fragment."""
-    logs = spark.read.option("wholetext", True).text(paths).select(
+    logs = spark.read.text(paths, wholetext=True).select(
         F.col("value").alias("text"), F.col("_metadata.file_path").alias("path")
     )
     return parse_filter_logs(logs)
