@@ -41,12 +41,9 @@ def cigar_ops(cigar: Column) -> Column:
 
 
 def _length_of(cigar: Column, ops: str) -> Column:
-    """Summed lengths of some operations; a lone match, the usual case, needs no list."""
     sizes = F.regexp_extract_all(_usable(cigar), F.lit(rf"(\d+)[{ops}]"), F.lit(1))
     total = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint"))
-    lone = F.substr(cigar, F.lit(1), F.length(cigar) - 1).try_cast("bigint")
-    length = F.when(F.endswith(cigar, F.lit("M")) & lone.isNotNull(), lone).otherwise(total)
-    return F.coalesce(length, F.lit(0))
+    return F.coalesce(total, F.lit(0))
 
 
 def cigar_reference_length(cigar: Column) -> Column:

@@ -1,7 +1,7 @@
 """Depletion-curve fitting: grid seeds, batched constrained fits, metrics and residuals.
 
 Curve tables are wide by timepoint: identifier columns, then ``y_0 .. y_{T-1}`` and
-``w_0 .. w_{T-1}`` in time order. Rows are independent, so fitting needs no shuffle.
+``w_0 .. w_{T-1}`` in time order. Rows are independent.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from hopscan.functions import curve as fc
 from hopscan.functions.statistics import half_even
 from hopscan.operators.sites import count_where
+from hopscan.session import spread
 
 # Parameter bounds and the weight of a missing weight.
 A_LOW, DL_LOW = -1.0, -1e-6
@@ -244,7 +245,7 @@ def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = 1e-8):
 def fit_curves(
     curves: DataFrame, times: dict[str, float], batch_rows: int = 20_000
 ) -> DataFrame:
-    """Constrained robust Gompertz fit of every row, in Arrow batches without a shuffle.
+    """Constrained robust Gompertz fit of every row, in Arrow batches on evenly spread rows.
 
     Adds A, DR, DL, ``objective`` and ``Status``. A row with a missing value cannot be fitted.
     """
@@ -271,7 +272,7 @@ def fit_curves(
                 part["Status"] = status
                 yield part
 
-    raw = curves.mapInPandas(fit, schema)
+    raw = spread(curves).mapInPandas(fit, schema)
     clean = {c: F.when(F.col("Status") == OK, F.col(c)) for c in (*PARAMETERS, "objective")}
     return raw.withColumns(clean)
 

@@ -24,26 +24,37 @@ def primary_alignments(aln: DataFrame) -> DataFrame:
     return aln.filter(al.lacks_bits(F.col("flag"), al.NOT_PRIMARY))
 
 
+def _line_fields(tags: Sequence[str]) -> list[Column]:
+    """What a pair keeps of an alignment line, computed once per line before the shuffle."""
+    cigar, flag = F.col("cigar"), F.col("flag")
+    start = F.when(F.col("pos") > 0, F.col("pos") - 1)
+    has_cigar = ~cigar.isin("*", "")
+    strand = F.when(al.has_bits(flag, al.REVERSE), "-").otherwise("+")
+    return [
+        F.coalesce(F.col("mapq"), F.lit(0)).cast("bigint").alias("MAPQ"),
+        al.cigar_aligned_length(cigar).alias("LEN"),
+        al.cigar_ops(cigar).alias("NCIGAR"),
+        start.alias("Pos"),
+        start.alias("Ref_Start"),
+        F.when(has_cigar, start + al.cigar_reference_length(cigar)).alias("Ref_End"),
+        F.when(has_cigar, cigar).alias("CIGAR"),
+        strand.alias("Strand"),
+        F.when(F.col("rname") != "*", F.col("rname")).alias("Chrom"),
+        flag.alias("flag"),
+        *[F.try_element_at("tags", F.lit(t)).alias(t) for t in tags],
+    ]
+
+
 def _mate_columns(prefix: str, flag_name: str, tags: Sequence[str]) -> list[Column]:
+    """Columns of one mate; a missing mate has zeros for quality, CIGAR count and flag."""
     m = F.col(prefix)
-    present = m.isNotNull()
-    start = F.when(m["pos"] > 0, m["pos"] - 1)
-    has_cigar = ~m["cigar"].isin("*", "")
-    end = F.when(has_cigar, start + al.cigar_reference_length(m["cigar"]))
-    strand = F.when(al.has_bits(m["flag"], al.REVERSE), "-").otherwise("+")
-    cols = [
-        F.coalesce(m["mapq"], F.lit(0)).cast("bigint").alias(f"{prefix}_MAPQ"),
-        F.when(present, al.cigar_aligned_length(m["cigar"])).alias(f"{prefix}_LEN"),
-        al.cigar_ops(m["cigar"]).alias(f"{prefix}_NCIGAR"),
-        start.cast("bigint").alias(f"{prefix}_Pos"),
-        start.cast("bigint").alias(f"{prefix}_Ref_Start"),
-        end.cast("bigint").alias(f"{prefix}_Ref_End"),
-        F.when(has_cigar, m["cigar"]).alias(f"{prefix}_CIGAR"),
-        F.when(present, strand).alias(f"{prefix}_Strand"),
-        F.when(m["rname"] != "*", m["rname"]).alias(f"{prefix}_Chrom"),
-        F.coalesce(m["flag"], F.lit(0)).cast("bigint").alias(flag_name),
+    zero = F.lit(0).cast("bigint")
+    counted = [F.coalesce(m[c], zero).alias(f"{prefix}_{c}") for c in ("MAPQ", "NCIGAR")]
+    plain = [
+        m[c].alias(f"{prefix}_{c}")
+        for c in ("LEN", "Pos", "Ref_Start", "Ref_End", "CIGAR", "Strand", "Chrom", *tags)
     ]
-    return cols + [F.try_element_at(m["tags"], F.lit(t)).alias(f"{prefix}_{t}") for t in tags]
+    return [*counted, *plain, F.coalesce(m["flag"], zero).cast("bigint").alias(flag_name)]
 
 
 def pair_status(r1: Column, r2: Column) -> Column:
@@ -69,17 +80,17 @@ def assemble_pairs(
     lines, so combining before the shuffle would only add a sort of the whole input.
     """
     keys = [*by, "qname"]
-    line = F.struct("flag", "rname", "pos", "mapq", "cigar", "tags")
-    flag = F.col("flag")
+    flag = F.col("_line.flag")
     first = al.has_bits(flag, al.READ1)
     second = al.has_bits(flag, al.READ2) & al.lacks_bits(flag, al.READ1)
     mates = (
         primary_alignments(aln)
+        .select(*keys, "ord", F.struct(*_line_fields(tags)).alias("_line"))
         .repartition(*keys)
         .groupBy(*keys)
         .agg(
-            F.min_by(line, F.when(first, F.col("ord"))).alias("R1"),
-            F.min_by(line, F.when(second, F.col("ord"))).alias("R2"),
+            F.min_by("_line", F.when(first, F.col("ord"))).alias("R1"),
+            F.min_by("_line", F.when(second, F.col("ord"))).alias("R2"),
         )
     )
     return mates.select(
@@ -125,7 +136,9 @@ def mate_condition(prefix: str, limits: MateThresholds) -> list[Column]:
     if limits.max_ncigar is not None:
         tests.append(F.col(f"{prefix}_NCIGAR") <= limits.max_ncigar)
     if limits.max_nm is not None:
-        tests.append(F.col(f"{prefix}_NM").try_cast("double") <= limits.max_nm)
+        # Sentinels go first: a failing cast costs far more than a comparison.
+        nm = null_if_missing(F.col(f"{prefix}_NM"), MISSING_TOKENS)
+        tests.append(nm.try_cast("double") <= limits.max_nm)
     if limits.forbid_sa:
         tests.append(_absent(f"{prefix}_SA"))
     if limits.forbid_xa:

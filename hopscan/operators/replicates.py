@@ -22,7 +22,7 @@ from hopscan.operators import nbinom as nb
 from hopscan.operators.ordered import bh_adjust, exact_quantile
 from hopscan.operators.scoring import size_factors
 from hopscan.operators.sites import LIBRARY, complete_cases
-from hopscan.session import checkpointed
+from hopscan.session import checkpointed, spread as spread_rows
 
 # Constants of the dispersion trend, the prior and the outlier rule.
 NORMAL_Q75 = 0.6744897501960817
@@ -95,7 +95,7 @@ def gene_wise(table: DataFrame, libs: Libraries) -> DataFrame:
             pdf["disp_own"] = out
             yield pdf
 
-    raw = table.mapInPandas(fit, schema)
+    raw = spread_rows(table).mapInPandas(fit, schema)
     return raw.withColumn("disp_own", F.when(~F.isnan("disp_own"), F.col("disp_own")))
 
 
@@ -249,7 +249,7 @@ def shrunken_scores(
                         out.loc[ok, f"{s}_{i}"] = v[:, i]
             yield out
 
-    wide = fits.mapInPandas(run, schema)
+    wide = spread_rows(fits).mapInPandas(run, schema)
 
     def known(name: str) -> Column:
         return F.when(~F.isnan(name), F.col(name))

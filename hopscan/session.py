@@ -31,3 +31,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even partitions for work that is heavy per row, whatever the size in bytes.
+
+    Partitions sized by bytes would put many small rows with costly work into few tasks.
+    """
+    spark = df.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(max(2 * spark.sparkContext.defaultParallelism, shuffle))
