@@ -112,7 +112,11 @@ _JA = f"""{_JOINED}, ja as (select lw.*, a.Systematic_ID, a.Name, a.FYPOviabilit
 
 
 def _weighted(s: Inputs) -> DataFrame:
-    return gn.join_lfc_weights(s.sql(_LFC), s.sql(_WEIGHT), SITE)
+    keys = [*SITE, "Timepoint"]
+    lfc = s.series.groupBy(*keys).agg(F.max("LFC").alias("LFC"))
+    reads = s.hard.groupBy(*keys).agg(F.sum("Reads").alias("n"))
+    weight = F.when(F.col("n") % 5 != 0, F.lit(1.0) / (1 + F.col("n")))
+    return gn.join_lfc_weights(lfc, reads.select(*keys, weight.alias("weight")), SITE)
 
 
 def _gene_rows(s: Inputs) -> DataFrame:
@@ -288,7 +292,7 @@ _OBJ = "0.006*abs(\"DL\") + " + " + ".join(f"({_loss(str(x), f'y_{i}')})" for i,
 
 
 def _curves(s: Inputs) -> DataFrame:
-    return cv.curve_table(s["v_series"], [*SITE, "Sample"], GENERATIONS)
+    return cv.curve_table(s.series, [*SITE, "Sample"], GENERATIONS)
 
 
 _PARAMS = """select l_orderkey, l_linenumber, l_partkey, l_linenumber*1.5e0 as x, case when l_quantity=7 then 0 else l_quantity/10 end as "A", 0.05e0+l_discount*5 as "DR", l_tax*50 as "DL" from lineitem"""

@@ -85,6 +85,14 @@ class Inputs(Source):
     def hard(self) -> DataFrame:
         return st.hard_filter(self.counts, "YES0", CUTOFF, SITE)
 
+    @cached_property
+    def series(self) -> DataFrame:
+        """Log2 depletion of every insertion and sample, without normalisation."""
+        start = sc.baseline(F.col("Reads"), "YES0", SITE)
+        return self.hard.select(
+            *SITE, "Sample", "Timepoint", F.log2((start.cast("double") + 1) / (F.col("Reads") + 1)).alias("LFC")
+        )
+
     @cached_property
     def points(self) -> DataFrame:
         return self.merged.select(*SITE).distinct()

@@ -25,6 +25,22 @@ _FILTER = """R1_MAPQ>=20 and R1_NCIGAR<=1 and try_cast(R1_NM as double)<=3
  and (R2_SA is null or R2_SA in ('N/A','NA','')) and (R2_XA is null or R2_XA in ('N/A','NA',''))
  and lower(Is_Proper_Pair)='yes'"""
 
+# Feature, offsets of its ends in the block, coding bases before it on either strand.
+REGION_FEATURES = (("CDS", 150, 330, 0, 270), ("intron", 330, 420, 180, 270), ("CDS", 420, 690, 180, 0))
+# Feature, start offset, end, id stem, transcript, id suffix, transcript of the parent.
+GFF_FEATURES = (
+    ("mRNA", 100, "e2+50", "GENE", ".1", "", ""),
+    ("CDS", 150, "w+330", "GENE", ".1", ":CDS:1", ".1"),
+    ("intron", 330, "w+420", "GENE", ".1", ":intron:1", ".1"),
+    ("CDS", 420, "e2", "GENE", ".1", ":CDS:2", ".1"),
+    ("intron", 5, "w+20", "GENE", ".1", ":intron:2", ".1"),
+    ("mRNA", 100, "w+740", "GENE", ".2", "", ""),
+    ("CDS", 150, "w+330", "GENE", ".2", ":CDS:1", ".2"),
+    ("CDS", 420, "case when b % 5 = 0 then e2 else w+450 end", "GENE", ".2", ":CDS:2", ".2"),
+    ("lncRNA", 600, "w+1200", "NC", ".1", "", ""),
+    ("tRNA", 900, "w+930", "TR", ".1", "", ""),
+)
+
 VIEWS: dict[str, str] = {
     "v_reads": """
 select concat(cast(l_orderkey as string),':',cast(l_linenumber as string),':',cast(l_partkey as string),':',cast(cast(round(l_extendedprice*100) as bigint) as string)) as QueryName,
@@ -76,15 +92,14 @@ select b, case b % 3 when 0 then 'I' when 1 then 'II' else 'III' end as chrom, c
 from (select cast(floor(p_partkey/120) as bigint) as b, min(p_name) as nm, cast(sum(p_size) as bigint) as sz from part group by 1) a""",
     "v_sizes": """
 select chrom as Chr, 1000*(max(g)+1)+500 as length from v_blocks group by 1 union all select 'MT', cast(5000 as bigint)""",
-    "v_regions": """
-select chrom as Chr, w+f.o1 as Start, w+f.o2 as End_, concat('GENE',cast(b as string)) as Systematic_ID, strand as Strand,
- 'Coding gene' as Type, f.Feature as Feature, cast(case when strand='+' then f.acc_p else f.acc_m end as bigint) as Accumulated_CDS_bases,
+    "v_regions": " union all ".join(f"""
+select chrom as Chr, w+{lo} as Start, w+{hi} as End_, concat('GENE',cast(b as string)) as Systematic_ID, strand as Strand,
+ 'Coding gene' as Type, '{kind}' as Feature, cast(case when strand='+' then {plus} else {minus} end as bigint) as Accumulated_CDS_bases,
  case when b % 11 = 5 then null else nm end as Name,
  case sz % 4 when 0 then 'inviable' when 1 then 'condition-dependent' else 'viable' end as FYPOviability,
  case sz % 3 when 0 then 'E' when 1 then 'V' else null end as DeletionLibrary_essentiality,
  w+150 as ParentalRegion_start, w+690 as ParentalRegion_end, cast(540 as bigint) as ParentalRegion_length
-from v_blocks cross join (select 'CDS' as Feature, 150 as o1, 330 as o2, 0 as acc_p, 270 as acc_m
-  union all select 'intron',330,420,180,270 union all select 'CDS',420,690,180,0) f
+from v_blocks""" for kind, lo, hi, plus, minus in REGION_FEATURES) + """
 union all
 select chrom, s, e, concat('GAP',cast(g as string),'|',chrom), '+|-', 'Intergenic region', 'Convergent_Region', cast(null as bigint),
  concat('gap',cast(g as string)), 'viable', 'Not_determined', s, e, e-s
@@ -142,23 +157,11 @@ from (
 ) u""",
     "v_gff": """
 select concat(chrom,chr(9),'src',chr(9),feature,chr(9),cast(s+1 as string),chr(9),cast(e as string),chr(9),'.',chr(9),strand,chr(9),'.',chr(9),attr) as line
-from (
- select chrom, strand, f.feature as feature, w+f.o1 as s,
-  case f.ends when 1 then e2 else w+f.o2 end + f.past as e,
-  concat('ID=',f.px,cast(b as string),f.tx,f.sfx,';Parent=',f.px,cast(b as string),case when f.top=1 then '' else f.tx end) as attr
- from v_blocks cross join (
-  select 'mRNA' as feature, 100 as o1, 0 as o2, 1 as ends, 50 as past, 'GENE' as px, '.1' as tx, '' as sfx, 1 as top
-  union all select 'CDS',150,330,0,0,'GENE','.1',':CDS:1',0
-  union all select 'intron',330,420,0,0,'GENE','.1',':intron:1',0
-  union all select 'CDS',420,0,1,0,'GENE','.1',':CDS:2',0
-  union all select 'intron',5,20,0,0,'GENE','.1',':intron:2',0
-  union all select 'mRNA',100,740,0,0,'GENE','.2','',1
-  union all select 'CDS',150,330,0,0,'GENE','.2',':CDS:1',0
-  union all select 'lncRNA',600,1200,0,0,'NC','.1','',1
-  union all select 'tRNA',900,930,0,0,'TR','.1','',1) f
- union all
- select chrom, strand, 'CDS', w+420, case when b % 5 = 0 then e2 else w+450 end, concat('ID=GENE',cast(b as string),'.2:CDS:2;Parent=GENE',cast(b as string),'.2') from v_blocks
-) u""",
+from (""" + " union all ".join(
+        f"""select chrom, strand, '{kind}' as feature, w+{start} as s, {end} as e,
+ concat('ID={stem}',cast(b as string),'{tx}{suffix};Parent={stem}',cast(b as string),'{parent}') as attr from v_blocks"""
+        for kind, start, end, stem, tx, suffix, parent in GFF_FEATURES
+    ) + ") u",
     "v_fastq": """
 select name, Sample, Fragment, seq1, concat(repeat('I',cast(length(seq1)-k as int)),repeat('#',k)) as qual1,
  seq2, concat(repeat('5',cast(length(seq2)-k as int)),repeat('$',k)) as qual2 from (
