@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks.views import BOUNDARY, CUTOFF, GENERATIONS, TIMEPOINTS, Source, with_views
 from hopscan.config import SITE, RunConfig
 from hopscan.operators import annotation as an, reads as rd, scoring as sc, sites as st
-from hopscan.session import shared_folder
+from hopscan.session import checkpointed, shared_folder
 from hopscan.sources.alignments import parse_alignments
 from hopscan.sources.genome import gff_from_lines
 
@@ -119,7 +119,8 @@ class Inputs(Source):
 
     @cached_property
     def gff(self) -> DataFrame:
-        return gff_from_lines(self["v_gff"])
+        # Stored once: most region queries read it several times.
+        return checkpointed(gff_from_lines(self["v_gff"]))
 
     @cached_property
     def scratch(self) -> str:
