@@ -36,18 +36,18 @@ def _(s: Inputs) -> DataFrame:
 @check("control_summary", f"""select count(*) as complete_insertions, (select count(*) from v_controls) as control_insertions,
  {R('100.0*(select count(*) from v_controls)/count(*)')} as control_rate from (select distinct Chr, Coordinate, Strand from v_complete) k""")
 def _(s: Inputs) -> DataFrame:
-    complete = st.complete_cases(s.hard, key=SITE).select(*SITE).distinct()
+    complete = st.complete_cases(s.stored_hard, key=SITE).select(*SITE).distinct()
     return sm.control_summary(complete, s.controls, SITE)
 
 
 @check("control_medians", f"with {_MED} select Sample, Timepoint, {R('median')} as median, {R('(select min(median) from med)')} as min_median from med")
 def _(s: Inputs) -> DataFrame:
-    return sc.control_medians(s.hard, s.controls, SITE)
+    return sc.control_medians(s.stored_hard, s.controls, SITE)
 
 
 @check("baseline_join", """select *, max(case when Timepoint='YES0' then Reads end) over (partition by Chr, Coordinate, Strand, Sample) as initial from v_hard""")
 def _(s: Inputs) -> DataFrame:
-    return sc.baseline_join(s.hard, "YES0", SITE)
+    return sc.baseline_join(s.stored_hard, "YES0", SITE)
 
 
 _MA = f"""{_MED}, n as (select h.*, h.Reads*(select min(median) from med)/m.median as n from v_hard h join med m on m.Sample=h.Sample and m.Timepoint=h.Timepoint),
@@ -56,7 +56,7 @@ _MA = f"""{_MED}, n as (select h.*, h.Reads*(select min(median) from med)/m.medi
 
 @check("ma_scores", f"""with {_MA} select Chr, Coordinate, Strand, Sample, Timepoint, {R('i')} as "baseMean", {R('-log2((n+1)/(i+1))')} as "LFC", {R('0.5*log2((n+1)*(i+1))')} as "A", {R('n')} as normed from ma""")
 def _(s: Inputs) -> DataFrame:
-    return sc.ma_scores(s.hard, s.controls, "YES0", SITE, digits=None)
+    return sc.ma_scores(s.stored_hard, s.controls, "YES0", SITE, digits=None)
 
 
 @check("ma_values", f"""select l_orderkey, l_linenumber, l_partkey, {R('-log2((l_quantity+1)/(l_extendedprice+1))')} as "LFC", {R('0.5*log2((l_quantity+1)*(l_extendedprice+1))')} as "A" from lineitem""")
@@ -87,19 +87,19 @@ _RATIO = f"""{_CTRL}, lg as (select *, min(Reads) over (partition by Chr, Coordi
 
 @check("size_factors", f"with {_RATIO} select Sample, Timepoint, {R('size_factor')} as size_factor from sf")
 def _(s: Inputs) -> DataFrame:
-    return sc.size_factors(s.hard, s.controls, SITE)
+    return sc.size_factors(s.stored_hard, s.controls, SITE)
 
 
 @check("dispersion_moments", f"""with {_RATIO}, n as (select h.*, Reads/size_factor as n, 1/size_factor as inv from v_hard h join sf on sf.Sample=h.Sample and sf.Timepoint=h.Timepoint),
  g as (select Chr, Coordinate, Strand, avg(n) as m, var_samp(n) as v, avg(inv) as i from n group by 1,2,3)
 select Chr, Coordinate, Strand, {R('m')} as base_mean, {R('v')} as base_var, {R('case when m>0 then (v-i*m)/(m*m) else 0 end')} as dispersion from g""")
 def _(s: Inputs) -> DataFrame:
-    return sc.dispersion_moments(s.hard, sc.size_factors(s.hard, s.controls, SITE), SITE)
+    return sc.dispersion_moments(s.stored_hard, sc.size_factors(s.stored_hard, s.controls, SITE), SITE)
 
 
 @check("normalized_counts", f"with {_RATIO} select h.*, {R('Reads/size_factor')} as normed from v_hard h join sf on sf.Sample=h.Sample and sf.Timepoint=h.Timepoint")
 def _(s: Inputs) -> DataFrame:
-    return rp.normalized_counts(s.hard, sc.size_factors(s.hard, s.controls, SITE), digits=6)
+    return rp.normalized_counts(s.stored_hard, sc.size_factors(s.stored_hard, s.controls, SITE), digits=6)
 
 
 # --- weights and genes -----------------------------------------------------------------------
@@ -114,14 +114,14 @@ _JA = f"""{_JOINED}, ja as (select lw.*, a.Systematic_ID, a.Name, a.FYPOviabilit
 def _weighted(s: Inputs) -> DataFrame:
     keys = [*SITE, "Timepoint"]
     lfc = s.series.groupBy(*keys).agg(F.max("LFC").alias("LFC"))
-    reads = s.hard.groupBy(*keys).agg(F.sum("Reads").alias("n"))
+    reads = s.stored_hard.groupBy(*keys).agg(F.sum("Reads").alias("n"))
     weight = F.when(F.col("n") % 5 != 0, F.lit(1.0) / (1 + F.col("n")))
     return gn.join_lfc_weights(lfc, reads.select(*keys, weight.alias("weight")), SITE)
 
 
 def _gene_rows(s: Inputs) -> DataFrame:
     cols = ["Systematic_ID", "Name", "FYPOviability", "DeletionLibrary_essentiality", "Feature"]
-    return gn.join_annotations(_weighted(s), s.ann.select(*SITE, *cols), SITE)
+    return gn.join_annotations(_weighted(s), s.stored_ann.select(*SITE, *cols), SITE)
 
 
 @check("join_lfc_weights", f"""with {_JOINED} select Chr, Coordinate, Strand, Timepoint, {R('"LFC"')} as "LFC", {R('"Weights"')} as "Weights" from lw""")
@@ -171,7 +171,7 @@ _DENS_COLS = f"""total_insertions, i as unique_sites_initial, f as unique_sites_
 
 
 def _gene_insertions(s: Inputs) -> DataFrame:
-    return dn.in_gene_insertions(s.hard, s.ann, "YES0", "YES4", key=SITE)
+    return dn.in_gene_insertions(s.stored_hard, s.stored_ann, "YES0", "YES4", key=SITE)
 
 
 @check("gene_density", f"with {_ROWS}, {_DENS} select Systematic_ID, {_DENS_COLS} from dens")
@@ -240,8 +240,7 @@ _REPORT = f"""{_ROWS}, {_DENS}, {_GAPS}, {_READS}, {_STRAND},
 
 
 def _report(s: Inputs) -> DataFrame:
-    hard, ann = checkpointed(s.hard), checkpointed(s.ann)
-    return dn.gene_density_report(hard, ann, "YES0", "YES4", key=SITE, rounded=False)
+    return dn.gene_density_report(s.stored_hard, s.stored_ann, "YES0", "YES4", key=SITE, rounded=False)
 
 
 @check("gene_density_report", f"with {_REPORT} select * from report")
@@ -389,30 +388,30 @@ def _(s: Inputs) -> DataFrame:
 
 @check("replicate_scores")
 def _(s: Inputs) -> DataFrame:
-    return rp.replicate_scores(checkpointed(s.hard), checkpointed(s.controls), "YES0", key=SITE)
+    return rp.replicate_scores(s.stored_hard, checkpointed(s.controls), "YES0", key=SITE)
 
 
 @check("split_statistics", f"""with {_MA} select Chr, Coordinate, Strand, Sample, Timepoint, '"LFC"' as statistic, {R('-log2((n+1)/(i+1))', 3)} as value from ma
  union all select Chr, Coordinate, Strand, Sample, Timepoint, '"baseMean"', {R('i', 3)} from ma""".replace("""'"LFC"'""", "'LFC'").replace("""'"baseMean"'""", "'baseMean'"))
 def _(s: Inputs) -> DataFrame:
-    parts = rp.split_statistics(sc.ma_scores(s.hard, s.controls, "YES0", SITE, digits=None), SITE)
+    parts = rp.split_statistics(sc.ma_scores(s.stored_hard, s.controls, "YES0", SITE, digits=None), SITE)
     one, two = (parts[c].withColumn("statistic", F.lit(c)) for c in ("LFC", "baseMean"))
     return one.unionByName(two)
 
 
 @check("score_no_replicates")
 def _(s: Inputs) -> DataFrame:
-    return score_no_replicates(s.hard, s.ann, CONFIG)["genes"]
+    return score_no_replicates(s.stored_hard, s.stored_ann, CONFIG)["genes"]
 
 
 @check("score_no_replicates_insertions", f"""with {_MA} select Chr, Coordinate, Strand, Sample, Timepoint, {R('-log2((n+1)/(i+1))', 3)} as "LFC" from ma""")
 def _(s: Inputs) -> DataFrame:
-    return score_no_replicates(s.hard, s.ann, CONFIG)["scores"].select(*SITE, "Sample", "Timepoint", "LFC")
+    return score_no_replicates(s.stored_hard, s.stored_ann, CONFIG)["scores"].select(*SITE, "Sample", "Timepoint", "LFC")
 
 
 @check("score_replicates")
 def _(s: Inputs) -> DataFrame:
-    return score_replicates(s.hard, s.ann, CONFIG)["gene_fits"].drop("points")
+    return score_replicates(s.stored_hard, s.stored_ann, CONFIG)["gene_fits"].drop("points")
 
 
 @check("qc_report", """

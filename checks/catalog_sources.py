@@ -194,14 +194,14 @@ select 'insertion_level/normed_counts.tsv', count(*) from v_hard union all
 select 'insertion_level/raw_reads.tsv', count(*) from (select distinct Chr, Coordinate, Strand from v_hard) k union all
 select 'insertion_level/annotations.tsv.gz', count(*) from v_ann""")
 def _(s: Inputs) -> DataFrame:
-    scores = sc.ma_scores(s.hard, s.controls, "YES0", SITE)
+    scores = sc.ma_scores(s.stored_hard, s.controls, "YES0", SITE)
     path = f"{s.scratch}/release"
     keys = [*SITE, "Sample", "Timepoint"]
     targets = sk.write_release(
         {
-            "raw_reads": sk.wide_matrix(s.hard, LABELS, key=SITE),
+            "raw_reads": sk.wide_matrix(s.stored_hard, LABELS, key=SITE),
             "LFC": scores.select(*keys, "LFC"), "baseMean": scores.select(*keys, "baseMean"),
-            "normed_counts": scores.select(*keys, "normed"), "annotations": s.ann,
+            "normed_counts": scores.select(*keys, "normed"), "annotations": s.stored_ann,
         },
         path, has_replicates=False, has_time_points=False,
     )

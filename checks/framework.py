@@ -111,7 +111,16 @@ class Inputs(Source):
 
     @cached_property
     def controls(self) -> DataFrame:
-        return sc.select_controls(self.hard, self.ann, BOUNDARY, SITE)
+        return sc.select_controls(self.stored_hard, self.stored_ann, BOUNDARY, SITE)
+
+    @cached_property
+    def stored_hard(self) -> DataFrame:
+        """The filtered counts as a table, as scoring runs find them."""
+        return checkpointed(self.hard)
+
+    @cached_property
+    def stored_ann(self) -> DataFrame:
+        return checkpointed(self.ann)
 
     @cached_property
     def alignments(self) -> DataFrame:
