@@ -202,7 +202,7 @@ def test_replicate_scores_find_depletion(spark):
     out = rp.replicate_scores(c, controls, "t0", key=SITE).toPandas()
     first = out[out["Timepoint"] == "t0"]
     assert (first["LFC"] == 0).all() and (first["padj"] == 1).all() and first["lfcSE"].isna().all()
-    last = out[out["Timepoint"] == "t2"].set_index("Coordinate")
+    last = out[out["Timepoint"] == "t2"].set_index("Coordinate").sort_index()
     assert last.loc[:11, "LFC"].mean() == pytest.approx(4.0, abs=0.5)
     assert (last.loc[:11, "padj"] < 1e-3).all() and (last.loc[12:, "padj"] < 0.05).mean() < 0.1
     assert (out["stat"].dropna() * out["LFC"][out["stat"].notna()] >= 0).all()
