@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hopscan.llm import bpe_chunks, kneser_ney, token_files
+from hopscan.llm import bpe_chunks, kneser_ney, near_dedup, ppm_language, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("check")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_language.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_rows(table(spark, sf_dir, "documents"))
 
@@ -28,6 +36,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": op1_lm_scores,
     "op5_bpe": op5_bpe,
+    "op6_near_dedup": op6_near_dedup,
+    "op8_language": op8_language,
     "op10_token_files": op10_token_files,
 }
 SQL: dict[str, str] = {}
