@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hopscan.llm import bpe_chunks, kneser_ney, near_dedup, ppm_language, token_files
+from hopscan.llm import bpe_chunks, kneser_ney, mixing, near_dedup, pii, ppm_language, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.language_model_scores(table(spark, sf_dir, "documents"))
 
 
+def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("check")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -35,6 +43,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": op1_lm_scores,
+    "op2_mixture": op2_mixture,
+    "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
     "op6_near_dedup": op6_near_dedup,
     "op8_language": op8_language,
