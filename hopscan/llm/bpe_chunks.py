@@ -142,7 +142,9 @@ def route(docs: DataFrame, n: int) -> DataFrame:
             near = []
             for a, b in zip(at[:-1], at[1:], strict=True):
                 ends = [0, *chunk_ends(data[a:b])]
-                near.append(min((digest(data[a + x : a + y].tobytes())[:8] for x, y in zip(ends, ends[1:])), default=b""))
+                least = min((digest(data[a + x : a + y].tobytes()) for x, y in zip(ends, ends[1:])), default=b"")
+                # The other half of the digest: the smallest hash itself falls with a text's length.
+                near.append(least[8:])
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column(0), "text": batch.column(1), "near": pa.array(near, pa.binary())})
 
