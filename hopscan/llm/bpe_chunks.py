@@ -27,24 +27,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from hopscan.llm.encoder import Encoder, encoder, vocabulary_path
 from hopscan.llm.store import text_bytes
-from hopscan.llm.textbytes import _BASE, _BYTE, buffers, powers
+from hopscan.llm.suffix_sort import prefix_hashes, substring_hashes
+from hopscan.llm.textbytes import buffers
 
 WINDOW, CHUNK_BITS, LEAST = 32, 10, 256
 PART_BYTES = 32 << 20
 CACHE_BYTES = 96 << 20
 #: ASCII white space after a character that is white space for no library.
 _SAFE = re.compile(r"(?<=\S)(?=[ \t\n\r\f\v])")
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_inverse = np.ones(1, np.uint64)
-
-
-def _inverse_powers(n: int) -> np.ndarray:
-    global _inverse
-    if len(_inverse) < n:
-        out = np.full(1 << (n - 1).bit_length(), _INVERSE)
-        out[0] = 1
-        _inverse = np.multiply.accumulate(out)
-    return _inverse
 
 
 def chunk_ends(data: np.ndarray) -> list[int]:
@@ -52,9 +42,7 @@ def chunk_ends(data: np.ndarray) -> list[int]:
     n = len(data)
     if n <= WINDOW + LEAST:
         return [n] if n else []
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers(n)[:n], out=sums[1:])
-    rolled = (sums[WINDOW:] - sums[:-WINDOW]) * _inverse_powers(n)[: n - WINDOW + 1]
+    rolled = substring_hashes(prefix_hashes(data), np.arange(n - WINDOW + 1), WINDOW)
     places = np.flatnonzero(rolled >> np.uint64(64 - CHUNK_BITS) == 0) + WINDOW
     ends, last = [], 0
     for p in places.tolist():

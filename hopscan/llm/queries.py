@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hopscan.llm import bpe_chunks, kneser_ney, mixing, near_dedup, pii, ppm_language, quality_rules, token_files, topk
+from hopscan.llm import bpe_chunks, kneser_ney, mixing, near_dedup, pii, ppm_language, quality_rules, substring_dedup, token_files, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_rows(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_near_dedup": op6_near_dedup,
     "op7_top_k": op7_top_k,
     "op8_language": op8_language,
+    "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
 }
 SQL: dict[str, str] = {
