@@ -4,17 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hopscan.llm import bpe_chunks
+from hopscan.llm import bpe_chunks, mixing, near_dedup, pii, ppm_language
 from hopscan.llm.store import new_folder
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without letters and texts in none of the learned languages."""
+    return ppm_language.known_language(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group."""
+    return near_dedup.keep_one(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in all texts by its kind."""
+    return pii.redact(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Draws the mix: a row for each time a document is taken."""
+    return mixing.mixture(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every row."""
+    """Token counts and digests of every row of the mix."""
     return bpe_chunks.encode_documents(docs)
 
 
-STAGES = [("bpe", encode)]
-#: Stages without a SQL form; tests compare them with brute force.
+STAGES = [
+    ("language_id", language), ("near_dedup", near_duplicates), ("pii", personal_data), ("mixing", mix), ("bpe", encode),
+]
+#: Not all stages have a SQL form: tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -234,3 +234,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = (signed.filter(has).withColumn("node", F.xxhash64("print")).join(of_node, "node")
             .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "check"))
     return rest.unionByName(own)
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: one document of each group. Rows that repeat its doc_id stay with it."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("check").alias("__check")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__check"))
+    return docs.join(kept, same, "left_semi")

@@ -22,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hopscan.llm.kneser_ney import held_out
 from hopscan.llm.textbytes import Tally, pack, pack_counts, slices, unpack, unpack_counts
@@ -192,40 +192,69 @@ def tables(trees: Trees) -> Tables:
     return Tables(classes, row_of, bits.reshape(-1, len(grams)), size, width)
 
 
-def predict(docs: DataFrame, trees: Trees, keys: str = "doc_id long, held_out boolean") -> DataFrame:
-    """Language, score and bits per byte of every text; ``keys`` are carried."""
-    names = [k.split()[0] for k in keys.split(",")]
+#: A text that no tree codes shorter than its raw bytes is in none of the languages.
+RAW_BITS = 8.0
+
+
+def _judged(text: pa.Array, letters: np.ndarray, trees: Trees) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and bits per byte of each text of a batch."""
+    lang = np.full(len(text), UNKNOWN, dtype=object)
+    score, rate = np.zeros(len(text)), np.zeros(len(text))
+    if trees.languages:
+        names = np.array(trees.languages, dtype=object)
+        for first, end, data, at in slices(text):
+            bits = tables(trees).lengths(data, at)
+            best = bits.argmin(axis=1)
+            least = bits[np.arange(len(bits)), best]
+            lang[first:end] = names[best]
+            score[first:end] = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)
+            rate[first:end] = least / np.maximum(np.diff(at), 1)
+    lang[~letters], score[~letters] = UNKNOWN, 0.0
+    return lang, score, rate
+
+
+def _letters() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__letters")
+
+
+def predict(docs: DataFrame, trees: Trees) -> DataFrame:
+    """Language, score and bits per byte of every text, beside doc_id and held_out."""
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, score, rate = _judged(batch.column(2), batch.column(3).to_numpy(zero_copy_only=False), shared.value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(rate)],
+                ["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text", _letters())
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
+
+
+def keep_known(docs: DataFrame, trees: Trees) -> DataFrame:
+    """The rows whose text has letters and is coded shorter than its raw bytes; all columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(trees)
+    place = docs.columns.index("text")
+    rows = docs.select("*", _letters())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shared.value
         for batch in batches:
-            of = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023, E731
-            letters = of("letters").to_numpy(zero_copy_only=False)
-            for first, end, data, at in slices(of("text")):
-                out = {k: of(k).slice(first, end - first) for k in names}
-                if trees.languages:
-                    bits = tables(trees).lengths(data, at)
-                    best = bits.argmin(axis=1)
-                    least = bits[np.arange(len(bits)), best]
-                    score = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)
-                    langs = np.array(trees.languages, dtype=object)[best]
-                    rate = least / np.maximum(np.diff(at), 1)
-                else:
-                    score = rate = np.zeros(end - first)
-                    langs = np.full(end - first, UNKNOWN, dtype=object)
-                known = letters[first:end]
-                out |= {"lang_pred": pa.array(np.where(known, langs, UNKNOWN), pa.string()),
-                        "score": pa.array(np.where(known, score, 0.0)), "bits_per_byte": pa.array(rate)}
-                yield pa.RecordBatch.from_pydict(out)
-
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    return docs.select(*names, "text", letters).mapInArrow(
-        run, f"{keys}, lang_pred string, score double, bits_per_byte double")
+            *columns, letters = batch.columns
+            lang, _, rate = _judged(columns[place], letters.to_numpy(zero_copy_only=False), shared.value)
+            mask = pa.array((lang != UNKNOWN) & (rate < RAW_BITS), pa.bool_())
+            yield pa.RecordBatch.from_arrays([c.filter(mask) for c in columns], batch.schema.names[:-1])
+
+    return rows.mapInArrow(run, docs.schema)
 
 
 def identify(docs: DataFrame, parts: int = 5) -> DataFrame:
     """Languages of all documents, learned from those outside the held-out part."""
     out = held_out(F.col("doc_id"), parts)
     trees = fit(docs.filter(~out))
-    return predict(docs.withColumn("held_out", out), trees)
+    return predict(docs.select("doc_id", "text", out.alias("held_out")), trees)
+
+
+def known_language(docs: DataFrame, parts: int = 5) -> DataFrame:
+    """The rows in one of the languages of the documents outside the held-out part."""
+    return keep_known(docs, fit(docs.filter(~held_out(F.col("doc_id"), parts))))
