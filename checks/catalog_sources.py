@@ -78,7 +78,13 @@ def _(s: Inputs) -> DataFrame:
     return tb.read_delimited(s.spark, path)
 
 
-_ID = r"regexp_extract(split_part(line,chr(9),9), 'ID=(\S+?)(?:$|(?:|\.\d(?::\S+|));)', 1)"
+_ATTRS = "split_part(line,chr(9),9)"
+_AFTER = f"substr({_ATTRS}, strpos({_ATTRS},'ID=')+3)"
+_OWN = f"split_part({_AFTER},';',1)"
+# A transcript number ends the gene id: a dot and a digit before the end or before a colon.
+_NUMBERED = f"""list_min([n for n in range(2, length({_OWN})) if substr({_OWN},n,1)='.' and substr({_OWN},n+1,1) between '0' and '9'
+ and (n+1=length({_OWN}) or (substr({_OWN},n+2,1)=':' and length({_OWN})>n+2))])"""
+_ID = f"""case when strpos({_ATTRS},'ID=')=0 then '' when strpos({_AFTER},';')=0 or {_NUMBERED} is null then {_OWN} else substr({_OWN},1,cast({_NUMBERED} as bigint)-1) end"""
 _GFF = f"""
 select split_part(line,chr(9),1) as Chr, split_part(line,chr(9),3) as Feature, cast(split_part(line,chr(9),4) as bigint) as Start,
  cast(split_part(line,chr(9),5) as bigint) as End_, split_part(line,chr(9),7) as Strand, {_ID} as Systematic_ID,
@@ -158,6 +164,20 @@ def _(s: Inputs) -> DataFrame:
     return rr.read_fastq_pairs(s.spark, f"{root}/lib_R1.fastq.gz", f"{root}/lib_R2.fastq.gz")
 
 
+def named_files(spark, root: str, column: str) -> list[str]:
+    """Gives each file that stands alone in a ``column=name`` folder the name ``name.column``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for found in fs.globStatus(hadoop.Path(f"{root}/{column}=*/part-*")):
+        name = found.getPath().getParent().getName().split("=", 1)[1]
+        target = hadoop.Path(f"{root}/{name}.{column}")
+        fs.rename(found.getPath(), target)
+        out.append(target.toString())
+    return out
+
+
 @check("scan_filter_logs", """
 with t as (select Sample, Timepoint, Fragment, count(*) as o from v_reads group by all),
  k as (select Sample, Timepoint, Fragment, count(*) as f from v_filt group by all)
@@ -183,8 +203,10 @@ def _(s: Inputs) -> DataFrame:
     )
     logs = n.select(name.alias("lib"), block.alias("b")).groupBy("lib").agg(
         F.array_join(F.collect_list("b"), "\n").alias("text")
-    ).select("text", F.concat(F.lit("file:/logs/"), "lib", F.lit(".log")).alias("path"))
-    return rr.parse_filter_logs(logs)
+    )
+    root = f"{s.scratch}/logs"
+    logs.withColumnRenamed("lib", "log").write.partitionBy("log").option("lineSep", "\n").text(root)
+    return rr.scan_filter_logs(s.spark, named_files(s.spark, root, "log"))
 
 
 @check("write_release", """

@@ -6,30 +6,31 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from hopscan.functions.labels import FASTQ_NAME_PATTERN
 from hopscan.operators.summaries import add_totals
 
-# The block a filtering run prints.
-SUMMARY_BLOCK = (
-    r"Total chunks processed: (\d+)\s*\n"
-    r".*Original read pairs: ([\d,]+)\s*\n"
-    r".*Filtered read pairs: ([\d,]+)\s*\n"
-    r".*Removed read pairs: ([\d,]+)\s*\n"
-    r".*Overall retention rate: ([\d.]+)%\s*\n"
-    r".*Output written to: (.+?\.(PBL|PBR)\.filtered\.parquet)"
+# The labels of the figures a filtering run prints, in their order.
+SUMMARY_LABELS = (
+    "Total chunks processed", "Original read pairs", "Filtered read pairs", "Removed read pairs",
+    "Overall retention rate", "Output written to",
 )
 # End of fixed values.
+FRAGMENTS = ("PBL", "PBR")
 
 
 def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
     """(name, seq, qual) of one mate's gzipped files.
 
     A gzipped file is read by one task from start to end, so its lines arrive in order and four
-    of them make a record; nothing is shuffled. Uncompressed files would be split anywhere.
+    of them make a record; nothing is shuffled. Files that Spark would split are refused, and
+    every record must have its marks and as many qualities as bases, else an error names the file.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    other = lines.filter(~F.endswith("file", F.lit(".gz"))).select("file").first()
+    if other is not None:
+        raise ValueError(f"expected gzipped FASTQ files, found {other['file']}")
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = pd.DataFrame({"value": [], "file": []})
@@ -40,6 +41,9 @@ def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
                 whole = len(part) // 4 * 4
                 kept.append(part.iloc[whole:])
                 text = part["value"].to_numpy()[:whole].reshape(-1, 4)
+                for head, seq, plus, qual in text:
+                    if head[:1] != "@" or plus[:1] != "+" or len(seq) != len(qual):
+                        raise ValueError(f"broken read record {head!r} in {file}")
                 yield pd.DataFrame({"h": text[:, 0], "seq": text[:, 1], "qual": text[:, 3]})
             rest = pd.concat(kept, ignore_index=True) if kept else rest
         if len(rest):
@@ -59,23 +63,40 @@ def read_fastq_pairs(spark: SparkSession, r1: str, r2: str) -> DataFrame:
 
 
 def parse_filter_logs(logs: DataFrame, text: str = "text", path: str = "path") -> DataFrame:
-    """Figures of every summary block: one row per log and fragment."""
+    """Figures of every complete summary: one row per log and fragment.
+
+    Every ``label: value`` line with a known label is a pair; the first label begins a new summary.
+    A log is named by its path.
+    """
+    log = F.col(path).alias("log")
+    name = F.element_at(F.split(F.col(path), "/"), -1)
+    stem = F.regexp_replace(name, "[.][^.]*$", "")
+    lines = logs.select(log, stem.alias("Sample"), F.posexplode(F.split(text, "\n")).alias("line", "said"))
+    value = F.lit(None).cast("string")
+    label = F.lit(None).cast("string")
+    for known in SUMMARY_LABELS:
+        here = F.instr("said", f"{known}:")
+        label = F.when(here > 0, known).otherwise(label)
+        value = F.when(here > 0, F.trim(F.substr("said", here + len(known) + 1))).otherwise(value)
+    pairs = lines.select("log", "Sample", "line", label.alias("label"), value.alias("value")).filter("label IS NOT NULL")
+    before = W.partitionBy("log").orderBy("line")  # the lines of one log, a bounded file
+    blocks = pairs.withColumn("block", F.count_if(F.col("label") == SUMMARY_LABELS[0]).over(before))
+    cells = [F.first(F.when(F.col("label") == known, F.col("value")), ignorenulls=True).alias(f"v{i}")
+             for i, known in enumerate(SUMMARY_LABELS)]
+    found = blocks.groupBy("log", "Sample", "block").agg(*cells).dropna(subset=[f"v{i}" for i in range(len(cells))])
+    fragment = F.lit(None).cast("string")
+    for f in FRAGMENTS:
+        fragment = F.when(F.endswith("v5", F.lit(f".{f}.filtered.parquet")), f).otherwise(fragment)
 
     def number(i: int) -> Column:
-        return F.regexp_replace(F.regexp_extract("block", SUMMARY_BLOCK, i), ",", "").try_cast("bigint")
+        return F.replace(F.col(f"v{i}"), F.lit(","), F.lit("")).try_cast("bigint")
 
-    name = F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
-    blocks = logs.select(
-        name.alias("Sample"),
-        F.explode(F.regexp_extract_all(text, F.lit(SUMMARY_BLOCK), F.lit(0))).alias("block"),
-    )
-    return blocks.select(
-        "Sample", F.regexp_extract("block", SUMMARY_BLOCK, 7).alias("Fragment"),
-        number(1).alias("chunks_processed"), number(2).alias("original_read_pairs"),
-        number(3).alias("filtered_read_pairs"), number(4).alias("removed_read_pairs"),
-        (F.regexp_extract("block", SUMMARY_BLOCK, 5).try_cast("double") / 100).alias("retention_rate"),
-        F.regexp_extract("block", SUMMARY_BLOCK, 6).alias("output_file"),
-    )
+    rate = F.replace("v4", F.lit("%"), F.lit("")).try_cast("double") / 100
+    return found.select(
+        "Sample", fragment.alias("Fragment"), number(0).alias("chunks_processed"),
+        number(1).alias("original_read_pairs"), number(2).alias("filtered_read_pairs"),
+        number(3).alias("removed_read_pairs"), rate.alias("retention_rate"), F.col("v5").alias("output_file"),
+    ).filter("Fragment IS NOT NULL")
 
 
 def log_totals(parsed: DataFrame) -> DataFrame:
@@ -84,7 +105,7 @@ def log_totals(parsed: DataFrame) -> DataFrame:
              "removed_read_pairs", "retention_rate")
     cells = [
         F.max(F.when(F.col("Fragment") == f, F.col(s))).alias(f"{s}_{f.lower()}")
-        for f in ("PBL", "PBR") for s in stems
+        for f in FRAGMENTS for s in stems
     ]
     return add_totals(parsed.groupBy("Sample").agg(*cells))
 
