@@ -2,12 +2,12 @@
 
 1. Texts with equal shingle sets form one class; only one row per class goes on.
 2. Each class gets a signature; bands of it put similar classes into common buckets.
-3. First every class is linked with the likeliest of its buckets' leaders, which joins groups of
-   copies as stars. Then the pairs of a bucket that are still in different components are compared,
-   so a group of thousands gives no quadratic number of rows. Large buckets are cut into blocks.
-4. Comparing: batches of signature positions one after the other; a pair is pruned as soon as the
-   posterior probability of the wished similarity falls below ``miss``; survivors are confirmed on
-   their full shingle sets.
+3. Comparing: batches of signature positions one after the other; a pair is pruned as soon as the
+   posterior probability of the wished similarity falls below ``miss``. A bucket gives a spanning
+   forest of its surviving pairs, their components are clusters: all links lie within clusters.
+4. Pairs of a cluster that survive the pruning are confirmed on their full shingle sets, again as a
+   spanning forest, so a group of thousands gives a few rows per class and only pairs not yet
+   joined are compared. Large buckets and clusters are cut into blocks that meet in pairs.
 5. Components of confirmed links name each class by its smallest doc_id.
 
 Chance of losing a link at the least similarity: (1 - 0.85**5)**24 = 8e-7 by the bands, ``miss`` by pruning.
@@ -32,7 +32,8 @@ SHINGLE, LEAST_PERCENT = 5, 85
 BANDS, ROWS, BATCH = 24, 5, 20
 HASHES = BANDS * ROWS
 MISS = 1e-4
-BLOCK = 2048
+#: Members of a group that meet in one task, and rows with texts that a task takes at a time.
+BLOCK, CLUSTER_ROWS = 1024, 500
 _RNG = np.random.default_rng(617)
 _FACTORS = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -121,74 +122,76 @@ def _signed(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "doc_id long, check long, n_shingles long, print binary, sig binary, bands array<long>")
 
 
-def _compared(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (a, b) that survive the pruning, with their matches."""
+def _blocked(rows: DataFrame, group: str, parts: int) -> DataFrame:
+    """Rows of groups of n members dealt to tasks; a large group is cut into blocks, and every pair of blocks meets once.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limits = least_matches()
-        for batch in batches:
-            n = batch.num_rows
-            both = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (2, 3)]
-            keep, matches = surviving(np.concatenate(both), np.arange(n), np.arange(n) + n, limits)
-            yield pa.RecordBatch.from_pydict({
-                "a": batch.column(0).take(pa.array(keep)), "b": batch.column(1).take(pa.array(keep)), "matches": matches})
-
-    left = sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
-    right = sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b")
-            .mapInArrow(run, "a long, b long, matches long"))
-
-
-def _across(rows: DataFrame, parts: int) -> DataFrame:
-    """Surviving pairs of different labels in common buckets. rows: bucket, x, y, block, node, label, sig.
-
-    Rows of one (bucket, x, y) are block x and block y of a bucket, BLOCK rows each at about; tasks
-    take many of them at a time.
+    Adds block, and x <= y, the pair a row stands in. No task gets more than two blocks of one group at a time.
     """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
+    return (rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+            .withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other", "n")
+            .withColumn("part", F.pmod(F.xxhash64(group, "x", "y"), F.lit(parts))))
 
-    def work(table: pa.Table) -> pa.Table:
-        limits = least_matches()
-        cols = {c: table.column(c).to_numpy() for c in ("bucket", "x", "y", "block", "node", "label")}
-        order = np.lexsort((cols["block"], cols["y"], cols["x"], cols["bucket"]))
-        cols = {c: v[order] for c, v in cols.items()}
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)[order]
-        change = np.any([np.diff(cols[c], prepend=cols[c][:1] - 1) != 0 for c in ("bucket", "x", "y")], axis=0)
-        first = np.flatnonzero(change)
-        found = []
-        for lo, hi in zip(first, np.append(first[1:], len(order)), strict=True):
-            split = lo + int(np.searchsorted(cols["block"][lo:hi], cols["x"][lo], side="right"))
-            inner = cols["x"][lo] == cols["y"][lo]
-            for i in range(lo, hi if inner else split):
-                others = np.arange(i + 1 if inner else split, hi)
-                others = others[cols["label"][others] != cols["label"][i]]
-                if len(others):
-                    keep, matches = surviving(sigs, np.full(len(others), i), others, limits)
-                    if len(keep):
-                        found.append((np.full(len(keep), i), others[keep], matches))
-        a, b, matches = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
-        return pa.table({"a": cols["node"][a], "b": cols["node"][b], "matches": matches})
-
-    keyed = rows.withColumn("part", F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(parts)))
-    return keyed.groupBy("part").applyInArrow(work, "a long, b long, matches long")
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            left = (s for _, _, data, at in slices(batch.column(2)) for s in shingle_sets(data, at))
-            right = (s for _, _, data, at in slices(batch.column(3)) for s in shingle_sets(data, at))
-            for s, t in zip(left, right, strict=True):
-                common = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(100 * common >= LEAST_PERCENT * (len(s) + len(t) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
+def _forest(table: pa.Table, group: str, confirm) -> pa.Table:  # noqa: ANN001
+    """Links that join what ``confirm`` accepts in each pair of blocks: a spanning forest, never all pairs.
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    A row is compared with those that it is not yet joined with; the pruned ones never reach
+    ``confirm``, which gets a row and the places of others and answers for each.
+    """
+    limits = least_matches()
+    cols = {c: table.column(c).to_numpy() for c in (group, "x", "y", "block", "node")}
+    order = np.lexsort((cols["node"], cols["block"], cols["y"], cols["x"], cols[group]))
+    cols = {c: v[order] for c, v in cols.items()}
+    sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)[order]
+    change = np.ones(len(order), bool)
+    change[1:] = np.any([cols[c][1:] != cols[c][:-1] for c in (group, "x", "y")], axis=0)
+    first = np.flatnonzero(change)
+    links: list[tuple[int, int]] = []
+    for lo, hi in zip(first, np.append(first[1:], len(order)), strict=True):
+        inner = cols["x"][lo] == cols["y"][lo]
+        split = lo + int(np.searchsorted(cols["block"][lo:hi], cols["x"][lo], side="right"))
+        label = np.arange(lo, hi)
+        for i in range(lo, hi if inner else split):
+            others = np.arange(i + 1 if inner else split, hi)
+            others = others[label[others - lo] != label[i - lo]]
+            others = others[surviving(sigs, np.full(len(others), i), others, limits)[0]]
+            if len(others):
+                others = others[confirm(order, i, others)]
+            for j in others:
+                if label[j - lo] != label[i - lo]:
+                    label[label == label[j - lo]] = label[i - lo]
+                    links.append((i, j))
+    a, b = np.array(links, np.int64).reshape(-1, 2).T
+    return pa.table({"a": cols["node"][a], "b": cols["node"][b]})
+
+
+def _likely(table: pa.Table) -> pa.Table:
+    """Links of the buckets' rows that survive the pruning."""
+    return _forest(table, "bucket", lambda order, i, others: np.ones(len(others), bool))
+
+
+def _confirmed(table: pa.Table) -> pa.Table:
+    """Links of the clusters' rows that hold on the full shingle sets."""
+    sets = [s for _, _, data, at in slices(table.column("text").combine_chunks()) for s in shingle_sets(data, at)]
+    size = np.array([len(s) for s in sets])
+    # Shingles as small numbers, so that common ones are counted by marks instead of merging.
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1] if sets else np.zeros(0, np.int64)
+    ends = np.cumsum(size)
+    marks = np.zeros(int(number.max(initial=-1)) + 1, np.int64)
+
+    def confirm(order: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+        me, them = order[i], order[others]
+        mine = number[ends[me] - size[me] : ends[me]]
+        marks[mine] = 1
+        at = np.concatenate([np.arange(ends[t] - size[t], ends[t]) for t in them])
+        begin = np.cumsum(size[them]) - size[them]
+        common = np.add.reduceat(marks[number[at]], begin)
+        marks[mine] = 0
+        return 100 * common >= LEAST_PERCENT * (size[me] + size[them] - common)
+
+    return _forest(table, "cluster", confirm)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -202,30 +205,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select(F.xxhash64("print").alias("node"), F.col("first.doc_id").alias("rep"), F.col("first.check").alias("check"),
                 "sig", "bands"))
     banded = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = checkpointed(banded.join(shared, "bucket"))
-    involved = members.select("node").distinct()
-    sigs = checkpointed(classes.join(involved, "node").select("node", "rep", "check", "sig"))
+    sigs = classes.select("node", "sig")
+    rows = _blocked(members.select("bucket", "node", "n").join(sigs, "node"), "bucket", max(1, members.count() // 50_000))
+    likely = rows.groupBy("part").applyInArrow(_likely, "a long, b long")
+    clusters = components(likely).withColumnRenamed("component", "cluster")
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
+    clusters = checkpointed(clusters.join(sizes, "cluster").join(classes.select("node", "rep", "check", "sig"), "node"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("check"), "text")
-    texts = checkpointed(texts.join(sigs.select("node", "rep", "check"), ["rep", "check"]).dropDuplicates(["node"]).select("node", "text"))
-
-    led = members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    best = (_compared(led, sigs).groupBy("a").agg(F.max_by("b", F.struct("matches", "b")).alias("b")))
-    links = checkpointed(_confirmed(best, texts))
-    labels = components(links)
-
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    rows = (labelled.join(mixed.select("bucket"), "bucket").join(sigs.select("node", "sig"), "node")
-            .withColumn("block", F.pmod(F.xxhash64("node"), blocks))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            .select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                    "block", "node", "label", "sig"))
-    parts = max(1, members.count() // 50_000)
-    pairs = _across(rows, parts).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _confirmed(pairs, texts)
-    named = components(links.unionByName(more))
+    found = clusters.join(texts, ["rep", "check"]).dropDuplicates(["node"]).select("cluster", "node", "n", "sig", "text")
+    rows = _blocked(found, "cluster", max(1, clusters.count() // CLUSTER_ROWS))
+    links = rows.groupBy("part").applyInArrow(_confirmed, "a long, b long")
+    named = components(links)
     nodes = classes.select("node", "rep").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = nodes.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_node = nodes.join(smallest, "component").select("node", "component_id")
