@@ -15,7 +15,7 @@ from hopscan.operators import (
 from hopscan.plans.qc import qc_report
 from hopscan.plans.scoring import score_no_replicates, score_replicates
 from hopscan.session import checkpointed
-from hopscan.streaming.site_counts import incremental_site_count
+from hopscan.streaming.site_counts import incremental_site_count, running_site_counts
 
 _ON = "{a}.Chr={b}.Chr and {a}.Coordinate={b}.Coordinate and {a}.Strand={b}.Strand"
 
@@ -430,12 +430,9 @@ def _(s: Inputs) -> DataFrame:
 def _(s: Inputs) -> DataFrame:
     root = s.scratch
     s.reads.repartition(4).write.parquet(f"{root}/pairs")
-    table = "running_sites_" + root.rsplit("/", 1)[-1]
     query = incremental_site_count(
-        s.spark, f"{root}/pairs", s.reads.schema, f"{root}/checkpoint", table,
+        s.spark, f"{root}/pairs", s.reads.schema, f"{root}/checkpoint", f"{root}/sites",
         spec=CONFIG.pair_filter, files_per_trigger=2,
     )
     query.awaitTermination()
-    return s.spark.table(table)
-
-
+    return running_site_counts(s.spark, f"{root}/sites")

@@ -112,9 +112,10 @@ def _(s: Inputs) -> DataFrame:
     contigs = s["v_genome"].groupBy("Chr").agg(
         F.array_join(F.transform(items, lambda t: t["seq"]), "").alias("seq")
     )
-    lines = F.rtrim(F.regexp_replace("seq", "(.{50})", "$1\n"), F.lit("\n"))
+    # Lines of uneven length: 50 bases, then 7, and so on.
+    lines = F.rtrim(F.regexp_replace("seq", "(.{50})(.{0,7})", "$1\n$2\n"), F.lit("\n"))
     contigs.select(F.concat(F.lit(">"), "Chr", F.lit(" contig\n"), lines).alias("value")).write.text(path)
-    return gn.read_fasta_tiles(s.spark, path, lines_per_tile=10)
+    return gn.read_fasta_tiles(s.spark, path, width=500)
 
 
 @check("read_chrom_sizes", "select Chr, length from v_sizes")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hopscan.functions.labels import split_sample_name
 
 
 def tag_map(optional: Column) -> Column:
@@ -32,10 +35,19 @@ def parse_alignments(lines: DataFrame, line: str = "line", order: str = "ord") -
     )
 
 
-def read_alignments(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment files; ``ord`` follows file order inside a split."""
+def read_alignments(spark: SparkSession, path: str, timepoints: Sequence[str] = ()) -> DataFrame:
+    """Alignment files; ``ord`` follows file order: file, place of the split in it, line of the split.
+
+    With ``timepoints`` the file names give Sample and Timepoint, so the reads of several libraries
+    in one folder stay apart: pass both to ``assemble_pairs(by=...)``.
+    """
+    order = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    library = split_sample_name(F.col("_metadata.file_path"), timepoints) if timepoints else {}
     lines = spark.read.text(path).select(
-        F.col("value").alias("line"), F.monotonically_increasing_id().alias("ord")
+        F.col("value").alias("line"), order.alias("ord"), *[c.alias(n) for n, c in library.items()]
     )
     return parse_alignments(lines)
 

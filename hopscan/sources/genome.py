@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from hopscan.config import TRANSCRIPT_FEATURES
 from hopscan.functions.labels import gff_attributes
@@ -30,30 +33,54 @@ def gff_from_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return parse_gff(rows)
 
 
-def read_fasta_tiles(spark: SparkSession, path: str, lines_per_tile: int = 1000) -> DataFrame:
-    """(Chr, tile_start, tile_width, seq) from FASTA files.
+def _numbered_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sequence lines with their offset in their segment: what follows a header or a split's start.
+
+    A split's lines arrive in order in one task, so only three numbers are carried along.
+    """
+    split, segment, offset = None, 0, 0
+    for pdf in batches:
+        out = []
+        for line, file, start in zip(pdf["value"], pdf["file"], pdf["start"]):
+            if (file, start) != split:
+                split, segment, offset = (file, start), 0, 0
+            if line.startswith(">"):
+                segment, offset = segment + 1, 0
+                out.append((file, start, segment, (line[1:].split() or [""])[0], 0, ""))
+            else:
+                bases = line.strip()
+                out.append((file, start, segment, None, offset, bases))
+                offset += len(bases)
+        yield pd.DataFrame(out, columns=["file", "start", "segment", "name", "offset", "seq"])
+
+
+def read_fasta_tiles(spark: SparkSession, path: str, width: int = 50_000) -> DataFrame:
+    """(Chr, tile_start, tile_width, seq) from FASTA files with lines of any length.
 
-    Records are split at header lines, so a contig's name needs no scan over its lines. Sequence
-    lines of a contig must be equally long except the last, as sequence indexes require too;
-    then a line number gives its offset and tiles form without any global order.
+    Each split numbers its own lines; the lengths of the segments, a table with a row per split
+    and header, give every segment its contig and running offset. No contig is ever held whole.
     """
-    records = spark.read.option("lineSep", "\n>").text(path).select(
-        F.split(F.regexp_replace("value", "^>|\r", ""), "\n").alias("l")
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    placed = lines.mapInPandas(
+        _numbered_lines, "file string, start long, segment int, name string, offset long, seq string"
     )
-    lines = (
-        records.select(F.split(F.col("l")[0], r"\s")[0].alias("Chr"), F.posexplode("l").alias("i", "s"))
-        .filter((F.col("i") > 0) & (F.length("s") > 0))
-        .withColumn("i", F.col("i") - 1)
+    ends = placed.groupBy("file", "start", "segment").agg(
+        F.max("name").alias("name"), F.sum(F.length("seq")).alias("bases")
     )
-    width = lines.groupBy("Chr").agg(F.max(F.length("s")).alias("w"))
-    tiles = (
-        lines.groupBy("Chr", F.floor(F.col("i") / lines_per_tile).alias("t"))
-        .agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("p"))
+    in_file = W.partitionBy("file").orderBy("start", "segment")
+    contigs = ends.withColumn("contig", F.count("name").over(in_file))
+    in_contig = W.partitionBy("file", "contig").orderBy("start", "segment")
+    bases = contigs.select(
+        "file", "start", "segment", F.first("name").over(in_contig).alias("Chr"),
+        (F.sum("bases").over(in_contig) - F.col("bases")).alias("base"),
+    ).filter("Chr IS NOT NULL")
+    pieces = join_keys(placed.filter(F.length("seq") > 0), bases, ["file", "start", "segment"]).select(
+        "Chr", (F.col("base") + F.col("offset")).alias("tile_start"), "seq"
     )
-    text = F.array_join(F.transform("p", lambda p: p["s"]), "")
-    return join_keys(tiles, width, ["Chr"]).select(
-        "Chr", (F.col("t") * F.col("w") * lines_per_tile).cast("bigint").alias("tile_start"),
-        (F.col("w") * lines_per_tile).cast("bigint").alias("tile_width"), text.alias("seq"),
+    return fixed_tiles(pieces, width).select(
+        "Chr", "tile_start", F.lit(width).cast("bigint").alias("tile_width"), "seq"
     )
 
 

@@ -39,8 +39,8 @@ def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
         present = present & F.col(c).isNotNull()
     names = F.col("read1").rlike(FASTQ_NAME_PATTERN) & F.col("read2").rlike(FASTQ_NAME_PATTERN)
     message = F.concat(F.lit("bad sample sheet row: "), F.concat_ws(",", *SAMPLE_SHEET.names))
-    checked = F.when(present & names, F.col("Sample")).otherwise(F.raise_error(message))
-    return sheet.withColumn("Sample", checked)
+    # A filter is evaluated for every row, whichever columns are read later.
+    return sheet.filter(F.when(present & names, True).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def sheet_values(sheet: DataFrame, column: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hopscan.config import PairFilter
@@ -14,48 +14,44 @@ from hopscan.operators.sites import site_count
 LIBRARY_FRAGMENT = ("Sample", "Timepoint", "Fragment")
 
 
-def streaming_site_counts(
+def pair_stream(
     spark: SparkSession, folder: str, schema: T.StructType, spec: PairFilter | None = None,
-    by: Sequence[str] = LIBRARY_FRAGMENT, files_per_trigger: int | None = None,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The batch operators on a file stream: the state is one row per site."""
+    """Read pairs that arrive as Parquet files, filtered."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     pairs = reader.parquet(folder)
-    if spec is not None:
-        pairs = filter_read_pairs(pairs, spec)
-    return site_count(pairs, by)
+    return pairs if spec is None else filter_read_pairs(pairs, spec)
 
 
 def incremental_site_count(
-    spark: SparkSession, folder: str, schema: T.StructType, checkpoint: str, table: str,
+    spark: SparkSession, folder: str, schema: T.StructType, checkpoint: str, output: str,
     spec: PairFilter | None = None, by: Sequence[str] = LIBRARY_FRAGMENT,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Process what has arrived and keep counts in the memory table ``table``.
+    """Process what has arrived: one Parquet folder of partial counts per batch under ``output``.
 
-    Call again with the same ``checkpoint`` to add later files to the same counts.
+    Counts add up, so a batch needs no state of earlier ones and writes its own sites only; a
+    batch that is repeated after a failure replaces its folder. Call again with the same
+    ``checkpoint`` and ``output`` to add later files.
     """
-    counts = streaming_site_counts(spark, folder, schema, spec, by, files_per_trigger)
-    return (
-        counts.writeStream.outputMode("complete").format("memory").queryName(table)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-
-
-def incremental_site_count_files(
-    spark: SparkSession, folder: str, schema: T.StructType, checkpoint: str, output: str,
-    spec: PairFilter | None = None, by: Sequence[str] = LIBRARY_FRAGMENT,
-    files_per_trigger: int | None = None,
-) -> StreamingQuery:
-    """The same with the counts in a Parquet folder, one complete version per batch."""
-    counts = streaming_site_counts(spark, folder, schema, spec, by, files_per_trigger)
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{output}/version={number}")
+        site_count(batch, by).write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     return (
-        counts.writeStream.outputMode("complete").foreachBatch(store)
+        pair_stream(spark, folder, schema, spec, files_per_trigger).writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def running_site_counts(
+    spark: SparkSession, output: str, by: Sequence[str] = LIBRARY_FRAGMENT
+) -> DataFrame:
+    """The counts of all batches so far."""
+    partial = spark.read.option("basePath", output).parquet(output)
+    return partial.groupBy(*by, "Chr", "Coordinate").agg(
+        F.sum("plus").alias("plus"), F.sum("minus").alias("minus")
+    )

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from conftest import rows
 from hopscan.config import SITE, Junctions
 from hopscan.functions.sequence import trimmed_lengths
-from hopscan.operators import fastq as fq
+from hopscan.operators import fastq as fq, reads as rd
 from hopscan.operators.sites import site_count
-from hopscan.sources import genome as gn, raw_reads as rr, sinks as sk, tables as tb
-from hopscan.streaming.site_counts import incremental_site_count, incremental_site_count_files
+from hopscan.sources import alignments as al, genome as gn, raw_reads as rr, sinks as sk, tables as tb
+from hopscan.streaming.site_counts import incremental_site_count, running_site_counts
 
 
 def write(path, text):
@@ -24,8 +24,42 @@ def test_sample_sheet_checks(spark, tmp_path):
     good = write(tmp_path / "a.tsv", head + "S\tt0\twt\ta_1.fq.gz\ta_2.fastq.gz\n")
     assert tb.read_sample_sheet(spark, good).count() == 1
     bad = write(tmp_path / "b.tsv", head + "S\tt0\twt\ta_1.fq\ta_2.fastq.gz\n")
-    with pytest.raises(Exception, match="bad sample sheet row"):
-        tb.read_sample_sheet(spark, bad).collect()
+    for columns in (("Sample", "read1"), ("read1",), ("Timepoint",)):
+        with pytest.raises(Exception, match="bad sample sheet row"):
+            tb.read_sample_sheet(spark, bad).select(*columns).collect()
+
+
+def test_alignments_of_two_libraries_stay_apart(spark, tmp_path):
+    def line(name, flag, pos):
+        return f"{name}\t{flag}\tI\t{pos}\t60\t50M\t=\t{pos + 100}\t150\t*\t*\tNM:i:0\n"
+
+    folder = tmp_path / "sam"
+    folder.mkdir()
+    for sample, pos in (("A", 10), ("B", 900)):
+        text = line("r1", 99, pos) + line("r1", 99, pos + 5) + line("r1", 147, pos + 100)
+        write(folder / f"{sample}.x_YES0_.sam", text)
+    aln = al.read_alignments(spark, str(folder), timepoints=("YES0",))
+    pairs = rd.assemble_pairs(aln, by=("Sample", "Timepoint"))
+    got = {(r["Sample"], r["Timepoint"], r["R1_Ref_Start"]) for r in pairs.collect()}
+    assert {(s, t, str(p)) for s, t, p in got} == {("A", "YES0", "9"), ("B", "YES0", "899")}
+
+
+def test_broken_fastq_records_are_reported(spark, tmp_path):
+    import gzip
+
+    good = "@a\nACGT\n+\nIIII\n"
+    for name, text in (("plus", "@a\nACGT\nACGT\nIIII\n"), ("short", "@a\nACGT\n+\nIII\n"), ("shift", "ACGT\n+\nIIII\n@b\n")):
+        path = str(tmp_path / f"{name}.fq.gz")
+        with gzip.open(path, "wt") as f:
+            f.write(good + text)
+        with pytest.raises(Exception, match="broken read record"):
+            rr.read_fastq(spark, path, 1).collect()
+
+
+def test_uneven_fasta_lines(spark, tmp_path):
+    path = write(tmp_path / "u.fa", ">c one\nACGTAC\nGG\nTTTTTT\n>d\nA\n\nCC\n")
+    got = {(r["Chr"], r["tile_start"], r["seq"]) for r in gn.read_fasta_tiles(spark, path, width=4).collect()}
+    assert got == {("c", 0, "ACGT"), ("c", 4, "ACGG"), ("c", 8, "TTTT"), ("c", 12, "TT"), ("d", 0, "ACC")}
 
 
 @pytest.mark.parametrize("text", [
@@ -46,7 +80,7 @@ def test_fasta_tiles_and_recut(spark, tmp_path):
     seq = "ACGTTGCAAC" * 7 + "GGG"
     wrapped = "\n".join(seq[i:i + 10] for i in range(0, len(seq), 10))
     path = write(tmp_path / "g.fa", f">I first\n{wrapped}\n>II\nTTTT\n")
-    tiles = gn.read_fasta_tiles(spark, path, lines_per_tile=3)
+    tiles = gn.read_fasta_tiles(spark, path, width=30)
     assert rows(tiles.select("Chr", "tile_start", "seq")) == [("I", 0, seq[:30]), ("I", 30, seq[30:60]), ("I", 60, seq[60:]), ("II", 0, "TTTT")]
     again = rows(gn.fixed_tiles(tiles, 25))
     assert "".join(s for c, _, s in again if c == "I") == seq and all(len(s) <= 25 for *_, s in again)
@@ -115,13 +149,9 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     data = [("S", "t", "PBL" if i % 2 else "PBR", "I", "+-"[i % 2], (i % 5) * 10, (i % 5) * 10 + 60) for i in range(100)]
     src, folder = spark.createDataFrame(data, schema), str(tmp_path / "in")
     src.limit(60).write.mode("append").parquet(folder)
-    args = (spark, folder, src.schema, str(tmp_path / "cp"))
-    incremental_site_count(*args, "running_a").awaitTermination()
+    out = str(tmp_path / "out")
+    args = (spark, folder, src.schema, str(tmp_path / "cp"), out)
+    incremental_site_count(*args).awaitTermination()
     src.limit(40).write.mode("append").parquet(folder)
-    incremental_site_count(*args, "running_b").awaitTermination()
-    assert rows(spark.table("running_b")) == rows(site_count(spark.read.parquet(folder)))
-    q = incremental_site_count_files(spark, folder, src.schema, str(tmp_path / "cp2"), str(tmp_path / "out"), files_per_trigger=1)
-    q.awaitTermination()
-    stored = spark.read.parquet(str(tmp_path / "out"))
-    last = stored.filter(F.col("version") == stored.agg(F.max("version")).first()[0]).drop("version")
-    assert rows(last) == rows(site_count(spark.read.parquet(folder)))
+    incremental_site_count(*args, files_per_trigger=1).awaitTermination()
+    assert rows(running_site_counts(spark, out)) == rows(site_count(spark.read.parquet(folder)))
