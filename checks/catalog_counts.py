@@ -352,9 +352,11 @@ def _(s: Inputs) -> DataFrame:
     return od.ordered_output(rows, order, ["Coordinate", "Strand"])
 
 
-@check("sample_head")
+@check("sample_head", """select QueryName, Sample, Timepoint, Fragment, R1_Chrom, R1_Ref_Start from v_reads
+order by QueryName desc, Sample, Timepoint, Fragment, R1_Chrom, R1_Ref_Start limit 10""")
 def _(s: Inputs) -> DataFrame:
-    return od.sample_head(s.reads, 10)
+    columns = ["QueryName", "Sample", "Timepoint", "Fragment", "R1_Chrom", "R1_Ref_Start"]
+    return od.sample_head(s.reads, 10, [F.desc("QueryName"), *columns[1:]]).select(*columns)
 
 
 @check("log_histogram", f"""

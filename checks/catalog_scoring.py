@@ -356,11 +356,21 @@ def _tp(p: float) -> str:
     return f'("DL" - abs("A")/(abs("DR")*{_E})*(ln(-ln({p}))-1))'
 
 
-@check("fit_metrics", f"""with {_GIVEN}, m as (select *, {_RES} as ss, {_TOT} as st, greatest({_YS})-least({_YS}) as sp from giv),
- ar as (select {_IDS}, (12.48e0/999)*(sum({_gomp('k*12.48e0/999')}) - 0.5*({_gomp('0')}+{_gomp('12.48e0')})) as auc from giv, range(1000) t(k) group by {_IDS}, "A", "DR", "DL")
-select m.Chr, m.Coordinate, m.Strand, m.Sample, {R(_tp(0.1))} as t10, {R(_tp(0.5))} as t50, {R(_tp(0.9))} as t90, {R(_tp(0.9) + '-' + _tp(0.1))} as t_window, {R(f'"DL"+abs("A")/(abs("DR")*{_E})')} as t_inflection,
- {R(f'"A"/{_E}')} as y_inflection, {R('auc')} as auc, {R('5*ln(ss/5)+6')} as "AIC", {R('5*ln(ss/5)+3*ln(5)')} as "BIC", {R('case when st>0 then 1-ss/st else 0 end')} as "R2", {R('sqrt(ss/5)')} as "RMSE",
- {R('case when sp>0 then sqrt(ss/5)/sp end')} as "normalized_RMSE" from m join ar on ar.Chr=m.Chr and ar.Coordinate=m.Coordinate and ar.Strand=m.Strand and ar.Sample=m.Sample""")
+def _metrics(r) -> str:
+    """The metrics of the given curves; ``r`` wraps each value."""
+    values = {
+        "t10": _tp(0.1), "t50": _tp(0.5), "t90": _tp(0.9), "t_window": _tp(0.9) + "-" + _tp(0.1),
+        "t_inflection": f'"DL"+abs("A")/(abs("DR")*{_E})', "y_inflection": f'"A"/{_E}', "auc": "auc",
+        "AIC": "5*ln(ss/5)+6", "BIC": "5*ln(ss/5)+3*ln(5)", "R2": "case when st>0 then 1-ss/st else 0 end",
+        "RMSE": "sqrt(ss/5)", "normalized_RMSE": "case when sp>0 then sqrt(ss/5)/sp end",
+    }
+    return f"""{_GIVEN}, m as (select *, {_RES} as ss, {_TOT} as st, greatest({_YS})-least({_YS}) as sp from giv),
+ ar as (select {_IDS}, (12.48e0/999)*(sum({_gomp('k*12.48e0/999')}) - 0.5*({_gomp('0')}+{_gomp('12.48e0')})) as auc from giv, range(1000) t(k) group by {_IDS}, "A", "DR", "DL"),
+ mt as (select m.Chr, m.Coordinate, m.Strand, m.Sample, m."A", m."DR", {", ".join(f'{r(v)} as "{n}"' for n, v in values.items())}
+ from m join ar on ar.Chr=m.Chr and ar.Coordinate=m.Coordinate and ar.Strand=m.Strand and ar.Sample=m.Sample)"""
+
+
+@check("fit_metrics", f"""with {_metrics(R)} select * exclude ("A", "DR") from mt""")
 def _(s: Inputs) -> DataFrame:
     return cv.fit_metrics(_given(s), GENERATIONS, rounded=False).select(*SITE, "Sample", *cv.METRICS)
 
@@ -379,9 +389,27 @@ def _(s: Inputs) -> DataFrame:
     return cv.fit_report(_curves(s), GENERATIONS).drop("points")
 
 
-@check("fit_summary")
+_MEANS = ("R2", "RMSE", "A", "DR", "t10", "t50", "t90", "t_window", "t_inflection", "y_inflection", "auc", "AIC", "BIC")
+
+
+@check("fit_summary", f"""with {_metrics(lambda v: v)}, ok as (select *, Coordinate % 7 <> 3 as good from mt)
+select count(*) as total_datasets, cast(sum(case when good then 1 else 0 end) as bigint) as successful_fits, {R('100.0*sum(case when good then 1 else 0 end)/count(*)')} as success_rate,
+ {", ".join(R(f'avg(case when good then "{c}" end)') + f' as "mean_{c}"' for c in _MEANS)} from ok""")
+def _(s: Inputs) -> DataFrame:
+    status = F.when(F.col("Coordinate") % 7 == 3, cv.FAILED).otherwise(cv.OK)
+    return cv.fit_summary(cv.fit_metrics(_given(s), GENERATIONS, rounded=False).withColumn("Status", status))
+
+
+_TESTS = f"""select Chr, Coordinate, Strand, Timepoint, cast(Reads as double) as baseMean,
+ case when Coordinate % 13 = 5 then null else cast(((Coordinate*7919+Reads*31) % 997) * ((Coordinate*7919+Reads*31) % 997) as double)/3000000 end as pvalue from v_hard where Sample='S0'"""
+
+
+@check("filter_rejections", f"""with s as ({_TESTS}), c as (select * from (values (0, 0.0e0), (1, 8.0e0), (2, 25.0e0), (3, 60.0e0)) v(cutoff, least)),
+ t as (select Timepoint, cutoff, pvalue, count(*) over (partition by Timepoint, cutoff) as m,
+  count(*) over (partition by Timepoint, cutoff order by pvalue range between unbounded preceding and current row) as k from s join c on baseMean>=least where pvalue is not null)
+select Timepoint, cast(cutoff as int) as cutoff, cast(max(m) as bigint) as tests, cast(max(case when pvalue*m/k < 0.05e0 then k else 0 end) as bigint) as rejected from t group by 1, 2""")
 def _(s: Inputs) -> DataFrame:
-    return cv.fit_summary(cv.fit_report(_curves(s), GENERATIONS))
+    return rp.rejections(s.sql(_TESTS), [0.0, 8.0, 25.0, 60.0], 0.05, ["Timepoint"])
 
 
 # --- models and plans ------------------------------------------------------------------------

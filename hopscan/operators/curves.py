@@ -26,6 +26,8 @@ MISSING_WEIGHT = 0.01
 # End of fixed values.
 
 OK, FAILED, ERROR = "Success", "Optimization failed", "Fitting error"
+#: Stencil steps at most, and the stencil size (of the unit square) at which a fit has settled.
+STEPS, SETTLED = 1000, 1e-8
 PARAMETERS = ("A", "DR", "DL")
 METRICS = (
     "t10", "t50", "t90", "t_window", "t_inflection", "y_inflection", "auc", "AIC", "BIC",
@@ -152,9 +154,9 @@ def _plateau(
 
 
 def _fit_batch(
-    x: np.ndarray, y: np.ndarray, w: np.ndarray, seeds: int = 3, steps: int = 120
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(A, DR, DL, loss) for rows of ``y``.
+    x: np.ndarray, y: np.ndarray, w: np.ndarray, seeds: int = 3, steps: int = STEPS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(A, DR, DL, loss, last stencil size) for rows of ``y``.
 
     With span = |A|/|DR| both constraints become bounds on (delay, span), and the plateau is
     a convex inner problem. So: score a coarse grid of shapes for all rows at once, then
@@ -208,8 +210,8 @@ def _fit_batch(
         d, u, s = d[:, 0], u[:, 0], s[:, 0]
         a, loss = evaluate(d, u, s, y[part], w[part], 40)
         delay, span = unpack(d, u)
-        parts.append(np.column_stack([a, s * a / span, delay, loss]))
-    return tuple(np.concatenate(parts).T) if parts else tuple(np.empty((4, 0)))
+        parts.append(np.column_stack([a, s * a / span, delay, loss, step[:, 0]]))
+    return tuple(np.concatenate(parts).T) if parts else tuple(np.empty((5, 0)))
 
 
 _MOVES = np.array(
@@ -217,7 +219,7 @@ _MOVES = np.array(
 )
 
 
-def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = 1e-8):
+def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = SETTLED):
     """Stencil search in the unit square, halving the step where no neighbour is better."""
     shape = d.shape
     y, w = (np.broadcast_to(v, (*shape, v.shape[-1])).reshape(-1, v.shape[-1]) for v in (y, w))
@@ -242,12 +244,21 @@ def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = 1e-8):
     return tuple(v.reshape(shape) for v in (d, u, best, step))
 
 
+def _feasible(x: np.ndarray, a: np.ndarray, rate: np.ndarray, delay: np.ndarray) -> np.ndarray:
+    """Whether span and slope keep their bounds, up to rounding."""
+    flat = (a == 0) | (rate == 0)  # no rise: any span will do
+    span = np.where(flat, MIN_SPAN, np.abs(a) / np.where(flat, 1.0, np.abs(rate)))
+    return (x[-1] + fc.SPAN_SLACK - span - delay >= -1e-6) & (span >= MIN_SPAN - 1e-6)
+
+
 def fit_curves(
-    curves: DataFrame, times: dict[str, float], batch_rows: int = 20_000
+    curves: DataFrame, times: dict[str, float], batch_rows: int = 20_000, steps: int = STEPS
 ) -> DataFrame:
     """Constrained robust Gompertz fit of every row, in Arrow batches on evenly spread rows.
 
-    Adds A, DR, DL, ``objective`` and ``Status``. A row with a missing value cannot be fitted.
+    Adds A, DR, DL, ``objective`` and ``Status``. A row with a missing value cannot be fitted
+    (``Fitting error``). A row whose search has not settled after ``steps`` steps, or whose
+    result breaks a constraint, is ``Optimization failed`` and has no parameters.
     """
     order = ordered_times(times)
     x = np.array([v for _, v in order])
@@ -265,8 +276,11 @@ def fit_curves(
                 result = np.full((len(part), 4), np.nan)
                 status = np.where(usable, FAILED, ERROR).astype(object)
                 if usable.any() and x[-1] + fc.SPAN_SLACK > MIN_SPAN:
-                    result[usable] = np.column_stack(_fit_batch(x, y[usable], w[usable]))
-                    status[usable & np.isfinite(result).all(axis=1)] = OK
+                    *found, step = _fit_batch(x, y[usable], w[usable], steps=steps)
+                    result[usable] = np.column_stack(found)
+                    settled = np.zeros(len(part), dtype=bool)
+                    settled[usable] = (step < SETTLED) & _feasible(x, *found[:3])
+                    status[settled & np.isfinite(result).all(axis=1)] = OK
                 for i, c in enumerate((*PARAMETERS, "objective")):
                     part[c] = pd.array(result[:, i], dtype="float64")
                 part["Status"] = status

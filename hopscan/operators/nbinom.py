@@ -14,6 +14,7 @@ import numpy as np
 # Limits of the dispersion and mean estimates.
 MIN_DISP, MAX_DISP, MIN_MU = 1e-8, 10.0, 0.5
 MIN_COOKS_DISP = 0.04
+STEPS = 100
 BETA_LIMIT = 30.0
 # End of fixed values.
 
@@ -118,18 +119,26 @@ def best_dispersion(
 def group_coefficients(
     counts: np.ndarray, size: np.ndarray, disp: np.ndarray, groups: np.ndarray, n_groups: int
 ) -> np.ndarray:
-    """Log mean per group by reweighted least squares, means bounded below while iterating."""
+    """Log mean per group by reweighted least squares, means bounded below while iterating.
+
+    A row rests once it has settled, so its result does not depend on the rows beside it. A row
+    that has not after ``STEPS`` steps becomes NaN, and its scores NULL.
+    """
     beta = np.log(np.maximum(group_means(counts / size, groups, n_groups), 0.1))
-    for _ in range(100):
-        mu = np.maximum(size * np.exp(beta[:, groups]), MIN_MU)
-        w = mu / (1 + mu * disp[:, None])
-        z = np.log(mu / size) + (counts - mu) / mu
+    open_ = np.arange(len(counts))
+    for _ in range(STEPS):
+        c, d = counts[open_], disp[open_, None]
+        mu = np.maximum(size * np.exp(beta[open_][:, groups]), MIN_MU)
+        w = mu / (1 + mu * d)
+        z = np.log(mu / size) + (c - mu) / mu
         new = group_sums(w * z, groups, n_groups) / group_sums(w, groups, n_groups)
         new = np.clip(new, -BETA_LIMIT, BETA_LIMIT)
-        done = np.max(np.abs(new - beta), initial=0.0) < 1e-10
-        beta = new
-        if done:
-            break
+        moved = np.abs(new - beta[open_]).max(axis=1)
+        beta[open_] = new
+        open_ = open_[~(moved < 1e-10)]
+        if not len(open_):
+            return beta
+    beta[open_] = np.nan
     return beta
 
 

@@ -225,6 +225,6 @@ def top_depleted(df: DataFrame, score: str, n: int, ties: Sequence[str]) -> Data
     return df.orderBy(F.desc_nulls_last(score), *ties).limit(n)
 
 
-def sample_head(df: DataFrame, n: int) -> DataFrame:
-    """First rows for inspection."""
-    return df.limit(n)
+def sample_head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """First ``n`` rows in a stated order, for inspection."""
+    return df.orderBy(*order).limit(n)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from hopscan.config import KEY
 from hopscan.functions.statistics import half_even
 from hopscan.operators import nbinom as nb
-from hopscan.operators.ordered import bh_adjust, exact_quantile
+from hopscan.operators.ordered import bh_adjust, cumulative_counts, exact_quantile, join_keys
 from hopscan.operators.scoring import size_factors
 from hopscan.operators.sites import LIBRARY, complete_cases
 from hopscan.session import checkpointed, spread as spread_rows
@@ -31,6 +31,8 @@ MIN_PRIOR_VAR = 0.25
 OUTLIER_SD = 2.0
 COOKS_QUANTILE = 0.99
 REPLACE_TRIM = 0.2
+# Filtering by mean count before adjustment: level, cut-offs, top quantile, rejections that count.
+FILTER_LEVEL, FILTER_CUTOFFS, FILTER_TOP, FEW_REJECTIONS = 0.05, 50, 0.95, 10
 SCORE_DIGITS = {"baseMean": 3, "LFC": 3, "lfcSE": 3, "stat": 3, "pvalue": 6, "padj": 6}
 # End of fixed values.
 
@@ -106,40 +108,52 @@ def _own_dispersion(counts, size, groups, n_groups):
     return nb.best_dispersion(counts, mu, groups, n_groups, start)
 
 
-def dispersion_trend(fits: DataFrame, rounds: int = 20) -> tuple[float, float]:
-    """Coefficients (a0, a1) of dispersion = a0 + a1 / mean.
+@dataclass(frozen=True)
+class Trend:
+    """Dispersion as a0 + a1 / mean. ``kind`` says how it was found: ``parametric``, ``mean`` (a
+    coefficient reached its bound) or ``mean, not converged``."""
+
+    a0: float
+    a1: float
+    kind: str
+
 
-    Gamma regression by scoring: every step is one aggregation of five sums. Insertions far off
-    the current trend are left out of later rounds. Without a positive solution the trend is
-    the mean dispersion.
+def dispersion_trend(fits: DataFrame, rounds: int = 20) -> Trend:
+    """The trend of dispersions over means.
+
+    Gamma regression by scoring: every step is one aggregation of five sums, solved within the
+    bounds a0, a1 >= 0. Insertions far off the current trend are left out of later rounds. If a
+    coefficient ends at its bound, or ``rounds`` steps or rounds do not settle, the trend is the
+    mean dispersion, and ``kind`` tells.
     """
     x, y = 1 / F.col("baseMean"), F.col("disp_own")
     use = fits.filter((y >= 100 * nb.MIN_DISP) & (F.col("baseMean") > 0))
     first = use.agg(F.avg(y).alias("m"), F.count(F.lit(1)).alias("n")).first()
     if not first["n"]:
-        return nb.MIN_DISP, 0.0
-    flat = (float(first["m"]), 0.0)
+        return Trend(nb.MIN_DISP, 0.0, "mean")
+    mean = float(first["m"])
     a0, a1 = 0.1, 1.0
     for _ in range(rounds):
         old = (a0, a1)
         for _ in range(rounds):
             step = _trend_step(use, x, y, a0, a1)
-            if step is None:
-                return flat
-            moved = max(abs(step[0] - a0) / a0, abs(step[1] - a1) / max(a1, 1e-12))
+            if step is None or min(step) <= 0:
+                return Trend(mean, 0.0, "mean")
+            moved = max(abs(step[0] - a0) / a0, abs(step[1] - a1) / a1)
             a0, a1 = step
             if moved < 1e-8:
                 break
-        if a1 <= 0 or a0 <= 0:
-            return flat
+        else:
+            return Trend(mean, 0.0, "mean, not converged")
         if math.log(a0 / old[0]) ** 2 + math.log(a1 / old[1]) ** 2 < 1e-6:
-            return a0, a1
+            return Trend(a0, a1, "parametric")
         ratio = y / (F.lit(a0) + F.lit(a1) * x)
         use = use.filter((ratio >= TREND_RATIO_LOW) & (ratio < TREND_RATIO_HIGH))
-    return flat
+    return Trend(mean, 0.0, "mean, not converged")
 
 
-def _trend_step(use: DataFrame, x: Column, y: Column, a0: float, a1: float):
+def _trend_step(use: DataFrame, x: Column, y: Column, a0: float, a1: float) -> tuple[float, float] | None:
+    """Weighted least squares within a0, a1 >= 0; None without a line through the data."""
     w = 1 / F.pow(F.lit(a0) + F.lit(a1) * x, F.lit(2.0))
     s = use.agg(
         F.sum(w).alias("w"), F.sum(w * x).alias("wx"), F.sum(w * x * x).alias("wxx"),
@@ -152,12 +166,16 @@ def _trend_step(use: DataFrame, x: Column, y: Column, a0: float, a1: float):
         return None
     b0 = (s["wxx"] * s["wy"] - s["wx"] * s["wxy"]) / det
     b1 = (s["w"] * s["wxy"] - s["wx"] * s["wy"]) / det
-    return max(b0, 1e-12), max(b1, 1e-12)
+    if b1 <= 0:
+        return s["wy"] / s["w"], 0.0
+    if b0 <= 0:
+        return 0.0, s["wxy"] / s["wxx"]
+    return b0, b1
 
 
-def prior_spread(fits: DataFrame, trend: tuple[float, float], libs: Libraries) -> tuple[float, float]:
+def prior_spread(fits: DataFrame, trend: Trend, libs: Libraries) -> tuple[float, float]:
     """Observed spread around the trend (squared) and the variance of the dispersion prior."""
-    expected = F.lit(trend[0]) + F.lit(trend[1]) / F.col("baseMean")
+    expected = F.lit(trend.a0) + F.lit(trend.a1) / F.col("baseMean")
     rows = fits.filter(F.col("disp_own") >= 100 * nb.MIN_DISP).select(
         F.lit(1).alias("g"), (F.ln("disp_own") - F.ln(expected)).alias("r")
     )
@@ -171,7 +189,7 @@ def prior_spread(fits: DataFrame, trend: tuple[float, float], libs: Libraries) -
 
 
 def shrunken_scores(
-    fits: DataFrame, libs: Libraries, trend: tuple[float, float], spread: tuple[float, float],
+    fits: DataFrame, libs: Libraries, trend: Trend, spread: tuple[float, float],
     min_replicates: int, key: Sequence[str] = KEY,
 ) -> DataFrame:
     """Final dispersion, log2 fold change against the initial condition, Wald test, outliers.
@@ -188,7 +206,7 @@ def shrunken_scores(
     sq_spread, prior_var = spread
 
     def estimate(counts: np.ndarray, own: np.ndarray, mean: np.ndarray):
-        expected = np.log(trend[0] + trend[1] / mean)
+        expected = np.log(trend.a0 + trend.a1 / mean)
         means = nb.group_means(counts / size, groups, n_groups)[:, groups]
         mu = np.maximum(size * means, nb.MIN_MU)
         shrunk = nb.best_dispersion(
@@ -267,13 +285,111 @@ def shrunken_scores(
                        F.inline(F.array(start, *rest)))
 
 
+def _smoothed(x: np.ndarray, y: np.ndarray, share: float = 0.2, rounds: int = 3) -> np.ndarray:
+    """Robust locally linear smoothing of a short curve with tricube weights."""
+    n = len(x)
+    near = max(2, math.ceil(share * n))
+    away = np.abs(x[:, None] - x[None, :])
+    reach = np.maximum(np.sort(away, axis=1)[:, near - 1], 1e-12)
+    local = np.clip(1 - np.clip(away / reach[:, None], 0, 1) ** 3, 0, 1) ** 3
+    trust = np.ones(n)
+    for _ in range(rounds + 1):
+        w = local * trust
+        sw, swx, swy = w.sum(1), w @ x, w @ y
+        swxx, swxy = w @ (x * x), w @ (x * y)
+        det = sw * swxx - swx**2
+        slope = np.where(det > 1e-12, (sw * swxy - swx * swy) / np.where(det > 1e-12, det, 1), 0.0)
+        fit = (swy - slope * swx) / np.maximum(sw, 1e-300) + slope * x
+        rest = y - fit
+        scale = np.median(np.abs(rest))
+        trust = np.clip(1 - (rest / (6 * scale)) ** 2, 0, 1) ** 2 if scale > 0 else np.ones(n)
+    return fit
+
+
+def choose_cutoff(shares: np.ndarray, rejected: np.ndarray) -> int:
+    """Place of the cut-off: the first with about as many rejections as the smoothed curve's top.
+
+    With ten rejections or fewer at every cut-off nothing is filtered (place 0).
+    """
+    if rejected.max(initial=0) <= FEW_REJECTIONS:
+        return 0
+    smooth = _smoothed(shares, rejected.astype(float))
+    some = rejected > 0
+    threshold = smooth.max() - math.sqrt(np.mean((rejected[some] - smooth[some]) ** 2))
+    above = np.flatnonzero(rejected > threshold)
+    return int(above[0]) if len(above) else 0
+
+
+def rejections(scores: DataFrame, cutoffs: Sequence[float], level: float, by: Sequence[str]) -> DataFrame:
+    """Adjusted p-values below ``level`` for each group and cut-off of the mean.
+
+    Only p-values below the level can pass, so only those are repeated by cut-off; the tests of
+    a cut-off are counted by one aggregation.
+    """
+    means = F.array(*[F.lit(float(c)) for c in cutoffs])
+    tested = scores.filter(F.col("pvalue").isNotNull())
+    levels = tested.withColumn("_level", F.size(F.filter(means, lambda c: c <= F.col("baseMean"))))
+    totals = (
+        levels.groupBy(*by, "_level").count()
+        .withColumn("cutoff", F.explode(F.sequence(F.lit(0), F.col("_level") - 1)))
+        .groupBy(*by, "cutoff").agg(F.sum("count").alias("tests"))
+    )
+    low = levels.filter((F.col("pvalue") < level) & (F.col("_level") > 0)).select(
+        *by, "pvalue", F.explode(F.sequence(F.lit(0), F.col("_level") - 1)).alias("cutoff")
+    )
+    ranked = join_keys(cumulative_counts(low, [*by, "cutoff"], "pvalue").drop("total"), totals, [*by, "cutoff"])
+    rank = F.col("below") + F.col("n")
+    passed = F.max(F.when(F.col("pvalue") * F.col("tests") / rank < level, rank))
+    found = ranked.groupBy(*by, "cutoff").agg(F.coalesce(passed, F.lit(0)).alias("rejected"))
+    return join_keys(totals, found, [*by, "cutoff"], "left").withColumn(
+        "rejected", F.coalesce("rejected", F.lit(0))
+    )
+
+
+def filtered_adjust(
+    scores: DataFrame, level: float = FILTER_LEVEL, by: Sequence[str] = ("Timepoint",)
+) -> DataFrame:
+    """Adjusted p-values after leaving out insertions of low mean, per group.
+
+    Cut-offs are quantiles of ``baseMean``; the one that ``choose_cutoff`` takes holds. Insertions
+    below it have a NULL adjusted p-value. The driver gets one row per group and cut-off.
+    """
+    by = list(by)
+    one = scores.select(F.lit(1).alias("g"), "baseMean", *by)
+    some = one.select(*by).first()
+    if some is None:
+        return bh_adjust(scores, "pvalue", by)
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.lit(some[c]))
+    means = one.filter(same)
+    lower = means.agg(F.avg((F.col("baseMean") == 0).cast("double"))).first()[0]
+    upper = FILTER_TOP if lower < FILTER_TOP else 1.0
+    shares = np.linspace(lower, upper, FILTER_CUTOFFS)
+    row = exact_quantile(means, ["g"], "baseMean", {f"q{i}": float(q) for i, q in enumerate(shares)}).first()
+    cutoffs = [float(row[f"q{i}"]) for i in range(len(shares))]
+    counts: dict[tuple, np.ndarray] = {}
+    for r in rejections(scores, cutoffs, level, by).collect():
+        counts.setdefault(tuple(r[c] for c in by), np.zeros(len(cutoffs)))[r["cutoff"]] = r["rejected"]
+    least = F.lit(cutoffs[0])
+    for group, rejected in counts.items():
+        here = F.lit(True)
+        for c, v in zip(by, group, strict=True):
+            here = here & F.col(c).eqNullSafe(F.lit(v))
+        least = F.when(here, F.lit(cutoffs[choose_cutoff(shares, rejected)])).otherwise(least)
+    kept = scores.withColumn("_p", F.when(F.col("baseMean") >= least, F.col("pvalue")))
+    return bh_adjust(kept, "_p", by).drop("_p")
+
+
 def replicate_scores(
     counts: DataFrame, controls: DataFrame, initial: str, min_replicates: int = 7,
     key: Sequence[str] = KEY, rounded: bool = True,
 ) -> DataFrame:
     """Score, standard error, test and adjusted p-value per insertion and timepoint.
 
-    The initial timepoint has LFC 0, p and adjusted p 1. p-values are adjusted per timepoint.
+    Runs jobs when called: fits and scores are stored once. The initial timepoint has LFC 0 and
+    p and adjusted p 1; the others are adjusted per timepoint after filtering by mean count.
+    ``trend`` says how the dispersion trend was found.
     """
     complete = complete_cases(counts, key=key)
     libs = collect_libraries(size_factors(complete, controls, key), initial)
@@ -281,12 +397,14 @@ def replicate_scores(
     trend = dispersion_trend(fits)
     spread = prior_spread(fits, trend, libs)
     scores = checkpointed(shrunken_scores(fits, libs, trend, spread, min_replicates, key))
-    adjusted = bh_adjust(scores, "pvalue", ["Timepoint"])
+    later = filtered_adjust(scores.filter(F.col("Timepoint") != initial))
+    start = scores.filter(F.col("Timepoint") == initial).withColumn("padj", F.lit(1.0))
     digits = SCORE_DIGITS if rounded else {}
-    return adjusted.select(
+    return later.unionByName(start).select(
         *key, "Timepoint",
         *[half_even(F.col(c), digits[c]).alias(c) if c in digits else F.col(c)
           for c in SCORE_DIGITS],
+        F.lit(trend.kind).alias("trend"),
     )
 
 

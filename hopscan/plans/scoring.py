@@ -54,7 +54,8 @@ def score_replicates(counts: DataFrame, ann: DataFrame, cfg: RunConfig) -> dict[
     full = imputed.drop("imputed")
     controls = sc.select_controls(full, ann, cfg.boundary_distance, key)
     scores = rp.replicate_scores(full, controls, cfg.initial, key=key)
-    weights = scores.select(*key, "Timepoint", F.col("padj").alias("weight"))
+    # An insertion left out of the adjustment weighs as one with p = 1.
+    weights = scores.select(*key, "Timepoint", F.coalesce("padj", F.lit(1.0)).alias("weight"))
     lfc = scores.select(*key, "Timepoint", "LFC")
     genes = weighted_gene_scores(lfc, weights, ann, key)
     out = {

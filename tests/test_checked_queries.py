@@ -10,7 +10,7 @@ from checks.run import compare, connect
 
 load_all()
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"sample_head", "fit_curves", "fit_summary", "replicate_scores", "score_no_replicates", "score_replicates"}
+ROWS_ONLY = {"fit_curves", "replicate_scores", "score_no_replicates", "score_replicates"}
 FEW = ("filter_read_pairs", "merge_fragments", "hard_filter", "boundary_dedup", "impute_opposite_strand", "bh_adjust", "fit_grid")
 
 

@@ -206,3 +206,69 @@ def test_replicate_scores_find_depletion(spark):
     assert last.loc[:11, "LFC"].mean() == pytest.approx(4.0, abs=0.5)
     assert (last.loc[:11, "padj"] < 1e-3).all() and (last.loc[12:, "padj"] < 0.05).mean() < 0.1
     assert (out["stat"].dropna() * out["LFC"][out["stat"].notna()] >= 0).all()
+
+
+def _adjusted(p):
+    """Benjamini-Hochberg by its definition."""
+    order = np.argsort(p)
+    q = p[order] * len(p) / np.arange(1, len(p) + 1)
+    out = np.empty(len(p))
+    out[order] = np.minimum(1, np.minimum.accumulate(q[::-1])[::-1])
+    return out
+
+
+def test_filtering_by_mean_before_adjustment(spark):
+    rng = np.random.default_rng(3)
+    mean = np.concatenate([rng.uniform(0.1, 5, 300), rng.uniform(5, 500, 300)])
+    p = np.concatenate([rng.uniform(0, 1, 300), rng.uniform(0, 1, 300) ** 4])
+    p[7] = np.nan
+    data = [("t1", int(i), float(m), None if np.isnan(v) else float(v)) for i, (m, v) in enumerate(zip(mean, p))]
+    df = spark.createDataFrame(data, "Timepoint string, i int, baseMean double, pvalue double")
+    shares = np.linspace(0, 0.95, 50)
+    cutoffs = np.quantile(mean, shares)
+    rejected = np.array([(_adjusted(p[(mean >= c) & ~np.isnan(p)]) < 0.05).sum() for c in cutoffs])
+    counted = {r["cutoff"]: r["rejected"] for r in rp.rejections(df, cutoffs, 0.05, ["Timepoint"]).collect()}
+    assert [counted[i] for i in range(50)] == rejected.tolist()
+    place = rp.choose_cutoff(shares, rejected)
+    assert place > 0 and rejected[place] > rejected[0]
+    use = (mean >= cutoffs[place]) & ~np.isnan(p)
+    want = dict(zip(np.flatnonzero(use), _adjusted(p[use])))
+    got = {r["i"]: r["padj"] for r in rp.filtered_adjust(df).collect()}
+    assert all((got[i] is None) == (i not in want) for i in range(len(p)))
+    assert all(abs(got[i] - v) < 1e-9 for i, v in want.items())
+    assert rp.choose_cutoff(shares, np.minimum(rejected, 10)) == 0
+
+
+def test_trend_keeps_its_bounds(spark):
+    rng = np.random.default_rng(5)
+    mean = rng.uniform(1, 1000, 3000)
+    noise = rng.gamma(8, 1 / 8, 3000)
+    falling = spark.createDataFrame([(float(m), float((0.1 + 2 / m) * e)) for m, e in zip(mean, noise)], "baseMean double, disp_own double")
+    t = rp.dispersion_trend(falling)
+    assert t.kind == "parametric" and abs(t.a0 - 0.1) < 0.01 and abs(t.a1 - 2) < 0.3
+    rising = [(float(m), float((0.1 + m / 1000) * e)) for m, e in zip(mean, noise)]
+    t = rp.dispersion_trend(spark.createDataFrame(rising, "baseMean double, disp_own double"))
+    assert (t.kind, t.a1) == ("mean", 0.0) and abs(t.a0 - np.mean([d for _, d in rising])) < 1e-9
+    assert rp.dispersion_trend(falling, rounds=1).kind == "mean, not converged"
+
+
+def test_unsettled_rows_are_reported(spark):
+    counts = np.array([[5.0, 7.0, 90.0, 80.0], [0.0, 0.0, 3.0, 1.0]])
+    groups, size, disp = np.array([0, 0, 1, 1]), np.ones(4), np.array([0.1, 0.5])
+    alone = np.vstack([nb.group_coefficients(counts[[i]], size, disp[[i]], groups, 2) for i in (0, 1)])
+    assert (nb.group_coefficients(counts, size, disp, groups, 2) == alone).all()
+    steps, nb.STEPS = nb.STEPS, 1
+    try:
+        assert np.isnan(nb.group_coefficients(counts, size, disp, groups, 2)).any()
+    finally:
+        nb.STEPS = steps
+
+
+def test_unsettled_curves_fail(spark):
+    times = {"a": 0.0, "b": 2.0, "c": 4.0, "d": 8.0, "e": 12.5}
+    cols = ", ".join(f"y_{i} double, w_{i} double" for i in range(5))
+    row = tuple(v for y in (0.0, 0.2, 1.5, 4.0, 4.6) for v in (y, 1.0))
+    df = spark.createDataFrame([row], cols)
+    assert [r["Status"] for r in cv.fit_curves(df, times).collect()] == [cv.OK]
+    short = cv.fit_curves(df, times, steps=1).collect()[0]
+    assert short["Status"] == cv.FAILED and short["A"] is None
