@@ -45,37 +45,175 @@ def quality_trimmed_length(qual: Column, cutoff: int = 15, offset: int = 33) ->
     return kept(qual)
 
 
-def anchor_overlap(seq: Column, anchor: str, min_overlap: int, error_rate: float) -> Column:
-    """Matched bases of a 5' ``anchor``; 0 if too few.
-
-    The anchor may be cut off by the read start, so its suffixes are compared with the read's
-    first bases, with ``error_rate`` edits per base allowed. A base more counts one, an edit
-    costs two; the best total wins, then the longer match.
-    """
-    ranked = [F.lit(0)]
-    for size in range(min_overlap, len(anchor) + 1):
-        tail = anchor[len(anchor) - size:]
-        head = F.substring(seq, 1, size)
-        edits = F.levenshtein(head, F.lit(tail), int(error_rate * size))
-        usable = (F.length(head) == size) & (edits >= 0)
-        ranked.append(F.when(usable, (size - 2 * edits) * 1000 + size).otherwise(0))
-    return F.pmod(F.greatest(*ranked), F.lit(1000))
+def _code_matrix(seqs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Bases of all reads, one row each, and the reads' lengths."""
+    raw = np.array([s.encode() for s in seqs], dtype=bytes)
+    width = max(raw.dtype.itemsize, 1)
+    return raw.view(np.uint8).reshape(len(raw), width), np.char.str_len(raw)
 
 
-def anchor_end(seq: Column, anchor: str, min_overlap: int, error_rate: float) -> Column:
-    """Bases up to the end of a 5' anchor found anywhere (whole) or at the start (partial)."""
-    whole = F.instr(seq, anchor)
-    partial = anchor_overlap(seq, anchor, min_overlap, error_rate)
-    return F.when(whole > 0, whole - 1 + len(anchor)).otherwise(partial)
+#: A cell of the alignment holds (score, -edits, cut-off bases of the anchor) as one number.
+_SCORE, _EDIT = 1 << 20, 1 << 10
+_GAP = 2 * _SCORE + _EDIT
 
 
-def suffix_cut(seq: Column, adapter: str, min_overlap: int) -> Column:
-    """Position (bases kept) at which a 3' adapter starts; full length if it is absent.
+def _aligned(
+    seqs: list[str], anchor: str, min_overlap: int, error_rate: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Score and end (bases up to and including it) of the best match of a 5' ``anchor`` in each read; 0, 0 without.
 
-    A complete occurrence wins; otherwise the longest adapter prefix that ends the read.
+    The anchor may stand anywhere and may be cut off by the read's start. ``error_rate`` edits
+    per aligned anchor base are allowed, ``min_overlap`` bases must be aligned. A matching base
+    counts 1, another base -1, a base more or less -2; the best score wins, then fewer edits,
+    then the earliest end. One column of the alignment of all reads is computed at a time.
+    """
+    reads, size = _code_matrix(seqs)
+    letters = np.frombuffer(anchor.encode(), np.uint8)
+    m = len(letters)
+    steps = np.arange(m + 1, dtype=np.int32) * _GAP
+    # Before the first base: the first j anchor bases may be cut off, free of charge.
+    cell = np.broadcast_to(np.arange(m + 1, dtype=np.int32), (len(reads), m + 1)).copy()
+    best, end = np.full(len(reads), -1, np.int64), np.zeros(len(reads), np.int64)
+    for i in range(reads.shape[1]):
+        hit = reads[:, i, None] == letters
+        new = np.empty_like(cell)
+        new[:, 0] = 0
+        np.maximum(cell[:, :-1] + np.where(hit, _SCORE, -_SCORE - _EDIT), cell[:, 1:] - _GAP, out=new[:, 1:])
+        new += steps
+        np.maximum.accumulate(new, axis=1, out=new)
+        new -= steps
+        cell = new
+        last = cell[:, m]
+        cut = last & (_EDIT - 1)
+        edits = ((cut - last) >> 10) & (_EDIT - 1)
+        aligned = m - cut
+        rank = (last - cut) >> 10
+        good = (aligned >= min_overlap) & (edits <= np.floor(error_rate * aligned)) & (rank > best) & (i < size)
+        best[good], end[good] = rank[good], i + 1
+    score = np.where(best >= 0, (best + _EDIT // 2) >> 10, 0)
+    return score, end
+
+
+def _may_match(reads: np.ndarray, size: np.ndarray, anchor: str, least: int, most: int) -> np.ndarray:
+    """Reads in which the anchor, maybe cut off by the read's start, ends with ``most`` edits at most.
+
+    Bit-parallel edit distances: a word per read holds a whole column, so a base costs a dozen
+    word operations on all reads.
+    """
+    m = len(anchor)
+    masks = np.zeros(256, dtype=np.uint64)
+    for j, letter in enumerate(anchor.encode()):
+        masks[letter] |= np.uint64(1 << j)
+    one, top = np.uint64(1), np.uint64(m - 1)
+    plus, minus = np.zeros(len(reads), np.uint64), np.zeros(len(reads), np.uint64)
+    edits, found = np.zeros(len(reads), np.int64), np.zeros(len(reads), bool)
+    for i in range(reads.shape[1]):
+        equal = masks[reads[:, i]]
+        down = equal | minus
+        across = (((equal & plus) + plus) ^ plus) | equal
+        up, low = minus | ~(across | plus), plus & across
+        edits += ((up >> top) & one).astype(np.int64) - ((low >> top) & one).astype(np.int64)
+        up, low = up << one, low << one
+        plus, minus = low | ~(down | up), up & down
+        if i + 1 >= least:
+            found |= (edits <= most) & (i < size)
+    return found
+
+
+def anchor_matches(
+    seqs: list[str], anchor: str, min_overlap: int, error_rate: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Score and end of the best match of a 5' anchor in each read; see ``_aligned``.
+
+    A whole anchor without edits has the best possible score and is found as text; of the other
+    reads only those within the allowed edits are aligned.
+    """
+    if not len(seqs):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    whole = np.array([s.find(anchor) for s in seqs], dtype=np.int64)
+    score = np.where(whole >= 0, len(anchor), 0)
+    end = np.where(whole >= 0, whole + len(anchor), 0)
+    rest = np.flatnonzero(whole < 0)
+    if len(rest):
+        reads, size = _code_matrix([seqs[i] for i in rest])
+        most = int(error_rate * len(anchor))
+        if len(anchor) <= 64:
+            rest = rest[_may_match(reads, size, anchor, max(1, min_overlap - most), most)]
+        if len(rest):
+            score[rest], end[rest] = _aligned([seqs[i] for i in rest], anchor, min_overlap, error_rate)
+    return score, end
+
+
+def _in_slices(n: int, rows: int = 2000):
+    return (slice(lo, min(lo + rows, n)) for lo in range(0, n, rows))
+
+
+def adapter_starts(seqs: list[str], adapter: str, min_overlap: int, error_rate: float) -> np.ndarray:
+    """Bases kept before a 3' ``adapter``, which may be cut off by the read's end; all without one.
+
+    The mirror image of ``anchor_matches``.
     """
-    whole = F.instr(seq, adapter)
-    kept = F.length(seq)
-    for size in range(min_overlap, len(adapter)):
-        kept = F.when(F.endswith(seq, F.lit(adapter[:size])), F.length(seq) - size).otherwise(kept)
-    return F.when(whole > 0, whole - 1).otherwise(kept)
+    _, end = anchor_matches([s[::-1] for s in seqs], adapter[::-1], min_overlap, error_rate)
+    return np.array([len(s) for s in seqs], dtype=np.int64) - end
+
+
+def adapter_cut(seq: Column, adapter: str, min_overlap: int, error_rate: float) -> Column:
+    """``adapter_starts`` of a column of reads, in Arrow batches."""
+
+    @F.pandas_udf("int")
+    def kept(seqs: pd.Series) -> pd.Series:
+        texts = seqs.fillna("").tolist()
+        out = np.zeros(len(texts), dtype=np.int32)
+        for part in _in_slices(len(texts)):
+            out[part] = adapter_starts(texts[part], adapter, min_overlap, error_rate)
+        return pd.Series(out)
+
+    return kept(seq)
+
+
+def junction_cuts(
+    reads: list[str], mates: list[str] | None, fronts: dict[str, str], backs: dict[str, str],
+    min_overlap: int, error_rate: float,
+) -> pd.DataFrame:
+    """Label of the best front anchor of each read, bases to cut off before, bases of the mate to keep."""
+    n = len(reads)
+    label, score, cut = np.full(n, "unknown", dtype=object), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for name, anchor in fronts.items():
+        s, e = anchor_matches(reads, anchor, min_overlap, error_rate)
+        better = (e > 0) & ((cut == 0) | (s > score))
+        label[better], score[better], cut[better] = name, s[better], e[better]
+    keep = np.array([len(m) for m in mates], dtype=np.int64) if mates is not None else np.zeros(n, np.int64)
+    if mates is not None:
+        for name, adapter in backs.items():
+            rows = np.flatnonzero(label == name)
+            if len(rows):
+                keep[rows] = adapter_starts([mates[i] for i in rows], adapter, min_overlap, error_rate)
+    return pd.DataFrame({"junction": label, "cut": cut.astype(np.int32), "keep": keep.astype(np.int32)})
+
+
+def junctions_of(
+    seq1: Column, seq2: Column | None, fronts: dict[str, str], backs: dict[str, str],
+    min_overlap: int, error_rate: float,
+) -> Column:
+    """Struct (junction, cut, keep) of read pairs, both mates in one Arrow batch."""
+    kind = "junction string, cut int, keep int"
+
+    def parts(first: pd.Series, second: pd.Series | None) -> pd.DataFrame:
+        a = first.fillna("").tolist()
+        b = second.fillna("").tolist() if second is not None else None
+        out = [junction_cuts(a[p], b[p] if b is not None else None, fronts, backs, min_overlap, error_rate)
+               for p in _in_slices(len(a))]
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"junction": [], "cut": [], "keep": []})
+
+    if seq2 is None:
+        @F.pandas_udf(kind)
+        def one(first: pd.Series) -> pd.DataFrame:
+            return parts(first, None)
+
+        return one(seq1)
+
+    @F.pandas_udf(kind)
+    def both(first: pd.Series, second: pd.Series) -> pd.DataFrame:
+        return parts(first, second)
+
+    return both(seq1, seq2)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hopscan.config import Junctions
-from hopscan.functions.sequence import anchor_end, quality_trimmed_length, suffix_cut
+from hopscan.functions.sequence import adapter_cut, junctions_of, quality_trimmed_length
 from hopscan.operators.ordered import join_keys
 from hopscan.operators.sites import count_where
 
@@ -23,13 +23,13 @@ def _cut(df: DataFrame, mate: int, keep: Column) -> DataFrame:
 
 def adapter_trim(
     fastq: DataFrame, adapter_r1: str = Junctions.adapter_r1,
-    adapter_r2: str = Junctions.adapter_r2, min_overlap: int = 4,
+    adapter_r2: str = Junctions.adapter_r2, min_overlap: int = 4, error_rate: float = 0.1,
 ) -> DataFrame:
     """Remove the sequencing adapter and what follows it from the 3' end of both mates."""
     out = fastq
     for mate, adapter in ((1, adapter_r1), (2, adapter_r2)):
         if f"seq{mate}" in fastq.columns:
-            out = _cut(out, mate, suffix_cut(F.col(f"seq{mate}"), adapter, min_overlap))
+            out = _cut(out, mate, adapter_cut(F.col(f"seq{mate}"), adapter, min_overlap, error_rate))
     return out
 
 
@@ -37,40 +37,26 @@ def junction_classify(
     fastq: DataFrame, junctions: Junctions = Junctions(), min_overlap: int = 15,
     error_rate: float = 0.1, quality: int = 15,
 ) -> DataFrame:
-    """Label each pair by the transposon end at the start of read 1 and cut it off.
+    """Label each pair by the transposon end found in read 1 and cut off all up to its end.
 
     Both mates lose their low-quality tail first; read 2 loses the reverse complement of the
-    junction from its 3' end. ``junction`` is PBL, PBR or unknown; the longer match wins.
+    junction and what follows it. Edits are allowed on both mates. ``junction`` is PBL, PBR or
+    unknown; the better score wins, PBL if equal.
     """
     out = fastq
     mates = [m for m in (1, 2) if f"seq{m}" in fastq.columns]
     for mate in mates:
         out = _cut(out, mate, quality_trimmed_length(F.col(f"qual{mate}"), quality))
-    seq = F.col("seq1")
-    out = out.withColumns(
-        {
-            "_pbl": anchor_end(seq, junctions.pbl, min_overlap, error_rate),
-            "_pbr": anchor_end(seq, junctions.pbr, min_overlap, error_rate),
-        }
+    found = junctions_of(
+        F.col("seq1"), F.col("seq2") if 2 in mates else None,
+        {"PBL": junctions.pbl, "PBR": junctions.pbr},
+        {"PBL": junctions.pbl_reverse, "PBR": junctions.pbr_reverse}, min_overlap, error_rate,
     )
-    pbl, pbr = F.col("_pbl"), F.col("_pbr")
-    out = out.withColumn(
-        "junction",
-        F.when((pbl > 0) & (pbl >= pbr), "PBL").when(pbr > 0, "PBR").otherwise("unknown"),
-    )
-    end = F.greatest(pbl, pbr)
-    out = out.withColumns(
-        {c: F.substr(F.col(c), (end + 1).cast("int")) for c in ("seq1", "qual1")}
-    ).drop("_pbl", "_pbr")
+    out = out.withColumn("_found", found).withColumn("junction", F.col("_found.junction"))
+    cuts = {c: F.substr(F.col(c), F.col("_found.cut") + 1) for c in ("seq1", "qual1")}
     if 2 in mates:
-        s2 = F.col("seq2")
-        kept = F.when(
-            F.col("junction") == "PBL", suffix_cut(s2, junctions.pbl_reverse, min_overlap)
-        ).when(
-            F.col("junction") == "PBR", suffix_cut(s2, junctions.pbr_reverse, min_overlap)
-        ).otherwise(F.length(s2))
-        out = _cut(out, 2, kept)
-    return out
+        cuts |= {c: F.substr(F.col(c), F.lit(1), F.col("_found.keep")) for c in ("seq2", "qual2")}
+    return out.withColumns(cuts).drop("_found")
 
 
 def base_quality_profile(
@@ -117,7 +103,8 @@ def overrepresented_sequences(
     counts = fastq.groupBy(*by, F.col(f"seq{mate}").alias("sequence")).agg(
         F.count(F.lit(1)).alias("reads")
     )
-    totals = fastq.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
+    # From the counts, so the reads are scanned once where Spark reuses the exchange.
+    totals = counts.groupBy(*by).agg(F.sum("reads").alias("_total"))
     joined = join_keys(counts, totals, list(by)) if by else counts.withColumn(
         "_total", totals.select("_total").scalar()
     )

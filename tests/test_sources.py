@@ -144,6 +144,36 @@ def test_junction_labels(spark):
     assert got["edit"] == ("PBL", body) and got["short"][0] == got["none"][0] == "unknown"
 
 
+def test_junctions_with_edits_on_both_mates(spark):
+    import random
+    rng, j = random.Random(4), Junctions()
+    dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+
+    def edited(s, kind):
+        p = rng.randrange(6, len(s) - 6)
+        return {0: s, 1: s[:p] + rng.choice([c for c in "ACGT" if c != s[p]]) + s[p + 1:], 2: s[:p] + rng.choice("ACGT") + s[p:], 3: s[:p] + s[p + 1:]}[kind]
+
+    data, want = [], {}
+    for i in range(240):
+        name, front, back = (("PBL", j.pbl, j.pbl_reverse), ("PBR", j.pbr, j.pbr_reverse))[i % 2]
+        lead, body, mate = dna(rng.randrange(12)), dna(50), dna(40)
+        s1, s2 = lead + edited(front, i % 4) + body, mate + edited(back, i // 4 % 4) + dna(rng.randrange(8))
+        data.append((i, s1, "I" * len(s1), s2, "I" * len(s2)))
+        want[i] = (name, body, mate)
+    df = spark.createDataFrame(data, "i int, seq1 string, qual1 string, seq2 string, qual2 string")
+    got = {r["i"]: (r["junction"], r["seq1"], r["seq2"]) for r in fq.junction_classify(df).collect()}
+    assert got == want
+
+
+def test_adapters_with_edits(spark):
+    j = Junctions()
+    body, a = "ACGTTGCAACGTTGCAGGCA", j.adapter_r1
+    reads = {"whole": body + a + "TT", "cut": body + a[:6], "edit": body + a[:8] + "A" + a[9:], "tail": body + a[:7] + "G" + a[8:14], "none": body}
+    df = spark.createDataFrame([(n, s, "I" * len(s)) for n, s in reads.items()], "name string, seq1 string, qual1 string")
+    got = {r["name"]: (r["seq1"], len(r["qual1"])) for r in fq.adapter_trim(df).collect()}
+    assert set(got.values()) == {(body, len(body))}
+
+
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     schema = "Sample string, Timepoint string, Fragment string, R1_Chrom string, R1_Strand string, R1_Ref_Start long, R1_Ref_End long"
     data = [("S", "t", "PBL" if i % 2 else "PBR", "I", "+-"[i % 2], (i % 5) * 10, (i % 5) * 10 + 60) for i in range(100)]
