@@ -75,6 +75,21 @@ class Best:
             self.full[i] = len(top)
 
 
+def _exact(queries: np.ndarray, rows: np.ndarray, alive: np.ndarray, exact: bool) -> Iterator[tuple[np.ndarray, ...]]:
+    """(query, row, score) of the survivors: side by side where many survive, pair by pair where few do."""
+    kind = np.float64 if exact else np.int64
+    if alive.sum() > 0.01 * alive.size:
+        some_q, some_r = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+        scores = queries[some_q].astype(kind) @ rows[some_r].astype(kind).T
+        q, r = np.nonzero(alive[np.ix_(some_q, some_r)])
+        yield some_q[q], some_r[r], scores[q, r].astype(np.int64)
+        return
+    q, r = np.nonzero(alive)
+    for a in range(0, len(q), 1 << 16):
+        x, y = q[a : a + (1 << 16)], r[a : a + (1 << 16)]
+        yield x, y, np.einsum("ij,ij->i", queries[x].astype(kind), rows[y].astype(kind)).astype(np.int64)
+
+
 def search(queries: np.ndarray, query_ids: np.ndarray, blocks: Iterator[tuple[np.ndarray, np.ndarray]], k: int) -> Best:
     """Best rows of some blocks for each query."""
     best = Best(len(queries), k)
@@ -92,14 +107,9 @@ def search(queries: np.ndarray, query_ids: np.ndarray, blocks: Iterator[tuple[np
                 if not alive.any():
                     break
                 alive &= _slack(qs[lo:hi] @ vs.T) >= floor[:, None]
-            q, r = np.nonzero(alive)
-            for a in range(0, len(q), 1 << 16):
-                x, y = queries[lo + q[a : a + (1 << 16)]], rows[r[a : a + (1 << 16)]]
-                if exact:
-                    scores = np.einsum("ij,ij->i", x, y).astype(np.int64)
-                else:
-                    scores = np.einsum("ij,ij->i", x.astype(np.int64), y.astype(np.int64))
-                best.add(lo + q[a : a + (1 << 16)], ids[r[a : a + (1 << 16)]], scores)
+            for q, r, scores in _exact(queries[lo:hi], rows, alive, exact):
+                good = scores >= floor[q]
+                best.add(lo + q[good], ids[r[good]], scores[good])
     return best
 
 
