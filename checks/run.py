@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from checks import load_all
 from checks.framework import CHECKS, spark_query
 from checks.views import TABLES
+from hopscan.session import use_temporary_folder
 
 
 def session() -> SparkSession:
@@ -22,6 +23,7 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_temporary_folder(spark)
     return spark
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from hopscan.session import use_temporary_folder
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,6 +18,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    use_temporary_folder(session)
     yield session
     session.stop()
 
