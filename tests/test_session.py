@@ -16,7 +16,10 @@ def test_a_run_leaves_nothing(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-def test_the_folder_must_be_named(spark):
-    other = spark.newSession()  # does not share what was set at run time
+def test_the_folder_must_be_named():
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(other)
+        session.shared_folder(Unset)
