@@ -90,10 +90,15 @@ def _(s: Inputs) -> DataFrame:
     return s.filtered
 
 
-@check("valid_insertion_rows", """select R1_Chrom, R1_Strand, count(*) as n from v_reads
- where R1_Chrom is not null and R1_Ref_Start is not null and R1_Ref_End is not null and R1_Strand in ('+','-') group by 1,2""")
+# Every seventh row lacks something: contig, strand, start or end.
+_SPOILED = """select QueryName, Sample, Timepoint, Fragment, case when R1_MAPQ % 7=1 then null else R1_Chrom end as R1_Chrom, case when R1_MAPQ % 7=2 then '*' else R1_Strand end as R1_Strand,
+ case when R1_MAPQ % 7=3 then null else R1_Ref_Start end as R1_Ref_Start, case when R1_MAPQ % 7=4 then null else R1_Ref_End end as R1_Ref_End from v_reads"""
+
+
+@check("valid_insertion_rows", f"""select QueryName, R1_Chrom, R1_Strand from ({_SPOILED}) p
+ where R1_Chrom is not null and R1_Ref_Start is not null and R1_Ref_End is not null and R1_Strand in ('+','-')""")
 def _(s: Inputs) -> DataFrame:
-    return rd.valid_insertion_rows(s.reads).groupBy("R1_Chrom", "R1_Strand").agg(F.count(F.lit(1)).alias("n"))
+    return rd.valid_insertion_rows(s.sql(_SPOILED)).select("QueryName", "R1_Chrom", "R1_Strand")
 
 
 @check("insertion_coordinate", """select QueryName, R1_Chrom as Chr, case when R1_Strand='+' then R1_Ref_Start+4 else R1_Ref_End end as Coordinate,
@@ -160,10 +165,11 @@ _FLIP = "case Strand when '-' then '+' else '-' end"
 
 
 @check("key_intersection", f"""select Chr, Coordinate, {_FLIP} as Strand from v_hard where Sample='S0'
- intersect select Chr, Coordinate, Strand from v_hard where Sample='S1'""")
+ intersect select Chr, Coordinate, Strand from v_hard where Sample='S1' intersect select Chr, Coordinate, Strand from v_hard where Sample='S2'""")
 def _(s: Inputs) -> DataFrame:
     one = s.hard.filter(F.col("Sample") == "S0").withColumn("Strand", fa.flip_strand(F.col("Strand")))
-    return st.key_intersection(one, s.hard.filter(F.col("Sample") == "S1"), SITE)
+    two = st.key_intersection(one, s.hard.filter(F.col("Sample") == "S1"), SITE)
+    return st.key_intersection(two, s.hard.filter(F.col("Sample") == "S2"), SITE)
 
 
 @check("key_difference", f"select distinct Chr, Coordinate, Strand from v_hard except ({_INSIDE})")
@@ -229,11 +235,13 @@ def _(s: Inputs) -> DataFrame:
 
 
 @check("site_stats", f"""
-select count(*) as total_rows, count(*) as valid_rows, cast(count(distinct concat(R1_Chrom,':',cast(case when R1_Strand='+' then R1_Ref_Start+4 else R1_Ref_End end as string))) as bigint) as unique_sites,
- cast(sum(case when R1_Strand='+' then 1 else 0 end) as bigint) as plus_reads, cast(sum(case when R1_Strand='-' then 1 else 0 end) as bigint) as minus_reads,
- cast(0 as bigint) as invalid_rows, {R('100')} as validity_rate from v_filt""")
+with p as (select *, R1_Chrom is not null and R1_Ref_Start is not null and R1_Ref_End is not null and coalesce(R1_Strand in ('+','-'), false) as ok from ({_SPOILED}) z),
+ g as (select Sample, count(*) as total_rows, sum(case when ok then 1 else 0 end) as valid_rows, count(distinct case when ok then concat(R1_Chrom,':',cast(case when R1_Strand='+' then R1_Ref_Start+4 else R1_Ref_End end as string)) end) as unique_sites,
+  sum(case when ok and R1_Strand='+' then 1 else 0 end) as plus_reads, sum(case when ok and R1_Strand='-' then 1 else 0 end) as minus_reads from p group by 1)
+select Sample, total_rows, cast(valid_rows as bigint) as valid_rows, cast(unique_sites as bigint) as unique_sites, cast(plus_reads as bigint) as plus_reads, cast(minus_reads as bigint) as minus_reads,
+ cast(total_rows-valid_rows as bigint) as invalid_rows, {R('100.0*valid_rows/total_rows')} as validity_rate from g""")
 def _(s: Inputs) -> DataFrame:
-    return sm.site_stats(s.filtered)
+    return sm.site_stats(s.sql(_SPOILED), ["Sample"])
 
 
 @check("merge_summary", f"""

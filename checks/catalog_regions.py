@@ -51,9 +51,9 @@ def _(s: Inputs) -> DataFrame:
     return s.annotated.select(*SITE, "Systematic_ID", "Feature", "Residue_affected", "Residue_frame")
 
 
-@check("insertion_direction", "select Insertion_direction, count(*) as n from v_ann_all group by 1")
+@check("insertion_direction", "select Chr, Coordinate, Strand, Systematic_ID, Insertion_direction from v_ann_all")
 def _(s: Inputs) -> DataFrame:
-    return s.annotated.groupBy("Insertion_direction").agg(F.count(F.lit(1)).alias("n"))
+    return s.annotated.select("Chr", "Coordinate", "Strand", "Systematic_ID", "Insertion_direction")
 
 
 @check("in_gene_filter", "select * from v_ann where Type<>'Intergenic region' and Distance_to_stop_codon>4")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from checks.framework import CONFIG, R, Inputs, check
+from checks.framework import CHECKS, CONFIG, Check, R, Inputs, check
 from checks.views import GENERATIONS, TIMEPOINTS
 from hopscan.config import SITE
 from hopscan.functions import curve as fc, statistics as fs
 from hopscan.operators import (
-    curves as cv, density as dn, genes as gn, ordered as od, replicates as rp, scoring as sc,
+    curves as cv, density as dn, genes as gn, ordered as od, reads as rd, replicates as rp, scoring as sc,
     sites as st, summaries as sm,
 )
 from hopscan.plans.qc import qc_report
@@ -454,6 +454,16 @@ def _(s: Inputs) -> DataFrame:
                       "total_reads", "ends_points", "orientation_points")
 
 
+def _same_as(name: str, other: str, query) -> None:
+    """A query that must give the rows of another one's SQL."""
+    CHECKS[name] = Check(query, CHECKS[other].sql)
+
+
+_same_as("qc_report_retention", "filter_retention", lambda s: qc_report(s.reads, s.counts, CONFIG)["retention"])
+_same_as("qc_report_merge", "count_insertions", lambda s: st.insertions_of(
+    st.site_table(s.reads, rd.pair_condition(CONFIG.pair_filter))))
+
+
 @check("incremental_site_count", "select * from v_sites")
 def _(s: Inputs) -> DataFrame:
     root = s.scratch

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from hopscan.config import KEY
-from hopscan.operators.reads import valid_insertion_rows, with_coordinate
+from hopscan.operators.reads import valid_condition, valid_insertion_rows, with_coordinate
 
 LIBRARY = ("Sample", "Timepoint")
 
@@ -70,6 +70,40 @@ def count_insertions(pairs: DataFrame, by: Sequence[str] = LIBRARY) -> DataFrame
     return _crossed_rows(wide, by)
 
 
+def site_table(
+    pairs: DataFrame, kept: Column, by: Sequence[str] = LIBRARY
+) -> DataFrame:
+    """Pairs per library, fragment and site, counted once for all quality figures.
+
+    ``kept`` says which pairs pass the filter. Pairs that do not, or have no valid site, stand at
+    the NULL site; counting combines map-side, so that site is no burden.
+    """
+    passed = F.coalesce(kept, F.lit(False))
+    valid = passed & F.coalesce(valid_condition(), F.lit(False))
+    rows = with_coordinate(pairs).select(
+        *by, "Fragment", passed.alias("_kept"), valid.alias("_valid"), "Strand",
+        F.when(valid, F.col("Chr")).alias("Chr"), F.when(valid, F.col("Coordinate")).alias("Coordinate"),
+    )
+    return rows.groupBy(*by, "Fragment", "Chr", "Coordinate").agg(
+        F.count(F.lit(1)).alias("pairs"), count_where(F.col("_kept")).alias("kept"),
+        count_where(F.col("_valid") & (F.col("Strand") == "+")).alias("plus"),
+        count_where(F.col("_valid") & (F.col("Strand") == "-")).alias("minus"),
+    )
+
+
+def insertions_of(table: DataFrame, by: Sequence[str] = LIBRARY) -> DataFrame:
+    """``count_insertions`` from a ``site_table``."""
+
+    def total(fragment: str, strand: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("Fragment") == fragment, F.col(strand))), F.lit(0)).alias(f"{fragment}_{strand}")
+
+    at_site = table.filter(F.col("Chr").isNotNull() & F.col("Fragment").isin("PBL", "PBR"))
+    wide = at_site.groupBy(*by, "Chr", "Coordinate").agg(
+        *[total(f, s) for f in ("PBL", "PBR") for s in ("plus", "minus")]
+    )
+    return _crossed_rows(wide, by)
+
+
 def union_strands(plus: DataFrame, minus: DataFrame) -> DataFrame:
     """Stack the two strand halves."""
     return plus.unionByName(minus)

@@ -36,7 +36,23 @@ def filter_retention(
             count_where(mine).alias(f"original_read_pairs_{low}"),
             count_where(mine & kept).alias(f"filtered_read_pairs_{low}"),
         ]
-    out = pairs.groupBy(*by).agg(*aggs)
+    return _with_rates(pairs.groupBy(*by).agg(*aggs))
+
+
+def retention_of(table: DataFrame, by: Sequence[str] = ("Sample", "Timepoint")) -> DataFrame:
+    """``filter_retention`` from a ``site_table``."""
+    aggs = []
+    for fragment in ("PBL", "PBR"):
+        mine = F.col("Fragment") == fragment
+        low = fragment.lower()
+        aggs += [
+            total(F.when(mine, F.col("pairs"))).alias(f"original_read_pairs_{low}"),
+            total(F.when(mine, F.col("kept"))).alias(f"filtered_read_pairs_{low}"),
+        ]
+    return _with_rates(table.groupBy(*by).agg(*aggs))
+
+
+def _with_rates(out: DataFrame) -> DataFrame:
     for low in ("pbl", "pbr"):
         o, f = F.col(f"original_read_pairs_{low}"), F.col(f"filtered_read_pairs_{low}")
         out = out.withColumn(f"removed_read_pairs_{low}", o - f)
@@ -77,6 +93,19 @@ def site_stats(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             count_where(F.col("_valid") & (F.col("Strand") == "-")).alias("_minus"),
         )
     )
+    return _site_totals(sites, by)
+
+
+def site_stats_of(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``site_stats`` of the kept pairs of a ``site_table``."""
+    sites = table.groupBy(*by, "Chr", "Coordinate").agg(
+        total("kept").alias("_rows"), total(F.col("plus") + F.col("minus")).alias("_ok"),
+        total("plus").alias("_plus"), total("minus").alias("_minus"),
+    )
+    return _site_totals(sites, by)
+
+
+def _site_totals(sites: DataFrame, by: Sequence[str]) -> DataFrame:
     out = sites.groupBy(*by).agg(
         total("_rows").alias("total_rows"),
         total("_ok").alias("valid_rows"),

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hopscan.config import SITE, RunConfig
 from hopscan.operators import quality as ql, summaries as sm
-from hopscan.operators.sites import LIBRARY, count_insertions
-from hopscan.operators.reads import filter_read_pairs
+from hopscan.operators.reads import pair_condition
+from hopscan.operators.sites import LIBRARY, insertions_of, site_table
+from hopscan.session import checkpointed
 
 
 def qc_report(
@@ -19,11 +20,12 @@ def qc_report(
     library columns.
     """
     key = [k for k in cfg.key if k in counts.columns] or list(SITE)
-    kept = filter_read_pairs(pairs, cfg.pair_filter)
-    merged = count_insertions(kept)
+    # The reads are scanned once, when this is called: all their figures come from stored site counts.
+    sites = checkpointed(site_table(pairs, pair_condition(cfg.pair_filter)))
+    merged = insertions_of(sites)
     tables = {
-        "retention": sm.filter_retention(pairs, cfg.pair_filter),
-        "sites": sm.site_stats(kept, LIBRARY),
+        "retention": sm.retention_of(sites),
+        "sites": sm.site_stats_of(sites, LIBRARY),
         "merge": sm.merge_summary(merged, LIBRARY),
         "ends": ql.pair_correlation(merged, "PBL", "PBR", LIBRARY),
         "orientation": ql.orientation_correlation(counts, key),

@@ -31,8 +31,9 @@ def score_no_replicates(counts: DataFrame, ann: DataFrame, cfg: RunConfig) -> di
     key = cfg.key
     # Both tables are small next to the reads they come from and are used several times.
     counts, ann = checkpointed(counts), checkpointed(ann)
-    controls = sc.select_controls(counts, ann, cfg.boundary_distance, key)
-    scores = sc.ma_scores(counts, controls, cfg.initial, key)
+    # Scores, fits and genes all need them: computed once.
+    controls = checkpointed(sc.select_controls(counts, ann, cfg.boundary_distance, key))
+    scores = checkpointed(sc.ma_scores(counts, controls, cfg.initial, key))
     out = {"controls": controls, "scores": scores}
     if not cfg.generations:
         return out

@@ -7,6 +7,7 @@ from conftest import rows
 from hopscan.config import SITE, MateThresholds, PairFilter, RunConfig
 from hopscan.functions import alignment as al
 from hopscan.operators import reads as rd, sites as st, summaries as sm
+from hopscan.session import checkpointed
 from hopscan.sources.alignments import parse_alignments
 
 PAIR = "R1_MAPQ bigint, R1_NCIGAR bigint, R1_NM string, R1_SA string, R1_XA string, R2_MAPQ bigint, " \
@@ -147,3 +148,17 @@ def test_config_checks():
         RunConfig(timepoints=("a",), initial="b")
     with pytest.raises(ValueError):
         RunConfig(timepoints=("a", "b"), initial="a", generations={"a": 0, "b": 1})
+
+
+def test_quality_figures_do_not_read_the_pairs_again(spark, tmp_path):
+    schema = "Sample string, Timepoint string, Fragment string, R1_Chrom string, R1_Strand string, R1_Ref_Start long, R1_Ref_End long, ok boolean"
+    data = [("S", "t", "PBL" if i % 2 else "PBR", None if i % 9 == 0 else "I", "+-"[i % 2], (i % 5) * 10, (i % 5) * 10 + 60, i % 4 > 0) for i in range(200)]
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "pairs"))
+    pairs = spark.read.parquet(str(tmp_path / "pairs"))
+    table = checkpointed(st.site_table(pairs, F.col("ok")))
+    kept = pairs.filter("ok")
+    assert rows(st.insertions_of(table)) == rows(st.count_insertions(kept))
+    assert rows(sm.site_stats_of(table, ["Sample"])) == rows(sm.site_stats(kept, ["Sample"]))
+    for figure in (st.insertions_of(table), sm.site_stats_of(table), sm.retention_of(table)):
+        assert not any("/pairs/" in f for f in figure.inputFiles())
+    assert sm.retention_of(table).first()["total_filtered_pairs"] == kept.count()
