@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hopscan.llm.encoder import Encoder, encoder, vocabulary_path
 from hopscan.llm.store import text_bytes
-from hopscan.llm.suffix_sort import prefix_hashes, substring_hashes
+from hopscan.llm.suffix_sort import prefix_hashes, rolling_hashes
 from hopscan.llm.textbytes import buffers
 
 WINDOW, CHUNK_BITS, LEAST = 32, 10, 256
@@ -42,7 +42,7 @@ def chunk_ends(data: np.ndarray) -> list[int]:
     n = len(data)
     if n <= WINDOW + LEAST:
         return [n] if n else []
-    rolled = substring_hashes(prefix_hashes(data), np.arange(n - WINDOW + 1), WINDOW)
+    rolled = rolling_hashes(prefix_hashes(data), WINDOW)
     places = np.flatnonzero(rolled >> np.uint64(64 - CHUNK_BITS) == 0) + WINDOW
     ends, last = [], 0
     for p in places.tolist():

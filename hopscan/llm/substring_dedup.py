@@ -28,19 +28,23 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from hopscan.llm.kneser_ney import PARTIAL, _bits, _cut, _partials, _summed
 from hopscan.llm.store import array_files, mapped, new_folder, text_bytes, write_arrays
-from hopscan.llm.suffix_sort import Suffixes, prefix_hashes, substring_hashes, window_hashes
+from hopscan.llm.suffix_sort import Suffixes, prefix_hashes, rolling_hashes, substring_hashes, window_hashes
 from hopscan.llm.textbytes import Tally, mix, pack, slices, unpack
 
-LENGTH, KMER = 50, 26
+LENGTH, KMER = 50, 32
 WINDOW = LENGTH - KMER + 1
+#: Bytes of the longest context; shorter ones are padded.
+WIDTH = LENGTH + WINDOW - 1
 HOT = 200_000
-SHARD_BYTES = 32 << 20
-FLUSH = 64 << 20
-_LOW = np.uint64(0xFFFFFFFF)
+SHARD_BYTES = 8 << 20
+FLUSH = 16 << 20
+SLICE = 1 << 19
+_LOW, _SALT = np.uint64(0xFFFFFFFF), np.uint64(0xA5A5A5A55A5A5A5A)
 
 
 @dataclass
@@ -60,8 +64,9 @@ def anchors(data: np.ndarray, at: np.ndarray) -> Anchors | None:
     if n < LENGTH:
         return None
     sums = prefix_hashes(data)
-    kmers = mix(substring_hashes(sums, np.arange(n - KMER + 1), KMER))
-    least = (kmers & ~_LOW) | np.arange(len(kmers), dtype=np.uint64)
+    kmers = rolling_hashes(sums, KMER)
+    least = kmers & ~_LOW
+    least |= np.arange(len(kmers), dtype=np.uint64)
     width = 1
     while 2 * width <= WINDOW:
         least = np.minimum(least[:-width], least[width:])
@@ -83,7 +88,8 @@ def anchors(data: np.ndarray, at: np.ndarray) -> Anchors | None:
     size = last - first + LENGTH
     shape = ((size << 8) | (anchor - first)).astype(np.uint64)
     context = mix(substring_hashes(sums, first, size) ^ mix(shape))
-    return Anchors(sums, kmers[anchor], np.searchsorted(at, first, side="right") - 1, first, last, context)
+    # Mixed again: smallest hashes would all fall into the first shards.
+    return Anchors(sums, mix(kmers[anchor] ^ _SALT), np.searchsorted(at, first, side="right") - 1, first, last, context)
 
 
 @dataclass
@@ -114,10 +120,12 @@ class Lookup:
 
 
 def _gather(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Bytes of several spans one after the other."""
-    ends = np.cumsum(size)
-    at = np.arange(ends[-1] if len(ends) else 0)
-    return data[at + np.repeat(first - (ends - size), size)]
+    """Rows of WIDTH bytes: the spans of some sizes, padded with zeros."""
+    out, span = np.zeros((len(first), WIDTH), np.uint8), np.arange(WIDTH)
+    for i in range(0, len(first), 1 << 14):
+        at = np.minimum(first[i : i + (1 << 14), None] + span, len(data) - 1)
+        out[i : i + (1 << 14)] = np.where(span < size[i : i + (1 << 14), None], data[at], 0)
+    return out
 
 
 def shared_anchors(texts: DataFrame, bits: int) -> Lookup:
@@ -126,7 +134,7 @@ def shared_anchors(texts: DataFrame, bits: int) -> Lookup:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
         for batch in batches:
-            for _, _, data, at in slices(batch.column(1)):
+            for _, _, data, at in slices(batch.column(1), SLICE):
                 found = anchors(data, at)
                 if found is None:
                     continue
@@ -151,18 +159,14 @@ def shared_anchors(texts: DataFrame, bits: int) -> Lookup:
 CONTEXTS = "shard int, anchor binary, context binary, doc binary, n binary, size binary, bytes binary"
 
 
-def _distinct(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...] | None:
+def _distinct(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Rows (anchor, context, doc, n, size, bytes) with one row per context: smallest doc, all occurrences."""
-    if not rows:
-        return None
-    anchor, context, doc, n, size = (np.concatenate([r[i] for r in rows]) for i in range(5))
-    data = np.concatenate([r[5] for r in rows])
-    begins = np.cumsum(size) - size
+    anchor, context, doc, n, size, data = (np.concatenate([r[i] for r in rows]) for i in range(6))
     order = np.lexsort((doc, context, anchor))
     a, c = anchor[order], context[order]
     first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])]))
     one = order[first]
-    return (anchor[one], context[one], doc[one], np.add.reduceat(n[order], first), size[one], _gather(data, begins[one], size[one]))
+    return anchor[one], context[one], doc[one], np.add.reduceat(n[order], first), size[one], data[one]
 
 
 def _strings(found: Anchors, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,46 +176,43 @@ def _strings(found: Anchors, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + found.first[owner], owner
 
 
-def _contexts(texts: DataFrame, shared: Lookup, bits: int) -> DataFrame:
-    """Contexts of shared anchors, once per task."""
+def _contexts(texts: DataFrame, shared: Lookup, bits: int, most: int) -> DataFrame:
+    """Contexts of shared anchors, once per task; strings of anchors of more than ``most`` occurrences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[np.ndarray, ...]] = []
         held = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            got = _distinct(rows)
-            if got is None:
+            if not sum(len(r[0]) for r in rows):
                 return
-            anchor, context, doc, n, size, data = got
-            ends = np.cumsum(size)
+            anchor, context, doc, n, size, data = _distinct(rows)
             for shard, p in _cut(anchor, bits):
-                span = slice(ends[p.start] - size[p.start], ends[p.stop - 1])
                 yield pa.RecordBatch.from_pydict({
                     "shard": pa.array([shard], pa.int32()), "anchor": [pack(anchor[p])], "context": [context[p].tobytes()],
                     "doc": [doc[p].tobytes()], "n": [n[p].tobytes()], "size": [size[p].astype(np.uint16).tobytes()],
-                    "bytes": [data[span].tobytes()]})
+                    "bytes": [zstandard.compress(data[p].tobytes(), 3)]})
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for first, _, data, at in slices(batch.column(1)):
+            for first, _, data, at in slices(batch.column(1), SLICE):
                 found = anchors(data, at)
                 if found is None:
                     continue
                 n = shared.of(found.kmer, 0)
                 doc = ids[first + found.row]
-                which = np.flatnonzero((n > 0) & (n <= HOT))
+                which = np.flatnonzero((n > 0) & (n <= most))
                 size = found.last[which] - found.first[which] + LENGTH
                 new = [(found.kmer[which], found.context[which], doc[which], np.ones(len(which), np.int64), size,
                         _gather(data, found.first[which], size))]
-                hot = np.flatnonzero(n > HOT)
+                hot = np.flatnonzero(n > most)
                 if len(hot):
                     at_, owner = _strings(found, hot)
                     key = window_hashes(found.sums, at_, LENGTH)
                     size = np.full(len(at_), LENGTH)
                     new.append((key, key, doc[owner], np.ones(len(at_), np.int64), size, _gather(data, at_, size)))
                 rows += new
-                held += sum(len(r[5]) + 40 * len(r[0]) for r in new)
+                held += sum((WIDTH + 40) * len(r[0]) for r in new)
                 if held > FLUSH:
                     yield from out()
                     rows, held = [], 0
@@ -226,21 +227,25 @@ OF_CONTEXT, OF_STRING, MIXED = 0, 1, 2
 
 def _resolved(pdf: pd.DataFrame, bits: int) -> pd.DataFrame:
     """Smallest doc_id of contexts and strings of one anchor shard, dealt by key."""
-    got = _distinct([
+    anchor, context, doc, n, size, data = _distinct([
         (unpack(r.anchor), np.frombuffer(r.context, np.uint64), np.frombuffer(r.doc, np.int64), np.frombuffer(r.n, np.int64),
-         np.frombuffer(r.size, np.uint16).astype(np.int64), np.frombuffer(r.bytes, np.uint8)) for r in pdf.itertuples()])
-    anchor, context, doc, n, size, data = got
+         np.frombuffer(r.size, np.uint16).astype(np.int64), np.frombuffer(zstandard.decompress(r.bytes), np.uint8).reshape(-1, WIDTH))
+        for r in pdf.itertuples()])
     many = n > 1
     out = [(OF_CONTEXT, context[many], doc[many])]
     begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(anchor))))
     several = np.bincount(group)[group] > 1
     if several.any():
-        begins = (np.cumsum(size) - size)[several]
         count = size[several] - LENGTH + 1
         owner = np.repeat(np.flatnonzero(several), count)
-        starts = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begins, count)
-        suffixes = Suffixes(data, LENGTH)
+        begins = np.repeat(np.arange(several.sum()) * WIDTH, count)
+        starts = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + begins
+        suffixes = Suffixes(data[several].ravel(), LENGTH)
+        # A string whose hash stands alone equals no other: only the others are sorted.
+        _, back, times = np.unique(window_hashes(suffixes.sums, starts, LENGTH), return_inverse=True, return_counts=True)
+        again = times[back] > 1
+        starts, owner = starts[again], owner[again]
         order, run = suffixes.runs(starts, group[owner])
         docs = doc[owner[order]]
         first = np.flatnonzero(np.diff(run, prepend=-1))
@@ -276,6 +281,7 @@ class Index:
     contexts: Lookup
     strings: Lookup
     mixed: Lookup
+    hot: int
 
     def removed(self, data: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Which bytes of a run of texts go; ids: doc_id of each row."""
@@ -285,14 +291,14 @@ class Index:
             none = np.iinfo(np.int64).max
             n = self.shared.of(found.kmer, 0)
             doc = ids[found.row]
-            cold = np.flatnonzero((n > 0) & (n <= HOT))
+            cold = np.flatnonzero((n > 0) & (n <= self.hot))
             before = self.contexts.of(found.context[cold], none) < doc[cold]
             whole = cold[before]
             np.add.at(change, found.first[whole], 1)
             np.add.at(change, found.last[whole] + LENGTH, -1)
             rest = cold[~before]
             rest = rest[self.mixed.of(found.kmer[rest], -1) >= 0]
-            for which, table in ((rest, self.strings), (np.flatnonzero(n > HOT), self.contexts)):
+            for which, table in ((rest, self.strings), (np.flatnonzero(n > self.hot), self.contexts)):
                 starts, owner = _strings(found, which)
                 cut = starts[table.of(window_hashes(found.sums, starts, LENGTH), none) < doc[owner]]
                 np.add.at(change, cut, 1)
@@ -300,33 +306,33 @@ class Index:
         return np.cumsum(change[:-1]) > 0
 
 
-def build(docs: DataFrame) -> Index:
+def build(docs: DataFrame, hot: int = HOT) -> Index:
     """Index of all strings that stand in two documents or more."""
     spark, n = docs.sparkSession, text_bytes(docs)
     bits = _bits(n, SHARD_BYTES)
     texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shared = shared_anchors(texts, bits)
-    partial = _contexts(texts, shared, bits).groupBy("shard").applyInPandas(
+    partial = _contexts(texts, shared, bits, hot).groupBy("shard").applyInPandas(
         lambda pdf: _resolved(pdf, bits), "shard int, keys binary, docs binary")
     folder = new_folder(spark, "strings")
     write_arrays(partial.groupBy("shard").applyInPandas(_entries, "shard int, data binary"), folder)
     files = array_files(spark, folder)
     of = lambda kind: Lookup({s // 4: p for s, p in files.items() if s % 4 == kind}, bits, np.dtype(np.int64))
-    return Index(shared, of(OF_CONTEXT), of(OF_STRING), of(MIXED))
+    return Index(shared, of(OF_CONTEXT), of(OF_STRING), of(MIXED), hot)
 
 
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def deduplicate(docs: DataFrame, with_text: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, with_text: bool = False, hot: int = HOT) -> DataFrame:
     """Figures of every row and, on request, the bytes that stay."""
-    index = build(docs)
+    index = build(docs, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = np.where(known, batch.column(0).fill_null(0).to_numpy(), np.iinfo(np.int64).min)
-            for first, end, data, at in slices(batch.column(1)):
+            for first, end, data, at in slices(batch.column(1), SLICE):
                 gone = index.removed(data, at, ids[first:end])
                 begins = gone.copy()
                 begins[1:] &= ~gone[:-1]

@@ -117,5 +117,12 @@ class Suffixes:
         return order, np.cumsum(~same) - 1
 
 
+def rolling_hashes(sums: np.ndarray, length: int) -> np.ndarray:
+    """Mixed hashes of all substrings of one length, in place order."""
+    out = sums[length:] - sums[:-length]
+    out *= inverse_powers(len(sums))[: len(out)]
+    return mix(out)
+
+
 def window_hashes(sums: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return mix(substring_hashes(sums, at, length))

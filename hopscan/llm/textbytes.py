@@ -36,7 +36,7 @@ def powers(n: int) -> np.ndarray:
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads every input bit."""
     x = x ^ (x >> _S33)
-    x = x * _M1
+    x *= _M1
     x ^= x >> _S33
     x *= _M2
     x ^= x >> _S33
@@ -46,7 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def unmix(x: np.ndarray) -> np.ndarray:
     """The inverse of ``mix``."""
     x = x ^ (x >> _S33)
-    x = x * _R2
+    x *= _R2
     x ^= x >> _S33
     x *= _R1
     x ^= x >> _S33
@@ -67,7 +67,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of about ``limit`` bytes, never less than one whole row: first, end, bytes, offsets."""
     data, at = buffers(column)
     first, n = 0, len(at) - 1

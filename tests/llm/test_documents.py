@@ -182,7 +182,7 @@ def test_a_large_group_of_near_copies(spark):
     assert got == {d: c for (d, _), c in zip(rows, want, strict=True)}
 
 
-def test_cut_strings(varied, odd, none, monkeypatch):
+def test_cut_strings(varied, odd, none):
     for df, rows in (varied, odd):
         want = sorted(((d, n, r, s, brute.sha(k)) for (d, *_), (n, r, s, k) in zip(rows, brute.cut_strings([x[:2] for x in rows]), strict=True)), key=str)
         assert sorted((tuple(r) for r in substring_dedup.deduplicate(df).collect()), key=str) == want
@@ -210,11 +210,7 @@ def test_hot_anchors_are_dealt_string_by_string(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     want = sorted((d, n, r, s, brute.sha(k)) for (d, _), (n, r, s, k) in zip(rows, brute.cut_strings(rows), strict=True))
     for hot in (substring_dedup.HOT, 3):
-        substring_dedup.HOT, before = hot, substring_dedup.HOT
-        try:
-            assert sorted(tuple(r) for r in substring_dedup.deduplicate(df).collect()) == want
-        finally:
-            substring_dedup.HOT = before
+        assert sorted(tuple(r) for r in substring_dedup.deduplicate(df, hot=hot).collect()) == want
 
 
 def test_mix_meets_its_targets(varied, odd, none):
