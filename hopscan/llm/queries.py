@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hopscan.llm.oracles import SQL
 from hopscan.llm import bpe_chunks, kneser_ney, mixing, near_dedup, pii, ppm_language, quality_rules, substring_dedup, token_files, topk
 
 
@@ -65,18 +66,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
 }
-SQL: dict[str, str] = {
-    "op7_top_k": """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
-), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 20 = 0
-), r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
-)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
-""",
-}
