@@ -71,6 +71,13 @@ def pair_status(r1: Column, r2: Column) -> Column:
     )
 
 
+def _earliest(lines: str, mate: int) -> Column:
+    """The mate's line with the smallest order; NULL without one."""
+    mine = F.filter(lines, lambda x: x["_mate"] == mate)
+    nothing = F.get(F.slice(lines, 1, 0), F.lit(0))
+    return F.aggregate(mine, nothing, lambda a, x: F.when(a.isNull() | (x["ord"] < a["ord"]), x).otherwise(a))["_line"]
+
+
 def assemble_pairs(
     aln: DataFrame, tags: Sequence[str] = TAGS, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -80,17 +87,20 @@ def assemble_pairs(
     lines, so combining before the shuffle would only add a sort of the whole input.
     """
     keys = [*by, "qname"]
-    flag = F.col("_line.flag")
+    flag = F.col("flag")
     first = al.has_bits(flag, al.READ1)
     second = al.has_bits(flag, al.READ2) & al.lacks_bits(flag, al.READ1)
+    # A name has two primary lines or few more: a short list per name needs no sort of the table,
+    # as the smallest row by order would with its text columns.
     mates = (
         primary_alignments(aln)
-        .select(*keys, "ord", F.struct(*_line_fields(tags)).alias("_line"))
+        .select(*keys, F.when(first, 1).when(second, 2).alias("_mate"), "ord", F.struct(*_line_fields(tags)).alias("_line"))
         .repartition(*keys)
         .groupBy(*keys)
-        .agg(
-            F.min_by("_line", F.when(first, F.col("ord"))).alias("R1"),
-            F.min_by("_line", F.when(second, F.col("ord"))).alias("R2"),
+        .agg(F.collect_list(F.struct("_mate", "ord", "_line")).alias("_all"))
+        .select(
+            *keys,
+            *[_earliest("_all", m).alias(f"R{m}") for m in (1, 2)],
         )
     )
     return mates.select(
