@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hopscan.llm.encoder import Encoder, encoder, vocabulary_path
-from hopscan.llm.store import text_bytes
+from hopscan.llm.store import text_bytes, tidy
 from hopscan.llm.suffix_sort import prefix_hashes, rolling_hashes
 from hopscan.llm.textbytes import buffers
 
 WINDOW, CHUNK_BITS, LEAST = 32, 10, 256
 PART_BYTES = 32 << 20
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 48 << 20
 #: ASCII white space after a character that is white space for no library.
 _SAFE = re.compile(r"(?<=\S)(?=[ \t\n\r\f\v])")
 
@@ -136,7 +136,7 @@ def route(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column(0), "text": batch.column(1), "near": pa.array(near, pa.binary())})
 
-    out = docs.select("doc_id", "text").mapInArrow(keyed, "doc_id long, text string, near binary")
+    out = docs.select("doc_id", "text").mapInArrow(tidy(keyed), "doc_id long, text string, near binary")
     return out.repartitionByRange(n, "near", "doc_id").sortWithinPartitions("near", "doc_id")
 
 
@@ -169,4 +169,4 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_ids: bool =
             yield pa.RecordBatch.from_pydict(out)
 
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return route(keys, int(n)).mapInArrow(run, OUT + (", ids binary" if with_ids else ""))
+    return route(keys, int(n)).mapInArrow(tidy(run), OUT + (", ids binary" if with_ids else ""))

@@ -71,7 +71,7 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, ids.tolist()))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder per worker and file."""
     return Encoder(path)

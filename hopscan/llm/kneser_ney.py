@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hopscan.llm.store import array_files, mapped, new_folder, text_bytes, write_arrays
+from hopscan.llm.store import array_files, mapped, new_folder, text_bytes, tidy, write_arrays
 from hopscan.llm.textbytes import Tally, mix, pack, pack_counts, slices, unmix, unpack, unpack_counts, word_hashes
 
 #: Hashes of the end and the start of a text; a word has these with the chance of any collision.
@@ -185,7 +185,7 @@ def fit(train: DataFrame) -> Model:
         yield from _partials(tally, bits)
 
     folder = new_folder(spark, "words")
-    write_arrays(texts.mapInArrow(words, PARTIAL).groupBy("shard")
+    write_arrays(texts.mapInArrow(tidy(words), PARTIAL).groupBy("shard")
                  .applyInPandas(_word_file, "shard int, data binary"), folder)
     heads = _heads(train, folder, 2)
     first, total = {}, 0
@@ -208,7 +208,7 @@ def fit(train: DataFrame) -> Model:
         yield from _partials(tally, pair_bits)
 
     folder = new_folder(spark, "pairs")
-    write_arrays(texts.mapInArrow(pairs, PARTIAL).groupBy("shard")
+    write_arrays(texts.mapInArrow(tidy(pairs), PARTIAL).groupBy("shard")
                  .applyInPandas(_pair_file, "shard int, data binary"), folder)
     heads = _heads(train, folder, 6)
     pair_files = array_files(spark, folder)
@@ -265,7 +265,7 @@ def _contexts(
         return {}, [0] * 6
     content = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
     out = new_folder(spark, "contexts")
-    write_arrays(content.mapInArrow(statistics, PARTIAL).groupBy("shard")
+    write_arrays(content.mapInArrow(tidy(statistics), PARTIAL).groupBy("shard")
                  .applyInPandas(context_file, "shard int, data binary"), out)
     heads = _heads(train, out, 6)
     return array_files(spark, out), [sum(h[i] for h in heads.values()) for i in range(6)]
@@ -369,7 +369,7 @@ def score(docs: DataFrame, model: Model, keys: str) -> DataFrame:
                         "perplexity": pa.array(10 ** (-got["score"] / got["n_tokens"]))}
                 yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select(*names, "text").mapInArrow(run, f"{keys}, {SCORES}")
+    return docs.select(*names, "text").mapInArrow(tidy(run), f"{keys}, {SCORES}")
 
 
 def language_model_scores(docs: DataFrame, parts: int = 10) -> DataFrame:

@@ -29,7 +29,7 @@ from hopscan.llm.store import checkpointed
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
-BLOCK_ROWS, SUPER_BLOCKS, SHARD_WORDS = 256, 512, 4_000_000
+BLOCK_ROWS, SUPER_BLOCKS, SHARD_WORDS = 256, 512, 1_000_000
 SEED = 20240611
 
 

@@ -25,15 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hopscan.llm.components import components
-from hopscan.llm.store import checkpointed
+from hopscan.llm.store import bound_batches, checkpointed, release, tidy
 from hopscan.llm.textbytes import mix, slices, word_hashes
 
 SHINGLE, LEAST_PERCENT = 5, 85
 BANDS, ROWS, BATCH = 24, 5, 20
 HASHES = BANDS * ROWS
 MISS = 1e-4
-#: Members of a group that meet in one task, and rows with texts that a task takes at a time.
-BLOCK, CLUSTER_ROWS = 1024, 500
+#: Members of a group that meet in one task, and rows with and without texts that a task takes at a time.
+BLOCK, CLUSTER_ROWS, BUCKET_ROWS = 1024, 500, 10_000
 _RNG = np.random.default_rng(617)
 _FACTORS = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -119,7 +119,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                 })
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("check"), "text")
-    return keyed.mapInArrow(run, "doc_id long, check long, n_shingles long, print binary, sig binary, bands array<long>")
+    return keyed.mapInArrow(tidy(run), "doc_id long, check long, n_shingles long, print binary, sig binary, bands array<long>")
 
 
 def _blocked(rows: DataFrame, group: str, parts: int) -> DataFrame:
@@ -164,7 +164,10 @@ def _forest(table: pa.Table, group: str, confirm) -> pa.Table:  # noqa: ANN001
                     label[label == label[j - lo]] = label[i - lo]
                     links.append((i, j))
     a, b = np.array(links, np.int64).reshape(-1, 2).T
-    return pa.table({"a": cols["node"][a], "b": cols["node"][b]})
+    out = pa.table({"a": cols["node"][a], "b": cols["node"][b]})
+    del sigs, cols
+    release()
+    return out
 
 
 def _likely(table: pa.Table) -> pa.Table:
@@ -196,7 +199,7 @@ def _confirmed(table: pa.Table) -> pa.Table:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, check) of every row; check is the text's hash."""
-    spark = docs.sparkSession
+    bound_batches(docs.sparkSession)
     signed = checkpointed(_signed(docs))
     with_id = signed.filter("print IS NOT NULL AND doc_id IS NOT NULL")
     classes = checkpointed(
@@ -208,7 +211,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = checkpointed(banded.join(shared, "bucket"))
     sigs = classes.select("node", "sig")
-    rows = _blocked(members.select("bucket", "node", "n").join(sigs, "node"), "bucket", max(1, members.count() // 50_000))
+    rows = _blocked(members.select("bucket", "node", "n").join(sigs, "node"), "bucket", max(1, members.count() // BUCKET_ROWS))
     likely = rows.groupBy("part").applyInArrow(_likely, "a long, b long")
     clusters = components(likely).withColumnRenamed("component", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hopscan.llm.store import checkpointed
+from hopscan.llm.store import bound_batches, checkpointed, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, LEAST_CONFIDENCE, LEAST_SUPPORT = 2, 0.8, 3
@@ -172,7 +172,7 @@ def _read(docs: DataFrame) -> DataFrame:
                 "base": pa.array(base, pa.string()), "occurrences": pa.array(seen, kind)})
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("check"), "text")
-    return keyed.mapInArrow(run, FOUND)
+    return keyed.mapInArrow(tidy(run), FOUND)
 
 
 def accepted_instances(edges: DataFrame) -> DataFrame:
@@ -197,6 +197,7 @@ def accepted_instances(edges: DataFrame) -> DataFrame:
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """Counts and digest of the rules' spans, and all spans, of every row; check is the text's hash."""
+    bound_batches(docs.sparkSession)
     rows = checkpointed(_read(docs).withColumn("row", F.monotonically_increasing_id()))
     seen = rows.select("row", F.explode("occurrences").alias("o")).select("row", "o.*")
     edges = seen.select("kind", F.explode("patterns").alias("pattern"), "value", "seed")

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hopscan.llm.kneser_ney import held_out
+from hopscan.llm.store import bound_batches, tidy
 from hopscan.llm.textbytes import Tally, pack, pack_counts, slices, unpack, unpack_counts
 
 ROWS_PER_LANGUAGE = 500
@@ -32,13 +33,15 @@ ORDER = 3
 #: Bits that tell a byte or the start of a text apart in a packed context.
 WIDTH = 9
 START = 256
+#: Bytes scored side by side.
+SLICE = 1 << 18
 UNKNOWN = "und"
 
 
 def _sequence(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     """The byte and its ORDER predecessors, nearest first, with START before a row's first byte."""
     begins = at[:-1][at[:-1] < at[1:]]
-    out = [data.astype(np.int64)]
+    out = [data.astype(np.int32)]
     for _ in range(ORDER):
         before = np.empty_like(out[0])
         before[1:] = out[-1][:-1]
@@ -58,6 +61,7 @@ class Trees:
 
 def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Trees:
     """Count the trees; what the driver gets is bounded by the sample."""
+    bound_batches(train.sparkSession)
     known = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     shares = {r.lang: min(1.0, rows_per_language / r["count"]) for r in known.groupBy("lang").count().collect()}
     if not shares:
@@ -72,7 +76,7 @@ def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Trees:
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             for lang in set(langs):
                 texts = batch.column(1).filter(pa.array(langs == lang))
-                for _, _, data, at in slices(texts):
+                for _, _, data, at in slices(texts, SLICE):
                     key = np.zeros(len(data), np.uint64)
                     for x in reversed(_sequence(data, at)):
                         key = key << np.uint64(WIDTH) | x.astype(np.uint64)
@@ -89,7 +93,7 @@ def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Trees:
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "keys": [pack(k)], "counts": [pack_counts(n)]})
 
     schema = "lang string, keys binary, counts binary"
-    rows = (sample.select("lang", "text").mapInArrow(count, schema).groupBy("lang").applyInPandas(total, schema)
+    rows = (sample.select("lang", "text").mapInArrow(tidy(count), schema).groupBy("lang").applyInPandas(total, schema)
             .orderBy("lang").collect())
     rows = [r for r in rows if len(r["keys"])]
     return Trees(*(tuple(bytes(r[c]) if c != "lang" else r[c] for r in rows) for c in ("lang", "keys", "counts")))
@@ -145,7 +149,7 @@ def _lengths(counts: list[np.ndarray], parents: list[np.ndarray], order: int, kn
     return -np.log2(np.where(out, p, escape / np.maximum(remain, 1)))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def tables(trees: Trees) -> Tables:
     """Tabulate frozen trees; size follows the contexts of the sample."""
     grams = [(unpack(k), unpack_counts(n).astype(np.float64)) for k, n in zip(trees.keys, trees.counts, strict=True)]
@@ -202,7 +206,7 @@ def _judged(text: pa.Array, letters: np.ndarray, trees: Trees) -> tuple[np.ndarr
     score, rate = np.zeros(len(text)), np.zeros(len(text))
     if trees.languages:
         names = np.array(trees.languages, dtype=object)
-        for first, end, data, at in slices(text):
+        for first, end, data, at in slices(text, SLICE):
             bits = tables(trees).lengths(data, at)
             best = bits.argmin(axis=1)
             least = bits[np.arange(len(bits)), best]
@@ -229,7 +233,7 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
                 ["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text", _letters())
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
 
 
 def keep_known(docs: DataFrame, trees: Trees) -> DataFrame:
@@ -245,7 +249,7 @@ def keep_known(docs: DataFrame, trees: Trees) -> DataFrame:
             mask = pa.array((lang != UNKNOWN) & (rate < RAW_BITS), pa.bool_())
             yield pa.RecordBatch.from_arrays([c.filter(mask) for c in columns], batch.schema.names[:-1])
 
-    return rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(tidy(run), docs.schema)
 
 
 def identify(docs: DataFrame, parts: int = 5) -> DataFrame:

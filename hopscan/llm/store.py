@@ -2,15 +2,52 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hopscan.session import checkpointed, shared_folder
 
-__all__ = ["array_files", "checkpointed", "new_folder", "mapped", "text_bytes", "write_arrays"]
+__all__ = ["array_files", "bound_batches", "checkpointed", "new_folder", "mapped", "release", "text_bytes", "tidy", "write_arrays"]
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hand rows to Python a few megabytes at a time, so that long texts do not add up in a worker.
+
+    A bound below Spark's default, as set by the user, stays.
+    """
+    if int(spark.conf.get(BATCH_BYTES).rstrip("b") or 0) >= 64 << 20:
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
+
+
+def release() -> None:
+    """Give freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a worker that lives on after the task: freed memory goes back to the system at its end."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -20,6 +57,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts, which sizes shards."""
+    bound_batches(docs.sparkSession)
     return docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
 
 

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from hopscan.llm.kneser_ney import PARTIAL, _bits, _cut, _partials, _summed
-from hopscan.llm.store import array_files, mapped, new_folder, text_bytes, write_arrays
+from hopscan.llm.store import array_files, mapped, new_folder, text_bytes, tidy, write_arrays
 from hopscan.llm.suffix_sort import Suffixes, prefix_hashes, rolling_hashes, substring_hashes, window_hashes
 from hopscan.llm.textbytes import Tally, mix, pack, slices, unpack
 
@@ -152,7 +152,7 @@ def shared_anchors(texts: DataFrame, bits: int) -> Lookup:
         return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "data": [data]})
 
     folder = new_folder(texts.sparkSession, "anchors")
-    write_arrays(texts.mapInArrow(count, PARTIAL).groupBy("shard").applyInPandas(keep, "shard int, data binary"), folder)
+    write_arrays(texts.mapInArrow(tidy(count), PARTIAL).groupBy("shard").applyInPandas(keep, "shard int, data binary"), folder)
     return Lookup(array_files(texts.sparkSession, folder), bits, np.dtype(np.uint32))
 
 
@@ -218,7 +218,7 @@ def _contexts(texts: DataFrame, shared: Lookup, bits: int, most: int) -> DataFra
                     rows, held = [], 0
         yield from out()
 
-    return texts.mapInArrow(run, CONTEXTS)
+    return texts.mapInArrow(tidy(run), CONTEXTS)
 
 
 #: What an entry of the final arrays is keyed by.
@@ -348,4 +348,4 @@ def deduplicate(docs: DataFrame, with_text: bool = False, hot: int = HOT) -> Dat
                     out["kept"] = pa.array(kept, pa.binary())
                 yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, OUT + (", kept binary" if with_text else ""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), OUT + (", kept binary" if with_text else ""))

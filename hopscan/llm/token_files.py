@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hopscan.llm.encoder import encoder, vocabulary_path
-from hopscan.llm.store import checkpointed, mapped, new_folder, text_bytes
+from hopscan.llm.store import checkpointed, mapped, new_folder, text_bytes, tidy
 from hopscan.llm.textbytes import mix
 
 SHARD_TEXT_BYTES = 32 << 20
@@ -56,7 +56,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = 2) -> np
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     (keyed.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-     .select("doc_id", "text").mapInArrow(records, "record binary")
+     .select("doc_id", "text").mapInArrow(tidy(records), "record binary")
      .select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", np.array([end_id], width).tobytes().decode("latin-1")).text(folder))
     return width
