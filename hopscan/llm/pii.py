@@ -3,10 +3,13 @@
 Rules find e-mail addresses, IPv4 addresses, card and phone numbers. These seed entities induce
 lexical patterns: the two words before them, and the words around them. Other fragments of the same
 kinds in spellings that the rules miss (``name (at) host``, ``10-0-0-7``, ``4111.1111...``, numbers
-without a plus) are candidates. Patterns and instances form a graph that Spark scores in rounds: a
-pattern's confidence is the mean score of the distinct instances it stands around, if enough of them
-are known; an instance's score is 1 - prod(1 - confidence) of its confident patterns. Candidates that
-reach the least score become spans. All texts are read whole; only graph edges are shuffled.
+without a plus) are candidates. Fragments of a kind's shape that fail its check (Luhn, octets,
+number of digits, no host after the at) are refuted. Patterns and instances form a graph that Spark
+scores in rounds: a pattern's confidence is the share of known instances among the distinct known and
+refuted ones it stands around, if enough are known; candidates not yet decided don't count. An
+instance's score is 1 - prod(1 - confidence) of its confident patterns. Candidates that reach the least
+score become known, until a round adds none, and become spans. Known ones only grow and refuted ones
+stay, so no confidence falls. All texts are read whole; only graph edges are shuffled.
 
 Rule matching is linear in the text: an address is searched from its ``@``, digit runs are entered
 at their first digit, which gives the leftmost matches of the stated patterns.
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from hopscan.llm.store import bound_batches, checkpointed, tidy
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, LEAST_CONFIDENCE, LEAST_SUPPORT = 2, 0.8, 3
+LEAST_CONFIDENCE, LEAST_SUPPORT = 0.8, 3
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -41,6 +44,7 @@ _DIGITS = re.compile(r"[0-9(][0-9._/:,()\[\]\x20-]{7,}[0-9]")
 _LOOSE_IP = re.compile(r"[0-9]{1,3}(?:(?:[-_:,]|\[\.\])[0-9]{1,3}){3}")
 _LOOSE_CARD = re.compile(r"[0-9](?:[._/:]?[0-9]){12,18}")
 _LOOSE_PHONE = re.compile(r"\(?[0-9]{2,4}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?){2,5}")
+_NO_HOST = re.compile(r"[A-Za-z0-9-]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -98,14 +102,16 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def candidate_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Fragments of the kinds in other spellings, apart from the rules' matches."""
-    out = []
+def fragments(text: str, known: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Fragments of the kinds in other spellings, apart from the rules' matches: candidates, and refuted ones."""
+    out, failed = [], []
     for m in _AT.finditer(text):
         start = _local_start(text, 0, m.start())
         host = _LOOSE_HOST.match(text, m.end()) if start < m.start() else None
         if host:
             out.append((0, start, host.end()))
+        elif start < m.start() and (word := _NO_HOST.match(text, m.end())):
+            failed.append((0, start, word.end()))
     for m in _DIGITS.finditer(text):
         for kind, shape in ((1, _LOOSE_IP), (2, _LOOSE_CARD), (3, _LOOSE_PHONE)):
             f = shape.search(text, m.start(), m.end())
@@ -116,16 +122,37 @@ def candidate_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[
                     or kind == 2 and luhn(d) or kind == 3 and 9 <= len(d) <= 15):
                 out.append((kind, *f.span()))
                 break
-    taken = sorted((s, e) for _, s, e in known)
+            failed.append((kind, *f.span()))
+    candidates = _apart(out, known)
+    return candidates, _apart(failed, known + candidates)
+
+
+def _apart(spans: list[tuple[int, int, int]], others: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans, by start, that overlap none of the others."""
+    taken = sorted((s, e) for _, s, e in others)
     free, i = [], 0
-    for c in sorted(out, key=lambda x: x[1]):
+    for c in sorted(spans, key=lambda x: x[1]):
         while i < len(taken) and taken[i][1] <= c[1]:
             i += 1
-        if all(s >= c[2] or e <= c[1] for s, e in taken[i : i + 8]):
+        if i == len(taken) or taken[i][0] >= c[2]:
             free.append(c)
     return free
 
 
+def candidate_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Fragments of the kinds in other spellings, apart from the rules' matches."""
+    return fragments(text, known)[0]
+
+
+def instance(kind: int, fragment: str) -> str:
+    """What spellings of one instance have in common; the outcome of a kind's check depends on it alone."""
+    if kind == 0:
+        return fragment.lower()
+    if kind == 1:
+        return ".".join(p.lstrip("0") or "0" for p in re.findall("[0-9]+", fragment))
+    return _digits(fragment)
+
+
 def patterns(text: str, start: int, end: int) -> list[str]:
     """Lexical contexts of a span: the two words before it, and the word on each side."""
     before = _WORD.findall(text[max(0, start - 80) : start].lower())[-2:]
@@ -142,14 +169,14 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(spans))
 
 
-OCCURRENCE = "struct<kind:int,start:int,end:int,value:string,seed:boolean,patterns:array<string>>"
+OCCURRENCE = "struct<kind:int,start:int,end:int,value:string,seed:boolean,refuted:boolean,patterns:array<string>>"
 FOUND = (f"doc_id long, check long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
          f"base string, occurrences array<{OCCURRENCE}>")
 
 
 def _read(docs: DataFrame) -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()),
-                               ("seed", pa.bool_()), ("patterns", pa.list_(pa.string()))]))
+                               ("seed", pa.bool_()), ("refuted", pa.bool_()), ("patterns", pa.list_(pa.string()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,10 +187,11 @@ def _read(docs: DataFrame) -> DataFrame:
                 counts.append([sum(s[0] == k for s in spans) for k in range(4)])
                 base.append(_joined(spans))
                 rows = []
-                for seed, found in ((True, spans), (False, candidate_spans(text, spans))):
+                candidates, failed = fragments(text, spans)
+                for seed, refuted, found in ((True, False, spans), (False, False, candidates), (False, True, failed)):
                     for k, s, e in found:
-                        value = text[s:e].lower() if k == 0 else _digits(text[s:e])
-                        rows.append({"kind": k, "start": s, "end": e, "value": value, "seed": seed, "patterns": patterns(text, s, e)})
+                        rows.append({"kind": k, "start": s, "end": e, "value": instance(k, text[s:e]), "seed": seed, "refuted": refuted,
+                                     "patterns": patterns(text, s, e)})
                 seen.append(rows)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "check": batch.column(1),
@@ -176,23 +204,25 @@ def _read(docs: DataFrame) -> DataFrame:
 
 
 def accepted_instances(edges: DataFrame) -> DataFrame:
-    """(kind, value) of candidates that confident patterns vouch for. edges: kind, pattern, value, seed."""
-    edges = checkpointed(edges.groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed")))
-    known = edges.groupBy("kind", "value").agg(F.max("seed").alias("known"))
-    edges = checkpointed(edges.join(known, ["kind", "value"]).select("kind", "pattern", "value", F.col("known").alias("seed")))
-    score = F.col("seed").cast("double")
-    scored = edges.withColumn("score", score)
-    for _ in range(ROUNDS):
-        confident = scored.groupBy("kind", "pattern").agg(
-            F.avg("score").alias("confidence"), F.count_if(F.col("score") >= LEAST_CONFIDENCE).alias("support")
+    """(kind, value) of candidates that confident patterns vouch for. edges: kind, pattern, value, seed, refuted."""
+    edges = checkpointed(edges.groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed"), F.max("refuted").alias("refuted")))
+    of_value = edges.groupBy("kind", "value").agg(F.max("seed").alias("seed"), F.max("refuted").alias("refuted"))
+    edges = checkpointed(edges.select("kind", "pattern", "value").join(of_value, ["kind", "value"])
+                         .select("kind", "pattern", "value", "seed", (F.col("refuted") & ~F.col("seed")).alias("refuted"), F.col("seed").alias("known")))
+    while True:
+        known = F.count_if("known")
+        confident = edges.groupBy("kind", "pattern").agg(
+            (known / F.nullif(known + F.count_if("refuted"), F.lit(0))).alias("confidence"), known.alias("support")
         ).filter((F.col("confidence") >= LEAST_CONFIDENCE) & (F.col("support") >= LEAST_SUPPORT))
         # Kept below 1, so that the product stays a number.
         miss = F.log1p(-F.least("confidence", F.lit(1 - 1e-9)))
-        vouched = (edges.filter(~F.col("seed")).join(confident, ["kind", "pattern"]).groupBy("kind", "value")
-                   .agg((1 - F.exp(F.sum(miss))).alias("found")))
-        scored = checkpointed(edges.join(vouched, ["kind", "value"], "left").select(
-            "kind", "pattern", "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("found", F.lit(0.0))).alias("score")))
-    return scored.filter(~F.col("seed") & (F.col("score") >= LEAST_CONFIDENCE)).select("kind", "value").distinct()
+        vouched = checkpointed(
+            edges.filter("NOT known AND NOT refuted").join(confident, ["kind", "pattern"]).groupBy("kind", "value")
+            .agg((1 - F.exp(F.sum(miss))).alias("score")).filter(F.col("score") >= LEAST_CONFIDENCE).select("kind", "value", F.lit(True).alias("new")))
+        if vouched.isEmpty():
+            return edges.filter("known AND NOT seed").select("kind", "value").distinct()
+        edges = checkpointed(edges.join(vouched, ["kind", "value"], "left").select(
+            "kind", "pattern", "value", "seed", "refuted", (F.col("known") | F.col("new").isNotNull()).alias("known")))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -200,9 +230,9 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession)
     rows = checkpointed(_read(docs).withColumn("row", F.monotonically_increasing_id()))
     seen = rows.select("row", F.explode("occurrences").alias("o")).select("row", "o.*")
-    edges = seen.select("kind", F.explode("patterns").alias("pattern"), "value", "seed")
+    edges = seen.select("kind", F.explode("patterns").alias("pattern"), "value", "seed", "refuted")
     names = F.array(*map(F.lit, KINDS))
-    new = (seen.filter(~F.col("seed")).join(accepted_instances(edges), ["kind", "value"])
+    new = (seen.filter("NOT seed AND NOT refuted").join(accepted_instances(edges), ["kind", "value"])
            .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("new")))
     of_base = F.when(F.col("base") == "", F.array().cast("array<struct<kind:int,start:int,end:int>>")).otherwise(
         F.transform(F.filter("occurrences", lambda o: o["seed"]), lambda o: F.struct(o["kind"], o["start"], o["end"])))

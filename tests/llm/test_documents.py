@@ -122,6 +122,48 @@ def test_patterns_find_other_spellings(spark):
     assert masked[6] == "please write me at <EMAIL> today" and masked[0] == masked[6] and masked[7] == texts[7]
 
 
+def _found(spark, texts):
+    """Texts of the spans beyond the rules' ones, by place of the text."""
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {}
+    for r in pii.find_personal_data(df).collect():
+        rules = {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in pii.rule_spans(texts[r.doc_id])}
+        new = [x.split(":") for x in r.spans.split(",") if x and x not in rules]
+        assert len(new) == r.n_found
+        got[r.doc_id] = [texts[r.doc_id][int(a) : int(b)] for _, a, b in new]
+    return got
+
+
+def test_patterns_keep_contexts_rich_in_unseen_instances(spark):
+    seeds = [f"please write me at user{i}@mail{i}.example.org today" for i in range(6)]
+    unseen = [f"please write me at person{i} (at) corp{i} [dot] example today" for i in range(12)]
+    got = _found(spark, seeds + unseen)
+    assert [got[6 + i] for i in range(12)] == [[f"person{i} (at) corp{i} [dot] example"] for i in range(12)]
+
+
+def test_found_instances_vouch_until_nothing_is_added(spark):
+    texts = [f"ask for box user{i}@mail{i}.example.org here" for i in range(3)]
+    chain = ["ask for box", "now see slot", "then use line", "later try door", "at last room"]
+    for step, (old, new) in enumerate(zip(chain, chain[1:])):
+        for i in range(3):
+            name = f"p{step}x{i} (at) corp [dot] example"
+            texts += [f"{old} {name} end{'abc'[i]}", f"{new} {name} fin{'abc'[i]}"]
+    got = _found(spark, texts)
+    assert all(len(got[i]) == 1 for i in range(3, len(texts)))
+
+
+def test_refuted_instances_speak_against_a_pattern(spark):
+    cards = [("4111111111111111", True), ("4012888888881881", True), ("5555555555554444", True), ("378282246310005", True)]
+    texts = [f"my own number {c} again" for c, _ in cards]
+    dotted = ".".join(("6011000990139424"[i : i + 4] for i in range(0, 16, 4)))
+    good = [*texts, f"my own number {dotted} again"]
+    assert _found(spark, good)[4] == [dotted]
+    wrong = [f"my own number 1234.5678.1234.56{n} again" for n in (71, 72, 73)]
+    assert not any(pii.luhn(w.replace(".", "").split()[3]) for w in wrong)
+    got = _found(spark, [*good, *wrong])
+    assert got[4] == [] and all(got[i] == [] for i in (5, 6, 7))
+
+
 def test_figures_and_cutoffs(spark, varied, odd, none):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for df, rows in (varied, odd):
