@@ -12,7 +12,9 @@ score become known, until a round adds none, and become spans. Known ones only g
 stay, so no confidence falls. All texts are read whole; only graph edges are shuffled.
 
 Rule matching is linear in the text: an address is searched from its ``@``, digit runs are entered
-at their first digit, which gives the leftmost matches of the stated patterns.
+at their first digit, which gives the leftmost matches of the stated patterns. Candidates among digits
+are read off the digit groups: a group begins a few readings at most, and of all valid ones those that
+cover most digits stay.
 
 Null texts are empty. Repeated rows and null ids give a row each. Further columns are ignored.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -40,10 +43,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _AT = re.compile(r"@|\x20?[\[(](?:at|AT)[\])]\x20?")
 _LOOSE_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z0-9-]+)+")
-_DIGITS = re.compile(r"[0-9(][0-9._/:,()\[\]\x20-]{7,}[0-9]")
-_LOOSE_IP = re.compile(r"[0-9]{1,3}(?:(?:[-_:,]|\[\.\])[0-9]{1,3}){3}")
-_LOOSE_CARD = re.compile(r"[0-9](?:[._/:]?[0-9]){12,18}")
-_LOOSE_PHONE = re.compile(r"\(?[0-9]{2,4}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?){2,5}")
+_GROUP = re.compile("[0-9]+")
+#: What stands between digit groups of one address, card number and phone number.
+_GAPS = {1: re.compile(r"[-_:,]|\[\.\]"), 2: re.compile("[._/:]"), 3: re.compile(r"\)?[\x20./-]{1,2}\(?")}
+_LIST_GAP = re.compile(r"[^\w]{1,8}")
 _NO_HOST = re.compile(r"[A-Za-z0-9-]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -102,6 +105,149 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+@lru_cache(4096)
+def _gap_kinds(gap: str) -> frozenset[int]:
+    return frozenset(k for k, shape in _GAPS.items() if shape.fullmatch(gap))
+
+
+def _readings(groups: list[str], gaps: list[str], i: int) -> Iterator[tuple[int, int]]:
+    """(kind, end) of every fragment of a kind's shape that begins with group i; the longest of a kind comes last."""
+    n, size = len(groups), len(groups[i])
+    if i + 4 <= n and all(1 in _gap_kinds(g) for g in gaps[i : i + 3]) and all(len(g) <= 3 for g in groups[i : i + 4]):
+        yield 1, i + 4
+    j = i + 1
+    while size <= 19:
+        if size >= 13:
+            yield 2, j
+        if j == n or 2 not in _gap_kinds(gaps[j - 1]):
+            break
+        size += len(groups[j])
+        j += 1
+    if 2 <= len(groups[i]) <= 4:
+        j = i + 1
+        while j < min(n, i + 6) and 3 in _gap_kinds(gaps[j - 1]) and 2 <= len(groups[j]) <= 5:
+            j += 1
+            if j - i >= 3:
+                yield 3, j
+
+
+def _holds(kind: int, groups: list[str]) -> bool:
+    if kind == 1:
+        return max(map(int, groups)) <= 255
+    digits = "".join(groups)
+    return luhn(digits) if kind == 2 else 9 <= len(digits) <= 15
+
+
+def _fours(sizes: list[int], gaps: list[str]) -> bytearray:
+    """Marks the groups of four times four digits with one separator, of which no part is a phone number."""
+    out, begin = bytearray(len(sizes)), 0
+    for k in range(1, len(sizes) + 1):
+        if k == len(sizes) or gaps[k - 1] != gaps[begin]:
+            if sizes[begin:k] == [4] * 4:
+                out[begin:k] = b"\1" * 4
+            begin = k
+    return out
+
+
+def _best(hits: list[tuple[int, int, int]], sizes: list[int]) -> list[tuple[int, int, int]]:
+    """Of (kind, first group, end) hits those, apart from each other, that cover most digits; then most of them as addresses and cards; then most hits."""
+    ending: dict[int, list[tuple[int, int, int]]] = {}
+    for h in hits:
+        ending.setdefault(h[2], []).append(h)
+    score, last = [(0, 0, 0)], [None]
+    for end in range(1, len(sizes) + 1):
+        top, by = score[end - 1], None
+        for kind, i, _ in ending.get(end, ()):
+            d, n, k = score[i]
+            digits = sum(sizes[i:end])
+            if (new := (d + digits, n + digits * (kind < 3), k + 1)) > top:
+                top, by = new, (kind, i, end)
+        score.append(top)
+        last.append(by)
+    out, at = [], len(sizes)
+    while at:
+        if last[at]:
+            out.append(last[at])
+        at = last[at][1] if last[at] else at - 1
+    return out[::-1]
+
+
+def _numbers(text: str, known: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Addresses, card and phone numbers in other spellings, and fragments of their shapes that are none.
+
+    Every reading of the digit groups is tried, so numbers in lists are found one by one and a failing one
+    hides no other. Addresses and cards with one separator throughout go before those with several.
+    """
+    good, bad = [], []
+    taken, t = sorted((s, e) for _, s, e in known), 0
+    run: list[tuple[int, int]] = []
+
+    def read() -> None:
+        groups = [text[s:e] for s, e in run]
+        gaps = [text[a[1] : b[0]] for a, b in zip(run, run[1:])]
+        sizes = list(map(len, groups))
+        tried = [(k, i, j) for i in range(len(run)) for k, j in _readings(groups, gaps, i)
+                 if text[max(0, run[i][0] - 1) : run[i][0]] != "+" and not text[run[j - 1][1] : run[j - 1][1] + 1].isdigit()]
+        if not tried:
+            return
+        whole = _fours(sizes, gaps)
+        valid = [h for h in tried if _holds(h[0], groups[h[1] : h[2]]) and not (h[0] == 3 and any(whole[h[1] : h[2]]))]
+        even = [h for h in valid if h[0] == 3 or len(set(gaps[h[1] : h[2] - 1])) < 2]
+        chosen = _best(even, sizes)
+        used = bytearray(len(run))
+        for _, i, j in chosen:
+            used[i:j] = b"\1" * (j - i)
+        if len(even) < len(valid):
+            more = _best([h for h in valid if not any(used[h[1] : h[2]])], sizes)
+            for _, i, j in more:
+                used[i:j] = b"\1" * (j - i)
+            chosen += more
+        longest = {(k, i): j for k, i, j in tried}
+        end = [0] * 4
+        for (k, i), j in longest.items():
+            if i >= end[k] and not any(used[i:j]):
+                bad.append((k, *_bracketed(text, run[i][0], run[j - 1][1])))
+                end[k] = j
+        good.extend((k, *_bracketed(text, run[i][0], run[j - 1][1])) for k, i, j in chosen)
+
+    for m in _GROUP.finditer(text):
+        s, e = m.span()
+        while t < len(taken) and taken[t][1] <= s:
+            t += 1
+        free = t == len(taken) or taken[t][0] >= e
+        if run and not (free and s - run[-1][1] <= 4 and _gap_kinds(text[run[-1][1] : s])):
+            read()
+            run = []
+        if free:
+            run.append((s, e))
+    if run:
+        read()
+    return good, bad
+
+
+def _bracketed(text: str, s: int, e: int) -> tuple[int, int]:
+    """The span with the brackets that belong to it."""
+    depth = text.count("(", s, e) - text.count(")", s, e)
+    before, after = text[s - 1 : s] == "(", text[e : e + 1] == ")"
+    if before and (depth < 0 or depth == 0 and after):
+        s, depth = s - 1, depth + 1
+    return s, e + (after and depth > 0)
+
+
+def _failed_rules(text: str) -> Iterator[tuple[int, int, int]]:
+    """Fragments in the rules' own spellings that fail the rules' checks."""
+    for m in _IP.finditer(text):
+        if any(len(p.lstrip("0")) > 3 or int(p) > 255 for p in m.group().split(".")):
+            yield 1, *m.span()
+    for m in _CARD.finditer(text):
+        d = _digits(m.group())
+        if 13 <= len(d) <= 19 and not luhn(d):
+            yield 2, *m.span()
+    for m in _PHONE.finditer(text):
+        if not 9 <= len(_digits(m.group())) <= 15:
+            yield 3, *m.span()
+
+
 def fragments(text: str, known: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Fragments of the kinds in other spellings, apart from the rules' matches: candidates, and refuted ones."""
     out, failed = [], []
@@ -112,17 +258,9 @@ def fragments(text: str, known: list[tuple[int, int, int]]) -> tuple[list[tuple[
             out.append((0, start, host.end()))
         elif start < m.start() and (word := _NO_HOST.match(text, m.end())):
             failed.append((0, start, word.end()))
-    for m in _DIGITS.finditer(text):
-        for kind, shape in ((1, _LOOSE_IP), (2, _LOOSE_CARD), (3, _LOOSE_PHONE)):
-            f = shape.search(text, m.start(), m.end())
-            if f is None or (f.start() and text[f.start() - 1] in "+0123456789") or text[f.end() : f.end() + 1].isdigit():
-                continue
-            d = _digits(f.group())
-            if (kind == 1 and max(int(p) for p in re.findall("[0-9]+", f.group())) <= 255
-                    or kind == 2 and luhn(d) or kind == 3 and 9 <= len(d) <= 15):
-                out.append((kind, *f.span()))
-                break
-            failed.append((kind, *f.span()))
+    numbers, wrong = _numbers(text, known)
+    out += numbers
+    failed += [*wrong, *_failed_rules(text)]
     candidates = _apart(out, known)
     return candidates, _apart(failed, known + candidates)
 
@@ -153,6 +291,19 @@ def instance(kind: int, fragment: str) -> str:
     return _digits(fragment)
 
 
+def places(text: str, spans: list[tuple[int, int, int]]) -> dict[tuple[int, int, int], tuple[int, int]]:
+    """Start and end of the list each span stands in, by span: entries of a list have the words around it as context."""
+    out: dict[tuple[int, int, int], tuple[int, int]] = {}
+    ordered = sorted(set(spans), key=lambda x: (x[1], x[2]))
+    begin = 0
+    for k in range(1, len(ordered) + 1):
+        if k == len(ordered) or not (ordered[k][1] - ordered[k - 1][2] <= 8 and _LIST_GAP.fullmatch(text, ordered[k - 1][2], ordered[k][1])):
+            part = ordered[begin:k]
+            out |= dict.fromkeys(part, (part[0][1], part[-1][2]))
+            begin = k
+    return out
+
+
 def patterns(text: str, start: int, end: int) -> list[str]:
     """Lexical contexts of a span: the two words before it, and the word on each side."""
     before = _WORD.findall(text[max(0, start - 80) : start].lower())[-2:]
@@ -188,10 +339,11 @@ def _read(docs: DataFrame) -> DataFrame:
                 base.append(_joined(spans))
                 rows = []
                 candidates, failed = fragments(text, spans)
+                place = places(text, spans + candidates + failed)
                 for seed, refuted, found in ((True, False, spans), (False, False, candidates), (False, True, failed)):
                     for k, s, e in found:
                         rows.append({"kind": k, "start": s, "end": e, "value": instance(k, text[s:e]), "seed": seed, "refuted": refuted,
-                                     "patterns": patterns(text, s, e)})
+                                     "patterns": patterns(text, *place[k, s, e])})
                 seen.append(rows)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "check": batch.column(1),

@@ -152,6 +152,44 @@ def test_found_instances_vouch_until_nothing_is_added(spark):
     assert all(len(got[i]) == 1 for i in range(3, len(texts)))
 
 
+@pytest.mark.parametrize("text,want", [
+    ("hosts 10-0-0-7, 10-0-0-8, 10-0-0-9", ["10-0-0-7", "10-0-0-8", "10-0-0-9"]),
+    ("host 10-0-0-7 is up", ["10-0-0-7"]),
+    ("10-0-0-7,10-0-0-8,10-0-0-9", ["10-0-0-7", "10-0-0-8", "10-0-0-9"]),
+    ("hosts 999-0-0-7, 10-0-0-8, 10[.]0[.]0[.]9", ["10-0-0-8", "10[.]0[.]0[.]9"]),
+    ("999-10-1-17,10-0-0-8", ["10-0-0-8"]),
+    ("call 017 555 7713, 017 555 7714", ["017 555 7713", "017 555 7714"]),
+    ("call 017 555 7713 017 555 7714", ["017 555 7713", "017 555 7714"]),
+    ("call 017 555 7713 017 555 7714 017 555 7715 017 555 7716", ["017 555 7713", "017 555 7714", "017 555 7715", "017 555 7716"]),
+    ("call 12 34 56, 017 555 7714/017 555 7715", ["017 555 7714", "017 555 7715"]),
+    ("call (017) 555 7713, (017 555 7714) or 0044 20 7946 0958", ["(017) 555 7713", "(017 555 7714)", "0044 20 7946 0958"]),
+    ("+49 30 1234567, 017 555 7714", ["017 555 7714"]),
+    ("cards 4111.1111.1111.1112/4012.8888.8888.1881, 4111_1111_1111_1111", ["4012.8888.8888.1881", "4111_1111_1111_1111"]),
+    ("10-0-0-7, 017 555 7713, 4111.1111.1111.1111", ["10-0-0-7", "017 555 7713", "4111.1111.1111.1111"]),
+])
+def test_every_number_of_a_list_is_a_candidate(text, want):
+    got = pii.candidate_spans(text, pii.rule_spans(text))
+    assert [text[s:e] for _, s, e in got] == want
+
+
+def test_candidates_stay_apart_and_hold():
+    rng = random.Random(6)
+    for _ in range(5000):
+        text = "".join(rng.choice(["1", "22", "017", "4111", " ", ".", "-", ", ", "(", ")", "/", "a"]) for _ in range(rng.randrange(40)))
+        rules = pii.rule_spans(text)
+        good, bad = pii.fragments(text, rules)
+        for a in good:
+            assert all(b[2] <= a[1] or a[2] <= b[1] for b in [*rules, *bad])
+            assert all(b is a or b[2] <= a[1] or a[2] <= b[1] for b in good)
+
+
+def test_late_entries_of_a_list_are_found(spark):
+    seeds = [f"these lines ring +49 30 12345{i:02d} at night" for i in range(4)]
+    numbers = [f"017 555 77{i:02d}" for i in range(30)]
+    got = _found(spark, [*seeds, "these lines ring " + ", ".join(numbers) + " at night"])
+    assert got[4] == numbers
+
+
 def test_refuted_instances_speak_against_a_pattern(spark):
     cards = [("4111111111111111", True), ("4012888888881881", True), ("5555555555554444", True), ("378282246310005", True)]
     texts = [f"my own number {c} again" for c, _ in cards]
@@ -160,8 +198,9 @@ def test_refuted_instances_speak_against_a_pattern(spark):
     assert _found(spark, good)[4] == [dotted]
     wrong = [f"my own number 1234.5678.1234.56{n} again" for n in (71, 72, 73)]
     assert not any(pii.luhn(w.replace(".", "").split()[3]) for w in wrong)
-    got = _found(spark, [*good, *wrong])
-    assert got[4] == [] and all(got[i] == [] for i in (5, 6, 7))
+    for bad in (wrong, [w.replace(".", " ") for w in wrong]):
+        got = _found(spark, [*good, *bad])
+        assert got[4] == [] and all(got[i] == [] for i in (5, 6, 7))
 
 
 def test_figures_and_cutoffs(spark, varied, odd, none):
