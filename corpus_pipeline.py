@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from hopscan.llm import bpe_chunks, mixing, near_dedup, pii, ppm_language
 from hopscan.llm.store import new_folder
 
+#: Percent of shingles that near duplicates share at least.
+NEAR_PERCENT = 80
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters and texts in none of the learned languages."""
@@ -15,7 +18,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group."""
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, NEAR_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@
    joined are compared. Large buckets and clusters are cut into blocks that meet in pairs.
 5. Components of confirmed links name each class by its smallest doc_id.
 
-Chance of losing a link at the least similarity: (1 - 0.85**5)**24 = 8e-7 by the bands, ``miss`` by pruning.
+The least similarity is a parameter in percent; pruning limits and confirmation follow it. Chance of losing a
+link at it: (1 - 0.85**5)**24 = 8e-7 by the bands at 85, (1 - 0.8**5)**24 = 7e-5 at 80, and ``miss`` by pruning.
 Null or empty texts have no shingles and no link. Rows with a null doc_id have no component and are
 kept. Rows repeating a doc_id are judged by their texts. Further columns are ignored.
 """
@@ -134,13 +135,13 @@ def _blocked(rows: DataFrame, group: str, parts: int) -> DataFrame:
             .withColumn("part", F.pmod(F.xxhash64(group, "x", "y"), F.lit(parts))))
 
 
-def _forest(table: pa.Table, group: str, confirm) -> pa.Table:  # noqa: ANN001
+def _forest(table: pa.Table, group: str, least_percent: int, confirm) -> pa.Table:  # noqa: ANN001
     """Links that join what ``confirm`` accepts in each pair of blocks: a spanning forest, never all pairs.
 
     A row is compared with those that it is not yet joined with; the pruned ones never reach
     ``confirm``, which gets a row and the places of others and answers for each.
     """
-    limits = least_matches()
+    limits = least_matches(least_percent / 100)
     cols = {c: table.column(c).to_numpy() for c in (group, "x", "y", "block", "node")}
     order = np.lexsort((cols["node"], cols["block"], cols["y"], cols["x"], cols[group]))
     cols = {c: v[order] for c, v in cols.items()}
@@ -170,12 +171,12 @@ def _forest(table: pa.Table, group: str, confirm) -> pa.Table:  # noqa: ANN001
     return out
 
 
-def _likely(table: pa.Table) -> pa.Table:
+def _likely(table: pa.Table, least_percent: int) -> pa.Table:
     """Links of the buckets' rows that survive the pruning."""
-    return _forest(table, "bucket", lambda order, i, others: np.ones(len(others), bool))
+    return _forest(table, "bucket", least_percent, lambda order, i, others: np.ones(len(others), bool))
 
 
-def _confirmed(table: pa.Table) -> pa.Table:
+def _confirmed(table: pa.Table, least_percent: int) -> pa.Table:
     """Links of the clusters' rows that hold on the full shingle sets."""
     sets = [s for _, _, data, at in slices(table.column("text").combine_chunks()) for s in shingle_sets(data, at)]
     size = np.array([len(s) for s in sets])
@@ -192,13 +193,16 @@ def _confirmed(table: pa.Table) -> pa.Table:
         begin = np.cumsum(size[them]) - size[them]
         common = np.add.reduceat(marks[number[at]], begin)
         marks[mine] = 0
-        return 100 * common >= LEAST_PERCENT * (size[me] + size[them] - common)
+        return 100 * common >= least_percent * (size[me] + size[them] - common)
 
-    return _forest(table, "cluster", confirm)
+    return _forest(table, "cluster", least_percent, confirm)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, check) of every row; check is the text's hash."""
+def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, check) of every row; check is the text's hash.
+
+    Rows whose shingle sets have a Jaccard similarity of ``least_percent`` in a hundred or more are linked.
+    """
     bound_batches(docs.sparkSession)
     signed = checkpointed(_signed(docs))
     with_id = signed.filter("print IS NOT NULL AND doc_id IS NOT NULL")
@@ -212,14 +216,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = checkpointed(banded.join(shared, "bucket"))
     sigs = classes.select("node", "sig")
     rows = _blocked(members.select("bucket", "node", "n").join(sigs, "node"), "bucket", max(1, members.count() // BUCKET_ROWS))
-    likely = rows.groupBy("part").applyInArrow(_likely, "a long, b long")
+    likely = rows.groupBy("part").applyInArrow(lambda table: _likely(table, least_percent), "a long, b long")
     clusters = components(likely).withColumnRenamed("component", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
     clusters = checkpointed(clusters.join(sizes, "cluster").join(classes.select("node", "rep", "check", "sig"), "node"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("check"), "text")
     found = clusters.join(texts, ["rep", "check"]).dropDuplicates(["node"]).select("cluster", "node", "n", "sig", "text")
     rows = _blocked(found, "cluster", max(1, clusters.count() // CLUSTER_ROWS))
-    links = rows.groupBy("part").applyInArrow(_confirmed, "a long, b long")
+    links = rows.groupBy("part").applyInArrow(lambda table: _confirmed(table, least_percent), "a long, b long")
     named = components(links)
     nodes = classes.select("node", "rep").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = nodes.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -231,8 +235,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rest.unionByName(own)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, least_percent: int = LEAST_PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group. Rows that repeat its doc_id stay with it."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("check").alias("__check")).distinct()
+    kept = near_duplicates(docs, least_percent).filter("kept").select(F.col("doc_id").alias("__id"), F.col("check").alias("__check")).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__check"))
     return docs.join(kept, same, "left_semi")

@@ -35,7 +35,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("check")
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), least_percent=85).drop("check")
 
 
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def shingles(text):
     return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4))
 
 
-def components(rows):
+def components(rows, least_percent=85):
     """component_id by place of (doc_id, text) rows with ids."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -133,7 +133,7 @@ def components(rows):
     for i, s in enumerate(sets):
         common = Counter(j for g in s for j in where[g])
         for j, n in common.items():
-            if 100 * n >= 85 * (len(s) + len(sets[j]) - n):
+            if 100 * n >= least_percent * (len(s) + len(sets[j]) - n):
                 parent[find(i)] = find(j)
         for g in s:
             where[g].append(i)

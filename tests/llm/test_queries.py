@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from checks.run import connect, rows_of
-from hopscan.llm import encoder, mixing
+from hopscan.llm import encoder, mixing, near_dedup
 from hopscan.llm.queries import QUERIES, SQL
 from tests.llm import brute
 
@@ -67,6 +67,22 @@ def test_pipeline_equals_plain_stages(spark, varied, tmp_path):
     assert Counter(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == want
 
 
+def test_pipeline_drops_near_copies_from_80_percent(spark):
+    words = [f"w{i}" for i in range(62)]
+    rows = []
+    for i, changed in enumerate((0, 1, 2)):  # each shares 53 / 63 = 0.84 with the one before
+        text = [f"{w}x" if k in (20, 40)[:changed] else w for k, w in enumerate(words)]
+        rows.append((10 + i, " ".join(text)))
+    rows += [(20 + i, " ".join(f"v{k}" if k < 54 - i else f"u{i}a{k}" for k in range(54))) for i in (0, 6)]  # 44 / 56 = 0.79
+    rows += [(30 + i, " ".join(f"t{k}" if k < 49 - i else f"s{i}b{k}" for k in range(49))) for i in (0, 5)]  # 40 / 50 = 0.8
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect())
+    want, _ = brute.components(rows, 80)
+    assert got == sorted(d for (d, _), c in zip(rows, want) if d == c) == [10, 20, 26, 30]
+    want, _ = brute.components(rows)
+    assert sorted(r.doc_id for r in near_dedup.keep_one(df, 85).collect()) == sorted(d for (d, _), c in zip(rows, want) if d == c)
+
+
 def test_top_k_cases(spark):
     from hopscan.llm.topk import top_k
 
