@@ -71,37 +71,24 @@ def pair_status(r1: Column, r2: Column) -> Column:
     )
 
 
-def _earliest(lines: str, mate: int) -> Column:
-    """The mate's line with the smallest order; NULL without one."""
-    mine = F.filter(lines, lambda x: x["_mate"] == mate)
-    nothing = F.get(F.slice(lines, 1, 0), F.lit(0))
-    return F.aggregate(mine, nothing, lambda a, x: F.when(a.isNull() | (x["ord"] < a["ord"]), x).otherwise(a))["_line"]
-
-
 def assemble_pairs(
     aln: DataFrame, tags: Sequence[str] = TAGS, by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per query name from its first primary read 1 and first primary read 2.
 
-    ``repartition`` puts the one shuffle in front of the aggregation: a name has about two
-    lines, so combining before the shuffle would only add a sort of the whole input.
+    Each task keeps a name's earliest line per mate before the one shuffle, so a name that holds a
+    large share of the lines is never gathered. Lines of neither mate only keep their name.
     """
     keys = [*by, "qname"]
     flag = F.col("flag")
     first = al.has_bits(flag, al.READ1)
     second = al.has_bits(flag, al.READ2) & al.lacks_bits(flag, al.READ1)
-    # A name has two primary lines or few more: a short list per name needs no sort of the table,
-    # as the smallest row by order would with its text columns.
+    lines = primary_alignments(aln).select(
+        *keys, F.when(first, 1).when(second, 2).alias("_mate"), F.struct("ord", F.struct(*_line_fields(tags)).alias("_line")).alias("_led"))
     mates = (
-        primary_alignments(aln)
-        .select(*keys, F.when(first, 1).when(second, 2).alias("_mate"), "ord", F.struct(*_line_fields(tags)).alias("_line"))
-        .repartition(*keys)
-        .groupBy(*keys)
-        .agg(F.collect_list(F.struct("_mate", "ord", "_line")).alias("_all"))
-        .select(
-            *keys,
-            *[_earliest("_all", m).alias(f"R{m}") for m in (1, 2)],
-        )
+        lines.groupBy(*keys)
+        .agg(*[F.min(F.when(F.col("_mate") == m, F.col("_led"))).alias(f"_{m}") for m in (1, 2)])
+        .select(*keys, *[F.col(f"_{m}")["_line"].alias(f"R{m}") for m in (1, 2)])
     )
     return mates.select(
         *by, F.col("qname").alias("QueryName"),

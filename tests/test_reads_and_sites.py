@@ -76,6 +76,18 @@ def test_assemble_pairs(spark):
     assert (q5["R1_MAPQ"], q5["R2_Chrom"], q5["Is_Proper_Pair"]) == (0, "I", "No")
 
 
+def test_a_name_with_most_lines_is_not_gathered(spark):
+    flags = (99, 147, 0, 4)  # read 1, read 2, neither, unmapped
+    lines = [(i, f"{'*' if i % 10 else f'q{i}'}\t{flags[i // 10 % 4]}\tI\t{i + 1}\t60\t4M\t=\t50\t0\t*\t*") for i in range(3, 4000)]
+    df = spark.createDataFrame(lines, "ord long, line string").repartition(6)
+    pairs = rd.assemble_pairs(parse_alignments(df))
+    got = {r["QueryName"]: r for r in pairs.collect()}
+    assert (got["*"]["R1_Pos"], got["*"]["R2_Pos"]) == (3, 11)
+    assert len(got) == 1 + sum(i % 10 == 0 and flags[i // 10 % 4] != 4 for i, _ in lines)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "partial_min" in plan.split("Exchange", 1)[1]
+
+
 def test_coordinate_and_crossed_strands(spark):
     reads = spark.createDataFrame(
         [("S", "t", "PBL", "I", "+", 96, 160), ("S", "t", "PBL", "I", "+", 96, 150),
