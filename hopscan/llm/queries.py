@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hopscan.llm.oracles import SQL
-from hopscan.llm import bpe_chunks, kneser_ney, mixing, near_dedup, pii, ppm_language, quality_rules, substring_dedup, token_files, topk
+from hopscan.llm import (
+    block_dedup, bpe_chunks, kneser_ney, mixing, near_dedup, periodic_runs, pii, ppm_language, quality_rules, spelling, substring_dedup,
+    token_files, topk,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +57,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.collapse(table(spark, sf_dir, "documents"), periodic_runs.planted)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), spelling.planted))
+
+
+def op13_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": op1_lm_scores,
     "op2_mixture": op2_mixture,
@@ -65,4 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling": op12_spelling,
+    "op13_block_dedup": op13_block_dedup,
 }

@@ -15,6 +15,9 @@ _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 FOLDED = _BYTE.copy()
 FOLDED[65:91] = FOLDED[97:123]
 FOLDED[SPACE] = 0
+#: The same with A-Z apart.
+EXACT = _BYTE.copy()
+EXACT[SPACE] = 0
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _R1, _R2 = np.uint64(pow(int(_M1), -1, 1 << 64)), np.uint64(pow(int(_M2), -1, 1 << 64))
@@ -89,8 +92,8 @@ def word_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of each word with A-Z lower-cased, and the words' offsets by row."""
+def word_hashes(data: np.ndarray, at: np.ndarray, letters: np.ndarray = FOLDED) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of each word, and the words' offsets by row. ``letters``: FOLDED lower-cases A-Z, EXACT does not."""
     starts = word_starts(data, at)
     rows = np.searchsorted(starts, at)
     if not len(starts):
@@ -100,7 +103,7 @@ def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     place[starts[0] :] -= np.repeat(starts, np.diff(np.append(starts, n)))
     place[: starts[0]] = 0
     value = powers(int(place.max()) + 1)[place]
-    value *= FOLDED[data]
+    value *= letters[data]
     return mix(np.add.reduceat(value, starts)), rows
 
 

@@ -166,3 +166,91 @@ def cut_strings(rows, length=50):
 
 def sha(data):
     return hashlib.sha256(data).hexdigest()
+
+
+def planted_words(doc_id, ws):
+    """The words of a document after its planted repetition."""
+    n, h = len(ws), zlib.crc32(str(doc_id).encode())
+    if doc_id is None or not n or h % 10:
+        return ws
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else ws[a + (i - a) % p] for i, w in enumerate(ws)]
+
+
+def runs(ws, least=24, times=3):
+    """(start, length, period) of all runs, by start, then period."""
+    best = {}
+    for q in range(1, len(ws) // times + 1):
+        low = 0
+        for i in range(len(ws) - q + 1):
+            if i == len(ws) - q or ws[i] != ws[i + q]:
+                if i - low + q >= max(least, times * q):
+                    best.setdefault((low, i - low + q), q)  # the smallest period comes first
+                low = i + 1
+    return sorted(((s, n, q) for (s, n), q in best.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(doc_id, text, plant=True):
+    """The row of the runs query without its id, and the kept words."""
+    ws = words(text, fold=False)
+    ws = planted_words(doc_id, ws) if plant else ws
+    found = runs(ws)
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    kept = " ".join(w for i, w in enumerate(ws) if i not in gone)
+    top = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    shown = sha("".join(f"{s},{n},{q}\n" for s, n, q in found).encode())
+    return (len(found), *(top or (None,) * 3), top and 1000 * top[1] // top[2], shown, sha(kept.encode())), kept
+
+
+def vocabulary(rows, plant=True):
+    out = Counter()
+    for d, t in rows:
+        for w in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = w.translate(FOLD)
+            h = zlib.crc32(f"{'' if d is None else d}:{w}".encode())
+            if plant and h % 31 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            out[w] += 1
+    return {w: n for w, n in out.items() if n >= 2 and len(w) >= 7}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(count):
+    """word, form, root, n, n_near, form_n of a vocabulary."""
+    near = {w: [v for v in count if one_edit(w, v)] for w in count}
+    form = {}
+    for w, vs in near.items():
+        best = min(vs, key=lambda v: (-count[v], v), default=None)
+        form[w] = best if best and count[best] >= 10 * count[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return sorted((w, form[w], root(w), n, len(near[w]), form[w] and count[form[w]]) for w, n in count.items())
+
+
+def cut_windows(rows, size=13):
+    """n_words, n_removed, kept words of (doc_id, text) rows."""
+    first = {}
+    for d, t in rows:
+        ws = words(t, fold=False)
+        if d is not None:
+            for i in range(len(ws) - size + 1):
+                g = tuple(ws[i : i + size])
+                first[g] = min(first.get(g, d), d)
+    out = []
+    for d, t in rows:
+        ws = words(t, fold=False)
+        gone = {i + k for i in range(len(ws) - size + 1) if d is not None and first[tuple(ws[i : i + size])] < d for k in range(size)}
+        out.append((len(ws), len(gone), " ".join(w for i, w in enumerate(ws) if i not in gone)))
+    return out

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_number_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
 
