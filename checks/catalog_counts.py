@@ -9,9 +9,10 @@ from checks.views import CUTOFF, TIMEPOINTS
 from hopscan.config import SITE
 from hopscan.functions import alignment as fa, labels as fl, sequence as fs
 from hopscan.operators import (
-    ordered as od, quality as ql, reads as rd, sites as st, summaries as sm,
+    name_groups as ng, ordered as od, quality as ql, reads as rd, sites as st, summaries as sm,
 )
 from hopscan.plans.counts import reads_to_counts
+from hopscan.sources.alignments import read_alignments
 
 _SAM = """sam as (select *, split_part(line,chr(9),1) as qname, cast(split_part(line,chr(9),2) as int) as flag, split_part(line,chr(9),3) as rname,
  cast(split_part(line,chr(9),4) as bigint) as pos, cast(split_part(line,chr(9),5) as bigint) as mapq, split_part(line,chr(9),6) as cigar,
@@ -63,17 +64,37 @@ def _mate(t: str, p: str, flag: str) -> str:
  cast(coalesce({t}.flag,0) as bigint) as {flag}, {t}.nm as {p}_NM"""
 
 
-@check("assemble_pairs", f"""with {_SAM}, {_PAIR}
+_PAIRS = f"""with {_SAM}, {_PAIR}
 select q.qname as QueryName, {_mate('a', 'R1', 'R1_Flag')}, {_mate('b', 'R2', 'R2_FLAG')},
  case when (coalesce(a.flag,b.flag) & 2)=2 then 'Yes' else 'No' end as Is_Proper_Pair
-from q left join a on a.qname=q.qname left join b on b.qname=q.qname""")
-def _(s: Inputs) -> DataFrame:
-    p = rd.assemble_pairs(s.alignments)
+from q left join a on a.qname=q.qname left join b on b.qname=q.qname"""
+
+
+def _pair_columns(p: DataFrame) -> DataFrame:
     cols = ["MAPQ", "LEN", "NCIGAR", "Ref_Start", "Ref_End", "CIGAR", "Strand", "Chrom", "NM"]
     return p.select("QueryName", *[f"R1_{c}" for c in cols], "R1_Flag",
                     *[f"R2_{c}" for c in cols], "R2_FLAG", "Is_Proper_Pair")
 
 
+@check("assemble_pairs", _PAIRS)
+def _(s: Inputs) -> DataFrame:
+    return _pair_columns(rd.assemble_pairs(s.alignments))
+
+
+@check("assemble_grouped_pairs", _PAIRS)
+def _(s: Inputs) -> DataFrame:
+    """From lines written grouped by name, as an aligner does, in several files and splits."""
+    lines = s["v_sam"].repartition(3, F.split("line", "\t")[0]).sortWithinPartitions("ord")
+    lines.select("line").write.text(f"{s.scratch}/grouped.sam")
+    return _pair_columns(ng.assemble_grouped_pairs(read_alignments(s.spark, f"{s.scratch}/grouped.sam")))
+
+
+@check("assemble_scattered_pairs", _PAIRS)
+def _(s: Inputs) -> DataFrame:
+    """From lines in any order."""
+    return _pair_columns(ng.assemble_grouped_pairs(s.alignments.repartition(5, "pos")))
+
+
 def _null(c: str) -> str:
     return f"case when {c} in ('N/A','NA','') then null else {c} end as {c}"
 

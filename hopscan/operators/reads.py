@@ -24,7 +24,7 @@ def primary_alignments(aln: DataFrame) -> DataFrame:
     return aln.filter(al.lacks_bits(F.col("flag"), al.NOT_PRIMARY))
 
 
-def _line_fields(tags: Sequence[str]) -> list[Column]:
+def line_fields(tags: Sequence[str]) -> list[Column]:
     """What a pair keeps of an alignment line, computed once per line before the shuffle."""
     cigar, flag = F.col("cigar"), F.col("flag")
     start = F.when(F.col("pos") > 0, F.col("pos") - 1)
@@ -45,7 +45,7 @@ def _line_fields(tags: Sequence[str]) -> list[Column]:
     ]
 
 
-def _mate_columns(prefix: str, flag_name: str, tags: Sequence[str]) -> list[Column]:
+def mate_columns(prefix: str, flag_name: str, tags: Sequence[str]) -> list[Column]:
     """Columns of one mate; a missing mate has zeros for quality, CIGAR count and flag."""
     m = F.col(prefix)
     zero = F.lit(0).cast("bigint")
@@ -84,7 +84,7 @@ def assemble_pairs(
     first = al.has_bits(flag, al.READ1)
     second = al.has_bits(flag, al.READ2) & al.lacks_bits(flag, al.READ1)
     lines = primary_alignments(aln).select(
-        *keys, F.when(first, 1).when(second, 2).alias("_mate"), F.struct("ord", F.struct(*_line_fields(tags)).alias("_line")).alias("_led"))
+        *keys, F.when(first, 1).when(second, 2).alias("_mate"), F.struct("ord", F.struct(*line_fields(tags)).alias("_line")).alias("_led"))
     mates = (
         lines.groupBy(*keys)
         .agg(*[F.min(F.when(F.col("_mate") == m, F.col("_led"))).alias(f"_{m}") for m in (1, 2)])
@@ -92,8 +92,8 @@ def assemble_pairs(
     )
     return mates.select(
         *by, F.col("qname").alias("QueryName"),
-        *_mate_columns("R1", "R1_Flag", tags),
-        *_mate_columns("R2", "R2_FLAG", tags),
+        *mate_columns("R1", "R1_Flag", tags),
+        *mate_columns("R2", "R2_FLAG", tags),
         pair_status(F.col("R1"), F.col("R2")).alias("Is_Proper_Pair"),
     )
 
