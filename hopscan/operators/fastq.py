@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from hopscan.config import Junctions
 from hopscan.functions.sequence import adapter_cut, junctions_of, quality_trimmed_length
-from hopscan.operators.ordered import join_keys
+from hopscan.operators.frequent import frequent_values
 from hopscan.operators.sites import count_where
 
 
@@ -59,33 +63,88 @@ def junction_classify(
     return out.withColumns(cuts).drop("_found")
 
 
+#: Letters that a profile tells apart; any other base counts as a base only.
+BASES = "ACGTN"
+#: Cycles, letters and qualities that one array of counts holds before it is sent on.
+_LETTERS, _QUALITIES = len(BASES) + 1, 94
+
+
+def _cycle_counts(n_by: int, offset: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts by (group, cycle, base, quality) of a task's reads, added up in dense arrays, one a group."""
+    letter = np.full(256, len(BASES), np.int64)
+    letter[np.frombuffer(BASES.encode(), np.uint8)] = np.arange(len(BASES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[tuple, np.ndarray] = {}
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            groups = list(zip(*(batch.column(i).to_pylist() for i in range(n_by)), strict=True)) if n_by else [()] * batch.num_rows
+            place = {g: i for i, g in enumerate(dict.fromkeys(groups))}
+            owner = np.array([place[g] for g in groups], np.int64)
+            seq, qual = (batch.column(n_by + i).cast(pa.large_binary()) for i in (0, 1))
+            size = pc.binary_length(qual).to_numpy(zero_copy_only=False).astype(np.int64)
+            if (pc.binary_length(seq).to_numpy(zero_copy_only=False) < size).any():
+                raise ValueError("a read has more qualities than bases")
+            row = np.repeat(np.arange(len(size)), size)
+            cycle = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            base = letter[_bytes(seq)[np.repeat(_offsets(seq)[:-1], size) + cycle]]
+            quality = _bytes(qual)[np.repeat(_offsets(qual)[:-1], size) + cycle].astype(np.int64) - offset
+            if len(quality) and not (0 <= quality.min() and quality.max() < _QUALITIES):
+                raise ValueError(f"qualities are not in the range of offset {offset}")
+            for group, i in place.items():
+                mine = owner[row] == i if len(place) > 1 else slice(None)
+                code = (cycle[mine] * _LETTERS + base[mine]) * _QUALITIES + quality[mine]
+                counts = np.bincount(code)
+                held = tables.get(group, counts[:0])
+                longer, shorter = (counts, held) if len(counts) > len(held) else (held, counts)
+                longer[: len(shorter)] += shorter
+                tables[group] = longer
+        for group, counts in tables.items():
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g] * len(at), schema.field(i).type) for i, g in enumerate(group)]
+                + [pa.array(at // _QUALITIES // _LETTERS + 1), pa.array((at // _QUALITIES % _LETTERS).astype(np.int32)),
+                   pa.array((at % _QUALITIES).astype(np.int32)), pa.array(counts[at])],
+                names=[*(schema.field(i).name for i in range(n_by)), "cycle", "base", "quality", "n"])
+
+    return run
+
+
+def _offsets(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+
+
+def _bytes(column: pa.Array) -> np.ndarray:
+    data = column.buffers()[2]
+    return np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)
+
+
 def base_quality_profile(
     fastq: DataFrame, by: Sequence[str] = (), mate: int = 1, offset: int = 33
 ) -> DataFrame:
     """Quality and base composition per cycle.
 
-    Bases are counted by (cycle, base, quality) map-side; quartiles come from that small table.
+    Tasks add their reads up in dense arrays of (cycle, base, quality) and send the filled cells, so no
+    row per base exists; quartiles come from that small table.
     """
-    seq, qual = F.col(f"seq{mate}"), F.col(f"qual{mate}")
-    bases = fastq.filter(F.length(seq) > 0).select(
-        *by, seq.alias("_s"), F.posexplode(F.split(qual, "")).alias("_pos", "_q")
-    )
-    counted = bases.groupBy(
-        *by, (F.col("_pos") + 1).cast("bigint").alias("cycle"),
-        F.substr(F.col("_s"), F.col("_pos") + 1, F.lit(1)).alias("base"),
-        (F.ascii("_q") - offset).alias("quality"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    by = list(by)
+    reads = fastq.select(*by, F.col(f"seq{mate}").alias("_s"), F.col(f"qual{mate}").alias("_q")).filter("length(_s) > 0 AND length(_q) > 0")
+    schema = T.StructType([*reads.select(*by).schema, T.StructField("cycle", T.LongType()), T.StructField("base", T.IntegerType()),
+                           T.StructField("quality", T.IntegerType()), T.StructField("n", T.LongType())])
+    counted = (reads.mapInArrow(_cycle_counts(len(by), offset), schema)
+               .groupBy(*by, "cycle", "base", "quality").agg(F.sum("n").alias("n")))
     n, q = F.col("n"), F.col("quality")
 
     def of(base: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("base") == base, n)), F.lit(0)).cast("bigint")
+        return F.coalesce(F.sum(F.when(F.col("base") == BASES.index(base), n)), F.lit(0)).cast("bigint")
 
     quart = F.percentile(q, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), n)
     out = counted.groupBy(*by, "cycle").agg(
         F.sum("n").cast("bigint").alias("bases"),
         (F.sum(q * n) / F.sum("n")).alias("mean_quality"),
         quart.alias("_quart"),
-        *[of(b).alias(f"n_{b.lower()}") for b in "ACGTN"],
+        *[of(b).alias(f"n_{b.lower()}") for b in BASES],
     )
     return out.withColumns(
         {
@@ -99,19 +158,9 @@ def base_quality_profile(
 def overrepresented_sequences(
     fastq: DataFrame, min_share: float = 0.001, by: Sequence[str] = (), mate: int = 1
 ) -> DataFrame:
-    """Sequences that make up at least ``min_share`` of the reads of a library."""
-    counts = fastq.groupBy(*by, F.col(f"seq{mate}").alias("sequence")).agg(
-        F.count(F.lit(1)).alias("reads")
-    )
-    # From the counts, so the reads are scanned once where Spark reuses the exchange.
-    totals = counts.groupBy(*by).agg(F.sum("reads").alias("_total"))
-    joined = join_keys(counts, totals, list(by)) if by else counts.withColumn(
-        "_total", totals.select("_total").scalar()
-    )
-    share = F.col("reads") / F.col("_total")
-    return joined.filter(share >= min_share).select(
-        *by, "sequence", "reads", share.alias("share")
-    )
+    """Sequences that make up at least ``min_share`` of the reads of a library. Eager: see ``frequent_values``."""
+    found = frequent_values(fastq.select(*by, F.col(f"seq{mate}").alias("sequence")), "sequence", min_share, by)
+    return found.withColumnRenamed("n", "reads")
 
 
 def duplication_levels(fastq: DataFrame, by: Sequence[str] = (), mate: int = 1) -> DataFrame:
