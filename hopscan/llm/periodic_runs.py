@@ -42,8 +42,7 @@ CORE = 8192
 CELL = 8
 #: Changes a document's words before runs are sought: gets doc_id and the number of words, returns which original word stands where.
 Change = Callable[[int | None, int], "np.ndarray | None"]
-TILES = ("row long, doc_id long, n_words long, sha string, words binary, ends binary, "
-         "octave int, first long, begin long, codes binary")
+TILES = "row long, doc_id long, n_words long, sha string, words binary, octave int, first long, begin long, codes binary"
 RUNS = "array<struct<start: long, length: long, period: long>>"
 
 
@@ -173,8 +172,8 @@ def explode(docs: DataFrame, change: Change | None = None, least: int = LEAST, t
             with_words: bool = False) -> DataFrame:
     """Document rows (octave null) and tile rows, stored.
 
-    A document row has the words one after the other and where they end if a tile of the document is there
-    (or ``with_words``), else the digest of its words joined by one space.
+    A document row has the words joined by one space if a tile of the document is there (or ``with_words``),
+    else their digest.
     """
     if times < 3 or least < 3 * CELL:
         raise ValueError(f"a run has at least three periods and {3 * CELL} words")
@@ -190,10 +189,15 @@ def explode(docs: DataFrame, change: Change | None = None, least: int = LEAST, t
     return checkpointed(rows.mapInArrow(tidy(run), TILES))
 
 
+def _width(n: int) -> type:
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
 def _exploded(number: list, ids: list, data: np.ndarray, at: np.ndarray, change: Change | None,  # noqa: PLR0913
               least: int, times: int, core: int, with_words: bool) -> Iterator[pa.RecordBatch]:
     words = [data[a:b].tobytes().split() for a, b in zip(at[:-1], at[1:], strict=True)]
     code: dict[bytes, int] = {}
+    # Numbers are of this run of texts, so most fit in two bytes.
     codes = np.fromiter((code.setdefault(w, len(code)) for ws in words for w in ws), np.int64, sum(map(len, words)))
     rows = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
     if change is not None:
@@ -215,17 +219,16 @@ def _exploded(number: list, ids: list, data: np.ndarray, at: np.ndarray, change:
         for i, first in sorted(set(zip(row.tolist(), ((c - rows[row]) // size * size).tolist(), strict=True))):
             begin, stop = max(0, first - 4 * s), min(int(rows[i + 1] - rows[i]), first + size + 4 * s)
             part = codes[rows[i] + begin : rows[i] + stop]
-            tiles.setdefault(i, []).append((octave, first, begin, part.astype(np.uint32).tobytes()))
+            tiles.setdefault(i, []).append((octave, first, begin, part.astype(_width(len(code))).tobytes()))
         octave += 1
     out: dict[str, list] = {c.split()[0]: [] for c in TILES.split(", ")}
     for i, ws in enumerate(words):
         mine = tiles.get(i, [])
         shown = bool(mine) or with_words
-        joined = b"".join(ws) if shown else None
-        ends = np.cumsum([len(w) for w in ws]).astype(np.int64).tobytes() if shown else None
-        sha = None if shown else hashlib.sha256(b" ".join(ws)).hexdigest()
-        for values in [(number[i], ids[i], len(ws), sha, joined, ends, None, None, None, None),
-                       *((number[i], None, len(ws), None, None, None, *t) for t in mine)]:
+        joined = b" ".join(ws)
+        sha = None if shown else hashlib.sha256(joined).hexdigest()
+        for values in [(number[i], ids[i], len(ws), sha, joined if shown else None, None, None, None, None),
+                       *((number[i], None, len(ws), None, None, *t) for t in mine)]:
             for column, v in zip(out.values(), values, strict=True):
                 column.append(v)
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
@@ -239,7 +242,8 @@ def fragments(tiles: DataFrame, least: int = LEAST, times: int = TIMES, core: in
         for batch in batches:
             found = []
             for row, n, octave, first, begin, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = np.frombuffer(codes, np.uint32).astype(np.int64)
+                stop = min(n, first + max(core, 16 * _cell(octave)) + 4 * _cell(octave))
+                words = np.frombuffer(codes, np.uint16 if len(codes) == 2 * (stop - begin) else np.uint32).astype(np.int64)
                 found += [(row, *f) for f in solve(words, octave, first, begin, n, max(core, 16 * _cell(octave)), least, times)]
             table = np.array(found, np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([pa.array(table[:, i], pa.int64()) for i in range(4)], ["row", "period", "low", "high"])
@@ -266,12 +270,12 @@ def stitch(pieces: DataFrame, least: int = LEAST, times: int = TIMES) -> DataFra
 
 def documents_with_runs(docs: DataFrame, change: Change | None = None, least: int = LEAST, times: int = TIMES, core: int = CORE,
                         with_words: bool = False) -> DataFrame:
-    """(row, doc_id, n_words, sha, words, ends, runs) of every row; runs by start, then period; null without any."""
+    """(row, doc_id, n_words, sha, words, runs) of every row; runs by start, then period; null without any."""
     tiles = explode(docs, change, least, times, core, with_words)
     runs = checkpointed(stitch(fragments(tiles, least, times, core), least, times))
     of_row = runs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     runs = of_row.select("row", F.transform("runs", lambda r: F.struct(r["start"], r["length"], r["period"])).cast(RUNS).alias("runs"))
-    rows = tiles.filter("octave IS NULL").select("row", "doc_id", "n_words", "sha", "words", "ends")
+    rows = tiles.filter("octave IS NULL").select("row", "doc_id", "n_words", "sha", "words")
     open_ = rows.filter("sha IS NULL").join(runs, "row", "left")
     return open_.unionByName(rows.filter("sha IS NOT NULL").withColumn("runs", F.lit(None).cast(RUNS)))
 
@@ -305,8 +309,7 @@ def collapse(docs: DataFrame, change: Change | None = None, least: int = LEAST,
                 left, runs = r["sha"], r["runs"] or []
                 kept = None
                 if left is None:
-                    ends = np.frombuffer(r["ends"], np.int64).tolist()
-                    kept = b" ".join(kept_words([r["words"][a:b] for a, b in zip([0, *ends][:-1], ends, strict=True)], runs))
+                    kept = b" ".join(kept_words(r["words"].split(), runs))
                     left = hashlib.sha256(kept).hexdigest()
                 text = "".join(f"{x['start']},{x['length']},{x['period']}\n" for x in runs)
                 values = (r["row"], r["doc_id"], left, hashlib.sha256(text.encode()).hexdigest(), kept)
@@ -317,7 +320,7 @@ def collapse(docs: DataFrame, change: Change | None = None, least: int = LEAST,
             yield pa.RecordBatch.from_pydict({n: pa.array(made[n], kinds[k]) for n, k in (c.split() for c in columns.split(", "))} | {
                 "runs": pa.array([r["runs"] for r in rows], batch.schema.field("runs").type)})
 
-    out = found.select("row", "doc_id", "sha", "words", "ends", "runs").mapInArrow(tidy(run), f"{columns}, runs {RUNS}")
+    out = found.select("row", "doc_id", "sha", "words", "runs").mapInArrow(tidy(run), f"{columns}, runs {RUNS}")
     # Greatest length/period: compared as whole numbers, a/b > c/d where a*d > c*b; ties go to the first in order.
     best = F.aggregate(
         F.col("runs"), F.lit(None).cast("struct<start: long, length: long, period: long>"),
