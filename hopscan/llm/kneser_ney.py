@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hopscan.llm.store import array_files, mapped, new_folder, text_bytes, tidy, write_arrays
+from hopscan.llm.store import Shards, new_folder, shard_bits as _bits, shard_heads, text_bytes, tidy, write_shards
 from hopscan.llm.textbytes import Tally, mix, pack, pack_counts, slices, unmix, unpack, unpack_counts, word_hashes
 
 #: Hashes of the end and the start of a text; a word has these with the chance of any collision.
@@ -36,10 +36,6 @@ def held_out(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == 0
 
 
-def _bits(n_bytes: int, shard_bytes: int) -> int:
-    return max(0, math.ceil(math.log2(max(1, n_bytes / shard_bytes))))
-
-
 def _cut(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """Slices of sorted keys by their upper bits."""
     if not len(keys):
@@ -80,71 +76,62 @@ def sequences(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return before, tokens, np.repeat(np.arange(n_rows), np.diff(rows) + 1)
 
 
-def _word_file(pdf: pd.DataFrame) -> pd.DataFrame:
+def _word_file(pdf: pd.DataFrame) -> bytes:
     """A shard of the vocabulary: n, sum of counts, hashes, counts."""
     keys, counts = _summed(pdf)
-    data = np.concatenate([np.array([len(keys), counts.sum()], np.uint64), keys, counts])
-    return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "data": [data.tobytes()]})
+    return np.concatenate([np.array([len(keys), counts.sum()], np.uint64), keys, counts]).tobytes()
 
 
-def _pair_file(pdf: pd.DataFrame) -> pd.DataFrame:
+def _pair_file(pdf: pd.DataFrame) -> bytes:
     """A shard of bigrams: sizes and counts of counts, hashes seen once, other hashes, their counts."""
     keys, counts = _summed(pdf)
     many = counts > 1
     head = [int((~many).sum()), int(many.sum()), *(int((counts == i).sum()) for i in (1, 2, 3, 4))]
-    data = (np.array(head, np.uint64).tobytes() + keys[~many].tobytes() + keys[many].tobytes()
-            + counts[many].astype(np.uint32).tobytes())
-    return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "data": [data]})
+    return np.array(head, np.uint64).tobytes() + keys[~many].tobytes() + keys[many].tobytes() + counts[many].tobytes()
 
 
 def _pair_arrays(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n1, n2 = (int(x) for x in raw[:16].view(np.uint64))
     a, b = 48 + 8 * n1, 48 + 8 * (n1 + n2)
-    return raw[48:a].view(np.uint64), raw[a:b].view(np.uint64), raw[b : b + 4 * n2].view(np.uint32)
-
-
-def _heads(df: DataFrame, folder: str, n: int) -> dict[int, list[int]]:
-    """The first n numbers of each shard's file: one short row per shard."""
-    out = {}
-    for shard, path in array_files(df.sparkSession, folder).items():
-        out[shard] = [int(x) for x in mapped(path)[: 8 * n].view(np.uint64)]
-    return out
+    return raw[48:a].view(np.uint64), raw[a:b].view(np.uint64), raw[b : b + 8 * n2].view(np.uint64)
 
 
 @dataclass
 class Vocabulary:
-    """Mapped word arrays with the first id of each shard; bounded by the number of shards."""
+    """Mapped word arrays with the first id of each shard: 8 bytes for 64 MB of text."""
 
-    files: dict[int, str]
-    first: dict[int, int]
-    bits: int
+    shards: Shards
+    first: np.ndarray
 
     def arrays(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
-        raw = mapped(self.files[shard])
+        raw = self.shards.raw(shard)
         n = int(raw[:8].view(np.uint64)[0])
         return raw[16 : 16 + 8 * n].view(np.uint64), raw[16 + 8 * n : 16 + 16 * n].view(np.uint64)
 
     def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id (or -1) and count of sorted distinct hashes."""
         ids, counts = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.uint64)
-        for shard, part in _cut(keys, self.bits):
-            if shard in self.files:
-                words, n = self.arrays(shard)
+        for shard, part in self.shards.cut(keys):
+            words, n = self.arrays(shard)
+            if len(words):
                 at = np.minimum(np.searchsorted(words, keys[part]), len(words) - 1)
                 hit = words[at] == keys[part]
                 ids[part] = np.where(hit, at + self.first[shard], -1)
                 counts[part] = np.where(hit, n[at], 0)
         return ids, counts
 
+    def shard_of(self, ids: np.ndarray) -> np.ndarray:
+        """Shard of each id; empty shards have none."""
+        return np.searchsorted(self.first, ids, side="right") - 1
+
 
 @dataclass
 class Model:
     """Folders of a counted model and its totals."""
 
     words: Vocabulary
-    pairs: dict[int, str]
-    pair_bits: int
-    contexts: dict[int, str]
+    pairs: Shards
+    contexts: Shards
     n_tokens: int
     n_types: int
     discounts: tuple[float, float, float]
@@ -184,18 +171,16 @@ def fit(train: DataFrame) -> Model:
                 tally.add(np.array([START]), ends)
         yield from _partials(tally, bits)
 
-    folder = new_folder(spark, "words")
-    write_arrays(texts.mapInArrow(tidy(words), PARTIAL).groupBy("shard")
-                 .applyInPandas(_word_file, "shard int, data binary"), folder)
-    heads = _heads(train, folder, 2)
-    first, total = {}, 0
-    for shard in sorted(heads):
-        first[shard] = total
-        total += heads[shard][0]
+    shards = write_shards(texts.mapInArrow(tidy(words), PARTIAL), new_folder(spark, "words"), bits, _word_file)
+    heads = shard_heads(spark, shards, 2)
+    total = int(heads[:, 0].sum())
     if total >= 1 << 32:
         raise ValueError("the vocabulary needs more than 32 bits")
-    vocabulary = Vocabulary(array_files(spark, folder), first, bits)
-    starts = int(vocabulary.lookup(np.array([START]))[1][0])
+    vocabulary = Vocabulary(shards, np.cumsum(heads[:, 0]) - heads[:, 0])
+    n_tokens = int(heads[:, 1].sum())
+    known = spark.range(1).mapInPandas(
+        lambda batches: (b.assign(n=int(vocabulary.lookup(np.array([START]))[1][0])) for b in batches), "id long, n long")
+    starts = int(known.head().n)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
@@ -207,68 +192,51 @@ def fit(train: DataFrame) -> Model:
                 tally.add(mix(ids[: len(tokens)] << np.uint64(32) | ids[len(tokens) :]))
         yield from _partials(tally, pair_bits)
 
-    folder = new_folder(spark, "pairs")
-    write_arrays(texts.mapInArrow(tidy(pairs), PARTIAL).groupBy("shard")
-                 .applyInPandas(_pair_file, "shard int, data binary"), folder)
-    heads = _heads(train, folder, 6)
-    pair_files = array_files(spark, folder)
-    context_files, low = _contexts(train, folder, vocabulary, pair_files)
-    counts_of_counts = [sum(h[i] for h in heads.values()) for i in range(2, 6)]
+    pair_shards = write_shards(texts.mapInArrow(tidy(pairs), PARTIAL), new_folder(spark, "pairs"), pair_bits, _pair_file)
+    heads = shard_heads(spark, pair_shards, 6).sum(axis=0).tolist()
+    contexts = _contexts(train, vocabulary, pair_shards)
+    low = shard_heads(spark, contexts, 6).sum(axis=0).tolist()
     low_d = discounts(*low[1:5])
     low_mass = sum(d * n for d, n in zip(low_d, (low[1], low[2], low[5]), strict=True))
-    return Model(vocabulary, pair_files, pair_bits, context_files,
-                 n_tokens=sum(h[1] for h in (_heads_of(vocabulary))) - starts, n_types=total - (starts > 0),
-                 discounts=discounts(*counts_of_counts), low_discounts=low_d, n_pairs=low[0], low_mass=low_mass)
-
-
-def _heads_of(v: Vocabulary) -> list[list[int]]:
-    return [[int(x) for x in mapped(p)[:16].view(np.uint64)] for p in v.files.values()]
+    return Model(vocabulary, pair_shards, contexts, n_tokens=n_tokens - starts, n_types=total - (starts > 0),
+                 discounts=discounts(*heads[2:6]), low_discounts=low_d, n_pairs=low[0], low_mass=low_mass)
 
 
-def _contexts(
-    train: DataFrame, folder: str, v: Vocabulary, pair_files: dict[int, str]
-) -> tuple[dict[int, str], list[int]]:
+def _contexts(train: DataFrame, v: Vocabulary, pairs: Shards) -> Shards:
     """By word id: bigrams it begins by count class, and distinct words before it."""
     spark = train.sparkSession
-    bounds = np.array([v.first[s] for s in sorted(v.first)], np.int64)
-    shards = sorted(v.first)
 
     def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
-                once, many, counts = _pair_arrays(np.frombuffer(content.as_py(), np.uint8))
-                pairs = unmix(np.concatenate([once, many]))
-                kind = np.minimum(np.concatenate([np.ones(len(once), np.uint32), counts]), 3).astype(np.uint64)
+            for number in batch.column(0).to_pylist():
+                once, many, counts = _pair_arrays(pairs.raw(number))
+                both = unmix(np.concatenate([once, many]))
+                kind = np.concatenate([np.ones(len(once), np.uint64), np.minimum(counts, np.uint64(3))])
                 # A key is id * 4 + what is counted: 0 words before it, 1-3 bigrams it begins, by class.
                 tally = Tally()
-                tally.add((pairs >> np.uint64(32)) << np.uint64(2) | kind)
-                tally.add((pairs & np.uint64(0xFFFFFFFF)) << np.uint64(2))
+                tally.add((both >> np.uint64(32)) << np.uint64(2) | kind)
+                tally.add((both & np.uint64(0xFFFFFFFF)) << np.uint64(2))
                 keys, n = tally.merge()
-                place = np.searchsorted(bounds, (keys >> np.uint64(2)).astype(np.int64), side="right") - 1
+                place = v.shard_of((keys >> np.uint64(2)).astype(np.int64))
                 edges = np.flatnonzero(np.diff(place, prepend=-1))
-                for a, b in zip(edges, [*edges[1:], len(keys)], strict=True):
+                for a, b in zip(edges, [*edges[1:], len(keys)], strict=True) if len(keys) else ():
                     yield pa.RecordBatch.from_pydict({
-                        "shard": pa.array([shards[place[a]]], pa.int32()),
-                        "keys": [pack(keys[a:b])], "counts": [pack_counts(n[a:b])]})
+                        "shard": pa.array([place[a]], pa.int32()), "keys": [pack(keys[a:b])], "counts": [pack_counts(n[a:b])],
+                        "n_words": pa.array([len(v.arrays(int(place[a]))[0])], pa.int64()),
+                        "first": pa.array([int(v.first[place[a]])], pa.int64())})
 
-    def context_file(pdf: pd.DataFrame) -> pd.DataFrame:
-        shard = int(pdf["shard"].iloc[0])
+    def context_file(pdf: pd.DataFrame) -> bytes:
         keys, n = _summed(pdf)
-        size = len(v.arrays(shard)[0])
-        table = np.zeros((4, size), np.uint32)
-        table[(keys & np.uint64(3)).astype(np.int64), (keys >> np.uint64(2)).astype(np.int64) - v.first[shard]] = n
+        table = np.zeros((4, int(pdf["n_words"].max()) if len(pdf) else 0), np.uint32)
+        if len(pdf):
+            table[(keys & np.uint64(3)).astype(np.int64), (keys >> np.uint64(2)).astype(np.int64) - int(pdf["first"].iloc[0])] = n
         before = table[0]
         head = [int(before.sum()), *(int((before == i).sum()) for i in (1, 2, 3, 4)), int((before > 2).sum())]
-        return pd.DataFrame({"shard": [shard], "data": [np.array(head, np.uint64).tobytes() + table.tobytes()]})
+        return np.array(head, np.uint64).tobytes() + table.tobytes()
 
-    if not pair_files:
-        return {}, [0] * 6
-    content = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
-    out = new_folder(spark, "contexts")
-    write_arrays(content.mapInArrow(tidy(statistics), PARTIAL).groupBy("shard")
-                 .applyInPandas(context_file, "shard int, data binary"), out)
-    heads = _heads(train, out, 6)
-    return array_files(spark, out), [sum(h[i] for h in heads.values()) for i in range(6)]
+    numbers = spark.range(0, 1 << pairs.bits, 1, 1 << min(pairs.bits, 12))
+    return write_shards(numbers.mapInArrow(tidy(statistics), f"{PARTIAL}, n_words long, first long"),
+                        new_folder(spark, "contexts"), v.shards.bits, context_file)
 
 
 class Scorer:
@@ -276,40 +244,26 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.m = model
-        self.pairs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.contexts: dict[int, np.ndarray] = {}
 
     def context(self, ids: np.ndarray) -> np.ndarray:
         """The four context counts of sorted word ids; zeros for unknown words."""
         out = np.zeros((4, len(ids)), np.float64)
-        shards = sorted(self.m.words.first)
-        bounds = np.array([self.m.words.first[s] for s in shards], np.int64)
-        if not len(bounds):
-            return out
         known = np.flatnonzero(ids >= 0)
-        place = np.searchsorted(bounds, ids[known], side="right") - 1
-        for p in np.unique(place):
-            shard = shards[p]
-            if shard not in self.m.contexts:
-                continue
-            if shard not in self.contexts:
-                self.contexts[shard] = mapped(self.m.contexts[shard])
-            raw = self.contexts[shard]
+        place = self.m.words.shard_of(ids[known])
+        for shard in np.unique(place):
+            raw = self.m.contexts.raw(int(shard))
             n = (len(raw) - 48) // 16
             table = raw[48 : 48 + 16 * n].view(np.uint32).reshape(4, n)
-            rows = known[place == p]
-            out[:, rows] = table[:, ids[rows] - bounds[p]]
+            rows = known[place == shard]
+            if n:
+                out[:, rows] = table[:, ids[rows] - self.m.words.first[shard]]
         return out
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of sorted distinct bigram hashes."""
         out = np.zeros(len(keys), np.float64)
-        for shard, part in _cut(keys, self.m.pair_bits):
-            if shard not in self.m.pairs:
-                continue
-            if shard not in self.pairs:
-                self.pairs[shard] = _pair_arrays(mapped(self.m.pairs[shard]))
-            once, many, counts = self.pairs[shard]
+        for shard, part in self.m.pairs.cut(keys):
+            once, many, counts = _pair_arrays(self.m.pairs.raw(shard))
             for hashes, value in ((once, None), (many, counts)):
                 if len(hashes):
                     at = np.minimum(np.searchsorted(hashes, keys[part]), len(hashes) - 1)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import lru_cache
 
 import numpy as np
@@ -59,6 +60,12 @@ class Trees:
     counts: tuple[bytes, ...]
 
 
+def limits(shares: dict[str, float]) -> Column:
+    """By language, the largest 64-bit hash that is drawn for a share of its rows, however small."""
+    most = {lang: min((1 << 63) - 1, int(Fraction(share) * (1 << 64)) - (1 << 63)) for lang, share in shares.items()}
+    return F.create_map(*(x for lang, m in most.items() for x in (F.lit(lang), F.lit(m).cast("long"))))
+
+
 def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Trees:
     """Count the trees; what the driver gets is bounded by the sample."""
     bound_batches(train.sparkSession)
@@ -66,9 +73,7 @@ def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Trees:
     shares = {r.lang: min(1.0, rows_per_language / r["count"]) for r in known.groupBy("lang").count().collect()}
     if not shares:
         return Trees((), (), ())
-    parts = 1 << 20
-    limit = F.create_map(*(F.lit(x) for k, v in shares.items() for x in (k, int(v * parts))))
-    sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < limit[F.col("lang")])
+    sample = known.filter(F.xxhash64("doc_id") <= limits(shares)[F.col("lang")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies: dict[str, Tally] = {}
@@ -76,11 +81,12 @@ def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Trees:
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             for lang in set(langs):
                 texts = batch.column(1).filter(pa.array(langs == lang))
+                tally = tallies.setdefault(lang, Tally())
                 for _, _, data, at in slices(texts, SLICE):
                     key = np.zeros(len(data), np.uint64)
                     for x in reversed(_sequence(data, at)):
                         key = key << np.uint64(WIDTH) | x.astype(np.uint64)
-                    tallies.setdefault(lang, Tally()).add(key)
+                    tally.add(key)
         for lang, tally in tallies.items():
             k, n = tally.merge()
             yield pa.RecordBatch.from_pydict({"lang": [lang], "keys": [pack(k)], "counts": [pack_counts(n)]})
@@ -95,6 +101,8 @@ def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Trees:
     schema = "lang string, keys binary, counts binary"
     rows = (sample.select("lang", "text").mapInArrow(tidy(count), schema).groupBy("lang").applyInPandas(total, schema)
             .orderBy("lang").collect())
+    if missed := sorted(set(shares) - {r.lang for r in rows}):
+        raise ValueError(f"no row was drawn of {missed}, though there are some")
     rows = [r for r in rows if len(r["keys"])]
     return Trees(*(tuple(bytes(r[c]) if c != "lang" else r[c] for r in rows) for c in ("lang", "keys", "counts")))
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hopscan.session import checkpointed, shared_folder
 
 __all__ = [
-    "Shards", "array_files", "bound_batches", "checkpointed", "mapped", "new_folder", "release", "shard_bits", "text_bytes", "tidy",
+    "Shards", "bound_batches", "checkpointed", "mapped", "new_folder", "release", "shard_bits", "text_bytes", "tidy",
     "write_arrays", "write_shards",
 ]
 
@@ -30,9 +30,10 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 def bound_batches(spark: SparkSession) -> None:
     """Hand rows to Python a few megabytes at a time, so that long texts do not add up in a worker.
 
-    A bound below Spark's default, as set by the user, stays.
+    A bound that the user has set stays, whatever it is. Results are lazy, so the bound must hold when
+    they are used: it stays for the session.
     """
-    if int(spark.conf.get(BATCH_BYTES).rstrip("b") or 0) >= 64 << 20:
+    if BATCH_BYTES not in spark.conf.getAll:
         spark.conf.set(BATCH_BYTES, str(4 << 20))
 
 
@@ -76,17 +77,6 @@ def write_arrays(df: DataFrame, folder: str) -> None:
     df.select("shard", F.col("data").cast("string").alias("value")).write.partitionBy("shard").text(folder)
 
 
-def array_files(spark: SparkSession, folder: str) -> dict[int, str]:
-    """Path of each shard's file. One entry per shard, whatever the number of rows."""
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-        return {int(r.shard): r.path for r in files.select("path", "shard").collect()}
-    except Exception as e:  # no shard was written: the folder has no partition column
-        if "shard" in str(e) or "PATH_NOT_FOUND" in str(e):
-            return {}
-        raise
-
-
 def mapped(path: str) -> np.ndarray:
     """The bytes of a raw file: memory-mapped from a mounted folder, else read through Arrow."""
     where = urlparse(path)
@@ -157,6 +147,20 @@ class Shards:
                 yield int(shard[a]), slice(a, b)
 
 
+def shard_heads(spark: SparkSession, shards: Shards, n: int) -> np.ndarray:
+    """The first n numbers of every shard, read by tasks: one short row per shard."""
+
+    def heads(batches):  # noqa: ANN001, ANN202
+        for batch in batches:
+            yield batch.assign(head=[shards.raw(int(s))[: 8 * n].tobytes() for s in batch["id"]])
+
+    rows = spark.range(1 << shards.bits).mapInPandas(heads, "id long, head binary").collect()
+    out = np.zeros((1 << shards.bits, n), np.int64)
+    for r in rows:
+        out[r["id"]] = np.frombuffer(r["head"], np.int64)
+    return out
+
+
 def write_shards(partials: DataFrame, folder: str, bits: int, join: Callable) -> Shards:
     """Write every shard: ``join`` makes the bytes of one from its rows of ``partials``, none of them for an empty shard.
 

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from hopscan.llm.kneser_ney import PARTIAL, _bits, _cut, _partials, _summed
-from hopscan.llm.store import array_files, mapped, new_folder, text_bytes, tidy, write_arrays
+from hopscan.llm.store import Shards, new_folder, text_bytes, tidy, write_shards
 from hopscan.llm.suffix_sort import Suffixes, prefix_hashes, rolling_hashes, substring_hashes, window_hashes
 from hopscan.llm.textbytes import Tally, mix, pack, slices, unpack
 
@@ -96,21 +96,23 @@ def anchors(data: np.ndarray, at: np.ndarray) -> Anchors | None:
 class Lookup:
     """Sorted keys with a value each, mapped by shard."""
 
-    files: dict[int, str]
+    shards: Shards
     bits: int
     kind: np.dtype
+    #: Kinds of entries in the folder, and which of them this is.
+    kinds: int = 1
+    which: int = 0
 
     def __call__(self, keys: np.ndarray, absent: int) -> np.ndarray:
         """Values of sorted distinct keys."""
         out = np.full(len(keys), absent, np.int64)
         for shard, part in _cut(keys, self.bits):
-            if shard in self.files:
-                raw = mapped(self.files[shard])
-                n = (len(raw) - 1) // (8 + self.kind.itemsize)
+            raw = self.shards.raw(shard * self.kinds + self.which)
+            n = len(raw) // (8 + self.kind.itemsize)
+            if n:
                 known, value = raw[: 8 * n].view(np.uint64), raw[8 * n : (8 + self.kind.itemsize) * n].view(self.kind)
-                if n:
-                    place = np.minimum(np.searchsorted(known, keys[part]), n - 1)
-                    out[part] = np.where(known[place] == keys[part], value[place], absent)
+                place = np.minimum(np.searchsorted(known, keys[part]), n - 1)
+                out[part] = np.where(known[place] == keys[part], value[place], absent)
         return out
 
     def of(self, keys: np.ndarray, absent: int) -> np.ndarray:
@@ -145,15 +147,13 @@ def shared_anchors(texts: DataFrame, bits: int) -> Lookup:
                 tally.add(key[begin], np.where(row[ends] != row[begin], 2, 1))
         yield from _partials(tally, bits)
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+    def keep(pdf: pd.DataFrame) -> bytes:
         keys, n = _summed(pdf)
         some = n > 1
-        data = keys[some].tobytes() + np.minimum(n[some], 1 << 31).astype(np.uint32).tobytes()
-        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "data": [data]})
+        return keys[some].tobytes() + np.minimum(n[some], 1 << 31).astype(np.uint32).tobytes()
 
-    folder = new_folder(texts.sparkSession, "anchors")
-    write_arrays(texts.mapInArrow(tidy(count), PARTIAL).groupBy("shard").applyInPandas(keep, "shard int, data binary"), folder)
-    return Lookup(array_files(texts.sparkSession, folder), bits, np.dtype(np.uint32))
+    shards = write_shards(texts.mapInArrow(tidy(count), PARTIAL), new_folder(texts.sparkSession, "anchors"), bits, keep)
+    return Lookup(shards, bits, np.dtype(np.uint32))
 
 
 CONTEXTS = "shard int, anchor binary, context binary, doc binary, n binary, size binary, bytes binary"
@@ -264,13 +264,15 @@ def _resolved(pdf: pd.DataFrame, bits: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["shard", "keys", "docs"])
 
 
-def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
+def _entries(pdf: pd.DataFrame) -> bytes:
+    if not len(pdf):
+        return b""
     keys = np.concatenate([np.frombuffer(k, np.uint64) for k in pdf["keys"]])
     docs = np.concatenate([np.frombuffer(d, np.int64) for d in pdf["docs"]])
     order = np.lexsort((docs, keys))
     keys, docs = keys[order], docs[order]
     first = np.concatenate([[True], keys[1:] != keys[:-1]])
-    return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "data": [keys[first].tobytes() + docs[first].tobytes()]})
+    return keys[first].tobytes() + docs[first].tobytes()
 
 
 @dataclass
@@ -314,10 +316,8 @@ def build(docs: DataFrame, hot: int = HOT) -> Index:
     shared = shared_anchors(texts, bits)
     partial = _contexts(texts, shared, bits, hot).groupBy("shard").applyInPandas(
         lambda pdf: _resolved(pdf, bits), "shard int, keys binary, docs binary")
-    folder = new_folder(spark, "strings")
-    write_arrays(partial.groupBy("shard").applyInPandas(_entries, "shard int, data binary"), folder)
-    files = array_files(spark, folder)
-    of = lambda kind: Lookup({s // 4: p for s, p in files.items() if s % 4 == kind}, bits, np.dtype(np.int64))
+    shards = write_shards(partial, new_folder(spark, "strings"), bits + 2, _entries)
+    of = lambda kind: Lookup(shards, bits, np.dtype(np.int64), 4, kind)
     return Index(shared, of(OF_CONTEXT), of(OF_STRING), of(MIXED), hot)
 
 
