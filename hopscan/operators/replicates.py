@@ -118,25 +118,39 @@ class Trend:
     kind: str
 
 
-def dispersion_trend(fits: DataFrame, rounds: int = 20) -> Trend:
-    """The trend of dispersions over means.
+#: Cells of the trend's grid for each doubling of mean and dispersion.
+GRID = 16
+#: Rows within this distance of a median's cell are looked at one by one.
+RESIDUAL_CELLS, RESIDUAL_RANGE = 1 << 16, 32.0
+
+
+def trend_cells(fits: DataFrame) -> DataFrame:
+    """Insertions by cell of (mean, dispersion): how many, and sums of dispersion and of one over the mean.
 
-    Gamma regression by scoring: every step is one aggregation of five sums, solved within the
-    bounds a0, a1 >= 0. Insertions far off the current trend are left out of later rounds. If a
-    coefficient ends at its bound, or ``rounds`` steps or rounds do not settle, the trend is the
-    mean dispersion, and ``kind`` tells.
+    Sums add up, whatever the order; their number is bounded by the range of the two figures, not by the insertions.
     """
-    x, y = 1 / F.col("baseMean"), F.col("disp_own")
-    use = fits.filter((y >= 100 * nb.MIN_DISP) & (F.col("baseMean") > 0))
-    first = use.agg(F.avg(y).alias("m"), F.count(F.lit(1)).alias("n")).first()
-    if not first["n"]:
-        return Trend(nb.MIN_DISP, 0.0, "mean")
-    mean = float(first["m"])
+    cell = lambda c: F.floor(F.log2(c) * GRID)
+    return _trendable(fits).groupBy(cell(F.col("baseMean")).alias("cell_mean"), cell(F.col("disp_own")).alias("cell_disp")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(1 / F.col("baseMean")).alias("x"), F.sum("disp_own").alias("y"))
+
+
+def _trendable(fits: DataFrame) -> DataFrame:
+    return fits.filter((F.col("disp_own") >= 100 * nb.MIN_DISP) & (F.col("baseMean") > 0))
+
+
+def grid_trend(n: np.ndarray, x: np.ndarray, y: np.ndarray, rounds: int = 20) -> Trend:
+    """All rounds of the regression over the cells' means: gamma regression by scoring within a0, a1 >= 0.
+
+    Cells far off the trend of a round are left out of the later ones.
+    """
+    mean, x, y = float(y.sum() / n.sum()), x / n, y / n
     a0, a1 = 0.1, 1.0
+    use = np.ones(len(n), bool)
     for _ in range(rounds):
         old = (a0, a1)
         for _ in range(rounds):
-            step = _trend_step(use, x, y, a0, a1)
+            w = n[use] / (a0 + a1 * x[use]) ** 2
+            step = _line(w.sum(), w @ x[use], w @ x[use] ** 2, w @ y[use], w @ (x[use] * y[use])) if use.any() else None
             if step is None or min(step) <= 0:
                 return Trend(mean, 0.0, "mean")
             moved = max(abs(step[0] - a0) / a0, abs(step[1] - a1) / a1)
@@ -147,8 +161,37 @@ def dispersion_trend(fits: DataFrame, rounds: int = 20) -> Trend:
             return Trend(mean, 0.0, "mean, not converged")
         if math.log(a0 / old[0]) ** 2 + math.log(a1 / old[1]) ** 2 < 1e-6:
             return Trend(a0, a1, "parametric")
+        ratio = y / (a0 + a1 * x)
+        use &= (ratio >= TREND_RATIO_LOW) & (ratio < TREND_RATIO_HIGH)
+    return Trend(mean, 0.0, "mean, not converged")
+
+
+def dispersion_trend(fits: DataFrame, rounds: int = 20) -> Trend:
+    """The trend of dispersions over means.
+
+    One pass sums the insertions up in a grid, from which all rounds of the regression run; steps over
+    the insertions themselves then end exactly where such a step, with the insertions far off the trend left
+    out, gives the trend itself. If a coefficient ends at its bound, or ``rounds`` steps or rounds do not settle, the
+    trend is the mean dispersion, and ``kind`` tells.
+    """
+    cells = trend_cells(fits).toPandas()
+    if not len(cells):
+        return Trend(nb.MIN_DISP, 0.0, "mean")
+    n, x_sum, y_sum = (cells[c].to_numpy(dtype=float) for c in ("n", "x", "y"))
+    mean, start = float(y_sum.sum() / n.sum()), grid_trend(n, x_sum, y_sum, rounds)
+    if start.kind != "parametric":
+        return start
+    x, y, use = 1 / F.col("baseMean"), F.col("disp_own"), _trendable(fits)
+    a0, a1 = start.a0, start.a1
+    for _ in range(rounds):
         ratio = y / (F.lit(a0) + F.lit(a1) * x)
-        use = use.filter((ratio >= TREND_RATIO_LOW) & (ratio < TREND_RATIO_HIGH))
+        step = _trend_step(use.filter((ratio >= TREND_RATIO_LOW) & (ratio < TREND_RATIO_HIGH)), x, y, a0, a1)
+        if step is None or min(step) <= 0:
+            return Trend(mean, 0.0, "mean")
+        moved = max(abs(step[0] - a0) / a0, abs(step[1] - a1) / a1)
+        a0, a1 = step
+        if moved < 1e-6:
+            return Trend(a0, a1, "parametric")
     return Trend(mean, 0.0, "mean, not converged")
 
 
@@ -159,31 +202,50 @@ def _trend_step(use: DataFrame, x: Column, y: Column, a0: float, a1: float) -> t
         F.sum(w).alias("w"), F.sum(w * x).alias("wx"), F.sum(w * x * x).alias("wxx"),
         F.sum(w * y).alias("wy"), F.sum(w * x * y).alias("wxy"),
     ).first()
-    if s["w"] is None:
-        return None
-    det = s["w"] * s["wxx"] - s["wx"] ** 2
+    return None if s["w"] is None else _line(*(s[c] for c in ("w", "wx", "wxx", "wy", "wxy")))
+
+
+def _line(w: float, wx: float, wxx: float, wy: float, wxy: float) -> tuple[float, float] | None:
+    """Least squares from its sums; at a bound where the free solution leaves it."""
+    det = w * wxx - wx**2
     if det <= 0:
         return None
-    b0 = (s["wxx"] * s["wy"] - s["wx"] * s["wxy"]) / det
-    b1 = (s["w"] * s["wxy"] - s["wx"] * s["wy"]) / det
+    b0, b1 = (wxx * wy - wx * wxy) / det, (w * wxy - wx * wy) / det
     if b1 <= 0:
-        return s["wy"] / s["w"], 0.0
+        return wy / w, 0.0
     if b0 <= 0:
-        return 0.0, s["wxy"] / s["wxx"]
+        return 0.0, wxy / wxx
     return b0, b1
 
 
+def exact_median(rows: DataFrame, value: str) -> float | None:
+    """Median of one column of moderate numbers, such as logarithms: cells are counted, then the middle ones sorted."""
+    top = RESIDUAL_CELLS - 1
+    place = F.floor((F.col(value) + RESIDUAL_RANGE) * (RESIDUAL_CELLS / 2 / RESIDUAL_RANGE))
+    celled = rows.filter(F.col(value).isNotNull()).select(F.col(value).alias("v"), F.greatest(F.lit(0), F.least(F.lit(top), place)).alias("c"))
+    counts = celled.groupBy("c").count().toPandas().sort_values("c")
+    if not len(counts):
+        return None
+    end = counts["count"].cumsum().to_numpy()
+    middle = [(end[-1] - 1) // 2, end[-1] // 2]
+    at = np.searchsorted(end, middle, side="right")
+    low, high = (int(counts["c"].iloc[i]) for i in at)
+    before = int(end[at[0]] - counts["count"].iloc[at[0]])
+    left = celled.filter(F.col("c").between(low, high)).select("v")
+    size = int(end[at[1]]) - before
+    share = [(m - before) / max(1, size - 1) for m in middle]
+    found = left.agg(F.percentile("v", F.array(*[F.lit(float(q)) for q in share])).alias("q")).first()["q"]
+    return (found[0] + found[1]) / 2
+
+
 def prior_spread(fits: DataFrame, trend: Trend, libs: Libraries) -> tuple[float, float]:
     """Observed spread around the trend (squared) and the variance of the dispersion prior."""
     expected = F.lit(trend.a0) + F.lit(trend.a1) / F.col("baseMean")
-    rows = fits.filter(F.col("disp_own") >= 100 * nb.MIN_DISP).select(
-        F.lit(1).alias("g"), (F.ln("disp_own") - F.ln(expected)).alias("r")
-    )
-    middle = exact_quantile(rows, ["g"], "r", {"m": 0.5}).first()
+    rows = fits.filter(F.col("disp_own") >= 100 * nb.MIN_DISP).select((F.ln("disp_own") - F.ln(expected)).alias("r"))
+    middle = exact_median(rows, "r")
     if middle is None:
         return MIN_PRIOR_VAR, MIN_PRIOR_VAR
-    away = rows.select("g", F.abs(F.col("r") - float(middle["m"])).alias("d"))
-    mad = float(exact_quantile(away, ["g"], "d", {"m": 0.5}).first()["m"]) / NORMAL_Q75
+    mad = exact_median(rows.select(F.abs(F.col("r") - middle).alias("d")), "d") / NORMAL_Q75
     free = len(libs.labels) - len(libs.conditions)
     return mad**2, max(mad**2 - nb.trigamma(free / 2), MIN_PRIOR_VAR)
 
@@ -240,12 +302,12 @@ def shrunken_scores(
         worst = watched.argmax(axis=1)
         above = (counts > np.take_along_axis(counts, worst[:, None], 1)).sum(axis=1)
         p[(watched.max(axis=1) > cutoff) & (above < 3)] = np.nan
-        return disp, lfc / math.log(2), se / math.log(2), stat, p
+        return disp, cooks.max(axis=1), lfc / math.log(2), se / math.log(2), stat, p
 
     kept = [f for f in fits.schema.fields if f.name in key]
     stats = ("LFC", "lfcSE", "stat", "pvalue")
     tps = conditions[1:]
-    doubles = ["baseMean", "dispersion", *[f"{s}_{i}" for s in stats for i in range(len(tps))]]
+    doubles = ["baseMean", "dispersion", "cooks", *[f"{s}_{i}" for s in stats for i in range(len(tps))]]
     schema = T.StructType([*kept, *[T.StructField(d, T.DoubleType()) for d in doubles]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,11 +318,11 @@ def shrunken_scores(
             ok = pdf["disp_own"].notna().to_numpy()
             if ok.any():
                 sub = pdf[ok]
-                disp, lfc, se, stat, p = score(
+                disp, cooks, lfc, se, stat, p = score(
                     sub[names].to_numpy(dtype=float), sub["disp_own"].to_numpy(dtype=float),
                     sub["baseMean"].to_numpy(dtype=float),
                 )
-                out.loc[ok, "dispersion"] = disp
+                out.loc[ok, "dispersion"], out.loc[ok, "cooks"] = disp, cooks
                 # Depletion counts as positive.
                 for s, v in zip(stats, (-lfc, se, -stat, p)):
                     for i in range(len(tps)):
@@ -281,7 +343,7 @@ def shrunken_scores(
         F.struct(F.lit(t).alias("Timepoint"), *[known(f"{s}_{i}").alias(s) for s in stats])
         for i, t in enumerate(tps)
     ]
-    return wide.select(*key, "baseMean", known("dispersion").alias("dispersion"),
+    return wide.select(*key, "baseMean", known("dispersion").alias("dispersion"), known("cooks").alias("cooks"),
                        F.inline(F.array(start, *rest)))
 
 
@@ -347,23 +409,25 @@ def rejections(scores: DataFrame, cutoffs: Sequence[float], level: float, by: Se
 
 
 def filtered_adjust(
-    scores: DataFrame, level: float = FILTER_LEVEL, by: Sequence[str] = ("Timepoint",)
+    scores: DataFrame, level: float = FILTER_LEVEL, by: Sequence[str] = ("Timepoint",), means: DataFrame | None = None
 ) -> DataFrame:
     """Adjusted p-values after leaving out insertions of low mean, per group.
 
-    Cut-offs are quantiles of ``baseMean``; the one that ``choose_cutoff`` takes holds. Insertions
-    below it have a NULL adjusted p-value. The driver gets one row per group and cut-off.
+    Cut-offs are quantiles of ``baseMean`` over ``means``, one row an insertion, by default those of one group; the
+    one that ``choose_cutoff`` takes holds. Insertions below it have a NULL adjusted p-value. The driver gets one row
+    per group and cut-off.
     """
     by = list(by)
-    one = scores.select(F.lit(1).alias("g"), "baseMean", *by)
-    some = one.select(*by).first()
-    if some is None:
-        return bh_adjust(scores, "pvalue", by)
-    same = F.lit(True)
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.lit(some[c]))
-    means = one.filter(same)
+    if means is None:
+        some = scores.select(*by).first()
+        same = F.lit(True)
+        for c in by if some is not None else ():
+            same = same & F.col(c).eqNullSafe(F.lit(some[c]))
+        means = scores.filter(same)
+    means = means.select(F.lit(1).alias("g"), "baseMean")
     lower = means.agg(F.avg((F.col("baseMean") == 0).cast("double"))).first()[0]
+    if lower is None:
+        return bh_adjust(scores, "pvalue", by)
     upper = FILTER_TOP if lower < FILTER_TOP else 1.0
     shares = np.linspace(lower, upper, FILTER_CUTOFFS)
     row = exact_quantile(means, ["g"], "baseMean", {f"q{i}": float(q) for i, q in enumerate(shares)}).first()
@@ -383,13 +447,14 @@ def filtered_adjust(
 
 def replicate_scores(
     counts: DataFrame, controls: DataFrame, initial: str, min_replicates: int = 7,
-    key: Sequence[str] = KEY, rounded: bool = True,
+    key: Sequence[str] = KEY, rounded: bool = True, details: bool = False,
 ) -> DataFrame:
     """Score, standard error, test and adjusted p-value per insertion and timepoint.
 
     Runs jobs when called: fits and scores are stored once. The initial timepoint has LFC 0 and
     p and adjusted p 1; the others are adjusted per timepoint after filtering by mean count.
-    ``trend`` says how the dispersion trend was found.
+    ``trend`` says how the dispersion trend was found. ``details`` adds the final ``dispersion`` and the
+    largest of an insertion's Cook's distances, ``cooks``.
     """
     complete = complete_cases(counts, key=key)
     libs = collect_libraries(size_factors(complete, controls, key), initial)
@@ -397,14 +462,14 @@ def replicate_scores(
     trend = dispersion_trend(fits)
     spread = prior_spread(fits, trend, libs)
     scores = checkpointed(shrunken_scores(fits, libs, trend, spread, min_replicates, key))
-    later = filtered_adjust(scores.filter(F.col("Timepoint") != initial))
+    later = filtered_adjust(scores.filter(F.col("Timepoint") != initial), means=fits)
     start = scores.filter(F.col("Timepoint") == initial).withColumn("padj", F.lit(1.0))
     digits = SCORE_DIGITS if rounded else {}
     return later.unionByName(start).select(
         *key, "Timepoint",
         *[half_even(F.col(c), digits[c]).alias(c) if c in digits else F.col(c)
           for c in SCORE_DIGITS],
-        F.lit(trend.kind).alias("trend"),
+        F.lit(trend.kind).alias("trend"), *(["dispersion", "cooks"] if details else []),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from hopscan.config import GENE_STOP_DISTANCE, RunConfig
 from hopscan.operators import curves as cv, genes as gn, replicates as rp, scoring as sc
 from hopscan.operators.scoring import in_gene_keys
-from hopscan.operators.sites import semi_keys
+from hopscan.operators.sites import complete_cases, semi_keys
 from hopscan.session import checkpointed
 
 
@@ -53,15 +53,17 @@ def score_replicates(counts: DataFrame, ann: DataFrame, cfg: RunConfig) -> dict[
     counts, ann = checkpointed(counts), checkpointed(ann)
     imputed = checkpointed(sc.impute_opposite_strand(counts, ann, key=key))
     full = imputed.drop("imputed")
-    controls = sc.select_controls(full, ann, cfg.boundary_distance, key)
-    scores = rp.replicate_scores(full, controls, cfg.initial, key=key)
+    controls = checkpointed(sc.select_controls(full, ann, cfg.boundary_distance, key))
+    # Weights, fits, genes and reports all start from the scores: stored once.
+    scores = checkpointed(rp.replicate_scores(full, controls, cfg.initial, key=key, details=True))
     # An insertion left out of the adjustment weighs as one with p = 1.
     weights = scores.select(*key, "Timepoint", F.coalesce("padj", F.lit(1.0)).alias("weight"))
     lfc = scores.select(*key, "Timepoint", "LFC")
-    genes = weighted_gene_scores(lfc, weights, ann, key)
+    genes = checkpointed(weighted_gene_scores(lfc, weights, ann, key))
     out = {
         "imputed": imputed, "imputation_statistics": sc.imputation_stats(imputed, cfg.initial, key),
         "controls": controls, "scores": scores, "genes": genes,
+        "normalized_counts": rp.normalized_counts(full, sc.size_factors(complete_cases(full, key=key), controls, key)),
     }
     if not cfg.generations:
         return out

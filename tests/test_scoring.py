@@ -272,3 +272,59 @@ def test_unsettled_curves_fail(spark):
     assert [r["Status"] for r in cv.fit_curves(df, times).collect()] == [cv.OK]
     short = cv.fit_curves(df, times, steps=1).collect()[0]
     assert short["Status"] == cv.FAILED and short["A"] is None
+
+
+def _optimum(mean, disp):
+    """The trend by plain rounds over all points."""
+    a0, a1, x = 0.1, 1.0, 1 / mean
+    for _ in range(200):
+        ratio = disp / (a0 + a1 * x)
+        use = (ratio >= rp.TREND_RATIO_LOW) & (ratio < rp.TREND_RATIO_HIGH)
+        w = 1 / (a0 + a1 * x[use]) ** 2
+        a = np.array([[w.sum(), w @ x[use]], [w @ x[use], w @ x[use] ** 2]])
+        a0, a1 = np.linalg.solve(a, [w @ disp[use], w @ (x[use] * disp[use])])
+    return a0, a1
+
+
+def test_trend_of_a_grid_ends_at_the_optimum_of_all_points(spark):
+    rng = np.random.default_rng(9)
+    mean = np.exp(rng.uniform(0, 9, 20_000))
+    disp = (0.05 + 3 / mean) * rng.gamma(2, 1 / 2, len(mean))
+    disp[:200] *= 100  # far off
+    fits = spark.createDataFrame(pd.DataFrame({"baseMean": mean, "disp_own": disp}))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("trend", "")
+    try:
+        t = rp.dispersion_trend(fits)
+        n_jobs = len(jobs.getJobIdsForGroup("trend"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    keep = disp >= 100 * nb.MIN_DISP
+    a0, a1 = _optimum(mean[keep], disp[keep])
+    assert t.kind == "parametric" and t.a0 == pytest.approx(a0, rel=1e-6) and t.a1 == pytest.approx(a1, rel=1e-6)
+    assert n_jobs < 15
+    assert rp.trend_cells(fits.unionByName(fits)).count() == rp.trend_cells(fits).count()
+
+
+def test_exact_median(spark):
+    rng = np.random.default_rng(1)
+    for v in (rng.normal(size=1001), rng.normal(size=1000) * 20, np.zeros(7), np.array([-50.0, 40.0]), np.repeat([1.0, 2.0], 500)):
+        df = spark.createDataFrame(pd.DataFrame({"v": v})).repartition(3)
+        assert rp.exact_median(df, "v") == pytest.approx(np.median(v), abs=1e-12)
+    assert rp.exact_median(spark.createDataFrame([], "v double"), "v") is None
+
+
+def test_replicate_scores_show_dispersion_and_distance(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(60):
+        for sample in "ABC":
+            for j, t in enumerate(("t0", "t1")):
+                n = int(rng.negative_binomial(10, 10 / 210))
+                rows.append(("I", i, "+", sample, t, n * (40 if (i, sample, t) == (5, "B", "t1") else 1)))
+    c = spark.createDataFrame(pd.DataFrame(rows, columns=[*SITE, "Sample", "Timepoint", "Reads"]))
+    controls = c.select(*SITE).distinct()
+    out = rp.replicate_scores(c, controls, "t0", key=SITE, details=True).filter("Timepoint = 't1'").toPandas().set_index("Coordinate")
+    assert (out["dispersion"] > 0).all() and out["cooks"].idxmax() == 5 and np.isnan(out.loc[5, "pvalue"])
+    plain = rp.replicate_scores(c, controls, "t0", key=SITE)
+    assert not {"dispersion", "cooks"} & set(plain.columns)
