@@ -137,7 +137,8 @@ def route(docs: DataFrame, n: int) -> DataFrame:
                 {"doc_id": batch.column(0), "text": batch.column(1), "near": pa.array(near, pa.binary())})
 
     out = docs.select("doc_id", "text").mapInArrow(tidy(keyed), "doc_id long, text string, near binary")
-    return out.repartitionByRange(n, "near", "doc_id").sortWithinPartitions("near", "doc_id")
+    # The row number deals equal rows out to several ranges.
+    return out.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(n, "near", "doc_id", "row").drop("row").sortWithinPartitions("near", "doc_id")
 
 
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -9,15 +9,16 @@ it ends the documents in random order, the last of them in part, so a source's t
 rounded target. A splitting tree deals each source's block quota to output shards: at a node the
 blocks of the left half are one multivariate-hypergeometric draw from the node's quotas, seeded by
 the node, so any task can walk to its own shards and reruns agree. Shards take disjoint runs of the
-permuted blocks and order their documents by hash.
+permuted blocks and order their documents by hash. ``taken_words`` tells the first shard of each row.
 
-The driver sees one row per source. Null or wordless texts have size 0 and are never taken. Rows
-equal in doc_id and text count and are drawn one by one; as texts they stand for each other.
+The mix itself has whole documents: the last one of a source is taken or left, whichever is nearer to its target.
+The driver sees one row per source. Null or wordless texts have size 0 and are never taken. Rows equal
+in doc_id and text are numbered and drawn one by one, so a text of a third of all rows falls into
+many blocks; as texts they stand for each other.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -89,10 +90,30 @@ def sizes_of(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("check"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
+def numbered(sized: DataFrame) -> DataFrame:
+    """Adds ``copy``, which numbers the rows that are equal in doc_id and text, whatever their partitions.
+
+    Copies are numbered within each partition of the stored rows, then the partitions one after the other.
+    """
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["_id"]) & (a["check"] == b["_check"])
+    several = checkpointed(sized.groupBy("doc_id", "check").agg(F.count("*").alias("k")).filter("k > 1")
+                           .select(F.col("doc_id").alias("_id"), F.col("check").alias("_check")))
+    part = F.shiftright("row", 33)  # the partition, as monotonically_increasing_id counts
+    again = sized.join(several, same(sized, several), "left_semi").select("doc_id", "check", "row", part.alias("part"))
+    per = again.groupBy("doc_id", "check", "part").agg(F.count("*").alias("k"))
+    before = W.partitionBy("doc_id", "check").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    per = per.select(F.col("doc_id").alias("_id"), F.col("check").alias("_check"), F.col("part").alias("_part"),
+                     F.coalesce(F.sum("k").over(before), F.lit(0)).alias("offset"))
+    own = F.row_number().over(W.partitionBy("doc_id", "check", "part").orderBy("row")) - 1
+    copies = again.withColumn("own", own).join(per, same(again, per) & (F.col("part") == F.col("_part"))).select(
+        F.col("row").alias("_row"), (F.col("offset") + F.col("own")).alias("_copy"))
+    return sized.join(copies, F.col("row") == F.col("_row"), "left").withColumn("copy", F.coalesce("_copy", F.lit(0))).drop("_row", "_copy")
+
+
 def plan(docs: DataFrame) -> Plan:
     """Draw the mix of all rows."""
     spark = docs.sparkSession
-    sized = checkpointed(sizes_of(docs).withColumn("row", F.monotonically_increasing_id()))
+    sized = checkpointed(numbered(checkpointed(sizes_of(docs).withColumn("row", F.monotonically_increasing_id()))))
     found = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()
     found.sort(key=lambda r: (r.source is None, (r.source or "").encode()))
     wanted = targets([r.words for r in found])
@@ -105,7 +126,7 @@ def plan(docs: DataFrame) -> Plan:
         table, "s int, source string, source_size long, target double, passes long, rest long, n_blocks long")
     lot = lambda name, *cols: F.xxhash64(F.lit(SEED), F.lit(name), *cols)
     rows = sized.join(sources.withColumnRenamed("source", "own"), F.col("source").eqNullSafe(F.col("own"))).drop("own")
-    rows = rows.withColumn("block", F.pmod(lot("block", "doc_id", "check"), "n_blocks"))
+    rows = rows.withColumn("block", F.pmod(lot("block", "doc_id", "check", "copy"), "n_blocks"))
     # Order of a source's blocks: by super block, then by lot; two short windows instead of one long one.
     blocks = (rows.groupBy("s", "block").agg(F.sum("size").alias("words"), *(F.first(c).alias(c) for c in ("passes", "rest", "n_blocks")))
               .withColumn("super", F.pmod(lot("super", "s", "block"), F.ceil(F.col("n_blocks") / SUPER_BLOCKS))))
@@ -144,8 +165,8 @@ def plan(docs: DataFrame) -> Plan:
              .select("s", "shard", F.explode(F.sequence(F.col("end") - F.col("quota"), F.col("end") - 1)).alias("draw")))
     draws = checkpointed(drawn.join(dealt, ["s", "draw"]).select("s", "block", "pass", "shard", "whole", "before", "rest"))
     ends = draws.filter(~F.col("whole")).select("s", "block", "before", F.col("rest").alias("goal"))
-    inner = W.partitionBy("s", "block").orderBy(lot("row", "doc_id", "check"), "row").rowsBetween(W.unboundedPreceding, -1)
-    partial = (rows.select("row", "doc_id", "check", "size", "s", "block").join(ends, ["s", "block"])
+    inner = W.partitionBy("s", "block").orderBy(lot("row", "doc_id", "check", "copy"), "row").rowsBetween(W.unboundedPreceding, -1)
+    partial = (rows.select("row", "doc_id", "check", "copy", "size", "s", "block").join(ends, ["s", "block"])
                .withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
                .select("row", F.greatest(F.lit(0), F.least("size", F.col("goal") - F.col("ahead"))).alias("part"))
                .filter("part > 0"))
@@ -153,52 +174,36 @@ def plan(docs: DataFrame) -> Plan:
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
-    """Size, source and taken words of every row."""
+    """Size, source, taken words and first output shard (null if nothing is taken) of every row."""
     p = plan(docs)
-    times = p.draws.groupBy("s", "block").agg(F.count_if("whole").alias("times"))
+    times = p.draws.groupBy("s", "block").agg(
+        F.count_if("whole").alias("times"), F.min(F.when(F.col("whole"), F.col("shard"))).alias("whole_shard"),
+        F.min(F.when(~F.col("whole"), F.col("shard"))).alias("cut_shard"))
+    shard = F.least("whole_shard", F.when(F.col("part") > 0, F.col("cut_shard")))
     return (p.rows.join(times, ["s", "block"], "left").join(p.partial, "row", "left")
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("size") * F.coalesce("times", F.lit(0)) + F.coalesce("part", F.lit(0))).alias("taken")))
-
-
-_WORDS = re.compile(WORD)
-
-
-def first_words(text: str, n: int) -> str:
-    """The text up to the end of its n-th word."""
-    for i, m in enumerate(_WORDS.finditer(text), 1):
-        if i == n:
-            return text[: m.end()]
-    return text
+                    (F.col("size") * F.coalesce("times", F.lit(0)) + F.coalesce("part", F.lit(0))).alias("taken"),
+                    F.when(F.col("size") > 0, shard).alias("first_shard")))
 
 
 def mixture(docs: DataFrame) -> DataFrame:
     """The mix itself: a row of ``docs`` for each draw, by shard and in each shard in random order.
 
-    A document drawn in part has its first words as text, and n_chars accordingly.
+    A document that would be drawn in part is drawn whole if that part is half of it or more.
     """
     p = plan(docs)
     id_of = lambda c: (F.coalesce(c, F.lit(0)), c.isNull())
-    whole = (p.draws.filter("whole").join(p.rows.filter("size > 0").select("s", "block", "doc_id", "check", "row"), ["s", "block"])
-             .select("doc_id", "check", "row", "pass", "shard", F.lit(None).cast("long").alias("part")))
-    cut = p.draws.filter(~F.col("whole")).join(p.rows.select("s", "block", "doc_id", "check", "row"), ["s", "block"])
-    cut = cut.join(p.partial, "row").select("doc_id", "check", "row", "pass", "shard", "part")
+    columns = ["doc_id", "check", "row", "copy"]
+    whole = (p.draws.filter("whole").join(p.rows.filter("size > 0").select("s", "block", *columns), ["s", "block"])
+             .select(*columns, "pass", "shard"))
+    cut = p.draws.filter(~F.col("whole")).join(p.rows.select("s", "block", "size", *columns), ["s", "block"])
+    cut = cut.join(p.partial.filter("part > 0"), "row").filter(2 * F.col("part") >= F.col("size")).select(*columns, "pass", "shard")
     lots = whole.unionByName(cut).select(
         *(x.alias(n) for x, n in zip(id_of(F.col("doc_id")), ("__id", "__no_id"), strict=True)), F.col("check").alias("__check"),
-        "shard", "part", F.xxhash64(F.lit(SEED), "doc_id", "check", "row", "pass").alias("__place"))
+        F.col("shard").alias("__shard"), F.xxhash64(F.lit(SEED), "doc_id", "check", "copy", "pass").alias("__place"))
     keyed = docs.withColumns(dict(zip(("__id", "__no_id"), id_of(F.col("doc_id").cast("long")), strict=True)))
     keyed = keyed.withColumn("__check", F.xxhash64("text"))
     keys = ["__id", "__no_id", "__check"]
-    one = keyed.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*keys))).filter("__n = 1").drop("__n")
-    lots = lots.withColumnsRenamed({"shard": "__shard", "part": "__part"})
-
-    @F.pandas_udf("string")
-    def head(text, part):  # noqa: ANN001, ANN202
-        return pd.Series([None if t is None else first_words(t, int(n)) for t, n in zip(text, part, strict=True)])
-
-    text = F.when(F.col("__part").isNull(), F.col("text")).otherwise(
-        head(F.when(F.col("__part").isNotNull(), F.col("text")), "__part"))
-    columns = [text.alias(c) if c == "text" else F.when(F.col("__part").isNull(), F.col(c)).otherwise(F.length(text)).alias(c)
-               if c == "n_chars" else F.col(c) for c in docs.columns]
-    mixed = one.join(lots, keys)
-    return mixed.repartition("__shard").sortWithinPartitions("__shard", "__place").select(*columns)
+    # One row stands for all its copies; folded before the shuffle.
+    mixed = keyed.dropDuplicates(keys).join(lots, keys)
+    return mixed.repartition("__shard").sortWithinPartitions("__shard", "__place").select(*docs.columns)

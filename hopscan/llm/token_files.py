@@ -55,7 +55,9 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = 2) -> np
             yield pa.RecordBatch.from_pydict({"record": pa.array(out, pa.binary())})
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
-    (keyed.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    # The row number deals equal rows out to several files.
+    keyed = keyed.withColumn("row", F.monotonically_increasing_id())
+    (keyed.repartitionByRange(n, "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row")
      .select("doc_id", "text").mapInArrow(tidy(records), "record binary")
      .select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", np.array([end_id], width).tobytes().decode("latin-1")).text(folder))

@@ -142,7 +142,7 @@ def _packed(rows: DataFrame) -> DataFrame:
 
 
 def _query_blocks(rows: DataFrame, n: int) -> DataFrame:
-    """Query vectors dealt to n blocks."""
+    """Query vectors dealt to n blocks, row by row, so that rows of one id spread too."""
     schema = _BLOCK.append(pa.field("block", pa.int64()))
 
     def pack(table: pa.Table) -> pa.Table:
@@ -150,7 +150,7 @@ def _query_blocks(rows: DataFrame, n: int) -> DataFrame:
         found = _blocks(table.column("v"), table.column("vec_id").to_numpy(), table.num_rows)
         return pa.Table.from_pylist([f | {"block": block} for f in found], schema)
 
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(n)))
     return dealt.groupBy("block").applyInArrow(pack, "dim int, ids binary, data binary, block long")
 
 
