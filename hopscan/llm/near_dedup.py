@@ -19,7 +19,7 @@ kept. Rows repeating a doc_id are judged by their texts. Further columns are ign
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ HASHES = BANDS * ROWS
 MISS = 1e-4
 #: Members of a group that meet in one task, and rows with and without texts that a task takes at a time.
 BLOCK, CLUSTER_ROWS, BUCKET_ROWS = 1024, 500, 10_000
+#: Rows of a group of several blocks that all its blocks see in the first round, on average.
+REPRESENTATIVES = 32
 _RNG = np.random.default_rng(617)
 _FACTORS = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -123,27 +125,74 @@ def _signed(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(tidy(run), "doc_id long, check long, n_shingles long, print binary, sig binary, bands array<long>")
 
 
-def _blocked(rows: DataFrame, group: str, parts: int) -> DataFrame:
-    """Rows of groups of n members dealt to tasks; a large group is cut into blocks, and every pair of blocks meets once.
+def first_round(members: DataFrame, group: str, rows_per_task: int) -> DataFrame:
+    """Rows of groups of n members dealt to blocks of BLOCK rows, each row to one; a group of several blocks has
+    about REPRESENTATIVES of its rows in every block, so that copies of each other end up joined.
 
-    Adds block, and x <= y, the pair a row stands in. No task gets more than two blocks of one group at a time.
+    Adds side (0: representative), x (block), y = -1, label (the node) and part (the task).
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    return (rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            .withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other", "n")
-            .withColumn("part", F.pmod(F.xxhash64(group, "x", "y"), F.lit(parts))))
+    stands = (blocks > 1) & (F.pmod(F.xxhash64("node", F.lit("stands")), F.col("n")) < REPRESENTATIVES)
+    own = F.array(F.pmod(F.xxhash64("node"), blocks))
+    dealt = members.withColumns({
+        "side": F.when(stands, 0).otherwise(1), "x": F.when(stands, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own),
+        "y": F.lit(-1).cast("long"), "label": F.col("node")})
+    copies = members.select((1 + F.when(blocks > 1, REPRESENTATIVES * blocks / F.col("n")).otherwise(0)).alias("c")).agg(F.sum("c")).head()[0]
+    return _tasks(dealt.withColumn("x", F.explode("x")).drop("n"), group, copies or 0, rows_per_task)
+
+
+def second_round(members: DataFrame, group: str, rows_per_task: int) -> DataFrame | None:
+    """What the first round left: in groups of several blocks, the rows outside of the largest joined part against all.
+
+    ``members`` has each row's label, the component so far. Rows of the largest part never meet again; where all rows are
+    joined nothing is left. Adds side (0: a row outside), x, y (blocks of both sides) and part.
+    """
+    counted = members.groupBy(group, "label").agg(F.count("*").alias("m"))
+    parts = counted.groupBy(group).agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.max("m").alias("most"), F.sum("m").alias("all"))
+    open_ = checkpointed(parts.filter("most < all").select(
+        group, "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("long").alias("xs"), F.ceil(F.col("all") / BLOCK).cast("long").alias("ys"),
+        (F.col("all") - F.col("most")).alias("out"), "all"))
+    copies = open_.agg(F.sum(F.col("out") * F.col("ys") + F.col("all") * F.col("xs"))).head()[0]
+    if not copies:
+        return None
+    rows = members.join(open_, group)
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    at = lambda n: F.pmod(F.xxhash64("node", F.lit("again")), F.col(n))
+    keep = [group, "node", "label"]
+    outside = rows.filter("label <> main").select(*keep, F.lit(0).alias("side"), at("xs").alias("x"), F.explode(upto("ys")).alias("y"))
+    everyone = rows.select(*keep, F.lit(1).alias("side"), F.explode(upto("xs")).alias("x"), at("ys").alias("y"))
+    return _tasks(outside.unionByName(everyone), group, copies, rows_per_task)
+
+
+def _tasks(rows: DataFrame, group: str, copies: float, rows_per_task: int) -> DataFrame:
+    """Tasks from the rows after copying."""
+    return rows.withColumn("part", F.pmod(F.xxhash64(group, "x", "y"), F.lit(max(1, int(copies) // rows_per_task))))
+
+
+def _links(members: DataFrame, group: str, payload: DataFrame, join: Callable[[pa.Table], pa.Table], rows_per_task: int) -> DataFrame:
+    """Links that join what holds within the groups of (group, node, n); ``payload`` has what ``join`` needs by node."""
+    dealt = first_round(members, group, rows_per_task).join(payload, "node")
+    links = checkpointed(dealt.groupBy("part").applyInArrow(join, "a long, b long"))
+    large = members.filter(F.col("n") > BLOCK)
+    if large.isEmpty():
+        return links
+    labels = components(links).withColumnRenamed("component", "label")
+    large = checkpointed(large.join(labels, "node", "left").select(group, "node", F.coalesce("label", "node").alias("label")))
+    rest = second_round(large, group, rows_per_task)
+    if rest is None:
+        return links
+    return links.unionByName(rest.join(payload, "node").groupBy("part").applyInArrow(join, "a long, b long"))
 
 
 def _forest(table: pa.Table, group: str, least_percent: int, confirm) -> pa.Table:  # noqa: ANN001
-    """Links that join what ``confirm`` accepts in each pair of blocks: a spanning forest, never all pairs.
+    """Links that join what ``confirm`` accepts within each block or pair of blocks: a spanning forest, never all pairs.
 
-    A row is compared with those that it is not yet joined with; the pruned ones never reach
+    A row is compared with those that it is not yet joined with, representatives first; the pruned ones never reach
     ``confirm``, which gets a row and the places of others and answers for each.
     """
     limits = least_matches(least_percent / 100)
-    cols = {c: table.column(c).to_numpy() for c in (group, "x", "y", "block", "node")}
-    order = np.lexsort((cols["node"], cols["block"], cols["y"], cols["x"], cols[group]))
+    cols = {c: table.column(c).to_numpy() for c in (group, "x", "y", "side", "node", "label")}
+    order = np.lexsort((cols["node"], cols["side"], cols["y"], cols["x"], cols[group]))
     cols = {c: v[order] for c, v in cols.items()}
     sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)[order]
     change = np.ones(len(order), bool)
@@ -151,9 +200,9 @@ def _forest(table: pa.Table, group: str, least_percent: int, confirm) -> pa.Tabl
     first = np.flatnonzero(change)
     links: list[tuple[int, int]] = []
     for lo, hi in zip(first, np.append(first[1:], len(order)), strict=True):
-        inner = cols["x"][lo] == cols["y"][lo]
-        split = lo + int(np.searchsorted(cols["block"][lo:hi], cols["x"][lo], side="right"))
-        label = np.arange(lo, hi)
+        inner = cols["y"][lo] < 0
+        split = lo + int(np.searchsorted(cols["side"][lo:hi], 0, side="right"))
+        label = np.unique(cols["label"][lo:hi], return_inverse=True)[1]
         for i in range(lo, hi if inner else split):
             others = np.arange(i + 1 if inner else split, hi)
             others = others[label[others - lo] != label[i - lo]]
@@ -215,15 +264,13 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT) -> Data
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = checkpointed(banded.join(shared, "bucket"))
     sigs = classes.select("node", "sig")
-    rows = _blocked(members.select("bucket", "node", "n").join(sigs, "node"), "bucket", max(1, members.count() // BUCKET_ROWS))
-    likely = rows.groupBy("part").applyInArrow(lambda table: _likely(table, least_percent), "a long, b long")
+    likely = _links(members.select("bucket", "node", "n"), "bucket", sigs, lambda table: _likely(table, least_percent), BUCKET_ROWS)
     clusters = components(likely).withColumnRenamed("component", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
     clusters = checkpointed(clusters.join(sizes, "cluster").join(classes.select("node", "rep", "check", "sig"), "node"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("check"), "text")
-    found = clusters.join(texts, ["rep", "check"]).dropDuplicates(["node"]).select("cluster", "node", "n", "sig", "text")
-    rows = _blocked(found, "cluster", max(1, clusters.count() // CLUSTER_ROWS))
-    links = rows.groupBy("part").applyInArrow(lambda table: _confirmed(table, least_percent), "a long, b long")
+    found = clusters.join(texts, ["rep", "check"]).dropDuplicates(["node"]).select("node", "sig", "text")
+    links = _links(clusters.select("cluster", "node", "n"), "cluster", found, lambda table: _confirmed(table, least_percent), CLUSTER_ROWS)
     named = components(links)
     nodes = classes.select("node", "rep").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = nodes.groupBy("component").agg(F.min("rep").alias("component_id"))
