@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from checks.framework import CHECKS, CONFIG, Check, R, Inputs, check
+from checks.catalog_regions import _IMPUTED
+from checks.framework import CHECKS, CONFIG, Check, R, Inputs, check, rounded
 from checks.views import GENERATIONS, TIMEPOINTS
-from hopscan.config import SITE
+from hopscan.config import GENE_STOP_DISTANCE, SITE
 from hopscan.functions import curve as fc, statistics as fs
 from hopscan.operators import (
     curves as cv, density as dn, genes as gn, ordered as od, reads as rd, replicates as rp, scoring as sc,
     sites as st, summaries as sm,
 )
+from hopscan.operators.scoring import in_gene_keys
+from hopscan.operators.sites import semi_keys
 from hopscan.plans.qc import qc_report
 from hopscan.plans.scoring import score_no_replicates, score_replicates
 from hopscan.session import checkpointed
@@ -384,7 +387,35 @@ def _(s: Inputs) -> DataFrame:
     return cv.fit_residuals(_given(s), GENERATIONS).select(*SITE, "Sample", F.inline("points"))
 
 
-@check("fit_curves")
+@check("fit_curves", f"""with {_CURVES}, {_GRID}, e as (select {_IDS}, {_OBJ} as objective from cur, grid)
+select {_IDS}, {R('min(objective)')} as grid_objective, 'Success' as "Status", true as no_worse, true as feasible from e group by {_IDS}""")
+def _(s: Inputs) -> DataFrame:
+    """Every fit: settled, within its constraints and at least as good as the best point of a grid."""
+    curves = checkpointed(_curves(s))
+    fits = cv.fit_curves(curves, GENERATIONS)
+    grid = cv.fit_grid(curves, GENERATIONS).select(*[F.col(c).alias(f"g_{c}") for c in (*SITE, "Sample", "objective")])
+    same = [F.col(c) == F.col(f"g_{c}") for c in (*SITE, "Sample")]
+    a, r, d = F.col("A"), F.col("DR"), F.col("DL")
+    flat = (F.abs(a) < 1e-9) | (F.abs(r) < 1e-9)
+    feasible = (d >= cv.DL_LOW - 1e-9) & (a >= cv.A_LOW - 1e-9) & (flat | (fc.span_slack(a, r, d, _X[-1]) >= -1e-5))
+    return fits.join(grid, same).select(
+        *SITE, "Sample", F.col("g_objective").alias("grid_objective"), "Status",
+        (F.col("objective") <= F.col("g_objective") + 1e-6).alias("no_worse"), feasible.alias("feasible"))
+
+
+_PLAIN = f"""{_CURVES}, pl as (select *, 0.5e0+(Coordinate % 7) as "A", (0.5e0+(Coordinate % 7))/(7.0e0+(Coordinate % 11)/2.0e0) as "DR", 0.0e0 as "DL" from cur)"""
+
+
+@check("fit_curves_recovered", f"""with {_PLAIN} select {_IDS}, {R('"A"', 3)} as "A", {R('"DR"', 3)} as "DR", {R('"DL"', 3)} as "DL", 'Success' as "Status" from pl""")
+def _(s: Inputs) -> DataFrame:
+    """Curves without noise come back with their parameters."""
+    c = F.col("Coordinate")
+    given = _curves(s).withColumns({"ga": F.lit(0.5) + c % 7, "gr": (F.lit(0.5) + c % 7) / (F.lit(7.0) + (c % 11) / 2.0)})
+    exact = given.withColumns({f"y_{i}": fc.gompertz_eval(F.lit(x), F.col("ga"), F.col("gr"), F.lit(0.0)) for i, x in enumerate(_X)})
+    return rounded(cv.fit_curves(exact, GENERATIONS).select(*SITE, "Sample", "A", "DR", "DL", "Status"), 3)
+
+
+@check("fit_curves_parameters")
 def _(s: Inputs) -> DataFrame:
     return cv.fit_report(_curves(s), GENERATIONS).drop("points")
 
@@ -414,7 +445,49 @@ def _(s: Inputs) -> DataFrame:
 
 # --- models and plans ------------------------------------------------------------------------
 
-@check("replicate_scores")
+def _solved(cells: Column, alpha: Column) -> Column:
+    """Mean q of one condition at a dispersion: the root of sum (k - s q) / (1 + alpha s q), by fixed-point steps."""
+
+    def step(q: Column, _) -> Column:
+        weight = lambda x: x["s"] / (1 + alpha * x["s"] * q)
+        top = F.aggregate(cells, F.lit(0.0), lambda t, x: t + weight(x) * x["k"] / x["s"])
+        return top / F.aggregate(cells, F.lit(0.0), lambda t, x: t + weight(x))
+
+    start = F.aggregate(cells, F.lit(0.0), lambda t, x: t + x["k"] / x["s"]) / F.size(cells)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(60)), start, step)
+
+
+@check("replicate_scores", f"""with {_RATIO}, n as (select c.*, Reads/size_factor as n from v_complete c join sf on sf.Sample=c.Sample and sf.Timepoint=c.Timepoint),
+ m as (select Chr, Coordinate, Strand, avg(n) as mean from n group by 1,2,3)
+select k.Chr, k.Coordinate, k.Strand, k.Timepoint, {R('mean', 3)} as "baseMean", true as lfc_holds, true as se_holds, true as stat_holds, true as padj_holds
+from (select distinct Chr, Coordinate, Strand, Timepoint from v_complete) k join m on {_on('k', 'm')}""")
+def _(s: Inputs) -> DataFrame:
+    """Every score against the score equations of its model, solved here from the counts and the reported dispersion."""
+    controls = checkpointed(s.controls)
+    scores = checkpointed(rp.replicate_scores(s.stored_hard, controls, "YES0", key=SITE, rounded=False, details=True))
+    complete = st.complete_cases(s.stored_hard, key=SITE)
+    cell = F.struct(F.col("Reads").cast("double").alias("k"), F.col("size_factor").alias("s"))
+    cells = complete.join(sc.size_factors(complete, controls, SITE), ["Sample", "Timepoint"]).groupBy(*SITE, "Timepoint").agg(F.collect_list(cell).alias("cells"))
+    alpha = F.col("dispersion")
+    solved = scores.join(cells, [*SITE, "Timepoint"]).withColumn("q", _solved(F.col("cells"), alpha))
+    solved = solved.withColumn("info", F.aggregate("cells", F.lit(0.0), lambda t, x: t + x["s"] * F.col("q") / (1 + alpha * x["s"] * F.col("q"))))
+    solved = solved.withColumn("least", F.col("q") * F.array_min(F.transform("cells", lambda x: x["s"])))
+    start = solved.filter(F.col("Timepoint") == "YES0").select(*[F.col(c).alias(f"o_{c}") for c in (*SITE, "q", "info", "least")])
+    both = solved.join(start, [F.col(c) == F.col(f"o_{c}") for c in SITE])
+    later = F.col("Timepoint") != "YES0"
+    seen = later & (F.col("least") > 0.5) & (F.col("o_least") > 0.5)  # the model holds means up to half a read
+    near = lambda a, b, tol: F.abs(a - b) <= tol * (1 + F.abs(b))
+    ratio = F.try_divide
+    lfc = F.log2(ratio(F.col("o_q"), F.col("q")))
+    se = F.sqrt(ratio(F.lit(1.0), F.col("info")) + ratio(F.lit(1.0), F.col("o_info"))) / F.ln(F.lit(2.0))
+    padj = F.col("padj").isNull() | ((F.col("padj") >= F.col("pvalue") - 1e-12) & (F.col("padj") <= 1))
+    return both.select(
+        *SITE, "Timepoint", F.round("baseMean", 3).alias("baseMean"), (~seen | near(F.col("LFC"), lfc, 1e-5)).alias("lfc_holds"),
+        (~seen | near(F.col("lfcSE"), se, 1e-5)).alias("se_holds"),
+        (~later | near(F.col("stat"), ratio(F.col("LFC"), F.col("lfcSE")), 1e-9)).alias("stat_holds"), F.coalesce(padj, F.lit(True)).alias("padj_holds"))
+
+
+@check("replicate_scores_values")
 def _(s: Inputs) -> DataFrame:
     return rp.replicate_scores(s.stored_hard, checkpointed(s.controls), "YES0", key=SITE)
 
@@ -427,7 +500,25 @@ def _(s: Inputs) -> DataFrame:
     return one.unionByName(two)
 
 
-@check("score_no_replicates")
+_OF_GENE = """Systematic_ID is not null and Name is not null and FYPOviability is not null"""
+
+
+@check("score_no_replicates", f"""with {_MA}, ig as (select distinct Chr, Coordinate, Strand from v_ann where Type<>'Intergenic region' and Distance_to_stop_codon>4),
+ gr as (select a.Systematic_ID, ma.Sample, ma.Timepoint, round(-log2((n+1)/(i+1)), 3) as lfc from ma join ig on {_on('ma', 'ig')} join v_ann a on {_on('ma', 'a')} where {_OF_GENE.replace('Systematic_ID', 'a.Systematic_ID')})
+select Systematic_ID, Sample, Timepoint, {R('min(lfc)', 3)} as lowest, {R('max(lfc)', 3)} as highest, true as between_them from gr group by 1,2,3""")
+def _(s: Inputs) -> DataFrame:
+    """A gene's score, whatever the fits weigh its insertions, lies between those of its insertions."""
+    out = score_no_replicates(s.stored_hard, s.stored_ann, CONFIG)
+    inside = in_gene_keys(s.stored_ann, GENE_STOP_DISTANCE, SITE)
+    rows = semi_keys(out["scores"], inside, key=SITE).join(s.stored_ann.select(*SITE, "Systematic_ID", "Name", "FYPOviability"), list(SITE)).filter(_OF_GENE)
+    ends = rows.groupBy("Systematic_ID", "Sample", "Timepoint").agg(F.min("LFC").alias("lowest"), F.max("LFC").alias("highest"))
+    near = 0.0006  # scores are rounded to three digits
+    held = out["genes"].join(ends, ["Systematic_ID", "Sample", "Timepoint"])
+    return rounded(held.select("Systematic_ID", "Sample", "Timepoint", "lowest", "highest",
+                               ((F.col("LFC") >= F.col("lowest") - near) & (F.col("LFC") <= F.col("highest") + near)).alias("between_them")), 3)
+
+
+@check("score_no_replicates_genes")
 def _(s: Inputs) -> DataFrame:
     return score_no_replicates(s.stored_hard, s.stored_ann, CONFIG)["genes"]
 
@@ -437,7 +528,25 @@ def _(s: Inputs) -> DataFrame:
     return score_no_replicates(s.stored_hard, s.stored_ann, CONFIG)["scores"].select(*SITE, "Sample", "Timepoint", "LFC")
 
 
-@check("score_replicates")
+@check("score_replicates", f"""with {_IMPUTED}, live as (select Chr, Coordinate, Strand from imp group by 1,2,3 having sum(Reads)>0),
+ ig as (select distinct Chr, Coordinate, Strand from v_ann where Type<>'Intergenic region' and Distance_to_stop_codon>4),
+ gr as (select a.Systematic_ID from live join ig on {_on('live', 'ig')} join v_ann a on {_on('live', 'a')} where {_OF_GENE.replace('Systematic_ID', 'a.Systematic_ID')})
+select Systematic_ID, t.Timepoint, count(*) as insertions, true as between_them, true as fitted from gr cross join (select distinct Timepoint from v_hard) t group by 1,2""")
+def _(s: Inputs) -> DataFrame:
+    """Genes of the replicate branch: the insertions behind each, its score between theirs, its curve settled."""
+    out = score_replicates(s.stored_hard, s.stored_ann, CONFIG)
+    inside = in_gene_keys(s.stored_ann, GENE_STOP_DISTANCE, SITE)
+    scored = out["scores"].filter(F.col("LFC").isNotNull()).select(*SITE, "Timepoint", "LFC")
+    rows = semi_keys(scored, inside, key=SITE).join(s.stored_ann.select(*SITE, "Systematic_ID", "Name", "FYPOviability"), list(SITE)).filter(_OF_GENE)
+    ends = rows.groupBy("Systematic_ID", "Timepoint").agg(F.count(F.lit(1)).alias("insertions"), F.min("LFC").alias("lowest"), F.max("LFC").alias("highest"))
+    fits = out["gene_fits"].select("Systematic_ID", (F.col("Status") == cv.OK).alias("fitted"))
+    held = out["genes"].join(ends, ["Systematic_ID", "Timepoint"]).join(fits, "Systematic_ID")
+    near = 0.0006  # scores are rounded to three digits
+    return held.select("Systematic_ID", "Timepoint", "insertions",
+                       ((F.col("LFC") >= F.col("lowest") - near) & (F.col("LFC") <= F.col("highest") + near)).alias("between_them"), "fitted")
+
+
+@check("score_replicates_fits")
 def _(s: Inputs) -> DataFrame:
     return score_replicates(s.stored_hard, s.stored_ann, CONFIG)["gene_fits"].drop("points")
 
