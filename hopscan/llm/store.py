@@ -96,7 +96,7 @@ def shard_bits(n_bytes: int, shard_bytes: int) -> int:
 
 #: Arrays of this worker by folder and shard, the last used at the end, and the bytes of those not memory-mapped.
 _OPEN: OrderedDict[tuple[str, int], np.ndarray] = OrderedDict()
-OPEN_FILES, OPEN_BYTES = 256, 256 << 20
+OPEN_FILES, OPEN_BYTES = 8192, 256 << 20
 
 
 def _only_file(folder: str) -> str:
