@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from checks.framework import CONFIG, R, Inputs, check
 from checks.views import TIMEPOINTS
 from hopscan.config import SITE
-from hopscan.operators import reads as rd, scoring as sc, sites as st
+from hopscan.operators import reads as rd, sites as st
+from hopscan.plans.release import release
+from hopscan.plans.scoring import score_no_replicates, score_replicates
+from hopscan.session import checkpointed
 from hopscan.sources import alignments as al, genome as gn, raw_reads as rr, sinks as sk, tables as tb
 
 SAMPLES = ("S0", "S1", "S2")
@@ -67,8 +70,12 @@ _CELLS = ", ".join(
 
 @check("write_wide_matrix", f"select Chr, Coordinate, Strand, {_CELLS} from v_hard group by 1,2,3")
 def _(s: Inputs) -> DataFrame:
-    wide = sk.wide_matrix(s.hard, LABELS, key=SITE)
-    return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
+    """The matrix as it comes back from its files."""
+    path = f"{s.scratch}/wide.tsv"
+    sk.write_wide_matrix(s.hard, path, LABELS, key=SITE)
+    wide = s.spark.read.option("sep", "\t").option("header", True).csv(path)
+    kinds = {c: "string" if c in ("Chr", "Strand") else "bigint" for c in wide.columns}
+    return wide.select(*[F.col(f"`{c}`").cast(k).alias(c.replace("#", "_")) for c, k in kinds.items()])
 
 
 @check("read_delimited", "select cast(p_partkey as string) as p_partkey, p_name, p_type from part")
@@ -210,29 +217,38 @@ def _(s: Inputs) -> DataFrame:
     return rr.scan_filter_logs(s.spark, named_files(s.spark, root, "log"))
 
 
-@check("write_release", """
-select 'insertion_level/LFC.tsv' as target, count(*) as row_count from v_hard union all
-select 'insertion_level/baseMean.tsv', count(*) from v_hard union all
-select 'insertion_level/normed_counts.tsv', count(*) from v_hard union all
-select 'insertion_level/raw_reads.tsv', count(*) from (select distinct Chr, Coordinate, Strand from v_hard) k union all
-select 'insertion_level/annotations.tsv.gz', count(*) from v_ann""")
+_TARGETS = {
+    "insertion_level/raw_reads.tsv": "select count(*) from (select distinct Chr, Coordinate, Strand from v_hard) k",
+    "insertion_level/LFC.tsv": "select count(*) from v_hard", "insertion_level/baseMean.tsv": "select count(*) from v_hard",
+    "insertion_level/normed_counts.tsv": "select count(*) from (select distinct Chr, Coordinate, Strand from v_hard) k",
+    "insertion_level/annotations.tsv.gz": "select count(*) from v_ann",
+    "insertion_level/insertion_level_fitting_statistics.tsv": "select count(*) from (select distinct Chr, Coordinate, Strand, Sample from v_hard) k",
+    "insertion_level/fitting_LFCs.tsv": "select count(*)*5 from (select distinct Chr, Coordinate, Strand, Sample from v_hard) k",
+    "insertion_level/fitting_results.tsv": "select 1", "gene_level/fitting_results.tsv": "select 1",
+}
+_COUNTED = " union all ".join(f"select '{t}' as target, cast(({q}) as bigint) as row_count, true as intact" for t, q in _TARGETS.items())
+
+
+@check("write_release", _COUNTED)
 def _(s: Inputs) -> DataFrame:
-    scores = sc.ma_scores(s.stored_hard, s.controls, "YES0", SITE)
+    """The branch without replicates, mapped from its plan, written, read again and compared by content."""
+    results = score_no_replicates(s.stored_hard, s.stored_ann, CONFIG)
     path = f"{s.scratch}/release"
-    keys = [*SITE, "Sample", "Timepoint"]
-    targets = sk.write_release(
-        {
-            "raw_reads": sk.wide_matrix(s.stored_hard, LABELS, key=SITE),
-            "LFC": scores.select(*keys, "LFC"), "baseMean": scores.select(*keys, "baseMean"),
-            "normed_counts": scores.select(*keys, "normed"), "annotations": s.stored_ann,
-        },
-        path, has_replicates=False, has_time_points=False,
-    )
-    found = None
-    for t in targets:
-        rows = s.spark.read.option("sep", "\t").option("header", True).csv(f"{path}/{t}")
-        one = rows.agg(F.lit(t).alias("target"), F.count(F.lit(1)).alias("row_count"))
-        found = one if found is None else found.unionByName(one)
-    return found
+    written = release(results, s.stored_hard, s.stored_ann, CONFIG, LABELS, path)
+    found = checkpointed(sk.verify_release(s.spark, path))
+    others = found.filter(~F.col("target").isin(*_TARGETS) & ~F.col("intact")).count()
+    if len(written) != 13 or others:
+        raise ValueError("a target is missing or was changed")
+    return found.filter(F.col("target").isin(*_TARGETS))
 
 
+_ALL_TARGETS = " union all ".join(f"select '{t}' as target, true as intact" for t in sk.release_manifest(True, True))
+
+
+@check("write_release_replicates", _ALL_TARGETS)
+def _(s: Inputs) -> DataFrame:
+    """All seventeen targets of the branch with replicates, by content."""
+    results = score_replicates(s.stored_hard, s.stored_ann, CONFIG)
+    path = f"{s.scratch}/release"
+    release(results, s.stored_hard, s.stored_ann, CONFIG, LABELS, path)
+    return sk.verify_release(s.spark, path).select("target", "intact")

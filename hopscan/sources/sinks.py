@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pyspark.errors import AnalysisException
 
 from hopscan.config import KEY
+from hopscan.session import checkpointed
 
 LABEL_SEPARATOR = "#"
 
@@ -54,6 +57,7 @@ def wide_matrix(
 def write_table(df: DataFrame, path: str, gzip: bool = False) -> None:
     """Tab-separated folder with a header in every part."""
     writer = df.write.mode("overwrite").option("sep", "\t").option("header", True)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if gzip:
         writer = writer.option("compression", "gzip")
     writer.csv(path)
@@ -83,14 +87,68 @@ def flat_columns(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.to_json(c) for c in nested}) if nested else df
 
 
+#: Where a release says what it holds; written last, so a folder without it is not finished.
+MANIFEST = "manifest"
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row (columns, row_count, digest) that tells tables apart by content, whatever the order of their rows.
+
+    The digest adds up a 128-bit hash of every row's columns as text; a row that stands twice counts twice. It adds
+    up map-side, so it costs one pass. Missing values count as empty text, as in the files.
+    """
+    cells = [F.replace(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")), F.lit("\x1f"), F.lit("\x1f\x1f")) for c in df.columns]
+    row = F.concat_ws("\x1f", *cells)
+    halves = [F.sum(F.xxhash64(F.lit(seed), row).cast("decimal(38,0)")) for seed in (1, 2)]
+    digest = F.concat_ws(":", *[F.coalesce(h, F.lit(0).cast("decimal(38,0)")).cast("string") for h in halves])
+    return df.agg(F.lit(",".join(df.columns)).alias("columns"), F.count(F.lit(1)).alias("row_count"), digest.alias("digest"))
+
+
+def read_target(spark: SparkSession, path: str) -> DataFrame:
+    """A release table as text columns."""
+    return spark.read.option("sep", "\t").option("header", True).option("multiLine", True).csv(path)
+
+
 def write_release(
     tables: dict[str, DataFrame], path: str, has_replicates: bool, has_time_points: bool
 ) -> list[str]:
-    """Write every table of the manifest below ``path``; a missing one is an error."""
+    """Write every table of the manifest below ``path``; a missing one is an error.
+
+    Each table is stored first, so what is written and what its fingerprint says are the same rows. The
+    fingerprints are written when all tables are there; ``verify_release`` compares them with the files.
+    """
     manifest = release_manifest(has_replicates, has_time_points)
     missing = sorted(set(manifest.values()) - set(tables))
     if missing:
         raise ValueError(f"release lacks tables: {missing}")
+    found = None
     for target, name in manifest.items():
-        write_table(flat_columns(tables[name]), f"{path}/{target}", gzip=target.endswith(".gz"))
+        stored = checkpointed(flat_columns(tables[name]))
+        write_table(stored, f"{path}/{target}", gzip=target.endswith(".gz"))
+        one = fingerprint(stored).withColumn("target", F.lit(target))
+        found = one if found is None else found.unionByName(one)
+    found.coalesce(1).write.mode("overwrite").json(f"{path}/{MANIFEST}")
     return sorted(manifest)
+
+
+def verify_release(spark: SparkSession, path: str) -> DataFrame:
+    """(target, row_count, intact) of every table of a release: whether its files hold what was written.
+
+    A folder without a manifest is an unfinished release and an error.
+    """
+    manifest = spark.read.schema("columns string, row_count long, digest string, target string").json(f"{path}/{MANIFEST}")
+    found = None
+    for r in manifest.collect():  # one row a target, seventeen at most
+        try:
+            table = read_target(spark, f"{path}/{r['target']}")
+        except AnalysisException:
+            table = spark.createDataFrame([], "gone string")
+        if not table.columns and r["columns"]:  # only an empty table has no header
+            table = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in r["columns"].split(",")))
+        now = fingerprint(table)
+        intact = (F.col("columns") == r["columns"]) & (F.col("row_count") == r["row_count"]) & (F.col("digest") == r["digest"])
+        one = now.select(F.lit(r["target"]).alias("target"), F.col("row_count"), intact.alias("intact"))
+        found = one if found is None else found.unionByName(one)
+    if found is None:
+        raise ValueError(f"{path} has no release manifest")
+    return found
