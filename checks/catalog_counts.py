@@ -476,10 +476,11 @@ def _(s: Inputs) -> DataFrame:
 
 @check("expand_sample_files", """select s.Sample, s.Timepoint, 'wt' as Condition, f.Fragment from (select distinct Sample, Timepoint from v_reads) s
  cross join (select 'PBL' as Fragment union all select 'PBR') f
- where not exists (select 1 from v_reads r where r.Sample=s.Sample and r.Timepoint=s.Timepoint and r.Fragment=f.Fragment and r.R1_MAPQ>=68)""")
+ where not exists (select 1 from v_reads r where r.Sample=s.Sample and r.Timepoint=s.Timepoint and r.Fragment=f.Fragment and r.R1_MAPQ>=68 and (r.Sample<>'S1' or r.Timepoint<'YES2' or r.Fragment='PBL'))""")
 def _(s: Inputs) -> DataFrame:
     sheet = s.reads.select("Sample", "Timepoint", F.lit("wt").alias("Condition")).distinct()
-    present = s.reads.filter(F.col("R1_MAPQ") >= 68).select("Sample", "Timepoint", "Fragment").distinct()
+    lost = (F.col("Sample") == "S1") & (F.col("Timepoint") >= "YES2") & (F.col("Fragment") == "PBR")
+    present = s.reads.filter((F.col("R1_MAPQ") >= 68) & ~lost).select("Sample", "Timepoint", "Fragment").distinct()
     return ql.expand_sample_files(sheet, present=present)
 
 

@@ -155,21 +155,39 @@ def running_max(
     ).drop("_bucket", "_before")
 
 
+#: Buckets that one window of a scan over buckets sees, and the levels of such scans.
+FAN, LEVELS = 1024, 3
+
+
+def last_before(buckets: DataFrame, by: Sequence[str], value: str, levels: int = LEVELS) -> DataFrame:
+    """(by, _bucket, before): the last value of all earlier buckets, by a scan in levels.
+
+    FAN neighbouring buckets are scanned by themselves and give one bucket of the next level, whose result
+    comes back to them; no window sees more than FAN buckets, with ``by`` or without, up to FAN ** (levels + 1) of them.
+    """
+    keys = [*by, "_bucket"]
+    inside = W.partitionBy(*by, "_up").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    rows = buckets.select(*keys, value, F.floor(F.col("_bucket") / FAN).alias("_up"))
+    own = rows.select(*keys, "_up", F.last(value, ignorenulls=True).over(inside).alias("before"))
+    if not levels:
+        return own.select(*keys, "before")
+    tops = rows.groupBy(*by, "_up").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_bucket"))).alias(value))
+    above = last_before(tops.withColumnRenamed("_up", "_bucket"), by, value, levels - 1).withColumnsRenamed({"_bucket": "_up", "before": "_above"})
+    return join_keys(own, above, [*by, "_up"]).select(*keys, F.coalesce("before", "_above").alias("before"))
+
+
 def carry_forward(
-    df: DataFrame, column: str, order: str, by: Sequence[str] = (), width: int = COORDINATE_BUCKET
+    df: DataFrame, column: str, order: str, by: Sequence[str] = (), width: int = COORDINATE_BUCKET, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Fill NULLs with the last value seen in ``order`` (a number), across bucket borders too."""
+    """Fill NULLs with the last value seen in ``order`` (a number) and then ``ties``, across bucket borders too."""
     by = list(by)
     rows = df.withColumn("_bucket", F.floor(F.col(order) / width))
     last = rows.groupBy(*by, "_bucket").agg(
-        F.max_by(column, F.when(F.col(column).isNotNull(), F.col(order))).alias("_last")
-    )
-    earlier = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    last = last.select(
-        *by, "_bucket", F.last("_last", ignorenulls=True).over(earlier).alias("_carried")
+        F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(order, *ties))).alias("_last")
     )
+    last = last_before(last, by, "_last").withColumnRenamed("before", "_carried")
     inside = (
-        W.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        W.partitionBy(*by, "_bucket").orderBy(order, *ties).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     out = join_keys(rows, last, [*by, "_bucket"])
     return out.withColumn(

@@ -210,6 +210,8 @@ def expand_sample_files(
     if present is None:
         return expected
     on = [c for c in [*keys, "Fragment"] if c in present.columns]
+    if not on:
+        raise ValueError(f"the parts at hand have none of the columns {[*keys, 'Fragment']}")
     return expected.join(present.select(*on), on, "left_anti")
 
 
@@ -226,6 +228,8 @@ def qc_rollup(
         if name_suffix:
             t = t.withColumn("Sample", F.regexp_replace("Sample", name_suffix, ""))
         on = [k for k in keys if k in t.columns]
+        if not on:
+            raise ValueError(f"a table with the columns {t.columns} has none of the keys {list(keys)}")
         out = t if out is None else out.join(t, on, "full_outer")
     if out is None:
         raise ValueError("qc_rollup needs at least one table")

@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from hopscan.functions.labels import FASTQ_NAME_PATTERN
@@ -41,9 +44,12 @@ def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
                 whole = len(part) // 4 * 4
                 kept.append(part.iloc[whole:])
                 text = part["value"].to_numpy()[:whole].reshape(-1, 4)
-                for head, seq, plus, qual in text:
-                    if head[:1] != "@" or plus[:1] != "+" or len(seq) != len(qual):
-                        raise ValueError(f"broken read record {head!r} in {file}")
+                columns = [pa.array(text[:, i], pa.string()) for i in range(4)]
+                broken = np.asarray(pc.or_(pc.or_(
+                    pc.invert(pc.starts_with(columns[0], "@")), pc.invert(pc.starts_with(columns[2], "+"))),
+                    pc.not_equal(pc.utf8_length(columns[1]), pc.utf8_length(columns[3]))))
+                if broken.any():
+                    raise ValueError(f"broken read record {text[broken.argmax(), 0]!r} in {file}")
                 yield pd.DataFrame({"h": text[:, 0], "seq": text[:, 1], "qual": text[:, 3]})
             rest = pd.concat(kept, ignore_index=True) if kept else rest
         if len(rest):
