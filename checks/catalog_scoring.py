@@ -18,7 +18,7 @@ from hopscan.operators.sites import semi_keys
 from hopscan.plans.qc import qc_report
 from hopscan.plans.scoring import score_no_replicates, score_replicates
 from hopscan.session import checkpointed
-from hopscan.streaming.site_counts import incremental_site_count, running_site_counts
+from hopscan.streaming.site_counts import compact_site_counts, incremental_site_count, running_site_counts
 
 _ON = "{a}.Chr={b}.Chr and {a}.Coordinate={b}.Coordinate and {a}.Strand={b}.Strand"
 
@@ -583,3 +583,15 @@ def _(s: Inputs) -> DataFrame:
     )
     query.awaitTermination()
     return running_site_counts(s.spark, f"{root}/sites")
+
+
+@check("compact_site_counts", "select * from v_sites")
+def _(s: Inputs) -> DataFrame:
+    """The same counts from many small batches, merged in levels while they arrive."""
+    root, output = f"{s.scratch}/pairs", f"{s.scratch}/sites"
+    s.reads.repartition(9).write.parquet(root)
+    incremental_site_count(s.spark, root, s.reads.schema, f"{root}_checkpoint", output, spec=CONFIG.pair_filter, files_per_trigger=1).awaitTermination()
+    live = compact_site_counts(s.spark, output, fan=3)
+    if len(live) >= 9 or max(f.level for f in live) < 1:
+        raise ValueError("nothing was merged")
+    return running_site_counts(s.spark, output)
