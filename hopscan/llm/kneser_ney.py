@@ -13,7 +13,6 @@ Word ids have 32 bits; a larger vocabulary raises an error. Further columns are
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
