@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hopscan.llm.components import components
 from hopscan.llm.store import bound_batches, checkpointed, release, tidy
@@ -125,14 +125,21 @@ def _signed(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(tidy(run), "doc_id long, check long, n_shingles long, print binary, sig binary, bands array<long>")
 
 
+def lot() -> Column:
+    """A number below 2 ** 31 for each node."""
+    return F.pmod(F.xxhash64("node", F.lit("stands")), F.lit(1 << 31).cast("long"))
+
+
 def first_round(members: DataFrame, group: str, rows_per_task: int) -> DataFrame:
     """Rows of groups of n members dealt to blocks of BLOCK rows, each row to one; a group of several blocks has
     about REPRESENTATIVES of its rows in every block, so that copies of each other end up joined.
 
-    Adds side (0: representative), x (block), y = -1, label (the node) and part (the task).
+    A row's lot is the same in all groups, so groups that share rows choose the same ones and give the same links.
+    Adds lot, side (0: representative), x (block), y = -1, label (the node) and part (the task).
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    stands = (blocks > 1) & (F.pmod(F.xxhash64("node", F.lit("stands")), F.col("n")) < REPRESENTATIVES)
+    members = members.withColumn("lot", lot())
+    stands = (blocks > 1) & (F.col("lot") * F.col("n") < F.lit(REPRESENTATIVES) * F.lit(1 << 31).cast("long"))
     own = F.array(F.pmod(F.xxhash64("node"), blocks))
     dealt = members.withColumns({
         "side": F.when(stands, 0).otherwise(1), "x": F.when(stands, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own),
@@ -155,10 +162,10 @@ def second_round(members: DataFrame, group: str, rows_per_task: int) -> DataFram
     copies = open_.agg(F.sum(F.col("out") * F.col("ys") + F.col("all") * F.col("xs"))).head()[0]
     if not copies:
         return None
-    rows = members.join(open_, group)
+    rows = members.withColumn("lot", lot()).join(open_, group)
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     at = lambda n: F.pmod(F.xxhash64("node", F.lit("again")), F.col(n))
-    keep = [group, "node", "label"]
+    keep = [group, "node", "label", "lot"]
     outside = rows.filter("label <> main").select(*keep, F.lit(0).alias("side"), at("xs").alias("x"), F.explode(upto("ys")).alias("y"))
     everyone = rows.select(*keep, F.lit(1).alias("side"), F.explode(upto("xs")).alias("x"), at("ys").alias("y"))
     return _tasks(outside.unionByName(everyone), group, copies, rows_per_task)
@@ -169,19 +176,20 @@ def _tasks(rows: DataFrame, group: str, copies: float, rows_per_task: int) -> Da
     return rows.withColumn("part", F.pmod(F.xxhash64(group, "x", "y"), F.lit(max(1, int(copies) // rows_per_task))))
 
 
-def _links(members: DataFrame, group: str, payload: DataFrame, join: Callable[[pa.Table], pa.Table], rows_per_task: int) -> DataFrame:
-    """Links that join what holds within the groups of (group, node, n); ``payload`` has what ``join`` needs by node."""
+def _joined(members: DataFrame, group: str, payload: DataFrame, join: Callable[[pa.Table], pa.Table], rows_per_task: int) -> DataFrame:
+    """(node, component) of what ``join`` links within the groups of (group, node, n); ``payload`` has what it needs by node."""
     dealt = first_round(members, group, rows_per_task).join(payload, "node")
-    links = checkpointed(dealt.groupBy("part").applyInArrow(join, "a long, b long"))
+    labels = components(dealt.groupBy("part").applyInArrow(join, "a long, b long"))
     large = members.filter(F.col("n") > BLOCK)
     if large.isEmpty():
-        return links
-    labels = components(links).withColumnRenamed("component", "label")
-    large = checkpointed(large.join(labels, "node", "left").select(group, "node", F.coalesce("label", "node").alias("label")))
+        return labels
+    large = checkpointed(large.join(labels, "node", "left").select(group, "node", F.coalesce("component", "node").alias("label")))
     rest = second_round(large, group, rows_per_task)
     if rest is None:
-        return links
-    return links.unionByName(rest.join(payload, "node").groupBy("part").applyInArrow(join, "a long, b long"))
+        return labels
+    more = rest.join(payload, "node").groupBy("part").applyInArrow(join, "a long, b long")
+    # What is joined already goes on as one link a row.
+    return components(more.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def _forest(table: pa.Table, group: str, least_percent: int, confirm) -> pa.Table:  # noqa: ANN001
@@ -191,8 +199,8 @@ def _forest(table: pa.Table, group: str, least_percent: int, confirm) -> pa.Tabl
     ``confirm``, which gets a row and the places of others and answers for each.
     """
     limits = least_matches(least_percent / 100)
-    cols = {c: table.column(c).to_numpy() for c in (group, "x", "y", "side", "node", "label")}
-    order = np.lexsort((cols["node"], cols["side"], cols["y"], cols["x"], cols[group]))
+    cols = {c: table.column(c).to_numpy() for c in (group, "x", "y", "side", "lot", "node", "label")}
+    order = np.lexsort((cols["node"], cols["lot"], cols["side"], cols["y"], cols["x"], cols[group]))
     cols = {c: v[order] for c, v in cols.items()}
     sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)[order]
     change = np.ones(len(order), bool)
@@ -264,14 +272,13 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT) -> Data
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = checkpointed(banded.join(shared, "bucket"))
     sigs = classes.select("node", "sig")
-    likely = _links(members.select("bucket", "node", "n"), "bucket", sigs, lambda table: _likely(table, least_percent), BUCKET_ROWS)
-    clusters = components(likely).withColumnRenamed("component", "cluster")
+    likely = _joined(members.select("bucket", "node", "n"), "bucket", sigs, lambda table: _likely(table, least_percent), BUCKET_ROWS)
+    clusters = likely.withColumnRenamed("component", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
     clusters = checkpointed(clusters.join(sizes, "cluster").join(classes.select("node", "rep", "check", "sig"), "node"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("check"), "text")
     found = clusters.join(texts, ["rep", "check"]).dropDuplicates(["node"]).select("node", "sig", "text")
-    links = _links(clusters.select("cluster", "node", "n"), "cluster", found, lambda table: _confirmed(table, least_percent), CLUSTER_ROWS)
-    named = components(links)
+    named = _joined(clusters.select("cluster", "node", "n"), "cluster", found, lambda table: _confirmed(table, least_percent), CLUSTER_ROWS)
     nodes = classes.select("node", "rep").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = nodes.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_node = nodes.join(smallest, "component").select("node", "component_id")
