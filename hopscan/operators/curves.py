@@ -28,6 +28,8 @@ MISSING_WEIGHT = 0.01
 OK, FAILED, ERROR = "Success", "Optimization failed", "Fitting error"
 #: Stencil steps at most, and the stencil size (of the unit square) at which a fit has settled.
 STEPS, SETTLED = 1000, 1e-8
+#: Better neighbours in a row after which the stencil grows, and its first and largest size.
+GAINS, WIDEST = 8, 0.06
 PARAMETERS = ("A", "DR", "DL")
 METRICS = (
     "t10", "t50", "t90", "t_window", "t_inflection", "y_inflection", "auc", "AIC", "BIC",
@@ -203,7 +205,7 @@ def _fit_batch(
         yb, wb = y[part, None, :], w[part, None, :]
         d, u, s = gd[k], gu[k], gs[k]
         # All seeds a few steps, then only the best one to convergence.
-        d, u, best, step = _descend(d, u, s, yb, wb, evaluate, np.full(d.shape, 0.06), 14)
+        d, u, best, step = _descend(d, u, s, yb, wb, evaluate, np.full(d.shape, WIDEST), 14)
         pick = np.argmin(best, axis=1)[:, None]
         d, u, s, step = (np.take_along_axis(v, pick, 1) for v in (d, u, s, step))
         d, u, best, step = _descend(d, u, s, yb, wb, evaluate, step, steps)
@@ -220,12 +222,16 @@ _MOVES = np.array(
 
 
 def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = SETTLED):
-    """Stencil search in the unit square, halving the step where no neighbour is better."""
+    """Stencil search in the unit square; the step shrinks where no neighbour is better and grows after GAINS that were.
+
+    Growing is what crosses a long flat valley, along which small steps would gain a little each without an end.
+    """
     shape = d.shape
     y, w = (np.broadcast_to(v, (*shape, v.shape[-1])).reshape(-1, v.shape[-1]) for v in (y, w))
     d, u, step = d.ravel().copy(), u.ravel().copy(), step.ravel().copy()
     s = np.broadcast_to(s, shape).ravel()
     _, best = evaluate(d, u, s, y, w, 4)
+    gains = np.zeros(d.shape, np.int64)
     for _ in range(steps):
         live = np.flatnonzero(step >= small)
         if len(live) == 0:
@@ -241,6 +247,11 @@ def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = SETTLED):
         d[hit], u[hit] = cd[row, k][better], cu[row, k][better]
         best[hit] = loss[row, k][better]
         step[live[~better]] *= 0.4
+        gains[hit] += 1
+        gains[live[~better]] = 0
+        long = hit[gains[hit] == GAINS]
+        step[long] = np.minimum(step[long] / 0.4, WIDEST)
+        gains[long] = 0
     return tuple(v.reshape(shape) for v in (d, u, best, step))
 
 

@@ -274,6 +274,16 @@ def test_unsettled_curves_fail(spark):
     assert short["Status"] == cv.FAILED and short["A"] is None
 
 
+def test_curves_along_a_flat_valley_settle(spark):
+    times = {"a": 0.0, "b": 2.352, "c": 5.588, "d": 9.104, "e": 12.48}
+    cols = ", ".join(f"y_{i} double, w_{i} double" for i in range(5))
+    series = ([0.0, 0.584962500721, 1.321928094887, 0.584962500721, 3.906890595609],
+              [0.0, 0.652076696580, 0.289506617195, 0.652076696580, 3.459431618637],
+              [0.0, 0.0, 0.241008099504, 0.700439718141, 3.700439718141])
+    df = spark.createDataFrame([tuple(v for y in row for v in (y, 1.0)) for row in series], cols)
+    assert [r["Status"] for r in cv.fit_curves(df, times).collect()] == [cv.OK] * len(series)
+
+
 def _optimum(mean, disp):
     """The trend by plain rounds over all points."""
     a0, a1, x = 0.1, 1.0, 1 / mean
