@@ -44,6 +44,15 @@ def test_alignments_of_two_libraries_stay_apart(spark, tmp_path):
     assert {(s, t, str(p)) for s, t, p in got} == {("A", "YES0", "9"), ("B", "YES0", "899")}
 
 
+def test_derived_lines_are_computed_once(spark):
+    fields = ["concat('planted', id)", "67", "'I'", "id", "60", "'50M'", "'='", "0", "150", "'*'", "'*'", "'NM:i:0'"]
+    line = f"case when id = 0 then '@HD' else concat_ws(chr(9), {', '.join(fields)}) end as line"
+    parsed = al.parse_alignments(spark.range(4).selectExpr(line, "id as ord", "'A' as Sample"))
+    kept = parsed.filter((F.col("flag") == 67) & (F.col("tlen") != 0))
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("planted") == 1
+    assert rows(kept.select("qname", "ord")) == [(f"planted{i}", i) for i in (1, 2, 3)]
+
+
 def test_broken_fastq_records_are_reported(spark, tmp_path):
     import gzip
 
