@@ -36,13 +36,16 @@ def value_bucket(value: Column) -> Column:
     return F.when(v == 0, F.lit(0).cast("bigint")).when(v > 0, size).when(v < 0, -size)
 
 
-def cumulative_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Distinct (by, value) with ``n`` rows, ``below`` rows smaller in the group and ``total``."""
+def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, rows: str | None = None) -> DataFrame:
+    """Distinct (by, value) with ``n`` rows, ``below`` rows smaller in the group and ``total``.
+
+    ``rows`` names a column that says for how many rows a row stands.
+    """
     by = list(by)
     distinct = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg((F.sum(rows) if rows else F.count(F.lit(1))).alias("n"))
         .withColumn("_bucket", value_bucket(F.col(value)))
     )
     per_bucket = distinct.groupBy(*by, "_bucket").agg(F.sum("n").alias("_bn"))
@@ -65,10 +68,10 @@ def cumulative_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame
 
 
 def exact_quantile(
-    df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, float]
+    df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, float], rows: str | None = None
 ) -> DataFrame:
-    """Exact interpolated quantiles per group, one named column each."""
-    ranked = cumulative_counts(df, by, value)
+    """Exact interpolated quantiles per group, one named column each; ``rows`` as in ``cumulative_counts``."""
+    ranked = cumulative_counts(df, by, value, rows)
     v = F.col(value).cast("double")
     aggs: list[Column] = []
     for name, q in quantiles.items():

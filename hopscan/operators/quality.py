@@ -10,6 +10,7 @@ from hopscan.config import KEY
 from hopscan.functions import alignment as al
 from hopscan.operators.ordered import exact_quantile, join_keys
 from hopscan.operators.sites import LIBRARY, count_where
+from hopscan.session import checkpointed
 
 
 def _finite(c: Column) -> Column:
@@ -184,16 +185,26 @@ def template_lengths(aln: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def insert_size_metrics(aln: DataFrame, by: Sequence[str] = LIBRARY) -> DataFrame:
-    """Median, median absolute deviation, mean, sd and range of template lengths."""
-    sizes = template_lengths(aln, by)
+    """Median, median absolute deviation, mean, sd and range of template lengths.
+
+    Eager: the histogram, one row per length, comes from one scan and is stored; the rest reads that table.
+    """
+    by = list(by)
+    sizes = checkpointed(insert_size_histogram(aln, by))
+    size, pairs = F.col("size"), F.col("pairs")
     plain = sizes.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("pairs"), F.avg("size").alias("mean"),
-        F.stddev_samp("size").alias("sd"), F.min("size").alias("min"), F.max("size").alias("max"),
+        F.sum(pairs).alias("_pairs"), (F.sum(size.cast("double") * pairs) / F.sum(pairs)).alias("mean"),
+        F.min("size").alias("min"), F.max("size").alias("max"),
+    )
+    plain = join_keys(plain, exact_quantile(sizes, by, "size", {"median": 0.5}, "pairs"), by)
+    away = join_keys(sizes, plain, by).withColumn("_d", F.abs(size - F.col("median")))
+    squares = F.sum(pairs * F.pow(size - F.col("mean"), F.lit(2.0)))
+    out = away.groupBy(*by).agg(
+        F.sum(pairs).alias("pairs"), F.min("mean").alias("mean"),
+        F.when(F.sum(pairs) > 1, F.sqrt(squares / (F.sum(pairs) - 1))).alias("sd"),
+        *[F.min(c).alias(c) for c in ("min", "max", "median")],
     )
-    med = exact_quantile(sizes, by, "size", {"median": 0.5})
-    away = join_keys(sizes, med, list(by)).withColumn("_d", F.abs(F.col("size") - F.col("median")))
-    mad = exact_quantile(away, by, "_d", {"mad": 0.5})
-    return join_keys(join_keys(plain, med, list(by)), mad, list(by))
+    return join_keys(out, exact_quantile(away, by, "_d", {"mad": 0.5}, "pairs"), by)
 
 
 def insert_size_histogram(aln: DataFrame, by: Sequence[str] = LIBRARY) -> DataFrame:

@@ -1,12 +1,13 @@
 """Read pairs, filters, sites and the count table."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from hopscan.config import SITE, MateThresholds, PairFilter, RunConfig
 from hopscan.functions import alignment as al
-from hopscan.operators import reads as rd, sites as st, summaries as sm
+from hopscan.operators import quality as ql, reads as rd, sites as st, summaries as sm
 from hopscan.session import checkpointed
 from hopscan.sources.alignments import parse_alignments
 
@@ -174,3 +175,26 @@ def test_quality_figures_do_not_read_the_pairs_again(spark, tmp_path):
     for figure in (st.insertions_of(table), sm.site_stats_of(table), sm.retention_of(table)):
         assert not any("/pairs/" in f for f in figure.inputFiles())
     assert sm.retention_of(table).first()["total_filtered_pairs"] == kept.count()
+
+
+def test_insert_sizes_come_from_one_scan(spark):
+    sizes = {("A", "t"): [100, 100, 100, 107, 250, 251], ("B", "t"): [90], (None, "t"): [5, 9]}
+    data = [(s, t, 129, v if i % 2 else -v) for (s, t), vs in sizes.items() for i, v in enumerate(vs)] + [("A", "t", 129, 0), ("A", "t", 65, 7)]
+    aln = spark.createDataFrame(data, "Sample string, Timepoint string, flag int, tlen long").withColumn("tlen", F.col("tlen") + F.length(F.lit("planted")) - 7)
+    df = ql.insert_size_metrics(aln)
+    assert "planted" not in df._jdf.queryExecution().logical().toString() and "LocalRelation" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["Sample"], r["Timepoint"]): r for r in df.collect()}
+    assert set(got) == set(sizes)
+    for k, vs in sizes.items():
+        r, v = got[k], np.array(vs, dtype=float)
+        middle = np.median(v)
+        assert (r["pairs"], r["min"], r["max"]) == (len(v), v.min(), v.max())
+        assert [r["mean"], r["median"], r["mad"]] == pytest.approx([v.mean(), middle, np.median(np.abs(v - middle))])
+        assert r["sd"] is None if len(v) == 1 else r["sd"] == pytest.approx(v.std(ddof=1))
+
+
+def test_cigar_lengths(spark):
+    known = {"60M": (1, 60, 60), "60S": (1, 0, 0), "7D": (1, 7, 0), "9I": (1, 0, 9), "M": (1, 0, 0), "M60": (1, 0, 0), "60": (0, 0, 0),
+             "5H30M2D25M": (4, 57, 55), "10S50M": (2, 50, 50), "*": (0, 0, 0), "": (0, 0, 0), None: (0, 0, 0)}
+    df = spark.createDataFrame([(c,) for c in known], "c string")
+    assert {r[0]: tuple(r)[1:] for r in df.select("c", *al.cigar_functions(F.col("c")).values()).collect()} == known
