@@ -37,13 +37,18 @@ def _usable(cigar: Column) -> Column:
 
 def cigar_ops(cigar: Column) -> Column:
     """Number of CIGAR operations; 0 without a CIGAR."""
-    return F.coalesce(F.regexp_count(_usable(cigar), F.lit("[MIDNSHP=X]")), F.lit(0)).cast("bigint")
+    c = _usable(cigar)
+    return F.coalesce(F.length(c) - F.length(F.translate(c, "MIDNSHP=X", "")), F.lit(0)).cast("bigint")
 
 
 def _length_of(cigar: Column, ops: str) -> Column:
-    sizes = F.regexp_extract_all(_usable(cigar), F.lit(rf"(\d+)[{ops}]"), F.lit(1))
+    c = _usable(cigar)
+    sizes = F.regexp_extract_all(c, F.lit(rf"(\d+)[{ops}]"), F.lit(1))
     total = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint"))
-    return F.coalesce(total, F.lit(0))
+    # Most reads have one operation; its length needs no pattern.
+    alone = F.length(F.translate(c, "0123456789", "")) == 1
+    size = F.when(F.right(c, F.lit(1)).isin(*ops), F.substr(c, F.lit(1), F.length(c) - 1).try_cast("bigint"))
+    return F.coalesce(F.when(alone, size).otherwise(total), F.lit(0))
 
 
 def cigar_reference_length(cigar: Column) -> Column:
