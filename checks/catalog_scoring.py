@@ -573,13 +573,20 @@ _same_as("qc_report_merge", "count_insertions", lambda s: st.insertions_of(
     st.site_table(s.reads, rd.pair_condition(CONFIG.pair_filter))))
 
 
+def _write_parts(reads: DataFrame, path: str, parts: int) -> int:
+    """Reads as ``parts`` equal parts of as many files each as the input's size asks for; returns that number."""
+    share = -(-4 * reads.rdd.getNumPartitions() // parts)
+    reads.repartition(parts * share).write.parquet(path)
+    return share
+
+
 @check("incremental_site_count", "select * from v_sites")
 def _(s: Inputs) -> DataFrame:
     root = s.scratch
-    s.reads.repartition(4).write.parquet(f"{root}/pairs")
+    share = _write_parts(s.reads, f"{root}/pairs", 4)
     query = incremental_site_count(
         s.spark, f"{root}/pairs", s.reads.schema, f"{root}/checkpoint", f"{root}/sites",
-        spec=CONFIG.pair_filter, files_per_trigger=2,
+        spec=CONFIG.pair_filter, files_per_trigger=2 * share,
     )
     query.awaitTermination()
     return running_site_counts(s.spark, f"{root}/sites")
@@ -589,8 +596,8 @@ def _(s: Inputs) -> DataFrame:
 def _(s: Inputs) -> DataFrame:
     """The same counts from many small batches, merged in levels while they arrive."""
     root, output = f"{s.scratch}/pairs", f"{s.scratch}/sites"
-    s.reads.repartition(9).write.parquet(root)
-    incremental_site_count(s.spark, root, s.reads.schema, f"{root}_checkpoint", output, spec=CONFIG.pair_filter, files_per_trigger=1).awaitTermination()
+    share = _write_parts(s.reads, root, 9)
+    incremental_site_count(s.spark, root, s.reads.schema, f"{root}_checkpoint", output, spec=CONFIG.pair_filter, files_per_trigger=share).awaitTermination()
     live = compact_site_counts(s.spark, output, fan=3)
     if len(live) >= 9 or max(f.level for f in live) < 1:
         raise ValueError("nothing was merged")

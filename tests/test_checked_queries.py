@@ -1,9 +1,12 @@
 """Registered queries: coverage of the SQL and a few end-to-end comparisons on the small tables."""
 
+import glob
 import os
+import re
 
 import pytest
 
+import checks
 from checks import load_all
 from checks.framework import CHECKS
 from checks.run import compare, connect
@@ -18,6 +21,13 @@ def test_only_models_lack_sql():
     assert {n for n, c in CHECKS.items() if c.sql is None} == ROWS_ONLY
 
 
+def test_no_query_has_a_fixed_number_of_parts():
+    """A fixed number of partitions makes the tasks grow with the input."""
+    for path in glob.glob(os.path.join(os.path.dirname(checks.__file__), "*.py")):
+        with open(path) as f:
+            assert not re.search(r"repartition\(\d", f.read()), path
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 @pytest.mark.parametrize("name", FEW)
 def test_agrees_with_sql(spark, name):
