@@ -11,30 +11,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from hopscan.config import Junctions
-from hopscan.functions.sequence import adapter_cut, junctions_of, quality_trimmed_length
+from hopscan.functions.sequence import adapter_cut, back_cut, front_cut
 from hopscan.operators.frequent import frequent_values
 from hopscan.operators.sites import count_where
 
 
-def _cut(df: DataFrame, mate: int, keep: Column) -> DataFrame:
-    """First ``keep`` bases of a mate; the length is computed once, before both cuts."""
-    s, q = f"seq{mate}", f"qual{mate}"
-    out = df.withColumn("_keep", keep.cast("int"))
-    return out.withColumns(
-        {c: F.substr(F.col(c), F.lit(1), F.col("_keep")) for c in (s, q)}
-    ).drop("_keep")
-
-
 def adapter_trim(
     fastq: DataFrame, adapter_r1: str = Junctions.adapter_r1,
     adapter_r2: str = Junctions.adapter_r2, min_overlap: int = 4, error_rate: float = 0.1,
 ) -> DataFrame:
     """Remove the sequencing adapter and what follows it from the 3' end of both mates."""
-    out = fastq
-    for mate, adapter in ((1, adapter_r1), (2, adapter_r2)):
-        if f"seq{mate}" in fastq.columns:
-            out = _cut(out, mate, adapter_cut(F.col(f"seq{mate}"), adapter, min_overlap, error_rate))
-    return out
+    adapters = {m: a for m, a in ((1, adapter_r1), (2, adapter_r2)) if f"seq{m}" in fastq.columns}
+    # Both lengths are found in one pass, each once before both of its cuts.
+    kept = {f"_keep{m}": adapter_cut(F.col(f"seq{m}"), a, min_overlap, error_rate) for m, a in adapters.items()}
+    cuts = {c: F.substr(F.col(c), F.lit(1), F.col(f"_keep{m}")) for m in adapters for c in (f"seq{m}", f"qual{m}")}
+    return fastq.withColumns(kept).withColumns(cuts).drop(*kept)
 
 
 def junction_classify(
@@ -47,20 +38,17 @@ def junction_classify(
     junction and what follows it. Edits are allowed on both mates. ``junction`` is PBL, PBR or
     unknown; the better score wins, PBL if equal.
     """
-    out = fastq
-    mates = [m for m in (1, 2) if f"seq{m}" in fastq.columns]
-    for mate in mates:
-        out = _cut(out, mate, quality_trimmed_length(F.col(f"qual{mate}"), quality))
-    found = junctions_of(
-        F.col("seq1"), F.col("seq2") if 2 in mates else None,
-        {"PBL": junctions.pbl, "PBR": junctions.pbr},
-        {"PBL": junctions.pbl_reverse, "PBR": junctions.pbr_reverse}, min_overlap, error_rate,
-    )
-    out = out.withColumn("_found", found).withColumn("junction", F.col("_found.junction"))
-    cuts = {c: F.substr(F.col(c), F.col("_found.cut") + 1) for c in ("seq1", "qual1")}
-    if 2 in mates:
-        cuts |= {c: F.substr(F.col(c), F.lit(1), F.col("_found.keep")) for c in ("seq2", "qual2")}
-    return out.withColumns(cuts).drop("_found")
+    fronts = {"PBL": junctions.pbl, "PBR": junctions.pbr}
+    backs = {"PBL": junctions.pbl_reverse, "PBR": junctions.pbr_reverse}
+    found = front_cut(F.col("seq1"), F.col("qual1"), fronts, min_overlap, error_rate, quality)
+    out = fastq.withColumn("_found", found).withColumn("junction", F.col("_found.junction"))
+    rest = F.col("_found.size") - F.col("_found.cut")
+    cuts = {c: F.substr(F.col(c), F.col("_found.cut") + 1, rest) for c in ("seq1", "qual1")}
+    if "seq2" in fastq.columns:
+        keep = back_cut(F.col("seq2"), F.col("qual2"), F.col("junction"), backs, min_overlap, error_rate, quality)
+        out = out.withColumn("_keep", keep)
+        cuts |= {c: F.substr(F.col(c), F.lit(1), F.col("_keep")) for c in ("seq2", "qual2")}
+    return out.withColumns(cuts).drop("_found", "_keep")
 
 
 #: Letters that a profile tells apart; any other base counts as a base only.
