@@ -476,7 +476,8 @@ def replicate_scores(
 def normalized_counts(counts: DataFrame, factors: DataFrame, digits: int = 3) -> DataFrame:
     """Counts divided by their library's size factor."""
     scaled = half_even(F.col("Reads") / F.col("size_factor"), digits)
-    return counts.join(factors, list(LIBRARY)).withColumn("normed", scaled).drop("size_factor")
+    # One row per library goes to the counts, never the counts to the few tasks of the factors.
+    return counts.join(F.broadcast(factors), list(LIBRARY)).withColumn("normed", scaled).drop("size_factor")
 
 
 def split_statistics(scores: DataFrame, key: Sequence[str] = KEY) -> dict[str, DataFrame]:

@@ -61,7 +61,9 @@ def ma_scores(
 
     Positive means depleted. ``digits=None`` keeps full precision.
     """
-    medians = control_medians(counts, controls, key)
+    # One row per library goes to the counts. By sizes alone, counts of a few MB would go to the one task of the
+    # medians, and every later step with them.
+    medians = F.broadcast(control_medians(counts, controls, key))
     scaled = counts.join(medians, list(LIBRARY)).withColumn(
         "_n", normalized_count(F.col("Reads"), F.col("min_median"), F.col("median"))
     )
@@ -175,7 +177,7 @@ def dispersion_moments(
     counts: DataFrame, factors: DataFrame, key: Sequence[str] = KEY
 ) -> DataFrame:
     """Mean, variance and method-of-moments dispersion of the normalised counts per insertion."""
-    scaled = counts.join(factors, list(LIBRARY)).withColumn(
+    scaled = counts.join(F.broadcast(factors), list(LIBRARY)).withColumn(  # one row per library
         "_n", F.col("Reads") / F.col("size_factor")
     )
     stats = scaled.groupBy(*key).agg(
