@@ -25,6 +25,8 @@ DR_LOW = -1.0
 MISSING_WEIGHT = 0.01
 # End of fixed values.
 
+#: Rows whose grid of shapes, and rows whose curve, a task holds at once: some MB for each array.
+GRID_ROWS, AREA_ROWS = 256, 512
 OK, FAILED, ERROR = "Success", "Optimization failed", "Fitting error"
 #: Stencil steps at most, and the stencil size (of the unit square) at which a fit has settled.
 STEPS, SETTLED = 1000, 1e-8
@@ -186,8 +188,8 @@ def _fit_batch(
     penalty = fc.DL_PENALTY * np.abs(delay)
     n = len(y)
     start = np.empty((n, seeds), dtype=np.int64)
-    for lo in range(0, n, 2000):
-        part = slice(lo, min(lo + 2000, n))
+    for lo in range(0, n, GRID_ROWS):
+        part = slice(lo, min(lo + GRID_ROWS, n))
         _, loss = _plateau(
             shapes[None], y[part, None, :], w[part, None, :], limit[None], rounds=4
         )
@@ -263,7 +265,7 @@ def _feasible(x: np.ndarray, a: np.ndarray, rate: np.ndarray, delay: np.ndarray)
 
 
 def fit_curves(
-    curves: DataFrame, times: dict[str, float], batch_rows: int = 20_000, steps: int = STEPS
+    curves: DataFrame, times: dict[str, float], batch_rows: int = 2_000, steps: int = STEPS
 ) -> DataFrame:
     """Constrained robust Gompertz fit of every row, in Arrow batches on evenly spread rows.
 
@@ -311,8 +313,8 @@ def curve_area(A: Column, DR: Column, DL: Column, start: float, stop: float, poi
         out = np.full(len(a), np.nan)
         av, rv, dv = (s.to_numpy(dtype=float) for s in (a, r, d))
         good = np.isfinite(av) & np.isfinite(rv) & np.isfinite(dv)
-        for lo in range(0, len(av), 4096):
-            idx = np.flatnonzero(good[lo: lo + 4096]) + lo
+        for lo in range(0, len(av), AREA_ROWS):
+            idx = np.flatnonzero(good[lo: lo + AREA_ROWS]) + lo
             if len(idx) == 0:
                 continue
             safe = np.where(av[idx] == 0, 1.0, av[idx])

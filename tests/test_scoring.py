@@ -338,3 +338,31 @@ def test_replicate_scores_show_dispersion_and_distance(spark):
     assert (out["dispersion"] > 0).all() and out["cooks"].idxmax() == 5 and np.isnan(out.loc[5, "pvalue"])
     plain = rp.replicate_scores(c, controls, "t0", key=SITE)
     assert not {"dispersion", "cooks"} & set(plain.columns)
+
+
+def test_medians_go_to_the_counts(spark):
+    """Stored counts of a few MB must not go to the one task that has the medians."""
+    from hopscan.session import checkpointed
+
+    key = ("Chr", "Coordinate", "Strand")
+    counts = checkpointed(spark.range(40_000).selectExpr(
+        "'I' as Chr", "id div 10 as Coordinate", "'+' as Strand", "concat('S', id div 5 % 2) as Sample",
+        "concat('T', id % 5) as Timepoint", "id % 97 + 1 as Reads"))
+    scores = sc.ma_scores(counts, checkpointed(counts.select(*key).distinct()), "T0", key)
+    assert scores.count() == 40_000
+    # The medians' own size is unknown beforehand, so which side goes to the other must not hang on it.
+    assert "rightHint=(strategy=broadcast)" in scores._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_arrays_of_a_fit_do_not_grow_with_its_rows():
+    import tracemalloc
+
+    x = np.array([0.0, 2.352, 5.588, 9.104, 12.48])
+    y = np.random.default_rng(3).random((2000, 5)) * 8
+    tracemalloc.start()
+    try:
+        cv._fit_batch(x, y, np.ones_like(y), steps=2)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 40e6
