@@ -55,6 +55,8 @@ def junction_classify(
 BASES = "ACGTN"
 #: Cycles, letters and qualities that one array of counts holds before it is sent on.
 _LETTERS, _QUALITIES = len(BASES) + 1, 94
+#: Reads of a group whose bases are written out at once, so that they stay in a core's cache.
+_READS = 1000
 
 
 def _cycle_counts(n_by: int, offset: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -71,23 +73,25 @@ def _cycle_counts(n_by: int, offset: int) -> Callable[[Iterator[pa.RecordBatch]]
             place = {g: i for i, g in enumerate(dict.fromkeys(groups))}
             owner = np.array([place[g] for g in groups], np.int64)
             seq, qual = (batch.column(n_by + i).cast(pa.large_binary()) for i in (0, 1))
-            size = pc.binary_length(qual).to_numpy(zero_copy_only=False).astype(np.int64)
-            if (pc.binary_length(seq).to_numpy(zero_copy_only=False) < size).any():
+            bases, size = (pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in (seq, qual))
+            size[bases == 0] = 0  # a read without bases or qualities adds nothing
+            if (bases < size).any():
                 raise ValueError("a read has more qualities than bases")
-            row = np.repeat(np.arange(len(size)), size)
-            cycle = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            base = letter[_bytes(seq)[np.repeat(_offsets(seq)[:-1], size) + cycle]]
-            quality = _bytes(qual)[np.repeat(_offsets(qual)[:-1], size) + cycle].astype(np.int64) - offset
-            if len(quality) and not (0 <= quality.min() and quality.max() < _QUALITIES):
-                raise ValueError(f"qualities are not in the range of offset {offset}")
+            ends = np.searchsorted(owner, np.arange(len(place) + 1), sorter=(order := np.argsort(owner, kind="stable")))
             for group, i in place.items():
-                mine = owner[row] == i if len(place) > 1 else slice(None)
-                code = (cycle[mine] * _LETTERS + base[mine]) * _QUALITIES + quality[mine]
-                counts = np.bincount(code)
-                held = tables.get(group, counts[:0])
-                longer, shorter = (counts, held) if len(counts) > len(held) else (held, counts)
-                longer[: len(shorter)] += shorter
-                tables[group] = longer
+                for lo in range(ends[i], ends[i + 1], _READS):
+                    rows = order[lo: min(lo + _READS, ends[i + 1])]
+                    n = size[rows]
+                    cycle = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    base = letter[_bytes(seq)[np.repeat(_offsets(seq)[rows], n) + cycle]]
+                    quality = _bytes(qual)[np.repeat(_offsets(qual)[rows], n) + cycle].astype(np.int64) - offset
+                    if len(quality) and not (0 <= quality.min() and quality.max() < _QUALITIES):
+                        raise ValueError(f"qualities are not in the range of offset {offset}")
+                    counts = np.bincount((cycle * _LETTERS + base) * _QUALITIES + quality)
+                    held = tables.get(group, counts[:0])
+                    longer, shorter = (counts, held) if len(counts) > len(held) else (held, counts)
+                    longer[: len(shorter)] += shorter
+                    tables[group] = longer
         for group, counts in tables.items():
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -117,7 +121,8 @@ def base_quality_profile(
     row per base exists; quartiles come from that small table.
     """
     by = list(by)
-    reads = fastq.select(*by, F.col(f"seq{mate}").alias("_s"), F.col(f"qual{mate}").alias("_q")).filter("length(_s) > 0 AND length(_q) > 0")
+    reads = fastq.select(*by, F.col(f"seq{mate}").alias("_s"), F.col(f"qual{mate}").alias("_q"))
+    # No filter on the reads here: it would work out derived reads once more for every test.
     schema = T.StructType([*reads.select(*by).schema, T.StructField("cycle", T.LongType()), T.StructField("base", T.IntegerType()),
                            T.StructField("quality", T.IntegerType()), T.StructField("n", T.LongType())])
     counted = (reads.mapInArrow(_cycle_counts(len(by), offset), schema)

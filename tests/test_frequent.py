@@ -77,3 +77,11 @@ def test_profile_refuses_other_offsets(spark):
     df = spark.createDataFrame([("ACGT", "\x20\x20\x20\x20")], "seq1 string, qual1 string")
     with pytest.raises(Exception, match="offset"):
         fq.base_quality_profile(df).collect()
+
+
+def test_profile_leaves_out_reads_without_bases_in_one_pass(spark):
+    rows = [("a", "AC", "I5"), ("a", None, "I"), ("a", "A", None), ("a", "", "I"), ("a", "A", ""), ("b", None, None)]
+    df = fq.base_quality_profile(spark.createDataFrame(rows, "g string, seq1 string, qual1 string"), ["g"])
+    assert sorted((r.g, r.cycle, r.bases, r.n_a, r.n_c) for r in df.collect()) == [("a", 1, 1, 1, 0), ("a", 2, 1, 0, 1)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan
