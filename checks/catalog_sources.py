@@ -168,7 +168,9 @@ def _(s: Inputs) -> DataFrame:
         record = F.concat(
             F.lit("@"), "name", F.lit(f" {mate}:N:0\n"), f"seq{mate}", F.lit("\n+\n"), f"qual{mate}"
         )
-        fq.select(record.alias("value")).write.option("compression", "gzip").text(f"{root}/lib_R{mate}.fastq.gz")
+        # Read once and thrown away: packing them tightly would cost more than reading them.
+        fq.select(record.alias("value")).write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED") \
+            .text(f"{root}/lib_R{mate}.fastq.gz")
     return rr.read_fastq_pairs(s.spark, f"{root}/lib_R1.fastq.gz", f"{root}/lib_R2.fastq.gz")
 
 

@@ -6,7 +6,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -34,30 +33,52 @@ def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
     other = lines.filter(~F.endswith("file", F.lit(".gz"))).select("file").first()
     if other is not None:
         raise ValueError(f"expected gzipped FASTQ files, found {other['file']}")
-
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = pd.DataFrame({"value": [], "file": []})
-        for pdf in batches:
-            pdf = pd.concat([rest, pdf], ignore_index=True) if len(rest) else pdf
-            kept = []
-            for file, part in pdf.groupby("file", sort=False):
-                whole = len(part) // 4 * 4
-                kept.append(part.iloc[whole:])
-                text = part["value"].to_numpy()[:whole].reshape(-1, 4)
-                columns = [pa.array(text[:, i], pa.string()) for i in range(4)]
-                broken = np.asarray(pc.or_(pc.or_(
-                    pc.invert(pc.starts_with(columns[0], "@")), pc.invert(pc.starts_with(columns[2], "+"))),
-                    pc.not_equal(pc.utf8_length(columns[1]), pc.utf8_length(columns[3]))))
-                if broken.any():
-                    raise ValueError(f"broken read record {text[broken.argmax(), 0]!r} in {file}")
-                yield pd.DataFrame({"h": text[:, 0], "seq": text[:, 1], "qual": text[:, 3]})
-            rest = pd.concat(kept, ignore_index=True) if kept else rest
-        if len(rest):
-            raise ValueError(f"incomplete read record at the end of {rest['file'].iloc[0]}")
-
-    raw = lines.mapInPandas(records, "h string, seq string, qual string")
-    name = F.regexp_replace(F.split(F.substr("h", F.lit(2), F.length("h")), r"\s")[0], r"/[12]$", "")
-    return raw.select(name.alias("name"), F.col("seq").alias(f"seq{mate}"), F.col("qual").alias(f"qual{mate}"))
+    # The path stands before a record's first line and after its last: sent with every line as a column of its own it
+    # would be most of what Python gets. No line holds a line feed.
+    numbered = lines.withColumn("_n", F.pmod(F.monotonically_increasing_id(), F.lit(4)))
+    mark = F.lit("\n")
+    marked = numbered.select(
+        F.when(F.col("_n") == 0, F.concat("file", mark, "value")).when(F.col("_n") == 3, F.concat("value", mark, "file"))
+        .otherwise(F.col("value")).alias("value"))
+    raw = marked.mapInArrow(_records, "name string, seq string, qual string")
+    return raw.select("name", F.col("seq").alias(f"seq{mate}"), F.col("qual").alias(f"qual{mate}"))
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of a task's lines, four each, which must all be of one file."""
+    rest = None
+    for batch in batches:
+        lines = batch.column(0) if rest is None else pa.concat_arrays([rest, batch.column(0)])
+        whole = len(lines) // 4 * 4
+        # Copied, as a slice would hold the whole batch.
+        rest = lines.take(pa.array(range(whole, len(lines)), pa.int64())) if whole < len(lines) else None
+        at = 0
+        while at < whole:
+            file = _file(lines[at])
+            rows = np.arange(at, whole, 4)
+            of_file = np.asarray(pc.starts_with(lines.take(pa.array(rows)), f"{file}\n"))
+            if not of_file.all():
+                rows = rows[: of_file.argmin()]  # up to the next file
+            at += 4 * len(rows)
+            head, seq, plus, qual = (lines.take(pa.array(rows + i)) for i in range(4))
+            cut = ~np.asarray(pc.ends_with(qual, f"\n{file}"))
+            if cut.any():
+                raise ValueError(f"incomplete read record at the end of {file}")
+            head = pc.utf8_slice_codeunits(head, len(file) + 1)
+            qual = pc.utf8_slice_codeunits(qual, 0, -len(file) - 1)
+            broken = np.asarray(pc.or_(pc.or_(
+                pc.invert(pc.starts_with(head, "@")), pc.invert(pc.starts_with(plus, "+"))),
+                pc.not_equal(pc.utf8_length(seq), pc.utf8_length(qual))))
+            if broken.any():
+                raise ValueError(f"broken read record {head[int(broken.argmax())].as_py()!r} in {file}")
+            name = pc.replace_substring_regex(pc.utf8_slice_codeunits(head, 1), r"(?:/[12])?(?:[\s\x0b].*)?$", "")
+            yield pa.RecordBatch.from_arrays([name, seq, qual], names=["name", "seq", "qual"])
+    if rest is not None:
+        raise ValueError(f"incomplete read record at the end of {_file(rest[0])}")
+
+
+def _file(line: pa.Scalar) -> str:
+    return line.as_py().split("\n", 1)[0]
 
 
 def read_fastq_pairs(spark: SparkSession, r1: str, r2: str) -> DataFrame:

@@ -65,6 +65,46 @@ def test_broken_fastq_records_are_reported(spark, tmp_path):
             rr.read_fastq(spark, path, 1).collect()
 
 
+def _marked(*files):
+    """Lines of files as a task gets them: the path before every first of four lines and after every fourth."""
+    lines = [(file, line) for file, text in files for line in text.split("\n")[:-1]]
+    return [f"{f}\n{t}" if i % 4 == 0 else f"{t}\n{f}" if i % 4 == 3 else t for i, (f, t) in enumerate(lines)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 4, 7, 100])
+def test_records_of_several_files_in_a_task(size):
+    import pyarrow as pa
+
+    def run(*files):
+        lines = _marked(*files)
+        batches = [pa.RecordBatch.from_arrays([pa.array(lines[i: i + size])], names=["value"]) for i in range(0, len(lines), size)]
+        return [tuple(r.values()) for b in rr._records(iter(batches)) for r in b.to_pylist()]
+
+    one, two = "@a/1 x/2\nACGT\n+\n@III\n", "@b/1/2\nÄC\n+b\n++\n@ c\n\n+\n\n@d\x0b/1\nA\n+\nI\n"
+    want = [("a", "ACGT", "@III"), ("b/1", "ÄC", "++"), ("", "", ""), ("d", "A", "I")]
+    assert run(("f", one), ("f2", two)) == want and run(("f2", two), ("f", one)) == want[1:] + want[:1]
+    # Three lines and a fourth of another file look like a record.
+    with pytest.raises(ValueError, match="incomplete read record at the end of f$"):
+        run(("f", one + "@c\nACGT\n+\n"), ("f2", "@abc\n"))
+    with pytest.raises(ValueError, match="incomplete read record at the end of f2$"):
+        run(("f", one), ("f2", "@c\nACGT\n"))
+    with pytest.raises(ValueError, match="broken read record '@c' in f2$"):
+        run(("f", one), ("f2", "@c\nACGT\n+\nI\n"))
+
+
+def test_fastq_lines_carry_no_path(spark, tmp_path):
+    """A path with every line is most of what a reader would send to Python."""
+    for i in range(40):
+        with gzip.open(tmp_path / f"{i}_R1.fq.gz", "wt") as f:
+            f.writelines(f"@r{i}.{j}/1\nACGT\n+\n@III\n" for j in range(i + 1))
+    df = rr.read_fastq(spark, str(tmp_path), 1)
+    assert sorted(tuple(r) for r in df.collect()) == sorted((f"r{i}.{j}", "ACGT", "@III") for i in range(40) for j in range(i + 1))
+    node = df._jdf.queryExecution().optimizedPlan()
+    while not node.nodeName().startswith("MapIn"):
+        node = node.children().head()
+    assert node.children().head().output().size() == 1
+
+
 def test_uneven_fasta_lines(spark, tmp_path):
     path = write(tmp_path / "u.fa", ">c one\nACGTAC\nGG\nTTTTTT\n>d\nA\n\nCC\n")
     got = {(r["Chr"], r["tile_start"], r["seq"]) for r in gn.read_fasta_tiles(spark, path, width=4).collect()}
