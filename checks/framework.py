@@ -113,14 +113,21 @@ class Inputs(Source):
     def controls(self) -> DataFrame:
         return sc.select_controls(self.stored_hard, self.stored_ann, BOUNDARY, SITE)
 
+    @cached_property
+    def stored(self) -> Inputs:
+        """Inputs whose insertions are a table: counts and annotation both come from it, not from the reads."""
+        other = Inputs(self.spark, self.sf_dir)
+        other.merged = checkpointed(self.merged)
+        return other
+
     @cached_property
     def stored_hard(self) -> DataFrame:
         """The filtered counts as a table, as scoring runs find them."""
-        return checkpointed(self.hard)
+        return checkpointed(self.stored.hard)
 
     @cached_property
     def stored_ann(self) -> DataFrame:
-        return checkpointed(self.ann)
+        return checkpointed(self.stored.ann)
 
     @cached_property
     def alignments(self) -> DataFrame:

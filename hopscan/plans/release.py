@@ -49,7 +49,9 @@ def release_tables(
     if "fits" in results:
         ids = [*key] if replicates else [*key, "Sample"]
         genes = [c for c in results["genes"].columns if c in ("Sample", *gn.GENE)]
-        out |= fit_tables(checkpointed(results["fits"]), "insertion_level", ids)
+        # Without replicates the fits are a table already.
+        fits = checkpointed(results["fits"]) if replicates else results["fits"]
+        out |= fit_tables(fits, "insertion_level", ids)
         out |= fit_tables(checkpointed(results["gene_fits"]), "gene_level", genes)
         weights = scores.select(*key, "Timepoint", F.coalesce("padj", F.lit(1.0)).alias("weight")) if replicates else results["weights"]
         out |= {"transformed_weights": weights, "gene_LFC": results["genes"]}

@@ -33,3 +33,16 @@ def test_no_query_has_a_fixed_number_of_parts():
 def test_agrees_with_sql(spark, name):
     ok, text = compare(spark, connect(SF), SF, name)
     assert ok, text
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
+def test_scoring_inputs_read_the_pairs_once(spark, monkeypatch):
+    """Counts and annotation both come from the insertions; worked out from the pairs twice, that was most of the time."""
+    from checks import framework
+    from hopscan.session import checkpointed
+
+    read = []
+    monkeypatch.setattr(framework, "checkpointed", lambda df: read.extend(df.inputFiles()) or checkpointed(df))
+    inputs = framework.Inputs(spark, SF)
+    assert inputs.stored_hard.count() and inputs.stored_ann.count()
+    assert sum("lineitem" in f for f in read) == 1
