@@ -366,3 +366,22 @@ def test_arrays_of_a_fit_do_not_grow_with_its_rows():
     finally:
         tracemalloc.stop()
     assert most < 40e6
+
+
+def test_arrays_of_an_area_do_not_grow_with_its_rows(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(cv.F, "pandas_udf", lambda _: lambda f: f)  # the function itself, on series
+    rng = np.random.default_rng(3)
+    a, dr, dl = (pd.Series(rng.random(10_000) * top + 0.1) for top in (8, 1, 4))
+    a[7] = np.nan
+    tracemalloc.start()
+    try:
+        areas = cv.curve_area(a, dr, dl, 0.0, 12.48)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert areas.isna().sum() == 1 and pd.isna(areas[7])
+    alone = cv.curve_area(a[9_999:], dr[9_999:], dl[9_999:], 0.0, 12.48)
+    assert abs(areas[9_999] - alone.iloc[0]) < 1e-12
+    assert most < 40e6
