@@ -32,6 +32,8 @@ OK, FAILED, ERROR = "Success", "Optimization failed", "Fitting error"
 STEPS, SETTLED = 1000, 1e-8
 #: Better neighbours in a row after which the stencil grows, and its first and largest size.
 GAINS, WIDEST = 8, 0.06
+#: The second search also tries multiples of the way its last steps went, which follows curved valleys.
+AHEAD, AHEAD_STEPS = np.array([1.0, 4.0, 16.0]), 3
 PARAMETERS = ("A", "DR", "DL")
 METRICS = (
     "t10", "t50", "t90", "t_window", "t_inflection", "y_inflection", "auc", "AIC", "BIC",
@@ -157,6 +159,25 @@ def _plateau(
     return a, np.sum(np.where(z <= 1, z * z, 2 * z - 1), axis=-1)
 
 
+def _exact_plateau(g: np.ndarray, y: np.ndarray, w: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same without rounds: the slope of the loss is linear between the ends of its quadratic pieces."""
+    wg, wy = np.broadcast_arrays(w * g, w * y)
+    top = np.broadcast_to(top, wg.shape[:-1])[..., None]
+    still = wg == 0
+    ends = [np.where(still, A_LOW, (wy + side) / np.where(still, 1.0, wg)) for side in (-1, 1)]
+    at = np.concatenate([*ends, np.full(top.shape, A_LOW), top], axis=-1)
+    at = np.sort(np.clip(at, A_LOW, top), axis=-1)
+    slope = np.sum(wg[..., None, :] * np.clip(wg[..., None, :] * at[..., None] - wy[..., None, :], -1, 1), axis=-1)
+    left = np.maximum((slope <= 0).sum(axis=-1) - 1, 0)
+    right = np.minimum((slope < 0).sum(axis=-1), at.shape[-1] - 1)
+    left, right = (f(left, right)[..., None] for f in (np.minimum, np.maximum))
+    (a, b), (p, q) = ([np.take_along_axis(v, k, -1)[..., 0] for k in (left, right)] for v in (at, slope))
+    rise = np.where(q > p, q - p, 1.0)
+    a = np.clip(np.where(q > p, a - p * (b - a) / rise, 0.0), a, b)
+    z = np.abs(wg * a[..., None] - wy)
+    return a, np.sum(np.where(z <= 1, z * z, 2 * z - 1), axis=-1)
+
+
 def _fit_batch(
     x: np.ndarray, y: np.ndarray, w: np.ndarray, seeds: int = 3, steps: int = STEPS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -164,7 +185,8 @@ def _fit_batch(
 
     With span = |A|/|DR| both constraints become bounds on (delay, span), and the plateau is
     a convex inner problem. So: score a coarse grid of shapes for all rows at once, then
-    refine the best few by a shrinking stencil in the unit square of (delay, span).
+    refine the best few by a shrinking stencil in the unit square of (delay, span). Rows that do
+    not settle, or that a shape of the default grid fits better, are searched again with exact plateaus.
     """
     t_last = float(x[-1])
     reach = min(t_last, t_last + fc.SPAN_SLACK - MIN_SPAN)
@@ -197,7 +219,8 @@ def _fit_batch(
 
     def evaluate(d_, u_, s_, y_, w_, rounds):
         delay_, span_ = unpack(d_, u_)
-        a_, loss_ = _plateau(_shape(x, span_, delay_, s_), y_, w_, top(span_, s_), rounds)
+        solved = _plateau if rounds else _exact_plateau
+        a_, loss_ = solved(_shape(x, span_, delay_, s_), y_, w_, top(span_, s_), *([rounds] if rounds else []))
         return a_, loss_ + fc.DL_PENALTY * np.abs(delay_)
 
     parts = []
@@ -213,9 +236,37 @@ def _fit_batch(
         d, u, best, step = _descend(d, u, s, yb, wb, evaluate, step, steps)
         d, u, s = d[:, 0], u[:, 0], s[:, 0]
         a, loss = evaluate(d, u, s, y[part], w[part], 40)
-        delay, span = unpack(d, u)
-        parts.append(np.column_stack([a, s * a / span, delay, loss, step[:, 0]]))
-    return tuple(np.concatenate(parts).T) if parts else tuple(np.empty((5, 0)))
+        parts.append(np.column_stack([d, u, s, a, loss, step[:, 0]]))
+    found = np.concatenate(parts) if parts else np.empty((0, 6))
+
+    gd, gu = _default_shapes(t_last, reach)
+    gs = np.ones(len(gd))
+    for lo in range(0, n if len(gd) else 0, GRID_ROWS):
+        part = found[lo: lo + GRID_ROWS]
+        yb, wb = (v[lo: lo + GRID_ROWS, None, :] for v in (y, w))
+        _, loss = evaluate(gd[None], gu[None], gs[None], yb, wb, None)
+        again = np.flatnonzero((part[:, 5] >= SETTLED) | (part[:, 4] > loss.min(axis=1) + 1e-9))
+        if len(again) == 0:
+            continue
+        k = np.argmin(loss[again], axis=1)
+        d, u, s = (np.column_stack([part[again, i], v[k]]) for i, v in enumerate((gd, gu, gs)))
+        d, u, best, step = _descend(
+            d, u, s, yb[again], wb[again], evaluate, np.full(d.shape, WIDEST), steps, rounds=None, ahead=AHEAD)
+        pick = np.argmin(best, axis=1)[:, None]
+        d, u, s, step = (np.take_along_axis(v, pick, 1)[:, 0] for v in (d, u, s, step))
+        a, loss = evaluate(d, u, s, yb[again, 0], wb[again, 0], None)
+        part[again] = np.column_stack([d, u, s, a, loss, step])
+    d, u, s, a, loss, step = found.T
+    delay, span = unpack(d, u)
+    return a, s * a / span, delay, loss, step
+
+
+def _default_shapes(t_last: float, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Shapes of ``default_grid`` in the unit square of (delay, span)."""
+    shapes = {(delay, round(a / rate, 9)) for a, rate, delay in default_grid(t_last)}
+    room = [(d, s, t_last + fc.SPAN_SLACK - d - MIN_SPAN) for d, s in sorted(shapes) if d <= reach]
+    inside = [((d - DL_LOW) / (reach - DL_LOW), (s - MIN_SPAN) / r) for d, s, r in room if MIN_SPAN <= s and r > 0]
+    return tuple(np.clip(np.array(inside).reshape(-1, 2), 0, 1).T)
 
 
 _MOVES = np.array(
@@ -223,25 +274,29 @@ _MOVES = np.array(
 )
 
 
-def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = SETTLED):
+def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = SETTLED, rounds: int | None = 4, ahead: np.ndarray = np.empty(0)):
     """Stencil search in the unit square; the step shrinks where no neighbour is better and grows after GAINS that were.
 
     Growing is what crosses a long flat valley, along which small steps would gain a little each without an end.
+    Where it bends, the points ``ahead`` do: multiples of the way of the last AHEAD_STEPS steps.
     """
     shape = d.shape
     y, w = (np.broadcast_to(v, (*shape, v.shape[-1])).reshape(-1, v.shape[-1]) for v in (y, w))
     d, u, step = d.ravel().copy(), u.ravel().copy(), step.ravel().copy()
     s = np.broadcast_to(s, shape).ravel()
-    _, best = evaluate(d, u, s, y, w, 4)
+    _, best = evaluate(d, u, s, y, w, rounds)
     gains = np.zeros(d.shape, np.int64)
-    for _ in range(steps):
+    was, way = np.array([d, u]), np.zeros((2, len(d)))
+    for i in range(steps):
         live = np.flatnonzero(step >= small)
         if len(live) == 0:
             break
-        cd = np.clip(d[live, None] + step[live, None] * _MOVES[:, 0], 0, 1)
-        cu = np.clip(u[live, None] + step[live, None] * _MOVES[:, 1], 0, 1)
+        cd, cu = (
+            np.clip(v[live, None] + np.hstack([step[live, None] * moves, go[live, None] * ahead]), 0, 1)
+            for v, moves, go in zip((d, u), _MOVES.T, way)
+        )
         cs = np.broadcast_to(s[live, None], cd.shape)
-        _, loss = evaluate(cd, cu, cs, y[live, None, :], w[live, None, :], 4)
+        _, loss = evaluate(cd, cu, cs, y[live, None, :], w[live, None, :], rounds)
         k = np.argmin(loss, axis=1)
         row = np.arange(len(live))
         better = loss[row, k] < best[live] - 1e-12
@@ -254,6 +309,8 @@ def _descend(d, u, s, y, w, evaluate, step, steps: int, small: float = SETTLED):
         long = hit[gains[hit] == GAINS]
         step[long] = np.minimum(step[long] / 0.4, WIDEST)
         gains[long] = 0
+        if (i + 1) % AHEAD_STEPS == 0:
+            was, way = np.array([d, u]), np.array([d, u]) - was
     return tuple(v.reshape(shape) for v in (d, u, best, step))
 
 

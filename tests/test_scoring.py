@@ -284,6 +284,38 @@ def test_curves_along_a_flat_valley_settle(spark):
     assert [r["Status"] for r in cv.fit_curves(df, times).collect()] == [cv.OK] * len(series)
 
 
+def test_no_curve_is_left_unsettled_or_worse_than_the_grid(spark):
+    """Curves whose best shape lies in a bent valley, and curves whose plateaus take many rounds to find."""
+    times = {"a": 0.0, "b": 2.352, "c": 5.588, "d": 9.104, "e": 12.48}
+    counts = ([232, 230, 214, 118, 8], [289, 271, 151, 154, 3], [729, 892, 618, 359, 14],
+              [825, 171, 775, 15, 918], [458, 65, 548, 4, 446], [126, 0, 157, 0, 146], [145, 0, 167, 0, 50])
+    data = [(i, t, math.log2((c[0] + 1) / (n + 1))) for i, c in enumerate(counts) for t, n in zip(times, c)]
+    curves = cv.curve_table(spark.createDataFrame(data, "id long, Timepoint string, LFC double"), ["id"], times)
+    grid = dict(rows(cv.fit_grid(curves, times).select("id", "objective")))
+    for r in cv.fit_curves(curves, times).collect():
+        assert r["Status"] == cv.OK and r["objective"] <= grid[r["id"]] + 1e-6
+
+
+def test_exact_plateaus_have_the_least_loss():
+    rng = np.random.default_rng(4)
+    g, y, w = rng.random((300, 5)), rng.normal(0, 3, (300, 5)), rng.choice([0.01, 1.0, 2.5], (300, 5))
+    g[:5], g[5:40, 2] = 0.0, 0.0
+    top = np.where(np.arange(300) % 3 == 0, 0.5, 12.48)
+    a, loss = cv._exact_plateau(g, y, w, top)
+
+    def at(p):
+        z = np.abs(w * (y - p[:, None] * g))
+        return np.where(z <= 1, z * z, 2 * z - 1).sum(axis=1)
+
+    low, high = np.full(300, cv.A_LOW), top
+    for _ in range(200):  # thirds: the loss is convex
+        p, q = (2 * low + high) / 3, (low + 2 * high) / 3
+        left = at(p) <= at(q)
+        low, high = np.where(left, low, p), np.where(left, q, high)
+    assert (a >= cv.A_LOW).all() and (a <= top).all()
+    assert np.abs(loss - at(a)).max() < 1e-9 and np.abs(loss - at((low + high) / 2)).max() < 1e-9
+
+
 def _optimum(mean, disp):
     """The trend by plain rounds over all points."""
     a0, a1, x = 0.1, 1.0, 1 / mean
