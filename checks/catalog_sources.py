@@ -35,7 +35,8 @@ select split_part(line,chr(9),1) as qname, cast(split_part(line,chr(9),2) as int
 def _(s: Inputs) -> DataFrame:
     path = f"{s.scratch}/lines.sam"
     head = s.spark.createDataFrame([("@HD\tVN:1.6",)], "line string")
-    s["v_sam"].select("line").unionByName(head).write.text(path)
+    # Packed, as the lines are many times larger than the tables they come from.
+    s["v_sam"].select("line").unionByName(head).write.option("compression", "lz4").text(path)
     a = al.read_alignments(s.spark, path)
     return a.select("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "tlen",
                     F.col("tags")["NM"].alias("nm"), F.col("tags")["MD"].alias("md"))

@@ -46,3 +46,21 @@ def test_scoring_inputs_read_the_pairs_once(spark, monkeypatch):
     inputs = framework.Inputs(spark, SF)
     assert inputs.stored_hard.count() and inputs.stored_ann.count()
     assert sum("lineitem" in f for f in read) == 1
+
+
+def test_alignment_files_are_packed_and_read_back(spark, tmp_path):
+    """As plain text the derived lines took many times the space of the tables."""
+    from datetime import datetime
+
+    from checks.framework import Inputs
+
+    data = [(i // 4, i * 7 % 2000, i % 30, 1 + i % 7, float(i % 50), 900.0 + i, i % 11 / 100, i % 9 / 100, "N", "FO"[i % 2], datetime(1995 + i % 7, 3, 1)) for i in range(4000)]
+    spark.createDataFrame(data, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp") \
+        .coalesce(2).write.parquet(f"{tmp_path}/lineitem.parquet")
+    inputs = Inputs(spark, str(tmp_path))
+    inputs.__dict__["scratch"] = f"{tmp_path}/scratch"
+    got = CHECKS["read_alignments"].query(inputs)
+    lines = [r["line"] for r in inputs["v_sam"].collect()]
+    assert sorted(r["qname"] for r in got.collect()) == sorted(x.split("\t")[0] for x in lines)
+    stored = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/scratch/**/part-*", recursive=True))
+    assert 0 < stored * 2 < sum(len(x) + 1 for x in lines)
